@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenline.operators.lexicon import learn_loaded_terms
+from evenline.operators.naive_bayes import NBModel, fit_nb
 from evenline.operators.splits import holdout_split
 from evenline.sources.corpus import documents, labelled_documents, table
 
@@ -58,3 +59,13 @@ class Context:
         """Lexicon learned on the train split of the sentiment proxy."""
         train = self.task("sentiment").where(F.col("split") == "train")
         return learn_loaded_terms(train, "text", "label", positive="1")
+
+    @cached_property
+    def models(self) -> dict[str, NBModel]:
+        """Naive Bayes per task, fitted on the train split (checkpointed counts)."""
+        return {t: fit_nb(self.task(t).where(F.col("split") == "train"), t, "text", "label")
+                for t in ("truth", "sentiment", "bias")}
+
+
+# Display names of the proxy labels (A4). Bias stays as its proxy code.
+DISPLAY = {"truth": {"0": "False", "1": "Truthful"}, "sentiment": {"0": "Neutral", "1": "Negative"}}

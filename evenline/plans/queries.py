@@ -9,10 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenline.operators import metrics
 from evenline.operators import rewrite as rw
+from evenline.operators import scoring as sc
 from evenline.operators.splits import holdout_split
 from evenline.plans import sql as S
-from evenline.plans.context import THREE_WAY, Context
+from evenline.plans.context import DISPLAY, THREE_WAY, Context
 from evenline.sources.corpus import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +74,126 @@ SELECT term, count(doc_id) AS n_docs, sum(removed)::BIGINT AS n_removed FROM r W
 def q_removed_terms(spark, sf_dir):
     per_row = rw.removed_terms(rewritten(spark, sf_dir), "doc_id", "text", "neutral")
     return rw.removed_summary(per_row, "doc_id")
+
+
+# --- M2: models, scoring, evaluation -----------------------------------------
+
+TASKS = ("truth", "sentiment", "bias")
+
+
+def analysed(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """All three task results per document, in one scoring pass."""
+    c = ctx(spark, sf_dir)
+    m = c.models
+    d = c.docs if docs is None else docs
+    return sc.analyse(d, [m[t] for t in TASKS], "doc_id", "text")
+
+
+def _res(t: str, cols: str) -> str:
+    return ", ".join(f"{t}_res.{t}_{x} AS {t}_{x}" for x in cols.split())
+
+
+def _round(t: str, x: str) -> str:
+    return f"round({t}_res.{t}_{x}, 4) AS {t}_{x}"
+
+
+_ALL_RES = " ".join(f"LEFT JOIN {t}_res ON {t}_res.doc_id = sd.doc_id" for t in TASKS)
+
+
+@query("score_truth", f"""WITH {S.nb_all()}
+SELECT sd.doc_id, {_round('truth', 's')}, truth_res.truth_label AS truth_label, {_round('truth', 'conf')}
+FROM sd {_ALL_RES}""")
+def q_score_truth(spark, sf_dir):
+    c = ctx(spark, sf_dir)
+    s = sc.score(c.docs, c.models["truth"], "doc_id", "text")
+    return s.select("doc_id", F.round("truth_s", 4).alias("truth_s"), "truth_label",
+                    F.round("truth_conf", 4).alias("truth_conf"))
+
+
+@query("score_sentiment", f"""WITH {S.nb_all()}
+SELECT sd.doc_id, {_round('sentiment', 's')}, sentiment_res.sentiment_label AS sentiment_label,
+       {_round('sentiment', 'conf')}
+FROM sd {_ALL_RES}""")
+def q_score_sentiment(spark, sf_dir):
+    c = ctx(spark, sf_dir)
+    s = sc.score(c.docs, c.models["sentiment"], "doc_id", "text")
+    return s.select("doc_id", F.round("sentiment_s", 4).alias("sentiment_s"), "sentiment_label",
+                    F.round("sentiment_conf", 4).alias("sentiment_conf"))
+
+
+@query("score_bias", f"""WITH {S.nb_all()}
+SELECT sd.doc_id, bias_res.bias_label AS bias_label, {_round('bias', 'conf')}
+FROM sd {_ALL_RES}""")
+def q_score_bias(spark, sf_dir):
+    c = ctx(spark, sf_dir)
+    s = sc.score(c.docs, c.models["bias"], "doc_id", "text")
+    return s.select("doc_id", "bias_label", F.round("bias_conf", 4).alias("bias_conf"))
+
+
+@query("analyse", f"""WITH {S.nb_all()}
+SELECT sd.doc_id, {', '.join(f"{t}_res.{t}_label AS {t}_label, {_round(t, 'conf')}" for t in TASKS)}
+FROM sd {_ALL_RES}""")
+def q_analyse(spark, sf_dir):
+    a = analysed(spark, sf_dir)
+    return sc.label_confidence(a, "doc_id", TASKS).select(
+        "doc_id", *[x for t in TASKS for x in (F.col(f"{t}_label"), F.round(f"{t}_conf", 4).alias(f"{t}_conf"))])
+
+
+def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(task, label, pred)`` on the held-out split: proxy labels vs predictions."""
+    c = ctx(spark, sf_dir)
+    test = c.docs.where(F.col("split") == "test")
+    a = sc.analyse(test, [c.models[t] for t in TASKS], "doc_id", "text", carry=["lang"])
+    labels = c.table("labels").select("doc_id", "quality", "toxic")
+    j = a.join(labels, "doc_id", "left")
+    pairs = F.array(*[F.struct(F.lit(t).alias("task"), F.col(lab).cast("string").alias("label"),
+                               F.col(f"{t}_label").alias("pred"))
+                      for t, lab in (("truth", "quality"), ("sentiment", "toxic"), ("bias", "lang"))])
+    return j.select(F.explode(pairs).alias("e")).select("e.task", "e.label", "e.pred")
+
+
+_EVAL_SQL = f"""WITH {S.nb_all()},
+ev AS (
+  SELECT 'truth' AS task, CAST(l.quality AS VARCHAR) AS label, truth_res.truth_label AS pred
+  FROM sd LEFT JOIN labels l ON l.doc_id = sd.doc_id LEFT JOIN truth_res ON truth_res.doc_id = sd.doc_id
+  WHERE sd.split = 'test'
+  UNION ALL
+  SELECT 'sentiment', CAST(l.toxic AS VARCHAR), sentiment_res.sentiment_label
+  FROM sd LEFT JOIN labels l ON l.doc_id = sd.doc_id LEFT JOIN sentiment_res ON sentiment_res.doc_id = sd.doc_id
+  WHERE sd.split = 'test'
+  UNION ALL
+  SELECT 'bias', sd.lang, bias_res.bias_label
+  FROM sd LEFT JOIN bias_res ON bias_res.doc_id = sd.doc_id
+  WHERE sd.split = 'test'
+)"""
+
+
+@query("accuracy", f"""{_EVAL_SQL}
+SELECT task, count(*) AS n, count(*) FILTER (WHERE label = pred) AS correct,
+       round(count(*) FILTER (WHERE label = pred) / count(*), 4) AS accuracy
+FROM ev WHERE label IS NOT NULL AND pred IS NOT NULL GROUP BY task""")
+def q_accuracy(spark, sf_dir):
+    return metrics.accuracy(evaluation_rows(spark, sf_dir), "label", "pred", by=["task"])
+
+
+@query("confusion", f"""{_EVAL_SQL}
+SELECT task, label, pred, count(*) AS n FROM ev
+WHERE label IS NOT NULL AND pred IS NOT NULL GROUP BY task, label, pred""")
+def q_confusion(spark, sf_dir):
+    return metrics.confusion(evaluation_rows(spark, sf_dir), "label", "pred", by=["task"])
+
+
+def _fmt_sql(t: str, display: dict[str, str] | None) -> str:
+    lab = f"{t}_res.{t}_label"
+    if display:
+        lab = "CASE " + " ".join(f"WHEN {lab} = '{k}' THEN '{v}'" for k, v in display.items()) + f" ELSE {lab} END"
+    return (f"CASE WHEN {t}_res.{t}_label IS NULL OR {t}_res.{t}_conf IS NULL THEN NULL "
+            f"ELSE printf('%s (%.1f%%)', {lab}, round({t}_res.{t}_conf * 100.0, 1)) END AS {t}_fmt")
+
+
+@query("format_confidence", f"""WITH {S.nb_all()}
+SELECT sd.doc_id, {', '.join(_fmt_sql(t, DISPLAY.get(t)) for t in TASKS)}
+FROM sd {_ALL_RES}""")
+def q_format_confidence(spark, sf_dir):
+    a = analysed(spark, sf_dir)
+    return sc.format_confidence(a, TASKS, DISPLAY).select("doc_id", *[f"{t}_fmt" for t in TASKS])

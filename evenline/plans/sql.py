@@ -66,3 +66,66 @@ rw AS (
   SELECT d.doc_id, d.text, d.lang, {rewrite('d.text', 'lex.lex')} AS neutral
   FROM documents d, lex
 )"""
+
+
+def docs_cte(name: str = "sd") -> str:
+    """Scored documents with a blank flag, and their distinct tokens."""
+    return f"""
+{name} AS (
+  SELECT doc_id, text, lang, {split2('text')} AS split,
+         (text IS NULL OR trim(text) = '') AS blank
+  FROM documents
+),
+{name}_tok AS (SELECT doc_id, unnest({dtoks('text')}) AS term FROM {name} WHERE NOT blank)"""
+
+
+def nb(t: str, src: str, label: str, scored: str = "sd", min_df: int = 5) -> str:
+    """Naive Bayes (binary presence, add-one) trained on ``src`` rows with
+    split 'train', applied to ``scored``; ends in ``{t}_res(doc_id, {t}_label,
+    {t}_conf, {t}_s)`` (``_s`` = logp('1') - logp('0'), null for other labels)."""
+    return f"""
+{t}_tr AS (
+  SELECT CAST({label} AS VARCHAR) AS y, text FROM {src}
+  WHERE split = 'train' AND text IS NOT NULL AND trim(text) <> '' AND {label} IS NOT NULL
+),
+{t}_prior AS (SELECT y, ln(count(*) / (SELECT count(*) FROM {t}_tr)) AS lp FROM {t}_tr GROUP BY y),
+{t}_tok AS (SELECT y, unnest({dtoks('text')}) AS term FROM {t}_tr),
+{t}_kept AS (SELECT term FROM {t}_tok GROUP BY term HAVING count(*) >= {min_df}),
+{t}_cnt AS (
+  SELECT k.term, p.y, count(tk.term) AS n
+  FROM {t}_kept k CROSS JOIN {t}_prior p LEFT JOIN {t}_tok tk ON tk.term = k.term AND tk.y = p.y
+  GROUP BY k.term, p.y
+),
+{t}_tot AS (SELECT y, sum(n) AS tc FROM {t}_cnt GROUP BY y),
+{t}_w AS (
+  SELECT c.term, c.y, ln(CAST(c.n + 1 AS DOUBLE) / CAST(s.tc + (SELECT count(*) FROM {t}_kept) AS DOUBLE)) AS w
+  FROM {t}_cnt c JOIN {t}_tot s ON s.y = c.y
+),
+{t}_sum AS (
+  SELECT dt.doc_id, w.y, sum(w.w) AS sw FROM {scored}_tok dt JOIN {t}_w w ON dt.term = w.term
+  GROUP BY dt.doc_id, w.y
+),
+{t}_lp AS (
+  SELECT d.doc_id, p.y, p.lp + coalesce(s.sw, 0) AS lp
+  FROM {scored} d CROSS JOIN {t}_prior p LEFT JOIN {t}_sum s ON s.doc_id = d.doc_id AND s.y = p.y
+  WHERE NOT d.blank
+),
+{t}_rk AS (
+  SELECT doc_id, y, lp, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, y ASC) AS rk,
+         max(lp) OVER (PARTITION BY doc_id) AS mx
+  FROM {t}_lp
+),
+{t}_res AS (
+  SELECT doc_id, max(y) FILTER (WHERE rk = 1) AS {t}_label, 1.0 / sum(exp(lp - mx)) AS {t}_conf,
+         max(lp) FILTER (WHERE y = '1') - max(lp) FILTER (WHERE y = '0') AS {t}_s,
+         list(exp(lp - mx) ORDER BY y) AS {t}_e
+  FROM {t}_rk GROUP BY doc_id
+)"""
+
+
+def nb_all(scored: str = "sd") -> str:
+    """Docs, labelled corpus and the three task models."""
+    return ",\n".join([docs_cte(scored).strip(), LABELLED.strip(),
+                       nb("truth", "lab", "quality", scored).strip(),
+                       nb("sentiment", "lab", "toxic", scored).strip(),
+                       nb("bias", scored, "lang", scored).strip()])
