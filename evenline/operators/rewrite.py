@@ -25,9 +25,11 @@ PROMPT_TEMPLATE = "neutralize | truth: %s | sentiment: %s | bias: %s | headline:
 def build_prompt(df: DataFrame, text_col: str = "text", truth: str = "truth_fmt",
                  sentiment: str = "sentiment_fmt", bias: str = "bias_fmt",
                  template: str = PROMPT_TEMPLATE, out: str = "prompt") -> DataFrame:
-    """Labels + confidences (already formatted by A21) with the headline."""
-    return df.withColumn(out, F.format_string(template, F.col(truth), F.col(sentiment),
-                                              F.col(bias), F.col(text_col)))
+    """Labels + confidences (already formatted by A21) with the headline;
+    null when any part is missing (never the text "null")."""
+    parts = [F.col(truth), F.col(sentiment), F.col(bias), F.col(text_col)]
+    missing = parts[0].isNull() | parts[1].isNull() | parts[2].isNull() | parts[3].isNull()
+    return df.withColumn(out, F.when(~missing, F.format_string(template, *parts)))
 
 
 def neutral_rewrite(df: DataFrame, lexicon: DataFrame | Sequence[str], text_col: str = "text",

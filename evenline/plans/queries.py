@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenline.operators import compare as cmp
 from evenline.operators import metrics
 from evenline.operators import rewrite as rw
 from evenline.operators import scoring as sc
@@ -197,3 +198,122 @@ FROM sd {_ALL_RES}""")
 def q_format_confidence(spark, sf_dir):
     a = analysed(spark, sf_dir)
     return sc.format_confidence(a, TASKS, DISPLAY).select("doc_id", *[f"{t}_fmt" for t in TASKS])
+
+
+# --- M3: prompt, rescore, compare, chart rows, summary ---------------------------
+
+def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rewrite every document, rescore both texts in one pass, compare."""
+    c = ctx(spark, sf_dir)
+    r = rewritten(spark, sf_dir).withColumn("changed", ~F.col("neutral").eqNullSafe(F.col("text")))
+    s = cmp.rescore(r, [c.models[t] for t in TASKS], "doc_id", "text", "neutral",
+                    carry=["lang", "split", "changed"])
+    return cmp.compare_before_after(s, c.models, "doc_id", TASKS, carry=["lang", "split", "changed"])
+
+
+@query("build_prompt", f"""WITH {S.nb_all()}
+SELECT doc_id, CASE WHEN truth_fmt IS NULL OR sentiment_fmt IS NULL OR bias_fmt IS NULL OR text IS NULL THEN NULL
+       ELSE printf('{rw.PROMPT_TEMPLATE}', truth_fmt, sentiment_fmt, bias_fmt, text) END AS prompt
+FROM (SELECT sd.doc_id, sd.text, {', '.join(_fmt_sql(t, DISPLAY.get(t)) for t in TASKS)} FROM sd {_ALL_RES})""")
+def q_build_prompt(spark, sf_dir):
+    c = ctx(spark, sf_dir)
+    f = sc.format_confidence(analysed(spark, sf_dir), TASKS, DISPLAY).select(
+        "doc_id", *[f"{t}_fmt" for t in TASKS])
+    j = c.docs.select("doc_id", "text").join(f, "doc_id", "left")
+    return rw.build_prompt(j, "text").select("doc_id", "prompt")
+
+
+def _delta_sql(ax: str, b: str, a: str) -> str:
+    return f"round({a} - {b}, 4) AS {ax}_delta"
+
+
+_AXIS_SQL = {"truth_probability": "truth_res.truth_p1", "emotional_intensity": "sentiment_res.sentiment_p1",
+             "bias_degree": "bias_res.bias_conf"}
+_RESCORED_JOIN = " ".join(f"LEFT JOIN {p}{t}_res ON {p}{t}_res.doc_id = rw.doc_id"
+                          for t in TASKS for p in ("", "after_"))
+_COMPARED_SQL = f"""WITH {S.rescored()},
+cmp AS (
+  SELECT rw.doc_id, rw.lang, rw.split, rw.neutral IS DISTINCT FROM rw.text AS changed,
+  {', '.join(f'''{t}_res.{t}_label AS {t}_before, after_{t}_res.after_{t}_label AS {t}_after,
+  CASE WHEN {t}_res.{t}_label IS NOT NULL AND after_{t}_res.after_{t}_label IS NOT NULL
+       THEN {t}_res.{t}_label <> after_{t}_res.after_{t}_label END AS {t}_flip''' for t in TASKS)},
+  {', '.join(f"{v} AS before_{ax}, {v.replace(v.split('.')[0], 'after_' + v.split('.')[0]).replace('.', '.after_', 1)} AS after_{ax}" for ax, v in _AXIS_SQL.items())}
+  FROM rw {_RESCORED_JOIN}
+)"""
+
+
+@query("before_after", f"""{_COMPARED_SQL}
+SELECT doc_id, {', '.join(f'{t}_before, {t}_after, {t}_flip' for t in TASKS)},
+       {', '.join(f'round(after_{ax} - before_{ax}, 4) AS {ax}_delta' for ax in cmp.AXES)}
+FROM cmp""")
+def q_before_after(spark, sf_dir):
+    d = compared(spark, sf_dir)
+    return d.select("doc_id", *[f"{t}_{x}" for t in TASKS for x in ("before", "after", "flip")],
+                    *[F.round(f"{ax}_delta", 4).alias(f"{ax}_delta") for ax in cmp.AXES])
+
+
+@query("radar_rows", f"""{_COMPARED_SQL}
+{' UNION ALL '.join(f"SELECT doc_id, '{p}' AS phase, '{ax}' AS axis, round({p}_{ax}, 4) AS value FROM cmp"
+                    for p in cmp.PHASES for ax in cmp.AXES)}""")
+def q_radar_rows(spark, sf_dir):
+    return cmp.radar_rows(compared(spark, sf_dir), "doc_id")
+
+
+@query("effect_summary", f"""{_COMPARED_SQL}
+SELECT split, lang, count(*) AS n, count(*) FILTER (WHERE changed) AS n_changed,
+       round(avg(CAST(changed AS DOUBLE)), 4) AS share_changed,
+       {', '.join(f'round(avg(after_{ax} - before_{ax}), 4) AS {ax}_delta_mean' for ax in cmp.AXES)},
+       {', '.join(f'round(avg(CAST({t}_flip AS DOUBLE)), 4) AS {t}_flip_rate' for t in TASKS)}
+FROM cmp GROUP BY ROLLUP (split, lang)""")
+def q_effect_summary(spark, sf_dir):
+    return cmp.effect_summary(compared(spark, sf_dir), "changed", ["split", "lang"], TASKS)
+
+
+def _gram_sql(col: str, n: int) -> str:
+    t = S.toks(col)
+    if n == 1:
+        return t
+    parts = " || ' ' || ".join(f"tt[i + {k}]" for k in range(n))
+    return f"(SELECT list_transform(range(1, len(tt) - {n - 2}), lambda i: {parts}) FROM (SELECT {t} AS tt))"
+
+
+def _rouge_sql(n: int) -> str:
+    return f"""WITH {S.REWRITTEN.strip()},
+g AS (SELECT doc_id, {_gram_sql('text', n)} AS rg, {_gram_sql('neutral', n)} AS hg FROM rw),
+rc AS (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(rg) AS x FROM g) GROUP BY doc_id, x),
+hc AS (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(hg) AS x FROM g) GROUP BY doc_id, x),
+ov AS (SELECT rc.doc_id, sum(least(rc.c, hc.c)) AS o FROM rc JOIN hc ON rc.doc_id = hc.doc_id AND rc.x = hc.x GROUP BY rc.doc_id),
+m AS (SELECT g.doc_id, len(rg) AS nr, len(hg) AS nh,
+             CASE WHEN rg IS NULL OR hg IS NULL THEN NULL ELSE CAST(coalesce(ov.o, 0) AS BIGINT) END AS o
+      FROM g LEFT JOIN ov ON ov.doc_id = g.doc_id)
+SELECT doc_id, o AS rouge{n}_overlap,
+       round(CASE WHEN nh > 0 THEN o / nh END, 4) AS rouge{n}_p,
+       round(CASE WHEN nr > 0 THEN o / nr END, 4) AS rouge{n}_r,
+       round(CASE WHEN nr + nh > 0 THEN 2.0 * o / (nr + nh) END, 4) AS rouge{n}_f1
+FROM m"""
+
+
+@query("rouge1", _rouge_sql(1))
+def q_rouge1(spark, sf_dir):
+    return metrics.rouge_n(rewritten(spark, sf_dir), "doc_id", "text", "neutral", 1)
+
+
+@query("rouge2", _rouge_sql(2))
+def q_rouge2(spark, sf_dir):
+    return metrics.rouge_n(rewritten(spark, sf_dir), "doc_id", "text", "neutral", 2)
+
+
+@query("meaning_preserved", f"""WITH {S.REWRITTEN.strip()},
+g AS (SELECT doc_id, {S.toks('text')} AS rg, {S.toks('neutral')} AS hg FROM rw),
+rc AS (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(rg) AS x FROM g) GROUP BY doc_id, x),
+hc AS (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(hg) AS x FROM g) GROUP BY doc_id, x),
+ov AS (SELECT rc.doc_id, sum(least(rc.c, hc.c)) AS o FROM rc JOIN hc ON rc.doc_id = hc.doc_id AND rc.x = hc.x GROUP BY rc.doc_id),
+m AS (SELECT g.doc_id, len(rg) AS nr, len(hg) AS nh, coalesce(ov.o, 0) AS o,
+             len(list_intersect(rg, hg)) AS ni, len(list_distinct(list_concat(rg, hg))) AS nu
+      FROM g LEFT JOIN ov ON ov.doc_id = g.doc_id)
+SELECT doc_id, round(CASE WHEN nr + nh > 0 THEN 2.0 * o / (nr + nh) END, 4) AS rouge1_f1,
+       round(CASE WHEN nu > 0 THEN ni / nu END, 4) AS jaccard,
+       CASE WHEN nr + nh > 0 THEN round(2.0 * o / (nr + nh), 4) >= 0.8 END AS preserved
+FROM m""")
+def q_meaning_preserved(spark, sf_dir):
+    return cmp.meaning_preserved(rewritten(spark, sf_dir), "doc_id", "text", "neutral", min_f1=0.8)

@@ -79,10 +79,9 @@ def docs_cte(name: str = "sd") -> str:
 {name}_tok AS (SELECT doc_id, unnest({dtoks('text')}) AS term FROM {name} WHERE NOT blank)"""
 
 
-def nb(t: str, src: str, label: str, scored: str = "sd", min_df: int = 5) -> str:
-    """Naive Bayes (binary presence, add-one) trained on ``src`` rows with
-    split 'train', applied to ``scored``; ends in ``{t}_res(doc_id, {t}_label,
-    {t}_conf, {t}_s)`` (``_s`` = logp('1') - logp('0'), null for other labels)."""
+def nb_train(t: str, src: str, label: str, min_df: int = 5) -> str:
+    """Naive Bayes (binary presence, add-one) on ``src`` rows with split
+    'train': priors ``{t}_prior(y, lp)`` and weights ``{t}_w(term, y, w)``."""
     return f"""
 {t}_tr AS (
   SELECT CAST({label} AS VARCHAR) AS y, text FROM {src}
@@ -100,32 +99,62 @@ def nb(t: str, src: str, label: str, scored: str = "sd", min_df: int = 5) -> str
 {t}_w AS (
   SELECT c.term, c.y, ln(CAST(c.n + 1 AS DOUBLE) / CAST(s.tc + (SELECT count(*) FROM {t}_kept) AS DOUBLE)) AS w
   FROM {t}_cnt c JOIN {t}_tot s ON s.y = c.y
-),
-{t}_sum AS (
+)"""
+
+
+def nb_apply(t: str, scored: str, p: str) -> str:
+    """Scores of model ``t`` on ``scored`` (doc_id, blank) with tokens in
+    ``{scored}_tok``; ends in ``{p}_res(doc_id, {p}_label, {p}_conf, {p}_s,
+    {p}_p1)``: ``_s`` = logp('1') - logp('0'), ``_p1`` = P('1')."""
+    return f"""
+{p}_sum AS (
   SELECT dt.doc_id, w.y, sum(w.w) AS sw FROM {scored}_tok dt JOIN {t}_w w ON dt.term = w.term
   GROUP BY dt.doc_id, w.y
 ),
-{t}_lp AS (
-  SELECT d.doc_id, p.y, p.lp + coalesce(s.sw, 0) AS lp
-  FROM {scored} d CROSS JOIN {t}_prior p LEFT JOIN {t}_sum s ON s.doc_id = d.doc_id AND s.y = p.y
+{p}_lp AS (
+  SELECT d.doc_id, pr.y, pr.lp + coalesce(s.sw, 0) AS lp
+  FROM {scored} d CROSS JOIN {t}_prior pr LEFT JOIN {p}_sum s ON s.doc_id = d.doc_id AND s.y = pr.y
   WHERE NOT d.blank
 ),
-{t}_rk AS (
+{p}_rk AS (
   SELECT doc_id, y, lp, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, y ASC) AS rk,
          max(lp) OVER (PARTITION BY doc_id) AS mx
-  FROM {t}_lp
+  FROM {p}_lp
 ),
-{t}_res AS (
-  SELECT doc_id, max(y) FILTER (WHERE rk = 1) AS {t}_label, 1.0 / sum(exp(lp - mx)) AS {t}_conf,
-         max(lp) FILTER (WHERE y = '1') - max(lp) FILTER (WHERE y = '0') AS {t}_s,
-         list(exp(lp - mx) ORDER BY y) AS {t}_e
-  FROM {t}_rk GROUP BY doc_id
+{p}_res AS (
+  SELECT doc_id, max(y) FILTER (WHERE rk = 1) AS {p}_label, 1.0 / sum(exp(lp - mx)) AS {p}_conf,
+         max(lp) FILTER (WHERE y = '1') - max(lp) FILTER (WHERE y = '0') AS {p}_s,
+         max(exp(lp - mx)) FILTER (WHERE y = '1') / sum(exp(lp - mx)) AS {p}_p1
+  FROM {p}_rk GROUP BY doc_id
 )"""
 
 
+def nb(t: str, src: str, label: str, scored: str = "sd", min_df: int = 5) -> str:
+    return nb_train(t, src, label, min_df).strip() + ",\n" + nb_apply(t, scored, t).strip()
+
+
 def nb_all(scored: str = "sd") -> str:
     """Docs, labelled corpus and the three task models."""
     return ",\n".join([docs_cte(scored).strip(), LABELLED.strip(),
                        nb("truth", "lab", "quality", scored).strip(),
                        nb("sentiment", "lab", "toxic", scored).strip(),
                        nb("bias", scored, "lang", scored).strip()])
+
+
+TASK_SOURCES = (("truth", "lab", "quality"), ("sentiment", "lab", "toxic"), ("bias", "sd", "lang"))
+
+
+def rescored() -> str:
+    """Docs, lexicon, rewrite, the three models, and their scores on both the
+    original (``{task}_res``) and the rewrite (``after_{task}_res``)."""
+    parts = [docs_cte("sd").strip(), LOADED.strip(),
+             f"""rw AS (
+  SELECT d.doc_id, d.text, d.lang, d.split, {rewrite('d.text', 'lex.lex')} AS neutral FROM sd d, lex
+),
+sa AS (SELECT doc_id, neutral AS text, (neutral IS NULL OR trim(neutral) = '') AS blank FROM rw),
+sa_tok AS (SELECT doc_id, unnest({dtoks('text')}) AS term FROM sa WHERE NOT blank)"""]
+    for t, src, label in TASK_SOURCES:
+        parts.append(nb_train(t, src, label).strip())
+        parts.append(nb_apply(t, "sd", t).strip())
+        parts.append(nb_apply(t, "sa", f"after_{t}").strip())
+    return ",\n".join(parts)
