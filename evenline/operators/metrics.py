@@ -81,6 +81,20 @@ def log_loss(df: DataFrame, label: str, probs: str, classes: Sequence[str], eps:
                                F.round(F.avg(-F.log(F.greatest(p, F.lit(eps)))), 4).alias("log_loss"))
 
 
+def accuracy_and_loss(df: DataFrame, label: str, pred: str, probs: str, classes: Sequence[str],
+                      eps: float = EPS, by: Sequence[str] = ()) -> DataFrame:
+    """A14 and A15 in one aggregate: ``(by..., n, correct, accuracy, log_loss)``."""
+    cls = F.array(*[F.lit(c) for c in classes])
+    pos = F.array_position(cls, F.col(label)).cast("int")
+    ok = df.where(F.col(label).isNotNull() & F.col(pred).isNotNull() & (pos > 0))
+    p = F.element_at(F.col(probs), pos)
+    return (ok.groupBy(*by)
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.count_if(F.col(label) == F.col(pred)).alias("correct"),
+                   F.round(F.avg(-F.log(F.greatest(p, F.lit(eps)))), 4).alias("log_loss"))
+              .withColumn("accuracy", F.round(F.col("correct") / F.col("n"), 4)))
+
+
 def f1_from(overlap: Column, n_ref: Column, n_hyp: Column) -> Column:
     """F1 = 2 * overlap / (|ref| + |hyp|); null when both are empty."""
     return F.when(n_ref + n_hyp > 0, F.lit(2.0) * overlap / (n_ref + n_hyp))
@@ -113,3 +127,16 @@ def token_jaccard(a: str, b: str) -> Column:
     """|set(a) & set(b)| / |set(a) | set(b)| (hash-based set ops in the row)."""
     u = F.size(F.array_union(F.col(a), F.col(b)))
     return F.when(u > 0, F.size(F.array_intersect(F.col(a), F.col(b))) / u)
+
+
+def rouge_l(df: DataFrame, key: str, ref: str, hyp: str) -> DataFrame:
+    """LCS-based precision, recall and F1 per row on whole token arrays
+    (exact bit-parallel LCS in an Arrow-batched pandas UDF; no token cap)."""
+    from evenline.functions.lcs import lcs
+    base = df.select(key, tokens(ref).alias("_r"), tokens(hyp).alias("_h"))
+    base = base.withColumn("lcs", lcs(F.col("_r"), F.col("_h")))
+    nr, nh, o = F.size("_r"), F.size("_h"), F.col("lcs")
+    return base.select(key, "lcs",
+                       F.round(F.when(nh > 0, o / nh), 4).alias("rougeL_p"),
+                       F.round(F.when(nr > 0, o / nr), 4).alias("rougeL_r"),
+                       F.round(f1_from(o, nr, nh), 4).alias("rougeL_f1"))

@@ -317,3 +317,198 @@ SELECT doc_id, round(CASE WHEN nr + nh > 0 THEN 2.0 * o / (nr + nh) END, 4) AS r
 FROM m""")
 def q_meaning_preserved(spark, sf_dir):
     return cmp.meaning_preserved(rewritten(spark, sf_dir), "doc_id", "text", "neutral", min_f1=0.8)
+
+
+# --- M4: fields, profiles, subsets, losses, model choice ----------------------
+
+@query("concat_fields", f"""SELECT page_id, title, heading, body,
+       nullif(concat_ws(' ', nullif(trim(title), ''), nullif(trim(heading), ''), nullif(trim(body), '')), '') AS text
+FROM (SELECT page_id,
+             {S.clean("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title,
+             {S.clean("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS heading,
+             {S.clean("array_to_string(regexp_extract_all(html, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1), ' ')")} AS body
+      FROM pages)""")
+def q_concat_fields(spark, sf_dir):
+    from evenline.sources.pages import page_text
+    return page_text(ctx(spark, sf_dir).table("pages").select("page_id", "html")).select(
+        "page_id", "title", "heading", "body", "text")
+
+
+@query("split_profile", f"""WITH {S.docs_cte().strip()}, {S.LABELLED.strip()}
+SELECT task, split, label, count(*) AS n FROM (
+  SELECT 'truth' AS task, split, CAST(quality AS VARCHAR) AS label FROM lab
+  UNION ALL SELECT 'sentiment', split, CAST(toxic AS VARCHAR) FROM lab
+  UNION ALL SELECT 'bias', split, lang FROM sd
+) GROUP BY task, split, label""")
+def q_split_profile(spark, sf_dir):
+    from evenline.operators.splits import split_profile
+    c = ctx(spark, sf_dir)
+    parts = [c.task(t).select(F.lit(t).alias("task"), "split", "label") for t in TASKS]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return split_profile(u, ("task", "split", "label"))
+
+
+STAGE_SIZES = (1000, 5000, 10000)  # the reference's rewriter ladder
+
+
+@query("staged_subsets", f"""WITH {S.docs_cte().strip()},
+tr AS (SELECT doc_id, row_number() OVER (ORDER BY md5(text), doc_id) AS rk FROM sd WHERE split = 'train')
+SELECT st.stage, tr.doc_id FROM tr JOIN (VALUES {', '.join(f'({s})' for s in STAGE_SIZES)}) st(stage)
+ON tr.rk <= st.stage""")
+def q_staged_subsets(spark, sf_dir):
+    from evenline.operators.splits import staged_subsets
+    train = ctx(spark, sf_dir).docs.where(F.col("split") == "train")
+    return staged_subsets(train, STAGE_SIZES, "text", "doc_id").select("stage", "doc_id")
+
+
+def _task_test(c: Context, t: str) -> DataFrame:
+    return c.task(t).where(F.col("split") == "test")
+
+
+@query("log_loss", f"""WITH {S.nb_all()}, {S.test_rows()}
+SELECT e.task, count(*) AS n, round(avg(-ln(greatest(p.p, 1e-15))), 4) AS log_loss
+FROM ev_rows e JOIN (
+  SELECT 'truth' AS task, doc_id, y, p FROM truth_py
+  UNION ALL SELECT 'sentiment', doc_id, y, p FROM sentiment_py
+  UNION ALL SELECT 'bias', doc_id, y, p FROM bias_py
+) p ON p.task = e.task AND p.doc_id = e.doc_id AND p.y = e.label
+GROUP BY e.task""")
+def q_log_loss(spark, sf_dir):
+    c = ctx(spark, sf_dir)
+    parts = []
+    for t in TASKS:
+        m = c.models[t]
+        s = sc.score(_task_test(c, t), m, "example_id", "text", carry=["label"])
+        parts.append(metrics.log_loss(s, "label", f"{t}_probs", m.classes).select(
+            F.lit(t).alias("task"), "n", "log_loss"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("rouge_l", f"""WITH {S.REWRITTEN.strip()},
+-- the lexicon rewriter deletes whole tokens, so the rewrite's tokens are a
+-- subsequence of the original's and LCS = number of rewrite tokens
+g AS (SELECT doc_id, len({S.toks('text')}) AS nr, len({S.toks('neutral')}) AS nh FROM rw)
+SELECT doc_id, CAST(nh AS BIGINT) AS lcs,
+       round(CASE WHEN nh > 0 THEN nh / nh END, 4) AS rougeL_p,
+       round(CASE WHEN nr > 0 THEN nh / nr END, 4) AS rougeL_r,
+       round(CASE WHEN nr + nh > 0 THEN 2.0 * nh / (nr + nh) END, 4) AS rougeL_f1
+FROM g""")
+def q_rouge_l(spark, sf_dir):
+    return metrics.rouge_l(rewritten(spark, sf_dir), "doc_id", "text", "neutral")
+
+
+CANDIDATE_MIN_DF = (5, 3)
+
+
+def _nb_candidates_sql() -> str:
+    parts = [S.docs_cte().strip(), S.LABELLED.strip(), S.test_rows()]
+    recs = []
+    for t, src, label in S.TASK_SOURCES:
+        parts.append(f"""{t}_maj AS (
+  SELECT y FROM (SELECT CAST({label} AS VARCHAR) AS y, count(*) AS c FROM {src}
+                 WHERE split = 'train' AND {label} IS NOT NULL GROUP BY 1) ORDER BY c DESC, y ASC LIMIT 1
+)""")
+        recs.append(f"""SELECT '{t}' AS task, 'majority' AS model,
+  round(avg(CAST(e.label = (SELECT y FROM {t}_maj) AS DOUBLE)), 4) AS accuracy, 1 AS n_params
+  FROM ev_rows e WHERE e.task = '{t}' AND e.label IS NOT NULL""")
+        for md in CANDIDATE_MIN_DF:
+            p = f"{t}_d{md}"
+            parts.append(S.nb_train(p, src, label, md).strip())
+            parts.append(S.nb_apply(p, "sd", p).strip())
+            recs.append(f"""SELECT '{t}', 'nb_df{md}',
+  round(count(*) FILTER (WHERE e.label = r.{p}_label) / count(*), 4),
+  (SELECT count(*) FROM {p}_kept) * (SELECT count(*) FROM {p}_prior) + (SELECT count(*) FROM {p}_prior)
+  FROM ev_rows e JOIN {p}_res r ON r.doc_id = e.doc_id WHERE e.task = '{t}' AND e.label IS NOT NULL""")
+    parts.append("recs AS (\n" + "\nUNION ALL\n".join(recs) + "\n)")
+    return ",\n".join(parts)
+
+
+@query("select_model", f"""WITH {_nb_candidates_sql()},
+near AS (SELECT *, max(accuracy) OVER (PARTITION BY task) AS best FROM recs),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY n_params ASC, model ASC) AS r
+           FROM near WHERE accuracy >= best - 0.01)
+SELECT task, model, accuracy, CAST(n_params AS BIGINT) AS n_params FROM ranked WHERE r = 1""")
+def q_select_model(spark, sf_dir):
+    from evenline.operators.naive_bayes import fit_nb
+    from evenline.operators.selection import select_model
+    c = ctx(spark, sf_dir)
+    parts = []
+    for t in TASKS:
+        train, test = c.task(t).where(F.col("split") == "train"), _task_test(c, t)
+        maj = metrics.majority_baseline(train, test, "label")
+        parts.append(maj.select(F.lit(t).alias("task"), F.lit("majority").alias("model"),
+                                F.col("majority_accuracy").alias("accuracy"),
+                                F.lit(1).cast("bigint").alias("n_params")))
+        for md in CANDIDATE_MIN_DF:
+            m = c.models[t] if md == 5 else fit_nb(train, f"{t}_d{md}", "text", "label", min_df=md)
+            s = sc.score(test, m, "example_id", "text", carry=["label"])
+            acc = metrics.accuracy(s, "label", f"{m.name}_label")
+            parts.append(acc.select(F.lit(t).alias("task"), F.lit(f"nb_df{md}").alias("model"), "accuracy",
+                                    F.lit(m.n_params).cast("bigint").alias("n_params")))
+    recs = parts[0]
+    for p in parts[1:]:
+        recs = recs.unionByName(p)
+    return select_model(recs, "accuracy", 0.01, "n_params").select("task", "model", "accuracy", "n_params")
+
+
+STAGE_FRACTIONS = (0.1, 0.5, 1.0)  # shares of the 1K/5K/10K ladder
+
+
+def _staged_fit_sql() -> str:
+    parts = [S.docs_cte().strip(), S.LABELLED.strip(), S.test_rows()]
+    recs = []
+    for t, src, label in S.TASK_SOURCES:
+        for f in STAGE_FRACTIONS:
+            p = f"{t}_f{int(round(f * 1000))}"
+            parts.append(f"{p}_src AS (SELECT * FROM {src} WHERE split = 'train' AND {S.uniform('text')} < {f})")
+            parts.append(S.nb_train(p, f"{p}_src", label, 5).strip())
+            parts.append(S.nb_apply(p, "sd", p).strip())
+            recs.append(f"""SELECT '{t}' AS task, CAST({f} AS DOUBLE) AS stage,
+  (SELECT count(*) FROM {p}_tr) AS n_train, count(*) AS n,
+  round(count(*) FILTER (WHERE e.label = r.{p}_label) / count(*), 4) AS accuracy,
+  round(avg(-ln(greatest(py.p, 1e-15))), 4) AS log_loss
+  FROM ev_rows e JOIN {p}_res r ON r.doc_id = e.doc_id
+  JOIN {p}_py py ON py.doc_id = e.doc_id AND py.y = e.label
+  WHERE e.task = '{t}'""")
+    return "WITH " + ",\n".join(parts) + "\n" + "\nUNION ALL\n".join(recs)
+
+
+@query("staged_fit", _staged_fit_sql())
+def q_staged_fit(spark, sf_dir):
+    from evenline.operators.selection import staged_fit
+    c = ctx(spark, sf_dir)
+    out = None
+    for t in TASKS:
+        train = c.task(t).where(F.col("split") == "train")
+        s = staged_fit(train, _task_test(c, t), "example_id", t, STAGE_FRACTIONS, 5)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("model_compare")
+def q_model_compare(spark, sf_dir):
+    """Majority, naive Bayes and logistic regression per task, with
+    measured fit seconds (not reproducible, so no oracle)."""
+    from evenline.operators.mllib import fit_lr, lr_scores
+    from evenline.operators.selection import evaluate
+    c = ctx(spark, sf_dir)
+    out = None
+    for t in TASKS:
+        train, test = c.task(t).where(F.col("split") == "train"), _task_test(c, t)
+
+        def run_nb(tr, te, t=t):
+            m = c.models[t]
+            return metrics.accuracy(sc.score(te, m, "example_id", "text", carry=["label"]),
+                                    "label", f"{t}_label"), m.n_params
+
+        def run_lr(tr, te, t=t):
+            m = fit_lr(tr, f"{t}_lr")
+            s = lr_scores(te, m, "text", keep=("example_id", "label"))
+            return metrics.accuracy(s, "label", f"{t}_lr_label"), m.n_params
+
+        def run_major(tr, te):
+            return metrics.majority_baseline(tr, te, "label"), 1
+        recs = evaluate(spark, t, train, test, "example_id",
+                        [("majority", run_major), ("nb_df5", run_nb), ("lr_l1", run_lr)])
+        out = recs if out is None else out.unionByName(recs)
+    return out

@@ -121,6 +121,7 @@ def nb_apply(t: str, scored: str, p: str) -> str:
          max(lp) OVER (PARTITION BY doc_id) AS mx
   FROM {p}_lp
 ),
+{p}_py AS (SELECT doc_id, y, exp(lp - mx) / sum(exp(lp - mx)) OVER (PARTITION BY doc_id) AS p FROM {p}_rk),
 {p}_res AS (
   SELECT doc_id, max(y) FILTER (WHERE rk = 1) AS {p}_label, 1.0 / sum(exp(lp - mx)) AS {p}_conf,
          max(lp) FILTER (WHERE y = '1') - max(lp) FILTER (WHERE y = '0') AS {p}_s,
@@ -158,3 +159,24 @@ sa_tok AS (SELECT doc_id, unnest({dtoks('text')}) AS term FROM sa WHERE NOT blan
         parts.append(nb_apply(t, "sd", t).strip())
         parts.append(nb_apply(t, "sa", f"after_{t}").strip())
     return ",\n".join(parts)
+
+
+def clean(x: str) -> str:
+    """Tag removal, entity decoding and whitespace collapse of an HTML fragment."""
+    y = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+        y = f"replace({y}, '{ent}', '{ch}')"
+    return f"nullif(trim(regexp_replace({y}, '[ \\t\\r\\n]+', ' ', 'g')), '')"
+
+
+def uniform(c: str) -> str:
+    return f"(CAST(('0x'||substr(md5({c}),1,8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE)"
+
+
+def test_rows() -> str:
+    """Held-out rows per task: ``ev_rows(task, doc_id, label)``."""
+    return """ev_rows AS (
+  SELECT 'truth' AS task, doc_id, CAST(quality AS VARCHAR) AS label FROM lab WHERE split = 'test'
+  UNION ALL SELECT 'sentiment', doc_id, CAST(toxic AS VARCHAR) FROM lab WHERE split = 'test'
+  UNION ALL SELECT 'bias', doc_id, lang FROM sd WHERE split = 'test'
+)"""
