@@ -512,3 +512,157 @@ def q_model_compare(spark, sf_dir):
                         [("majority", run_major), ("nb_df5", run_nb), ("lr_l1", run_lr)])
         out = recs if out is None else out.unionByName(recs)
     return out
+
+
+# --- M5: per language, stream, user profiles ----------------------------------
+
+@query("multilingual", f"""WITH {S.LABELLED.strip()},
+ml_tok AS (SELECT lang, toxic, unnest({S.dtoks('text')}) AS term FROM lab WHERE split = 'train' AND text IS NOT NULL),
+ml_loaded AS (SELECT lang, term FROM ml_tok GROUP BY lang, term
+              HAVING count(*) >= 8 AND count(*) FILTER (WHERE toxic = 1) * 10000 >= 9500 * count(*)),
+ml_lex AS (SELECT lang, list(term) AS lex FROM ml_loaded GROUP BY lang),
+r AS (SELECT d.doc_id, d.lang, d.text, {S.rewrite('d.text', 'coalesce(ml_lex.lex, []::VARCHAR[])')} AS neutral
+      FROM documents d LEFT JOIN ml_lex ON ml_lex.lang = d.lang)
+SELECT doc_id, lang, neutral, neutral IS DISTINCT FROM text AS changed FROM r""")
+def q_multilingual(spark, sf_dir):
+    from evenline.operators.lexicon import learn_loaded_terms
+    c = ctx(spark, sf_dir)
+    lex = learn_loaded_terms(c.task("sentiment").where(F.col("split") == "train"), by=["lang"])
+    r = rw.neutral_rewrite(c.docs, lex, "text", "neutral", key="doc_id", by="lang")
+    return r.select("doc_id", "lang", "neutral", (~F.col("neutral").eqNullSafe(F.col("text"))).alias("changed"))
+
+
+def stream_process(c: Context):
+    """The batch plan run on each micro-batch: split, rewrite, rescore."""
+    from evenline.functions.text import rewrite_with_terms
+    from evenline.guards import MAX_INLINE_TERMS, bounded_collect
+    from evenline.plans.context import TWO_WAY
+    rows = bounded_collect(c.loaded_terms.select("term"), MAX_INLINE_TERMS)
+    if rows is None:
+        raise ValueError("lexicon too large to inline in the stream")
+    terms = [r.term for r in rows]
+    model = c.models["sentiment"]
+
+    def process(batch: DataFrame) -> DataFrame:
+        b = holdout_split(batch.select("doc_id", "text", "lang"), "text", TWO_WAY)
+        r = (b.withColumn("neutral", rewrite_with_terms("text", terms))
+              .withColumn("changed", ~F.col("neutral").eqNullSafe(F.col("text"))))
+        s = cmp.rescore(r, [model], "doc_id", "text", "neutral")
+        s = s.select("doc_id", F.col("before_sentiment_label").alias("sentiment_before"),
+                     F.col("after_sentiment_label").alias("sentiment_after"))
+        return r.select("doc_id", "lang", "neutral", "changed").join(s, "doc_id", "left")
+    return process
+
+
+@query("stream_neutralize", f"""WITH {S.rescored()}
+SELECT rw.doc_id, rw.lang, rw.neutral, rw.neutral IS DISTINCT FROM rw.text AS changed,
+       sentiment_res.sentiment_label AS sentiment_before, after_sentiment_res.after_sentiment_label AS sentiment_after
+FROM rw LEFT JOIN sentiment_res ON sentiment_res.doc_id = rw.doc_id
+        LEFT JOIN after_sentiment_res ON after_sentiment_res.doc_id = rw.doc_id""")
+def q_stream_neutralize(spark, sf_dir):
+    from evenline.streaming.live import file_stream, neutralize_stream
+    c = ctx(spark, sf_dir)
+    schema = c.table("documents").schema
+    stream = file_stream(spark, c.sf_dir, "documents.parquet", schema)
+    out = neutralize_stream(spark, stream, stream_process(c), partition_by=["lang"])
+    return out.select("doc_id", "lang", "neutral", "changed", "sentiment_before", "sentiment_after")
+
+
+def doc_values(c: Context) -> DataFrame:
+    """Per document axis values of the original text (one scoring pass)."""
+    from evenline.operators.naive_bayes import class_probability
+    a = sc.analyse(c.docs, [c.models[t] for t in TASKS], "doc_id", "text")
+    return a.where(F.col("truth_label").isNotNull()).select(
+        "doc_id",
+        class_probability("truth", c.models["truth"].classes, "1").alias("truth_probability"),
+        class_probability("sentiment", c.models["sentiment"].classes, "1").alias("emotional_intensity"),
+        F.col("bias_conf").alias("bias_degree"))
+
+
+def reads(c: Context) -> DataFrame:
+    from evenline.operators.profile import link_reads
+    n_docs = c.table("documents").count()
+    return link_reads(c.table("events").select("event_id", "ts", "user_id"), n_docs)
+
+
+_DV_SQL = f"""{S.nb_all()},
+dv AS (SELECT sd.doc_id, truth_res.truth_p1 AS truth_probability, sentiment_res.sentiment_p1 AS emotional_intensity,
+              bias_res.bias_conf AS bias_degree FROM sd {_ALL_RES} WHERE NOT sd.blank),
+reads AS (SELECT event_id, ts, user_id, event_id % (SELECT count(*) FROM documents) AS doc_id FROM events)"""
+
+
+@query("user_profile", f"""WITH {_DV_SQL}
+SELECT user_id, count(*) AS n_reads,
+       {', '.join(f'round(avg({v}), 4) AS {v}_mean' for v in cmp.AXES)}
+FROM reads JOIN dv ON dv.doc_id = reads.doc_id GROUP BY user_id""")
+def q_user_profile(spark, sf_dir):
+    from evenline.operators.profile import user_bias_profile
+    c = ctx(spark, sf_dir)
+    return user_bias_profile(reads(c), doc_values(c), "user_id")
+
+
+_HISTORY_SQL = f"""{_DV_SQL},
+hist AS (
+  SELECT event_id, user_id, reads.doc_id, count(*) OVER w AS prior_reads,
+         {', '.join(f'round(avg({v}) OVER w, 4) AS prior_{v}_mean' for v in cmp.AXES)}
+  FROM reads JOIN dv ON dv.doc_id = reads.doc_id
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)"""
+
+
+@query("read_history", f"""WITH {_HISTORY_SQL}
+SELECT event_id, user_id, doc_id, prior_reads, {', '.join(f'prior_{v}_mean' for v in cmp.AXES)} FROM hist""")
+def q_read_history(spark, sf_dir):
+    from evenline.operators.profile import prior_means
+    c = ctx(spark, sf_dir)
+    h = prior_means(reads(c), doc_values(c), "user_id", ("ts", "event_id"))
+    return h.select("event_id", "user_id", "doc_id", "prior_reads", *[f"prior_{v}_mean" for v in cmp.AXES])
+
+
+MILD_MIN_DF = 16  # the mild tier keeps only terms with twice the evidence
+POLICY_THRESHOLD = 0.5
+
+
+@query("personalised", f"""WITH {_HISTORY_SQL},
+{S.LOADED.replace('lab AS', 'lab2 AS').replace('FROM lab ', 'FROM lab2 ').strip()},
+mild AS (SELECT coalesce(list(term), []::VARCHAR[]) AS lex FROM loaded WHERE df >= {MILD_MIN_DF}),
+tiered AS (
+  SELECT d.doc_id, 'strong' AS tier, {S.rewrite('d.text', 'lex.lex')} AS neutral FROM documents d, lex
+  UNION ALL
+  SELECT d.doc_id, 'mild', {S.rewrite('d.text', 'mild.lex')} FROM documents d, mild
+)
+SELECT h.event_id, h.user_id, h.doc_id, t.tier, t.neutral
+FROM hist h JOIN tiered t ON t.doc_id = h.doc_id
+ AND t.tier = CASE WHEN h.prior_emotional_intensity_mean >= {POLICY_THRESHOLD} THEN 'strong' ELSE 'mild' END""")
+def q_personalised(spark, sf_dir):
+    from evenline.operators.profile import policy_tier, prior_means
+    c = ctx(spark, sf_dir)
+    h = prior_means(reads(c), doc_values(c), "user_id", ("ts", "event_id"))
+    h = h.select("event_id", "user_id", "doc_id",
+                 policy_tier("prior_emotional_intensity_mean", POLICY_THRESHOLD).alias("tier"))
+    strong = c.loaded_terms
+    mild = c.loaded_terms.where(F.col("df") >= MILD_MIN_DF)
+    d = c.docs.select("doc_id", "text")
+    tiered = (rw.neutral_rewrite(d, strong, "text", "strong", key="doc_id")
+              .transform(lambda x: rw.neutral_rewrite(x, mild, "text", "mild", key="doc_id"))
+              .select("doc_id", F.explode(F.array(
+                  F.struct(F.lit("strong").alias("tier"), F.col("strong").alias("neutral")),
+                  F.struct(F.lit("mild").alias("tier"), F.col("mild").alias("neutral")))).alias("t"))
+              .select("doc_id", "t.tier", "t.neutral"))
+    return h.join(tiered, ["doc_id", "tier"], "inner").select("event_id", "user_id", "doc_id", "tier", "neutral")
+
+
+@query("stream_windows", f"""WITH {_DV_SQL}
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+       round(avg(emotional_intensity), 4) AS emotional_intensity_mean
+FROM reads JOIN dv ON dv.doc_id = reads.doc_id GROUP BY 1""")
+def q_stream_windows(spark, sf_dir):
+    from evenline.operators.profile import link_reads
+    from evenline.streaming.live import file_stream, run_complete, windowed_scores
+    c = ctx(spark, sf_dir)
+    n_docs = c.table("documents").count()
+    ev = file_stream(spark, c.sf_dir, "events.parquet", c.table("events").schema)
+    r = link_reads(ev.select("event_id", "ts", "user_id"), n_docs)
+    agg = windowed_scores(r, doc_values(c).select("doc_id", "emotional_intensity"), "ts", "event_id",
+                          "doc_id", "1 day", "1 hour", ("emotional_intensity",))
+    return run_complete(agg, spark)
