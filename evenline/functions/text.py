@@ -41,43 +41,6 @@ def segments(text: ColumnOrName) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(SEGMENT_PATTERN), 0)
 
 
-def ngrams(toks: ColumnOrName, n: int) -> Column:
-    """Contiguous n-grams of a token array, joined by one space."""
-    t = _c(toks)
-    if n == 1:
-        return t
-    m = F.greatest(F.size(t) - (n - 1), F.lit(0))
-    parts = [F.slice(t, i + 1, m) for i in range(n)]
-    if n == 2:
-        return F.zip_with(parts[0], parts[1], lambda a, b: F.concat_ws(" ", a, b))
-    z = F.arrays_zip(*parts)
-    return F.transform(z, lambda s: F.concat_ws(" ", *[s[str(i)] for i in range(n)]))
-
-
-def multiset_overlap(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Size of the multiset intersection of two string arrays, in the row.
-
-    Both arrays are tagged by side, sorted together (equal strings become one
-    run), and one ``aggregate`` pass with a fixed-size state adds
-    ``min(count_a, count_b)`` per run: O(n log n) per row, no explode, no
-    shuffle, and no cap on the array length. Null if either array is null.
-    """
-    ta = F.transform(_c(a), lambda g: F.struct(g.alias("g"), F.lit(1).alias("a"), F.lit(0).alias("b")))
-    tb = F.transform(_c(b), lambda g: F.struct(g.alias("g"), F.lit(0).alias("a"), F.lit(1).alias("b")))
-    init = F.struct(F.lit(None).cast("string").alias("p"), F.lit(0).alias("ca"),
-                    F.lit(0).alias("cb"), F.lit(0).cast("bigint").alias("t"))
-
-    def step(acc: Column, x: Column) -> Column:
-        same = F.struct(acc["p"].alias("p"), (acc["ca"] + x["a"]).alias("ca"),
-                        (acc["cb"] + x["b"]).alias("cb"), acc["t"].alias("t"))
-        new = F.struct(x["g"].alias("p"), x["a"].alias("ca"), x["b"].alias("cb"),
-                       (acc["t"] + F.least(acc["ca"], acc["cb"])).alias("t"))
-        return F.when(acc["p"] == x["g"], same).otherwise(new)
-
-    return F.aggregate(F.array_sort(F.concat(ta, tb)), init, step,
-                       lambda acc: acc["t"] + F.least(acc["ca"], acc["cb"]))
-
-
 def is_blank(text: ColumnOrName) -> Column:
     c = _c(text)
     return c.isNull() | (F.trim(c) == F.lit(""))

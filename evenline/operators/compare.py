@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenline.functions.text import ngrams, tokens
+from evenline.functions.text import tokens
 from evenline.operators.metrics import token_jaccard, with_rouge
 from evenline.operators.naive_bayes import NBModel, class_probability, nb_scores
 
@@ -29,8 +29,10 @@ PHASES = ("before", "after")
 def rescore(df: DataFrame, models: Sequence[NBModel], key: str, before: str = "text",
             after: str = "neutral", carry: Sequence[str] = ()) -> DataFrame:
     """Every model on the original and on the rewrite, in one pass
-    (one explode of both texts, one join, one aggregate per key)."""
-    return nb_scores(df, key, {"before": before, "after": after}, list(models), carry)
+    (one explode, one join, one aggregate per key). Only rows the rewrite
+    changed explode the rewrite; the others reuse the original's sums."""
+    return nb_scores(df, key, {"before": before, "after": after}, list(models), carry,
+                     reuse={"after": "before"})
 
 
 def axis_values(df: DataFrame, models: dict[str, NBModel], phase: str, positive: str = "1") -> DataFrame:
@@ -106,7 +108,3 @@ def effect_summary(compared: DataFrame, changed: str, by: Sequence[str],
     return compared.rollup(*by).agg(*aggs)
 
 
-def rouge_pair(df: DataFrame, key: str, before: str, after: str, n: int) -> DataFrame:
-    base = df.select(key, tokens(before).alias("_b"), tokens(after).alias("_a"))
-    base = base.select(key, ngrams("_b", n).alias("_bg"), ngrams("_a", n).alias("_ag"))
-    return with_rouge(base, "_bg", "_ag", f"rouge{n}").drop("_bg", "_ag")

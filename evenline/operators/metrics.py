@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenline.guards import MAX_CLASSES, bounded_collect
-from evenline.functions.text import multiset_overlap, ngrams, tokens
+from evenline.functions.overlap import gram_count, ngram_overlap
+from evenline.functions.text import tokens
 
 EPS = 1e-15
 
@@ -103,20 +104,19 @@ def f1_from(overlap: Column, n_ref: Column, n_hyp: Column) -> Column:
 def rouge_n(df: DataFrame, key: str, ref: str, hyp: str, n: int = 1) -> DataFrame:
     """Clipped n-gram overlap, precision, recall and F1 per row, whole texts.
 
-    A projection: the overlap is a multiset intersection computed inside the
-    row (sort + one pass), so no gram is exploded or shuffled.
+    A projection: tokens in the JVM, the per-row count intersection in an
+    Arrow-batched pandas UDF, so no gram is exploded or shuffled.
     """
     base = df.select(key, tokens(ref).alias("_rt"), tokens(hyp).alias("_ht"))
-    base = base.select(key, ngrams("_rt", n).alias("_rg"), ngrams("_ht", n).alias("_hg"))
-    return with_rouge(base, "_rg", "_hg", f"rouge{n}").select(
+    return with_rouge(base, "_rt", "_ht", f"rouge{n}", n).select(
         key, *[f"rouge{n}_{x}" for x in ("overlap", "p", "r", "f1")])
 
 
-def with_rouge(df: DataFrame, ref_grams: str, hyp_grams: str, prefix: str) -> DataFrame:
-    """Adds ``{prefix}_overlap, _p, _r, _f1`` from two gram arrays (null if either is null)."""
+def with_rouge(df: DataFrame, ref_toks: str, hyp_toks: str, prefix: str, n: int = 1) -> DataFrame:
+    """Adds ``{prefix}_overlap, _p, _r, _f1`` from two token arrays (null if either is null)."""
     ov = f"{prefix}_overlap"
-    df = df.withColumn(ov, multiset_overlap(ref_grams, hyp_grams))
-    nr, nh = F.size(F.col(ref_grams)), F.size(F.col(hyp_grams))
+    df = df.withColumn(ov, ngram_overlap(ref_toks, hyp_toks, n))
+    nr, nh = gram_count(ref_toks, n), gram_count(hyp_toks, n)
     o = F.col(ov)
     return (df.withColumn(f"{prefix}_p", F.round(F.when(nh > 0, o / nh), 4))
               .withColumn(f"{prefix}_r", F.round(F.when(nr > 0, o / nr), 4))

@@ -66,45 +66,99 @@ def fit_nb(train: DataFrame, name: str, text_col: str = "text", label_col: str =
            min_df: int = MIN_DF, alpha: float = ALPHA, temperature: float = 1.0,
            max_classes: int = MAX_CLASSES) -> NBModel:
     """Fit on ``train`` (already restricted to the training split)."""
+    return fit_nb_variants(train, [(name, None, min_df)], text_col, label_col, alpha, temperature,
+                           max_classes)[name]
+
+
+def _any(conds: Sequence[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
+def fit_nb_variants(train: DataFrame, variants: Sequence[tuple[str, Column | None, int]],
+                    text_col: str = "text", label_col: str = "label", alpha: float = ALPHA,
+                    temperature: float = 1.0, max_classes: int = MAX_CLASSES) -> dict[str, NBModel]:
+    """Several models from one pass over ``train``: each variant is
+    ``(name, row subset or None for all rows, min_df)``.
+
+    Per-term counts of every (variant subset, class) come from one hash
+    aggregate of conditional counts (no explode per subset), checkpointed once;
+    each variant then keeps its own terms (``df >= min_df`` inside its
+    subset). Nested training shares (A13) and ``min_df`` candidates (A11) cost
+    one aggregation instead of one per model.
+    """
+    subsets = [(F.lit(True) if sub is None else sub) for _, sub, _ in variants]
     docs = (train.where(~is_blank(text_col) & F.col(label_col).isNotNull())
                  .select(F.col(label_col).cast("string").alias("_y"),
-                         distinct_tokens(text_col).alias("_t")))
-    rows = bounded_collect(docs.groupBy("_y").agg(F.count(F.lit(1)).alias("n")), max_classes)
+                         distinct_tokens(text_col).alias("_t"),
+                         *[s.alias(f"_in{v}") for v, s in enumerate(subsets)]))
+    cc = docs.groupBy("_y").agg(*[F.count_if(F.col(f"_in{v}")).alias(f"n{v}") for v in range(len(variants))])
+    rows = bounded_collect(cc, max_classes)
     if rows is None:
         raise ValueError(f"more than {max_classes} classes in {label_col}")
     if not rows:
         raise ValueError("empty training set")
-    counts_by = {r["_y"]: int(r["n"]) for r in rows}
-    classes = sorted(counts_by)
-    n = sum(counts_by.values())
-    aggs = [F.count(F.lit(1)).alias("df")] + [
-        F.count_if(F.col("_y") == F.lit(c)).alias(f"n{i}") for i, c in enumerate(classes)]
+    classes = sorted(r["_y"] for r in rows)
+    aggs = []
+    for v in range(len(variants)):
+        aggs.append(F.count_if(F.col(f"_in{v}")).alias(f"df_{v}"))
+        aggs += [F.count_if(F.col(f"_in{v}") & (F.col("_y") == F.lit(c))).alias(f"n_{v}_{i}")
+                 for i, c in enumerate(classes)]
+    low = min(md for _, _, md in variants)
     ensure_checkpoint_dir(train.sparkSession)
-    counts = (docs.select("_y", F.explode("_t").alias("term"))
+    counts = (docs.select("_y", *[f"_in{v}" for v in range(len(variants))], F.explode("_t").alias("term"))
                   .groupBy("term").agg(*aggs)
-                  .where(F.col("df") >= min_df)
+                  .where(_any([F.col(f"df_{v}") >= low for v in range(len(variants))]))
                   .checkpoint(eager=True))
-    tot = counts.agg(F.count(F.lit(1)).alias("v"),
-                     *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"t{i}") for i in range(len(classes))]).first()
-    v = int(tot["v"])
-    weights = counts.select("term", *[
-        F.log((F.col(f"n{i}") + F.lit(alpha)) / F.lit(float(tot[f"t{i}"]) + alpha * v)).alias(f"w{i}")
-        for i in range(len(classes))])
-    priors = [math.log(counts_by[c] / n) for c in classes]
-    return NBModel(name, classes, priors, weights, v, n, [counts_by[c] for c in classes], temperature)
+    tot_aggs = []
+    for v, (_, _, md) in enumerate(variants):
+        keep = F.col(f"df_{v}") >= md
+        tot_aggs.append(F.count_if(keep).alias(f"v{v}"))
+        tot_aggs += [F.coalesce(F.sum(F.when(keep, F.col(f"n_{v}_{i}"))), F.lit(0)).alias(f"t_{v}_{i}")
+                     for i in range(len(classes))]
+    tot = counts.agg(*tot_aggs).first()
+    by_class = {r["_y"]: r for r in rows}
+    models = {}
+    for v, (name, _, md) in enumerate(variants):
+        nc = [int(by_class[c][f"n{v}"]) for c in classes]
+        n = sum(nc)
+        if n == 0:
+            raise ValueError(f"variant {name} has no training rows")
+        vv = int(tot[f"v{v}"])
+        weights = counts.where(F.col(f"df_{v}") >= md).select("term", *[
+            F.log((F.col(f"n_{v}_{i}") + F.lit(alpha)) / F.lit(float(tot[f"t_{v}_{i}"]) + alpha * vv)).alias(f"w{i}")
+            for i in range(len(classes))])
+        # a class absent from this subset keeps probability 0 through a -inf prior
+        priors = [math.log(k / n) if k > 0 else float("-inf") for k in nc]
+        models[name] = NBModel(name, classes, priors, weights, vv, n, nc, temperature)
+    return models
+
+
+_COMBINED: dict[tuple[int, ...], DataFrame] = {}
 
 
 def _combined_weights(models: Sequence[NBModel]) -> DataFrame:
+    """One row per term with every model's class weights side by side
+    (``_m{j}_w{c}``). Built once per model set (full outer joins on the term)
+    and checkpointed, so repeated scoring only broadcasts a ready table."""
+    k = tuple(id(m.weights) for m in models)
+    if k in _COMBINED:
+        return _COMBINED[k]
     w = None
     for j, m in enumerate(models):
         mw = m.weights.select("term", *[F.col(f"w{c}").alias(f"_m{j}_w{c}") for c in range(m.k)])
         w = mw if w is None else w.join(mw, "term", "full_outer")
+    if len(models) > 1:
+        w = w.checkpoint(eager=True)
+    _COMBINED[k] = w
     return w
 
 
 def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequence[NBModel],
               carry: Sequence[str] = (), max_broadcast: int = MAX_BROADCAST_ROWS,
-              salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+              salt_buckets: int = SALT_BUCKETS, reuse: Mapping[str, str] | None = None) -> DataFrame:
     """Scores of every model on every text column, one row per ``key``.
 
     ``texts`` maps an output tag to a text column (tag ``""`` for a single
@@ -113,15 +167,34 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
     output has ``{tag_}{model}_logp`` (array<double>, class order of the model),
     ``_probs``, ``_label``, ``_conf`` and, for two classes, ``_s`` (the logit of
     the second class). Null or blank text gives nulls.
+
+    ``reuse`` maps a tag to an earlier tag whose text is often identical (the
+    rewrite to its original): rows where the two texts are equal do not explode
+    the second text again and take the first text's sums.
     """
     tags = list(texts)
+    reuse = dict(reuse or {})
+
+    def same(i: int) -> Column | None:
+        t = tags[i]
+        if t not in reuse:
+            return None
+        return F.col(texts[t]).eqNullSafe(F.col(texts[reuse[t]]))
+
+    def toks(i: int) -> Column:
+        e = same(i)
+        d = distinct_tokens(texts[tags[i]])
+        return d if e is None else F.when(e, F.array().cast("array<string>")).otherwise(d)
+
     def tag(i: int):
         # a one-argument lambda: PySpark passes (element, index) to two-argument ones
         return lambda w: F.struct(F.lit(i).alias("src"), w.alias("term"))
-    tagged = F.concat(*[F.transform(distinct_tokens(texts[t]), tag(i)) for i, t in enumerate(tags)])
+    tagged = F.concat(*[F.transform(toks(i), tag(i)) for i in range(len(tags))])
     blanks = [is_blank(texts[t]).alias(f"_blank{i}") for i, t in enumerate(tags)]
-    ex = (df.select(key, *carry, *blanks, F.explode_outer(tagged).alias("_x"))
-            .select(key, *carry, *[f"_blank{i}" for i in range(len(tags))], "_x.src", "_x.term"))
+    sames = [(same(i) if same(i) is not None else F.lit(False)).alias(f"_same{i}") for i in range(len(tags))]
+    flags = [f"_blank{i}" for i in range(len(tags))] + [f"_same{i}" for i in range(len(tags))]
+    ex = (df.select(key, *carry, *blanks, *sames, F.explode_outer(tagged).alias("_x"))
+            .select(key, *carry, *flags, "_x.src", "_x.term"))
     w = _combined_weights(models)
     if sum(m.n_terms for m in models) <= max_broadcast:
         joined = ex.join(F.broadcast(w), "term", "left")
@@ -134,12 +207,17 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
         for j, m in enumerate(models):
             for c in range(m.k):
                 aggs.append(F.sum(F.when(F.col("src") == i, F.col(f"_m{j}_w{c}"))).alias(f"_s{i}_{j}_{c}"))
-    g = joined.groupBy(key, *carry, *[f"_blank{i}" for i in range(len(tags))]).agg(*aggs)
+    g = joined.groupBy(key, *carry, *flags).agg(*aggs)
     out_cols: list[Column] = [F.col(key)] + [F.col(c) for c in carry]
     for i, t in enumerate(tags):
         for j, m in enumerate(models):
             p = f"{t}_{m.name}" if t else m.name
-            logp = F.array(*[F.lit(m.priors[c]) + F.coalesce(F.col(f"_s{i}_{j}_{c}"), F.lit(0.0))
+            src = tags.index(reuse[t]) if t in reuse else i
+
+            def sums(k: int, c: int, j: int = j) -> Column:
+                return F.coalesce(F.col(f"_s{k}_{j}_{c}"), F.lit(0.0))
+            logp = F.array(*[F.lit(m.priors[c]) + (sums(i, c) if src == i else
+                                                   F.when(F.col(f"_same{i}"), sums(src, c)).otherwise(sums(i, c)))
                              for c in range(m.k)])
             out_cols.append(F.when(~F.col(f"_blank{i}"), logp).alias(f"{p}_logp"))
     scored = g.select(*out_cols)

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenline.operators import metrics
-from evenline.operators.naive_bayes import fit_nb, nb_scores
-from evenline.operators.splits import staged_fractions
+from evenline.operators.naive_bayes import fit_nb, fit_nb_variants, nb_scores
+from evenline.operators.splits import share_below
 
 RECORD_SCHEMA = ("task string, model string, n_train long, n_test long, accuracy double, "
                  "n_params long, fit_seconds double")
@@ -64,14 +64,17 @@ def select_model(records: DataFrame, metric: str = "accuracy", tolerance: float
 def staged_fit(train: DataFrame, test: DataFrame, key: str, task: str,
                fractions: Sequence[float] = (0.1, 0.5, 1.0), min_df: int = 5) -> DataFrame:
     """Fit on nested shares of the train rows (the 1K/5K/10K ladder is
-    shares 0.1/0.5/1.0) and report size, accuracy and log loss per stage: one
-    Spark job per stage, results unioned as one-row aggregates."""
+    shares 0.1/0.5/1.0) and report size, accuracy and log loss per stage.
+
+    All stages come from one conditional-count aggregation (a row is in stage
+    f when its hash share is below f) and are scored in one pass."""
+    variants = [(f"{task}_s{int(round(f * 1000))}", share_below(F.col("text"), f), min_df)
+                for f in sorted(fractions)]
+    ms = fit_nb_variants(train, variants)
+    s = nb_scores(test, key, {"": "text"}, list(ms.values()), carry=["label"])
     parts = []
-    for f in sorted(fractions):
-        sub = staged_fractions(train, [f], "text").drop("stage")
-        name = f"{task}_s{int(round(f * 1000))}"
-        m = fit_nb(sub, name, "text", "label", min_df=min_df)
-        s = nb_scores(test, key, {"": "text"}, [m], carry=["label"])
+    for f, (name, _, _) in zip(sorted(fractions), variants):
+        m = ms[name]
         ev = metrics.accuracy_and_loss(s, "label", f"{name}_label", f"{name}_probs", m.classes)
         parts.append(ev.select(F.lit(task).alias("task"), F.lit(float(f)).alias("stage"),
                                F.lit(m.n_train).cast("bigint").alias("n_train"), "n", "accuracy", "log_loss"))

@@ -76,6 +76,16 @@ def staged_fractions(df: DataFrame, fractions: Sequence[float] = (0.1, 0.5, 1.0)
     nest by construction and need no global sort: a map-only plan whose size
     grows with the data (the 1K/5K/10K ladder is shares 0.1/0.5/1.0).
     """
-    u = F.conv(F.substring(F.md5(F.col(key)), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    u = hash_share(F.col(key))
     stages = F.array(*[F.lit(float(f)) for f in sorted(fractions)])
     return df.withColumn("stage", F.explode(F.filter(stages, lambda f: u < f)))
+
+
+def hash_share(key: Column) -> Column:
+    """Uniform value in [0, 1) from the first 32 bits of md5(key)."""
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def share_below(key: Column, fraction: float) -> Column:
+    """Row is in the nested subset of share ``fraction``."""
+    return hash_share(key) < F.lit(float(fraction))

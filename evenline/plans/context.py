@@ -9,7 +9,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenline.guards import MAX_INLINE_TERMS, bounded_collect
 from evenline.operators.lexicon import learn_loaded_terms
+from evenline.session import ensure_checkpoint_dir
 from evenline.operators.naive_bayes import NBModel, fit_nb
 from evenline.operators.splits import holdout_split
 from evenline.sources.corpus import documents, labelled_documents, table
@@ -58,7 +60,19 @@ class Context:
     def loaded_terms(self) -> DataFrame:
         """Lexicon learned on the train split of the sentiment proxy."""
         train = self.task("sentiment").where(F.col("split") == "train")
-        return learn_loaded_terms(train, "text", "label", positive="1")
+        ensure_checkpoint_dir(self.spark)
+        return learn_loaded_terms(train, "text", "label", positive="1").checkpoint(eager=True)
+
+    @cached_property
+    def lexicon_terms(self) -> list[str] | None:
+        """The loaded terms as a bounded driver-side list, or None when there
+        are more than the inline limit (callers then take the join path)."""
+        rows = bounded_collect(self.loaded_terms.select("term"), MAX_INLINE_TERMS)
+        return None if rows is None else sorted(r.term for r in rows)
+
+    @cached_property
+    def n_docs(self) -> int:
+        return self.table("documents").count()
 
     @cached_property
     def models(self) -> dict[str, NBModel]:

@@ -56,7 +56,8 @@ def q_loaded_terms(spark, sf_dir):
 
 def rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = ctx(spark, sf_dir)
-    return rw.neutral_rewrite(c.docs, c.loaded_terms, "text", "neutral", key="doc_id")
+    lex = c.lexicon_terms if c.lexicon_terms is not None else c.loaded_terms
+    return rw.neutral_rewrite(c.docs, lex, "text", "neutral", key="doc_id")
 
 
 @query("neutral_rewrite", f"""WITH {S.REWRITTEN.strip()}
@@ -429,7 +430,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY n_params ASC,
            FROM near WHERE accuracy >= best - 0.01)
 SELECT task, model, accuracy, CAST(n_params AS BIGINT) AS n_params FROM ranked WHERE r = 1""")
 def q_select_model(spark, sf_dir):
-    from evenline.operators.naive_bayes import fit_nb
+    from evenline.operators.naive_bayes import fit_nb_variants, nb_scores
     from evenline.operators.selection import select_model
     c = ctx(spark, sf_dir)
     parts = []
@@ -439,11 +440,11 @@ def q_select_model(spark, sf_dir):
         parts.append(maj.select(F.lit(t).alias("task"), F.lit("majority").alias("model"),
                                 F.col("majority_accuracy").alias("accuracy"),
                                 F.lit(1).cast("bigint").alias("n_params")))
-        for md in CANDIDATE_MIN_DF:
-            m = c.models[t] if md == 5 else fit_nb(train, f"{t}_d{md}", "text", "label", min_df=md)
-            s = sc.score(test, m, "example_id", "text", carry=["label"])
-            acc = metrics.accuracy(s, "label", f"{m.name}_label")
-            parts.append(acc.select(F.lit(t).alias("task"), F.lit(f"nb_df{md}").alias("model"), "accuracy",
+        ms = fit_nb_variants(train, [(f"nb_df{md}", None, md) for md in CANDIDATE_MIN_DF])
+        s = nb_scores(test, "example_id", {"": "text"}, list(ms.values()), carry=["label"])
+        for name, m in ms.items():
+            acc = metrics.accuracy(s, "label", f"{name}_label")
+            parts.append(acc.select(F.lit(t).alias("task"), F.lit(name).alias("model"), "accuracy",
                                     F.lit(m.n_params).cast("bigint").alias("n_params")))
     recs = parts[0]
     for p in parts[1:]:
@@ -581,8 +582,7 @@ def doc_values(c: Context) -> DataFrame:
 
 def reads(c: Context) -> DataFrame:
     from evenline.operators.profile import link_reads
-    n_docs = c.table("documents").count()
-    return link_reads(c.table("events").select("event_id", "ts", "user_id"), n_docs)
+    return link_reads(c.table("events").select("event_id", "ts", "user_id"), c.n_docs)
 
 
 _DV_SQL = f"""{S.nb_all()},
@@ -660,7 +660,7 @@ def q_stream_windows(spark, sf_dir):
     from evenline.operators.profile import link_reads
     from evenline.streaming.live import file_stream, run_complete, windowed_scores
     c = ctx(spark, sf_dir)
-    n_docs = c.table("documents").count()
+    n_docs = c.n_docs
     ev = file_stream(spark, c.sf_dir, "events.parquet", c.table("events").schema)
     r = link_reads(ev.select("event_id", "ts", "user_id"), n_docs)
     agg = windowed_scores(r, doc_values(c).select("doc_id", "emotional_intensity"), "ts", "event_id",

@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from evenline.functions.lcs import lcs_dp, lcs_length
-from evenline.functions.text import SENTINEL, multiset_overlap, rewrite_with_terms, tokens
+from evenline.functions.overlap import ngram_overlap
+from evenline.functions.text import SENTINEL, rewrite_with_terms, tokens
 from evenline.operators.splits import holdout_split, staged_fractions, staged_subsets
 
 WORDS = ["greedy", "useless", "law", "Men", "STUPID", "stupid", "das", "wört", "a", "the", "uselessness"]
@@ -49,16 +50,32 @@ def test_rewrite_matches_reference_and_properties(spark):
             assert r.n == r.text                            # untouched byte for byte
 
 
-def test_multiset_overlap_brute_force(spark):
+def _greedy_overlap(a, b, n):
+    ga = [tuple(a[i:i + n]) for i in range(len(a) - n + 1)]
+    gb = [tuple(b[i:i + n]) for i in range(len(b) - n + 1)]
+    hits = 0
+    for g in ga:
+        if g in gb:
+            gb.remove(g)
+            hits += 1
+    return hits
+
+
+def test_ngram_overlap_brute_force(spark):
     rnd = random.Random(3)
     rows = []
     for i in range(300):
         a = [rnd.choice("abcde") for _ in range(rnd.randint(0, 15))]
         b = [rnd.choice("abcdef") for _ in range(rnd.randint(0, 15))]
         rows.append((i, a, b))
+    rows.append((300, None, ["a"]))
     df = spark.createDataFrame(rows, "id long, a array<string>, b array<string>")
-    for r in df.select("a", "b", multiset_overlap("a", "b").alias("o")).collect():
-        assert r.o == sum((Counter(r.a) & Counter(r.b)).values())
+    out = df.select("a", "b", *[ngram_overlap("a", "b", n).alias(f"o{n}") for n in (1, 2, 3)]).collect()
+    for r in out:
+        if r.a is None:
+            assert r.o1 is None
+            continue
+        assert (r.o1, r.o2, r.o3) == tuple(_greedy_overlap(r.a, r.b, n) for n in (1, 2, 3))
 
 
 @settings(max_examples=300, deadline=None)
