@@ -53,4 +53,6 @@ def lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def lcs(a: Column, b: Column) -> Column:
+    from evenline.session import ship_package
+    ship_package()
     return lcs_udf(a, b)

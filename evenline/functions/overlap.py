@@ -44,6 +44,8 @@ _UDFS: dict[int, object] = {}
 
 
 def ngram_overlap(a: Column | str, b: Column | str, n: int = 1) -> Column:
+    from evenline.session import ship_package
+    ship_package()
     if n not in _UDFS:
         _UDFS[n] = _udf(n)
     a = F.col(a) if isinstance(a, str) else a

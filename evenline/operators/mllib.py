@@ -64,6 +64,6 @@ def lr_scores(df: DataFrame, model: LRModel, text_col: str = "text", keep: tuple
     probs = vector_to_array(F.col("probability"))
     return out.select(*keep, probs.alias(f"{p}_probs")).select(
         *keep, f"{p}_probs",
-        F.element_at(cls, F.array_position(F.col(f"{p}_probs"), F.array_max(f"{p}_probs")).cast("int"))
-         .alias(f"{p}_label"),
+        F.when(F.col(f"{p}_probs").isNotNull(), F.element_at(
+            cls, F.array_position(F.col(f"{p}_probs"), F.array_max(f"{p}_probs")).cast("int"))).alias(f"{p}_label"),
         F.array_max(f"{p}_probs").alias(f"{p}_conf"))

@@ -237,8 +237,8 @@ def finish(df: DataFrame, prefix: str, classes: Sequence[str], temperature: floa
     e = F.col(f"_{prefix}_e")
     df = df.withColumn(f"{prefix}_probs", F.transform(
         e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)))
-    df = (df.withColumn(f"{prefix}_label",
-                        F.element_at(cls, F.array_position(lp, F.array_max(lp)).cast("int")))
+    df = (df.withColumn(f"{prefix}_label", F.when(lp.isNotNull(), F.element_at(
+                cls, F.array_position(lp, F.array_max(lp)).cast("int"))))
             .withColumn(f"{prefix}_conf", F.array_max(F.col(f"{prefix}_probs"))))
     if len(classes) == 2:
         df = df.withColumn(f"{prefix}_s", F.element_at(lp, 2) - F.element_at(lp, 1))

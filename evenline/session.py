@@ -62,3 +62,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (stream state, sinks)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``evenline`` importable on executors (Python UDF workers), once per
+    SparkContext: the package is zipped into the shared checkpoint folder and
+    added with ``addPyFile``, which works the same on a cluster and locally."""
+    import shutil
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "pyfiles")
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local:
+        # remote shared storage: stage the zip locally, then copy with Hadoop FS
+        stage = tempfile.mkdtemp(prefix="evenline-zip-")
+        z = shutil.make_archive(os.path.join(stage, "evenline"), "zip", os.path.dirname(pkg), "evenline")
+        jvm = sc._jvm
+        dst = jvm.org.apache.hadoop.fs.Path(f"{base}/evenline.zip")
+        fs = dst.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(z), dst)
+        sc.addPyFile(f"{base}/evenline.zip")
+    else:
+        os.makedirs(local, exist_ok=True)
+        z = shutil.make_archive(os.path.join(local, "evenline"), "zip", os.path.dirname(pkg), "evenline")
+        sc.addPyFile(z)
+    _SHIPPED.add(id(sc))

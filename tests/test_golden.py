@@ -83,3 +83,14 @@ def test_tie_goes_to_lower_class(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([-1.0, -1.0],)], "x_logp array<double>")
     r = finish(df, "x", ["a", "b"]).collect()
     assert [x.x_label for x in r] == ["a", "a"] and all(abs(x.x_conf - 0.5) < 1e-12 for x in r)
+
+
+def test_blank_text_is_not_scored(spark):
+    from evenline.operators.naive_bayes import nb_scores
+    from evenline.plans.context import Context
+    c = Context.get(spark, "/root/testdata/sf0.001")
+    df = spark.createDataFrame([(1, None), (2, "   "), (3, "...")], "doc_id long, text string")
+    r = {x.doc_id: x for x in nb_scores(df, "doc_id", {"": "text"}, [c.models["truth"]]).collect()}
+    assert r[1].truth_label is None and r[1].truth_conf is None
+    assert r[2].truth_label is None and r[2].truth_conf is None
+    assert r[3].truth_label is not None                       # no tokens: the prior decides
