@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from evenline.functions.text import TOKEN_PATTERN
 from evenline.guards import MAX_CLASSES, bounded_collect
 
-NUM_FEATURES = 1 << 18
+NUM_FEATURES = 1 << 16  # hashed feature space; a parameter of fit_lr
 
 
 @dataclass
