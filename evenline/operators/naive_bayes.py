@@ -77,62 +77,80 @@ def _any(conds: Sequence[Column]) -> Column:
     return out
 
 
-def fit_nb_variants(train: DataFrame, variants: Sequence[tuple[str, Column | None, int]],
+def fit_nb_variants(train: DataFrame, variants: Sequence[tuple],
                     text_col: str = "text", label_col: str = "label", alpha: float = ALPHA,
                     temperature: float = 1.0, max_classes: int = MAX_CLASSES) -> dict[str, NBModel]:
     """Several models from one pass over ``train``: each variant is
-    ``(name, row subset or None for all rows, min_df)``.
-
-    Per-term counts of every (variant subset, class) come from one hash
-    aggregate of conditional counts (no explode per subset), checkpointed once;
-    each variant then keeps its own terms (``df >= min_df`` inside its
-    subset). Nested training shares (A13) and ``min_df`` candidates (A11) cost
-    one aggregation instead of one per model.
+    ``(name, row subset or None for all rows, min_df[, label column])``.
+
+    The text is tokenized and exploded once; per-term counts of every
+    (variant, class) come from one hash aggregate of conditional counts (no
+    explode per variant), checkpointed once. Each variant then keeps its own
+    terms (``df >= min_df`` among its rows). Nested training shares (A13),
+    ``min_df`` candidates (A12) and the three task models (different label
+    columns over the same documents) each cost one aggregation, not one per model.
+    A variant's classes are its label's values over all train rows; a class
+    absent from its subset gets a -inf prior (probability 0).
     """
-    subsets = [(F.lit(True) if sub is None else sub) for _, sub, _ in variants]
-    docs = (train.where(~is_blank(text_col) & F.col(label_col).isNotNull())
-                 .select(F.col(label_col).cast("string").alias("_y"),
-                         distinct_tokens(text_col).alias("_t"),
-                         *[s.alias(f"_in{v}") for v, s in enumerate(subsets)]))
-    cc = docs.groupBy("_y").agg(*[F.count_if(F.col(f"_in{v}")).alias(f"n{v}") for v in range(len(variants))])
-    rows = bounded_collect(cc, max_classes)
+    specs = []
+    for v in variants:
+        name, sub, md = v[0], v[1], v[2]
+        lab = v[3] if len(v) > 3 else label_col
+        specs.append((name, F.lit(True) if sub is None else sub, md, lab))
+    nv = len(specs)
+    ok = [(~is_blank(text_col) & F.col(lab).isNotNull()) for _, _, _, lab in specs]
+    docs = (train.where(_any(ok))
+                 .select(distinct_tokens(text_col).alias("_t"),
+                         *[F.col(lab).cast("string").alias(f"_y{v}") for v, (_, _, _, lab) in enumerate(specs)],
+                         *[o.alias(f"_ok{v}") for v, o in enumerate(ok)],
+                         *[(o & sub).alias(f"_in{v}") for v, (o, (_, sub, _, _)) in enumerate(zip(ok, specs))]))
+    pairs = F.array(*[F.when(F.col(f"_ok{v}"), F.struct(F.lit(v).alias("v"), F.col(f"_y{v}").alias("y"),
+                                                        F.col(f"_in{v}").alias("i")))
+                      for v in range(nv)])
+    cc = (docs.select(F.explode(pairs).alias("e")).where(F.col("e").isNotNull())
+              .groupBy("e.v", "e.y").agg(F.count_if(F.col("e.i")).alias("n")))
+    rows = bounded_collect(cc, max_classes * nv)
     if rows is None:
-        raise ValueError(f"more than {max_classes} classes in {label_col}")
-    if not rows:
-        raise ValueError("empty training set")
-    classes = sorted(r["_y"] for r in rows)
+        raise ValueError(f"more than {max_classes} classes per variant")
+    counts_by: list[dict[str, int]] = [{} for _ in range(nv)]
+    for r in rows:
+        counts_by[r["v"]][r["y"]] = int(r["n"])
+    classes = [sorted(cb) for cb in counts_by]
+    for (name, *_), cl in zip(specs, classes):
+        if not cl:
+            raise ValueError(f"variant {name} has an empty training set")
     aggs = []
-    for v in range(len(variants)):
+    for v in range(nv):
         aggs.append(F.count_if(F.col(f"_in{v}")).alias(f"df_{v}"))
-        aggs += [F.count_if(F.col(f"_in{v}") & (F.col("_y") == F.lit(c))).alias(f"n_{v}_{i}")
-                 for i, c in enumerate(classes)]
-    low = min(md for _, _, md in variants)
+        aggs += [F.count_if(F.col(f"_in{v}") & (F.col(f"_y{v}") == F.lit(c))).alias(f"n_{v}_{i}")
+                 for i, c in enumerate(classes[v])]
+    low = min(md for _, _, md, _ in specs)
     ensure_checkpoint_dir(train.sparkSession)
-    counts = (docs.select("_y", *[f"_in{v}" for v in range(len(variants))], F.explode("_t").alias("term"))
+    counts = (docs.select(*[f"_y{v}" for v in range(nv)], *[f"_in{v}" for v in range(nv)],
+                          F.explode("_t").alias("term"))
                   .groupBy("term").agg(*aggs)
-                  .where(_any([F.col(f"df_{v}") >= low for v in range(len(variants))]))
+                  .where(_any([F.col(f"df_{v}") >= low for v in range(nv)]))
                   .checkpoint(eager=True))
     tot_aggs = []
-    for v, (_, _, md) in enumerate(variants):
+    for v, (_, _, md, _) in enumerate(specs):
         keep = F.col(f"df_{v}") >= md
         tot_aggs.append(F.count_if(keep).alias(f"v{v}"))
         tot_aggs += [F.coalesce(F.sum(F.when(keep, F.col(f"n_{v}_{i}"))), F.lit(0)).alias(f"t_{v}_{i}")
-                     for i in range(len(classes))]
+                     for i in range(len(classes[v]))]
     tot = counts.agg(*tot_aggs).first()
-    by_class = {r["_y"]: r for r in rows}
     models = {}
-    for v, (name, _, md) in enumerate(variants):
-        nc = [int(by_class[c][f"n{v}"]) for c in classes]
+    for v, (name, _, md, _) in enumerate(specs):
+        nc = [counts_by[v][c] for c in classes[v]]
         n = sum(nc)
         if n == 0:
             raise ValueError(f"variant {name} has no training rows")
         vv = int(tot[f"v{v}"])
         weights = counts.where(F.col(f"df_{v}") >= md).select("term", *[
             F.log((F.col(f"n_{v}_{i}") + F.lit(alpha)) / F.lit(float(tot[f"t_{v}_{i}"]) + alpha * vv)).alias(f"w{i}")
-            for i in range(len(classes))])
+            for i in range(len(classes[v]))])
         # a class absent from this subset keeps probability 0 through a -inf prior
         priors = [math.log(k / n) if k > 0 else float("-inf") for k in nc]
-        models[name] = NBModel(name, classes, priors, weights, vv, n, nc, temperature)
+        models[name] = NBModel(name, classes[v], priors, weights, vv, n, nc, temperature)
     return models
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from evenline.guards import MAX_INLINE_TERMS, bounded_collect
 from evenline.operators.lexicon import learn_loaded_terms
 from evenline.session import ensure_checkpoint_dir
-from evenline.operators.naive_bayes import NBModel, fit_nb
+from evenline.operators.naive_bayes import NBModel, fit_nb_variants
 from evenline.operators.splits import holdout_split
 from evenline.sources.corpus import documents, labelled_documents, table
 
@@ -77,8 +77,12 @@ class Context:
     @cached_property
     def models(self) -> dict[str, NBModel]:
         """Naive Bayes per task, fitted on the train split (checkpointed counts)."""
-        return {t: fit_nb(self.task(t).where(F.col("split") == "train"), t, "text", "label")
-                for t in ("truth", "sentiment", "bias")}
+        # one pass over the train documents for all three tasks: the labels
+        # (one row per document) are joined on, each task counts its own rows
+        labels = self.table("labels").select("doc_id", "quality", "toxic")
+        train = self.docs.where(F.col("split") == "train").join(labels, "doc_id", "left")
+        return fit_nb_variants(train, [("truth", None, 5, "quality"), ("sentiment", None, 5, "toxic"),
+                                       ("bias", None, 5, "lang")], "text")
 
 
 # Display names of the proxy labels (A4). Bias stays as its proxy code.
