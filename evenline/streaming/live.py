@@ -97,3 +97,20 @@ def run_complete(stream_agg: DataFrame, spark: SparkSession, sink: str | None =
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{sink}/latest")
+
+
+def run_append(stream_agg: DataFrame, spark: SparkSession, sink: str | None = None,
+               checkpoint: str | None = None) -> DataFrame:
+    """Drive an aggregating stream in append mode: a window is written once,
+    when the watermark passes its end; rows later than the watermark are
+    dropped by the aggregate. Returns everything written."""
+    sink = sink or scratch_path(spark, "stream-append")
+    checkpoint = checkpoint or scratch_path(spark, "stream-append-ckpt")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    q = (stream_agg.writeStream.outputMode("append").foreachBatch(handle)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
