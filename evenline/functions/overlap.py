@@ -57,3 +57,31 @@ def gram_count(toks: Column | str, n: int) -> Column:
     """Number of n-grams of a token array (null for null)."""
     t = F.col(toks) if isinstance(toks, str) else toks
     return F.greatest(F.size(t) - F.lit(n - 1), F.lit(0))
+
+
+_DIFF_TYPE = T.ArrayType(T.StructType([T.StructField("term", T.StringType()),
+                                       T.StructField("n", T.LongType())]))
+
+
+def counted_difference(a, b):
+    """Multiset a - b as sorted (term, count) pairs with count > 0; None if a is None."""
+    if a is None:
+        return None
+    d = Counter(a)
+    if b is not None:
+        d.subtract(Counter(b))
+    return [{"term": t, "n": int(n)} for t, n in sorted(d.items()) if n > 0]
+
+
+@F.pandas_udf(_DIFF_TYPE)
+def _difference_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([counted_difference(x, y) for x, y in zip(a, b)])
+
+
+def multiset_difference(a: Column | str, b: Column | str) -> Column:
+    """Per row: ``array<struct<term, n>>`` of tokens in ``a`` more often than in ``b``."""
+    from evenline.session import ship_package
+    ship_package()
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    return _difference_udf(a, b)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from evenline.functions.text import (distinct_tokens, rewrite_with_flags, rewrite_with_terms,
                                      rewrite_with_tiers, tokens)
+from evenline.functions.overlap import multiset_difference
 from evenline.guards import MAX_INLINE_TERMS, bounded_collect
 
 # Fixed value (ours; the reference's prompt structure is blank, gap G1).
@@ -81,19 +82,15 @@ def removed_terms(df: DataFrame, key: str, before: str = "text", after: str = "n
     """A27 per row: ``(key, term, removed)``, the multiset difference
     tokens(before) - tokens(after) with positive counts only.
 
-    Rows whose two texts are equal are skipped before any explode. Tokens of
-    both sides are exploded once with signs +1 / -1 and summed per (key, term);
-    all tokens of a row sit in one partition, so the partial aggregate collapses
-    them map-side and the shuffle carries one row per distinct (key, term).
+    Rows whose two texts are equal are skipped first. The difference is
+    computed inside each row (tokens in the JVM, counts in an Arrow-batched
+    pandas UDF), so only removed terms are exploded and nothing is shuffled
+    per (row, term); the corpus summary is then one two-phase aggregate.
     """
     changed = df.where(~F.col(before).eqNullSafe(F.col(after)) & F.col(before).isNotNull())
-    signed = F.concat(
-        F.transform(tokens(before), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"))),
-        F.transform(F.coalesce(tokens(after), F.array().cast("array<string>")),
-                    lambda t: F.struct(t.alias("term"), F.lit(-1).alias("d"))))
-    ex = changed.select(key, F.explode(signed).alias("x")).select(key, "x.term", "x.d")
-    return (ex.groupBy(key, "term").agg(F.sum("d").alias("removed"))
-              .where(F.col("removed") > 0))
+    diff = multiset_difference(tokens(before), tokens(after))
+    return (changed.select(key, F.explode(diff).alias("x"))
+                   .select(key, F.col("x.term").alias("term"), F.col("x.n").alias("removed")))
 
 
 def removed_summary(removed: DataFrame, key: str) -> DataFrame:

@@ -121,3 +121,18 @@ def test_probabilities_sum_to_one(spark):
     a = analysed(spark, "/root/testdata/sf0.001")
     bad = a.where(F.abs(F.aggregate("bias_probs", F.lit(0.0), lambda x, y: x + y) - 1) > 1e-9).count()
     assert bad == 0 and df.count() == 200
+
+
+def test_multiset_difference_brute_force(spark):
+    from evenline.functions.overlap import multiset_difference
+    rnd = random.Random(5)
+    rows = [(i, [rnd.choice("abcd") for _ in range(rnd.randint(0, 12))],
+             [rnd.choice("abcde") for _ in range(rnd.randint(0, 12))]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a array<string>, b array<string>")
+    for r in df.select("a", "b", multiset_difference("a", "b").alias("d")).collect():
+        rest = list(r.a)
+        for x in r.b:
+            if x in rest:
+                rest.remove(x)
+        want = sorted((t, rest.count(t)) for t in set(rest))
+        assert [(x.term, x.n) for x in r.d] == want
