@@ -19,7 +19,3 @@ def bounded_collect(df: DataFrame, limit: int) -> list[Row] | None:
     rows = df.limit(limit + 1).collect()
     return None if len(rows) > limit else rows
 
-
-def fits(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (counts at most limit + 1)."""
-    return df.limit(limit + 1).count() <= limit

@@ -22,18 +22,6 @@ RECORD_SCHEMA = ("task string, model string, n_train long, n_test long, accuracy
                  "n_params long, fit_seconds double")
 
 
-def majority_candidate(train: DataFrame, test: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
-    acc = metrics.majority_baseline(train, test, label)
-    return acc, 1
-
-
-def nb_candidate(train: DataFrame, test: DataFrame, key: str, name: str, min_df: int):
-    m = fit_nb(train, name, "text", "label", min_df=min_df)
-    s = nb_scores(test, key, {"": "text"}, [m], carry=["label"])
-    acc = metrics.accuracy(s, "label", f"{name}_label")
-    return acc, m.n_params
-
-
 def evaluate(spark: SparkSession, task: str, train: DataFrame, test: DataFrame, key: str,
              candidates: Sequence[tuple[str, Callable]]) -> DataFrame:
     """One record per candidate: accuracy on ``test``, parameter count and

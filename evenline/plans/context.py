@@ -14,7 +14,7 @@ from evenline.operators.lexicon import learn_loaded_terms
 from evenline.session import ensure_checkpoint_dir
 from evenline.operators.naive_bayes import NBModel, fit_nb_variants
 from evenline.operators.splits import holdout_split
-from evenline.sources.corpus import documents, labelled_documents, table
+from evenline.sources.corpus import PROXY_LABELS, documents, labelled_documents, table
 
 TWO_WAY = (("train", 80), ("test", 20))
 THREE_WAY = (("train", 80), ("validation", 10), ("test", 10))
@@ -49,10 +49,8 @@ class Context:
 
     def task(self, task: str) -> DataFrame:
         """``example_id, text, label, lang, split`` for a task on the proxy labels."""
-        if task == "bias":
-            src, col = self.docs, "lang"
-        else:
-            src, col = self.labelled, {"truth": "quality", "sentiment": "toxic"}[task]
+        table_name, col = PROXY_LABELS[task]
+        src = self.docs if table_name == "documents" else self.labelled
         return src.select(F.col("doc_id").alias("example_id"), "text",
                           F.col(col).cast("string").alias("label"), "lang", "split")
 

@@ -91,10 +91,6 @@ def analysed(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) ->
     return sc.analyse(d, [m[t] for t in TASKS], "doc_id", "text")
 
 
-def _res(t: str, cols: str) -> str:
-    return ", ".join(f"{t}_res.{t}_{x} AS {t}_{x}" for x in cols.split())
-
-
 def _round(t: str, x: str) -> str:
     return f"round({t}_res.{t}_{x}, 4) AS {t}_{x}"
 
@@ -224,10 +220,6 @@ def q_build_prompt(spark, sf_dir):
     return rw.build_prompt(j, "text").select("doc_id", "prompt")
 
 
-def _delta_sql(ax: str, b: str, a: str) -> str:
-    return f"round({a} - {b}, 4) AS {ax}_delta"
-
-
 _AXIS_SQL = {"truth_probability": "truth_res.truth_p1", "emotional_intensity": "sentiment_res.sentiment_p1",
              "bias_degree": "bias_res.bias_conf"}
 _RESCORED_JOIN = " ".join(f"LEFT JOIN {p}{t}_res ON {p}{t}_res.doc_id = rw.doc_id"

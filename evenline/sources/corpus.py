@@ -83,12 +83,3 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "inner")
 
-
-def task_corpus(spark: SparkSession, sf_dir: str, task: str) -> DataFrame:
-    """``(example_id, text, label, lang)`` for one task on the proxy binding."""
-    if task not in PROXY_LABELS:
-        raise ValueError(f"unknown task {task!r}")
-    tbl, col = PROXY_LABELS[task]
-    base = documents(spark, sf_dir) if tbl == "documents" else labelled_documents(spark, sf_dir)
-    return base.select(F.col("doc_id").alias("example_id"), "text",
-                       F.col(col).cast("string").alias("label"), "lang")

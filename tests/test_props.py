@@ -1,7 +1,6 @@
 """Properties, checked in batch on many generated rows against brute force."""
 
 import random
-from collections import Counter
 
 import regex
 from hypothesis import given, settings
