@@ -70,3 +70,41 @@ def staged_fit(train: DataFrame, test: DataFrame, key: str, task: str,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def staged_rewriter(train: DataFrame, test: DataFrame, key: str, label: str = "label",
+                    positive: str = "1", fractions: Sequence[float] = (0.1, 0.5, 1.0),
+                    min_df: int = 8, min_share: float = 0.95) -> DataFrame:
+    """A13 for the rewriter (the reference's stepwise 1K/5K/10K training): per
+    nested train share, learn the lexicon (A24), rewrite every held-out row
+    (A23) and report lexicon size, rows changed, positive rows changed and mean
+    ROUGE-1 F1 of rewrite against original (A16). One job set per stage; the
+    lexicon of each stage is bounded before it is inlined."""
+    from evenline.guards import MAX_INLINE_TERMS
+    from evenline.operators.lexicon import learn_loaded_terms
+    from evenline.operators.metrics import with_rouge
+    from evenline.operators.rewrite import neutral_rewrite
+    from evenline.functions.text import tokens
+    parts = []
+    for f in sorted(fractions):
+        sub = train.where(share_below(F.col("text"), f))
+        lex = learn_loaded_terms(sub, "text", label, positive, min_df, min_share)
+        n_terms = lex.count()
+        if n_terms > MAX_INLINE_TERMS:
+            rw = neutral_rewrite(test, lex, "text", "_n", key=key)
+        else:
+            rw = neutral_rewrite(test, lex, "text", "_n", max_inline=MAX_INLINE_TERMS)
+        t = rw.select(key, label, (~F.col("_n").eqNullSafe(F.col("text"))).alias("_ch"),
+                      tokens("text").alias("_a"), tokens("_n").alias("_b"))
+        t = with_rouge(t, "_a", "_b", "r1", 1)
+        parts.append(t.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("_ch")).alias("n_changed"),
+            F.count_if(F.col(label) == F.lit(positive)).alias("n_positive"),
+            F.count_if(F.col("_ch") & (F.col(label) == F.lit(positive))).alias("n_positive_changed"),
+            F.round(F.avg("r1_f1"), 4).alias("rouge1_f1_mean"))
+            .select(F.lit(float(f)).alias("stage"), F.lit(n_terms).cast("bigint").alias("n_terms"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

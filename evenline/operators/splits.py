@@ -33,9 +33,15 @@ def split_expr(key: Column, ratios: Sequence[tuple[str, int]] = DEFAULT_RATIOS)
 
 
 def holdout_split(df: DataFrame, key: str = "text",
-                  ratios: Sequence[tuple[str, int]] = DEFAULT_RATIOS, out: str = "split") -> DataFrame:
-    """A5: adds ``split``. Key ``text`` keeps exact copies together."""
-    return df.withColumn(out, split_expr(F.col(key), ratios))
+                  ratios: Sequence[tuple[str, int]] = DEFAULT_RATIOS, out: str = "split",
+                  keep_existing: bool = False) -> DataFrame:
+    """A5: adds ``split``. Key ``text`` keeps exact copies together.
+    With ``keep_existing`` a ready-made split already in ``out`` is kept and
+    only missing values are assigned."""
+    e = split_expr(F.col(key), ratios)
+    if keep_existing and out in df.columns:
+        e = F.coalesce(F.col(out), e)
+    return df.withColumn(out, e)
 
 
 def split_profile(df: DataFrame, by: Sequence[str] = ("task", "split", "label")) -> DataFrame:

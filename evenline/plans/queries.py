@@ -658,3 +658,45 @@ def q_stream_windows(spark, sf_dir):
     agg = windowed_scores(r, doc_values(c).select("doc_id", "emotional_intensity"), "ts", "event_id",
                           "doc_id", "1 day", "1 hour", ("emotional_intensity",))
     return run_complete(agg, spark)
+
+
+def _staged_rewriter_sql() -> str:
+    parts = [S.docs_cte().strip(), S.LABELLED.strip(),
+             "ho AS (SELECT sd.doc_id, sd.text, l.toxic FROM sd LEFT JOIN labels l ON l.doc_id = sd.doc_id "
+             "WHERE sd.split = 'test')"]
+    recs = []
+    for f in STAGE_FRACTIONS:
+        p = f"sr{int(round(f * 1000))}"
+        parts.append(f"""{p}_tok AS (
+  SELECT toxic, unnest({S.dtoks('text')}) AS term FROM lab
+  WHERE split = 'train' AND text IS NOT NULL AND {S.uniform('text')} < {f}
+),
+{p}_loaded AS (SELECT term FROM {p}_tok GROUP BY term
+               HAVING count(*) >= 8 AND count(*) FILTER (WHERE toxic = 1) * 10000 >= 9500 * count(*)),
+{p}_lex AS (SELECT coalesce(list(term), []::VARCHAR[]) AS lex FROM {p}_loaded),
+{p}_rw AS (SELECT ho.doc_id, ho.toxic, ho.text, {S.rewrite('ho.text', f'{p}_lex.lex')} AS neutral FROM ho, {p}_lex),
+{p}_g AS (SELECT doc_id, toxic, neutral IS DISTINCT FROM text AS ch, {S.toks('text')} AS a, {S.toks('neutral')} AS b FROM {p}_rw),
+{p}_ca AS (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(a) AS x FROM {p}_g) GROUP BY doc_id, x),
+{p}_cb AS (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(b) AS x FROM {p}_g) GROUP BY doc_id, x),
+{p}_ov AS (SELECT {p}_ca.doc_id, sum(least({p}_ca.c, {p}_cb.c)) AS o FROM {p}_ca JOIN {p}_cb
+           ON {p}_ca.doc_id = {p}_cb.doc_id AND {p}_ca.x = {p}_cb.x GROUP BY {p}_ca.doc_id),
+{p}_m AS (SELECT g.doc_id, g.toxic, g.ch,
+                 round(CASE WHEN len(a) + len(b) > 0 THEN 2.0 * coalesce(ov.o, 0) / (len(a) + len(b)) END, 4) AS f1
+          FROM {p}_g g LEFT JOIN {p}_ov ov ON ov.doc_id = g.doc_id)""")
+        recs.append(f"""SELECT CAST({f} AS DOUBLE) AS stage, (SELECT count(*) FROM {p}_loaded) AS n_terms,
+  count(*) AS n, count(*) FILTER (WHERE ch) AS n_changed, count(*) FILTER (WHERE toxic = 1) AS n_positive,
+  count(*) FILTER (WHERE ch AND toxic = 1) AS n_positive_changed, round(avg(f1), 4) AS rouge1_f1_mean
+  FROM {p}_m""")
+    return "WITH " + ",\n".join(parts) + "\n" + "\nUNION ALL\n".join(recs)
+
+
+@query("staged_rewriter", _staged_rewriter_sql())
+def q_staged_rewriter(spark, sf_dir):
+    """A13 for the rewriter: lexicon learned on nested train shares (sentiment
+    proxy), every held-out document rewritten, quality per stage."""
+    from evenline.operators.selection import staged_rewriter
+    c = ctx(spark, sf_dir)
+    labels = c.table("labels").select("doc_id", F.col("toxic").cast("string").alias("label"))
+    train = c.task("sentiment").where(F.col("split") == "train")
+    test = c.docs.where(F.col("split") == "test").join(labels, "doc_id", "left")
+    return staged_rewriter(train, test, "doc_id", "label", "1", STAGE_FRACTIONS)

@@ -135,3 +135,10 @@ def test_multiset_difference_brute_force(spark):
                 rest.remove(x)
         want = sorted((t, rest.count(t)) for t in set(rest))
         assert [(x.term, x.n) for x in r.d] == want
+
+
+def test_ready_made_split_is_kept(spark):
+    df = spark.createDataFrame([(1, "a", "validation"), (2, "b", None)], "id long, text string, split string")
+    out = {r.id: r.split for r in holdout_split(df, keep_existing=True).collect()}
+    fresh = {r.id: r.split for r in holdout_split(df.drop("split")).collect()}
+    assert out[1] == "validation" and out[2] == fresh[2]
