@@ -700,3 +700,36 @@ def q_staged_rewriter(spark, sf_dir):
     train = c.task("sentiment").where(F.col("split") == "train")
     test = c.docs.where(F.col("split") == "test").join(labels, "doc_id", "left")
     return staged_rewriter(train, test, "doc_id", "label", "1", STAGE_FRACTIONS)
+
+
+def _multilingual_scores_sql(langs=("de", "en", "es", "fr")) -> str:
+    parts = [S.docs_cte().strip(), S.LABELLED.strip()]
+    picks = []
+    for lg in langs:
+        t = f"ml_{lg}"
+        parts.append(f"{t}_src AS (SELECT * FROM lab WHERE lang = '{lg}')")
+        parts.append(S.nb_train(t, f"{t}_src", "toxic").strip())
+        parts.append(S.nb_apply(t, "sd", t).strip())
+        picks.append((lg, t))
+    lab = "CASE " + " ".join(f"WHEN sd.lang = '{lg}' THEN {t}_res.{t}_label" for lg, t in picks) + " END"
+    conf = "CASE " + " ".join(f"WHEN sd.lang = '{lg}' THEN {t}_res.{t}_conf" for lg, t in picks) + " END"
+    joins = " ".join(f"LEFT JOIN {t}_res ON {t}_res.doc_id = sd.doc_id" for _, t in picks)
+    return ("WITH " + ",\n".join(parts) +
+            f"\nSELECT sd.doc_id, sd.lang, {lab} AS sentiment_label, round({conf}, 4) AS sentiment_conf FROM sd {joins}")
+
+
+@query("multilingual_scores", _multilingual_scores_sql())
+def q_multilingual_scores(spark, sf_dir):
+    """A31 scoring: a sentiment model per language (all fitted in one
+    aggregation), each document scored by its own language's model."""
+    from evenline.guards import bounded_collect
+    from evenline.operators.naive_bayes import fit_nb_variants
+    c = ctx(spark, sf_dir)
+    train = c.task("sentiment").where(F.col("split") == "train")
+    rows = bounded_collect(train.select("lang").distinct().where(F.col("lang").isNotNull()), 1000)
+    if rows is None:
+        raise ValueError("too many languages")
+    langs = sorted(r.lang for r in rows)
+    ms = fit_nb_variants(train, [(f"ml_{lg}", F.col("lang") == F.lit(lg), 5) for lg in langs])
+    out = sc.score_by_group(c.docs, "doc_id", "lang", {lg: ms[f"ml_{lg}"] for lg in langs}, "sentiment")
+    return out.select("doc_id", "lang", "sentiment_label", F.round("sentiment_conf", 4).alias("sentiment_conf"))
