@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("EVENLINE_DRIVER_MEMORY", "12g")))
@@ -76,6 +77,7 @@ def ship_package(spark: SparkSession | None = None) -> None:
     if spark is None:
         return
     sc = spark.sparkContext
+    bound_arrow_batches(spark)
     if id(sc) in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -95,3 +97,37 @@ def ship_package(spark: SparkSession | None = None) -> None:
         z = shutil.make_archive(os.path.join(local, "evenline"), "zip", os.path.dirname(pkg), "evenline")
         sc.addPyFile(z)
     _SHIPPED.add(id(sc))
+
+
+ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ARROW_BATCH = 1024
+
+
+def bound_arrow_batches(spark: SparkSession, rows: int = TEXT_ARROW_BATCH) -> None:
+    """Whole documents reach 20,000 words; Spark's default Arrow batch of
+    10,000 rows could then hold a gigabyte of token arrays in one Python
+    worker. Bound it for the text UDFs unless the session set its own value."""
+    cur = spark.conf.get(ARROW_BATCH_CONF, None)
+    if cur is None or cur == "10000":
+        spark.conf.set(ARROW_BATCH_CONF, str(rows))
+
+
+def recommended_conf(shuffle_bytes: int, executors: int, cores_per_executor: int,
+                     partition_bytes: int = 256 << 20, split_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a cluster run. Shuffle partitions are sized from the bytes
+    the largest shuffle carries (not the input: here the heavy shuffles move
+    per-document sums, far smaller than the text), clamped to 2-20 per task
+    slot so map x reduce blocks stay manageable; AQE coalesces small partitions
+    and splits skewed ones at run time. Scans split at ``split_bytes``; Arrow
+    batches are bounded for long texts."""
+    slots = executors * cores_per_executor
+    parts = min(max(2 * slots, -(-shuffle_bytes // partition_bytes)), 20 * slots)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        ARROW_BATCH_CONF: str(TEXT_ARROW_BATCH),
+    }
