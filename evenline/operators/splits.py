@@ -56,17 +56,31 @@ def subset_order(key: str, tiebreak: str) -> list[Column]:
 
 
 def staged_subsets(df: DataFrame, sizes: Sequence[int] = (1000, 5000, 10000),
-                   key: str = "text", id_col: str = "example_id") -> DataFrame:
-    """Nested subsets of fixed sizes; one row per (stage, member).
-
-    The subset size is the feature here, so the plan is a top-k: ``orderBy +
-    limit`` runs as TakeOrderedAndProject (a bounded heap per partition, then a
-    merge of at most ``max(sizes)`` rows per partition). The ranking window then
-    runs over those at most ``max(sizes)`` rows only.
+                   key: str = "text", id_col: str = "example_id", oversample: float = 2.0) -> DataFrame:
+    """Nested subsets of fixed sizes; one row per (stage, member). Rows
+    are ordered by (md5(key), id); rows with a null key are in no subset.
+
+    A plain ``orderBy(...).limit(k)`` sends every partition's local top k to
+    one task (partitions x k rows). Instead, the first 32 bits of md5 are
+    uniform, so the rows with hash share below ``c`` are exactly a prefix of
+    the order: with ``c`` about ``2k / N`` only some ``2k`` rows in total reach
+    the top-k. If fewer than k pass (rare), ``c`` doubles and the step repeats,
+    so the result is exact. The at most ``k`` rows are checkpointed (bounded)
+    and ranked by a window over them alone.
     """
+    from evenline.session import ensure_checkpoint_dir
     k = max(sizes)
     order = subset_order(key, id_col)
-    top = df.orderBy(*order).limit(k)
+    keyed = df.where(F.col(key).isNotNull())
+    n = keyed.count()
+    c = min(1.0, oversample * k / max(n, 1) + 1e-9)
+    ensure_checkpoint_dir(df.sparkSession)
+    while True:
+        cand = keyed.where(hash_share(F.col(key)) < F.lit(c)) if c < 1.0 else keyed
+        top = cand.orderBy(*order).limit(k).checkpoint(eager=True)
+        if c >= 1.0 or top.count() >= k:
+            break
+        c = min(1.0, 2.0 * c)
     ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     stages = F.array(*[F.lit(s) for s in sorted(sizes)])
     return (ranked

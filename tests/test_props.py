@@ -142,3 +142,14 @@ def test_ready_made_split_is_kept(spark):
     out = {r.id: r.split for r in holdout_split(df, keep_existing=True).collect()}
     fresh = {r.id: r.split for r in holdout_split(df.drop("split")).collect()}
     assert out[1] == "validation" and out[2] == fresh[2]
+
+
+def test_staged_subsets_prefix_path_is_exact(spark):
+    import hashlib
+    rows = [(i, f"headline number {i % 1700}") for i in range(2000)]     # exact copies too
+    df = spark.createDataFrame(rows, "example_id long, text string")
+    want = sorted(rows, key=lambda r: (hashlib.md5(r[1].encode()).hexdigest(), r[0]))
+    for over in (2.0, 0.5):                                             # 0.5 forces the retry
+        got = staged_subsets(df, (5, 10, 20), "text", "example_id", oversample=over).collect()
+        for k in (5, 10, 20):
+            assert {r.example_id for r in got if r.stage == k} == {r[0] for r in want[:k]}
