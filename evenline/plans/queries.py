@@ -237,7 +237,7 @@ cmp AS (
 
 @query("before_after", f"""{_COMPARED_SQL}
 SELECT doc_id, {', '.join(f'{t}_before, {t}_after, {t}_flip' for t in TASKS)},
-       {', '.join(f'round(after_{ax} - before_{ax}, 4) AS {ax}_delta' for ax in cmp.AXES)}
+       {', '.join(f'(round(after_{ax} - before_{ax}, 4) + 0.0) AS {ax}_delta' for ax in cmp.AXES)}
 FROM cmp""")
 def q_before_after(spark, sf_dir):
     d = compared(spark, sf_dir)
@@ -255,7 +255,7 @@ def q_radar_rows(spark, sf_dir):
 @query("effect_summary", f"""{_COMPARED_SQL}
 SELECT split, lang, count(*) AS n, count(*) FILTER (WHERE changed) AS n_changed,
        round(avg(CAST(changed AS DOUBLE)), 4) AS share_changed,
-       {', '.join(f'round(avg(after_{ax} - before_{ax}), 4) AS {ax}_delta_mean' for ax in cmp.AXES)},
+       {', '.join(f'(round(avg(after_{ax} - before_{ax}), 4) + 0.0) AS {ax}_delta_mean' for ax in cmp.AXES)},
        {', '.join(f'round(avg(CAST({t}_flip AS DOUBLE)), 4) AS {t}_flip_rate' for t in TASKS)}
 FROM cmp GROUP BY ROLLUP (split, lang)""")
 def q_effect_summary(spark, sf_dir):
