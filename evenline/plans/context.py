@@ -19,7 +19,7 @@ from evenline.sources.corpus import PROXY_LABELS, documents, labelled_documents,
 TWO_WAY = (("train", 80), ("test", 20))
 THREE_WAY = (("train", 80), ("validation", 10), ("test", 10))
 
-_CACHE: dict[tuple[int, str], "Context"] = {}
+_CACHE: dict[tuple[int, str, str], "Context"] = {}
 
 
 class Context:
@@ -29,7 +29,7 @@ class Context:
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Context":
-        k = (id(spark), sf_dir.rstrip("/"))
+        k = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         if k not in _CACHE:
             _CACHE[k] = cls(spark, sf_dir)
         return _CACHE[k]

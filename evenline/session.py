@@ -65,7 +65,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession | None = None) -> None:
@@ -78,7 +78,7 @@ def ship_package(spark: SparkSession | None = None) -> None:
         return
     sc = spark.sparkContext
     bound_arrow_batches(spark)
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     base = scratch_path(spark, "pyfiles")
@@ -96,7 +96,7 @@ def ship_package(spark: SparkSession | None = None) -> None:
         os.makedirs(local, exist_ok=True)
         z = shutil.make_archive(os.path.join(local, "evenline"), "zip", os.path.dirname(pkg), "evenline")
         sc.addPyFile(z)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
 
 
 ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
