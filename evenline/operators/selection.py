@@ -108,3 +108,52 @@ def staged_rewriter(train: DataFrame, test: DataFrame, key: str, label: str = "l
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def staged_fit_tasks(train: DataFrame, test: DataFrame, key: str, labels: dict[str, str],
+                     fractions: Sequence[float] = (0.1, 0.5, 1.0), min_df: int = 5) -> DataFrame:
+    """A13 for several tasks over the same documents (``labels`` maps task to
+    its label column): every (task, stage) model comes from one aggregation and
+    one scoring pass; each is evaluated on the rows that carry its label."""
+    fr = sorted(fractions)
+    variants = [(f"{t}_s{int(round(f * 1000))}", share_below(F.col("text"), f), min_df, lab)
+                for t, lab in labels.items() for f in fr]
+    ms = fit_nb_variants(train, variants)
+    lab_cols = sorted(set(labels.values()))
+    s = nb_scores(test.select(key, "text", *[F.col(c).cast("string").alias(c) for c in lab_cols]),
+                  key, {"": "text"}, list(ms.values()), carry=lab_cols)
+    parts = []
+    for t, lab in labels.items():
+        for f in fr:
+            name = f"{t}_s{int(round(f * 1000))}"
+            m = ms[name]
+            ev = metrics.accuracy_and_loss(s, lab, f"{name}_label", f"{name}_probs", m.classes)
+            parts.append(ev.select(F.lit(t).alias("task"), F.lit(float(f)).alias("stage"),
+                                   F.lit(m.n_train).cast("bigint").alias("n_train"), "n", "accuracy", "log_loss"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def nb_candidates(train: DataFrame, test: DataFrame, key: str, labels: dict[str, str],
+                  min_dfs: Sequence[int] = (5, 3)) -> DataFrame:
+    """A11/A12 records for naive Bayes candidates of several tasks: all
+    (task, min_df) models from one aggregation and one scoring pass;
+    ``(task, model, accuracy, n_params)``."""
+    variants = [(f"{t}_nb_df{md}", None, md, lab) for t, lab in labels.items() for md in min_dfs]
+    ms = fit_nb_variants(train, variants)
+    lab_cols = sorted(set(labels.values()))
+    s = nb_scores(test.select(key, "text", *[F.col(c).cast("string").alias(c) for c in lab_cols]),
+                  key, {"": "text"}, list(ms.values()), carry=lab_cols)
+    parts = []
+    for t, lab in labels.items():
+        for md in min_dfs:
+            name = f"{t}_nb_df{md}"
+            acc = metrics.accuracy(s, lab, f"{name}_label")
+            parts.append(acc.select(F.lit(t).alias("task"), F.lit(f"nb_df{md}").alias("model"), "accuracy",
+                                    F.lit(ms[name].n_params).cast("bigint").alias("n_params")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

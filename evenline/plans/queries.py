@@ -422,8 +422,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY n_params ASC,
            FROM near WHERE accuracy >= best - 0.01)
 SELECT task, model, accuracy, CAST(n_params AS BIGINT) AS n_params FROM ranked WHERE r = 1""")
 def q_select_model(spark, sf_dir):
-    from evenline.operators.naive_bayes import fit_nb_variants, nb_scores
-    from evenline.operators.selection import select_model
+    from evenline.operators.selection import nb_candidates, select_model
     c = ctx(spark, sf_dir)
     parts = []
     for t in TASKS:
@@ -432,18 +431,24 @@ def q_select_model(spark, sf_dir):
         parts.append(maj.select(F.lit(t).alias("task"), F.lit("majority").alias("model"),
                                 F.col("majority_accuracy").alias("accuracy"),
                                 F.lit(1).cast("bigint").alias("n_params")))
-        ms = fit_nb_variants(train, [(f"nb_df{md}", None, md) for md in CANDIDATE_MIN_DF])
-        s = nb_scores(test, "example_id", {"": "text"}, list(ms.values()), carry=["label"])
-        for name, m in ms.items():
-            acc = metrics.accuracy(s, "label", f"{name}_label")
-            parts.append(acc.select(F.lit(t).alias("task"), F.lit(name).alias("model"), "accuracy",
-                                    F.lit(m.n_params).cast("bigint").alias("n_params")))
-    recs = parts[0]
-    for p in parts[1:]:
+    train, test = _all_tasks(c)
+    recs = nb_candidates(train, test, "doc_id", TASK_LABELS, CANDIDATE_MIN_DF)
+    for p in parts:
         recs = recs.unionByName(p)
     return select_model(recs, "accuracy", 0.01, "n_params").select("task", "model", "accuracy", "n_params")
 
 
+TASK_LABELS = {"truth": "quality", "sentiment": "toxic", "bias": "lang"}
+
+
+def _all_tasks(c: Context) -> tuple[DataFrame, DataFrame]:
+    """Train and held-out documents with every task's label column (labels
+    are one row per document, joined on)."""
+    labels = c.table("labels").select("doc_id", "quality", "toxic")
+    d = c.docs.join(labels, "doc_id", "left")
+    return d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+
+
 STAGE_FRACTIONS = (0.1, 0.5, 1.0)  # shares of the 1K/5K/10K ladder
 
 
@@ -468,14 +473,9 @@ def _staged_fit_sql() -> str:
 
 @query("staged_fit", _staged_fit_sql())
 def q_staged_fit(spark, sf_dir):
-    from evenline.operators.selection import staged_fit
-    c = ctx(spark, sf_dir)
-    out = None
-    for t in TASKS:
-        train = c.task(t).where(F.col("split") == "train")
-        s = staged_fit(train, _task_test(c, t), "example_id", t, STAGE_FRACTIONS, 5)
-        out = s if out is None else out.unionByName(s)
-    return out
+    from evenline.operators.selection import staged_fit_tasks
+    train, test = _all_tasks(ctx(spark, sf_dir))
+    return staged_fit_tasks(train, test, "doc_id", TASK_LABELS, STAGE_FRACTIONS, 5)
 
 
 @query("model_compare")
