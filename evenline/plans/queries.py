@@ -562,14 +562,22 @@ def q_stream_neutralize(spark, sf_dir):
 
 
 def doc_values(c: Context) -> DataFrame:
-    """Per document axis values of the original text (one scoring pass)."""
+    """Per document axis values of the original text: one scoring pass,
+    checkpointed once per dataset (one small row per document), then shared by
+    the profile, history, personalised and stream queries instead of scoring
+    the text again in every branch that needs it."""
     from evenline.operators.naive_bayes import class_probability
+    cached = getattr(c, "_doc_values", None)
+    if cached is not None:
+        return cached
     a = sc.analyse(c.docs, [c.models[t] for t in TASKS], "doc_id", "text")
-    return a.where(F.col("truth_label").isNotNull()).select(
+    dv = a.where(F.col("truth_label").isNotNull()).select(
         "doc_id",
         class_probability("truth", c.models["truth"].classes, "1").alias("truth_probability"),
         class_probability("sentiment", c.models["sentiment"].classes, "1").alias("emotional_intensity"),
         F.col("bias_conf").alias("bias_degree"))
+    c._doc_values = dv.checkpoint(eager=True)
+    return c._doc_values
 
 
 def reads(c: Context) -> DataFrame:
