@@ -553,10 +553,10 @@ SELECT rw.doc_id, rw.lang, rw.neutral, rw.neutral IS DISTINCT FROM rw.text AS ch
 FROM rw LEFT JOIN sentiment_res ON sentiment_res.doc_id = rw.doc_id
         LEFT JOIN after_sentiment_res ON after_sentiment_res.doc_id = rw.doc_id""")
 def q_stream_neutralize(spark, sf_dir):
-    from evenline.streaming.live import file_stream, neutralize_stream
+    from evenline.streaming.live import neutralize_stream, table_stream
     c = ctx(spark, sf_dir)
     schema = c.table("documents").schema
-    stream = file_stream(spark, c.sf_dir, "documents.parquet", schema)
+    stream = table_stream(spark, c.sf_dir, "documents", schema)
     out = neutralize_stream(spark, stream, stream_process(c), partition_by=["lang"])
     return out.select("doc_id", "lang", "neutral", "changed", "sentiment_before", "sentiment_after")
 
@@ -658,10 +658,10 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, cou
 FROM reads JOIN dv ON dv.doc_id = reads.doc_id GROUP BY 1""")
 def q_stream_windows(spark, sf_dir):
     from evenline.operators.profile import link_reads
-    from evenline.streaming.live import file_stream, run_complete, windowed_scores
+    from evenline.streaming.live import run_complete, table_stream, windowed_scores
     c = ctx(spark, sf_dir)
     n_docs = c.n_docs
-    ev = file_stream(spark, c.sf_dir, "events.parquet", c.table("events").schema)
+    ev = table_stream(spark, c.sf_dir, "events", c.table("events").schema)
     r = link_reads(ev.select("event_id", "ts", "user_id"), n_docs)
     agg = windowed_scores(r, doc_values(c).select("doc_id", "emotional_intensity"), "ts", "event_id",
                           "doc_id", "1 day", "1 hour", ("emotional_intensity",))

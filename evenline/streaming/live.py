@@ -33,6 +33,18 @@ def file_stream(spark: SparkSession, folder: str, file_glob: str, schema: Struct
     return r.parquet(folder)
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, schema: StructType,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream a table stored as ``folder/name.parquet``: one file (a glob
+    filter over the folder) or a directory of part files."""
+    import os
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" not in local and os.path.isdir(local):
+        return file_stream(spark, path, "*.parquet", schema, max_files_per_trigger)
+    return file_stream(spark, folder, f"{name}.parquet", schema, max_files_per_trigger)
+
+
 def run_foreach_batch(stream: DataFrame, process: Callable[[DataFrame, int], DataFrame],
                       sink: str, checkpoint: str, partition_by: Sequence[str] = (),
                       available_now: bool = True, timeout_s: float | None = None):
