@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenline.llm.repeats import remove_repeats
+from evenline.llm.setjoin import jaccard_components
 from evenline.sources.corpus import table
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = remove_repeats(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op10_substring_dedup": op10_substring_dedup}
+QUERIES = {"op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+           "op10_substring_dedup": op10_substring_dedup}
 ORACLE: dict[str, str] = {}
