@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenline.llm.language import fit_profiles, predict_language
+from evenline.llm.mixing import mix_sources
 from evenline.llm.repeats import remove_repeats
 from evenline.llm.setjoin import jaccard_components
+from evenline.llm.toxicity import fit_toxicity, score_toxicity
 from evenline.sources.corpus import table
 
 
@@ -14,6 +17,33 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def _remainder(modulus: int):
+    """crc32 of the id as text, modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+THRESHOLD = 0.7
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    train = F.coalesce(_remainder(3) != 1, F.lit(True))
+    model = fit_toxicity(docs.where(train), table(spark, sf_dir, "labels").select("doc_id", "toxic").where(train))
+    return score_toxicity(docs, model).select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score",
+                                              (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_sentences", "worst")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    train = F.coalesce(_remainder(3) != 1, F.lit(False))
+    found = predict_language(docs, fit_profiles(docs.where(train)))
+    return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir))
 
@@ -23,6 +53,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+QUERIES = {"op1_toxicity": op1_toxicity,
+           "op3_mixing": op3_mixing,
+           "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+           "op9_language_id": op9_language_id,
            "op10_substring_dedup": op10_substring_dedup}
 ORACLE: dict[str, str] = {}

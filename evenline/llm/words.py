@@ -61,9 +61,10 @@ class Block:
     def n_words(self) -> np.ndarray:
         return np.diff(self.word_offsets)
 
-    def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash per word (polynomial in its bytes, then mixed with its length)."""
+    def hashes(self, seed: int = 0, ends: np.ndarray | None = None) -> np.ndarray:
+        """A 64-bit hash per word, or per word up to ``ends`` (polynomial in its bytes, then mixed with its length)."""
         out = np.empty(len(self.start), np.uint64)
+        stop = self.end if ends is None else ends
         a = 0
         while a < len(out):
             base = self.start[a]
@@ -72,7 +73,7 @@ class Block:
             p, q = _powers(hi - lo)
             c = np.zeros(hi - lo + 1, np.uint64)
             np.cumsum((self.data[lo:hi].astype(np.uint64) + np.uint64(1)) * p[:hi - lo], out=c[1:])
-            s, e = self.start[a:b] - lo, self.end[a:b] - lo
+            s, e = self.start[a:b] - lo, stop[a:b] - lo
             out[a:b] = (c[e] - c[s]) * q[s] ^ ((e - s).astype(np.uint64) << np.uint64(48))
             a = b
         return mix64(out ^ np.uint64(seed))
@@ -95,8 +96,9 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), off.astype(np.int64)
 
 
-def blocks(col: pa.Array, lower: bool = False, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
-    """Cut a text column into blocks and find their words; ``lower`` maps A-Z to a-z first."""
+def blocks(col: pa.Array, lower: bool = False, block_bytes: int = BLOCK_BYTES, space: np.ndarray = _SPACE) -> Iterator[Block]:
+    """Cut a text column into blocks and find their words; ``lower`` maps A-Z to
+    a-z first, ``space`` marks the bytes that part words."""
     data, off = text_buffers(col)
     n, a = len(off) - 1, 0
     while a < n:
@@ -105,7 +107,7 @@ def blocks(col: pa.Array, lower: bool = False, block_bytes: int = BLOCK_BYTES) -
         if lower:
             d = _LOWER[d]
         o = off[a:b + 1] - off[a]
-        inner = ~_SPACE[d]
+        inner = ~space[d]
         edge = np.zeros(len(d) + 1, bool)
         edge[o] = True  # a document's bounds end words
         edge[0] = True
