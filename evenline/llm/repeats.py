@@ -251,10 +251,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sk
         hits = (alone.mapInArrow(_anchor_rows(width, gram, bits), "cell long, doc_id long, start int, n int")
                 .join(repeated, "cell", "left_semi").groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns")))
         found = alone.join(hits, "doc_id").mapInArrow(_listed_windows(width), "h1 long, h2 long, doc_id long, start int")
-    windows = spool(found, "windows")
-    first = (windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("h1", "h2", "first"))
-    marks = (windows.join(first, ["h1", "h2"]).where(F.struct("doc_id", "start") != F.col("first"))
+    # the windows are found twice rather than written: hashing is cheaper than their disk. The first positions are
+    # written, so that both sides of the join are plain exchanges and a hot window's rows can be split.
+    first = spool(found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+                  .where("n > 1").select("h1", "h2", "first"), "first")
+    marks = (found.join(first, ["h1", "h2"]).where(F.struct("doc_id", "start") != F.col("first"))
              .groupBy("doc_id").agg(F.collect_list("start").alias("starts")))
     changes = marks.select("doc_id", "starts", F.lit(False).alias("is_copy")).unionByName(
         copies.select("doc_id", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("is_copy")))
