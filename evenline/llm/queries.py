@@ -10,6 +10,8 @@ from evenline.llm.mixing import mix_sources
 from evenline.llm.repeats import remove_repeats
 from evenline.llm.setjoin import jaccard_components
 from evenline.llm.toxicity import fit_toxicity, score_toxicity
+from evenline.llm.wavelet import read_tokens, write_tokens
+from evenline.session import scratch_path
 from evenline.sources.corpus import table
 
 
@@ -37,6 +39,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    out = scratch_path(spark, "tokens")
+    write_tokens(_documents(spark, sf_dir), out, public_tokenizers.path("word_bpe_49k.json"))
+    return read_tokens(spark, out)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     train = F.coalesce(_remainder(3) != 1, F.lit(False))
@@ -55,6 +64,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_toxicity": op1_toxicity,
            "op3_mixing": op3_mixing,
+           "op5_token_output": op5_token_output,
            "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
            "op9_language_id": op9_language_id,
            "op10_substring_dedup": op10_substring_dedup}
