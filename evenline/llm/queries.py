@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenline.llm.iblt import fingerprints
 from evenline.llm.language import fit_profiles, predict_language
 from evenline.llm.mixing import mix_sources
 from evenline.llm.repeats import remove_repeats
@@ -46,6 +47,10 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, out)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_documents(spark, sf_dir))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     train = F.coalesce(_remainder(3) != 1, F.lit(False))
@@ -65,6 +70,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_toxicity": op1_toxicity,
            "op3_mixing": op3_mixing,
            "op5_token_output": op5_token_output,
+           "op6_fingerprints": op6_fingerprints,
            "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
            "op9_language_id": op9_language_id,
            "op10_substring_dedup": op10_substring_dedup}
