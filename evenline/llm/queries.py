@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evenline.llm.iblt import fingerprints
 from evenline.llm.language import fit_profiles, predict_language
+from evenline.llm.likelihood import score_texts
 from evenline.llm.mixing import mix_sources
 from evenline.llm.repeats import remove_repeats
 from evenline.llm.setjoin import jaccard_components
@@ -51,6 +52,13 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_documents(spark, sf_dir))
 
 
+def op7_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = score_texts(docs, F.coalesce(_remainder(7) != 2, F.lit(True)), public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     train = F.coalesce(_remainder(3) != 1, F.lit(False))
@@ -71,6 +79,7 @@ QUERIES = {"op1_toxicity": op1_toxicity,
            "op3_mixing": op3_mixing,
            "op5_token_output": op5_token_output,
            "op6_fingerprints": op6_fingerprints,
+           "op7_lattice_likelihood": op7_lattice_likelihood,
            "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
            "op9_language_id": op9_language_id,
            "op10_substring_dedup": op10_substring_dedup}

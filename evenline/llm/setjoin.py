@@ -99,8 +99,10 @@ def _merge(pdf):
     total = np.zeros(1 << SHARD_BITS, np.uint64)
     for raw in pdf["counts"]:
         total += np.frombuffer(raw, np.uint8)
-    level = np.ceil(np.log2(total.astype(np.float64) + 1)).astype(np.uint8)
-    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "levels": [level.tobytes()], "f1": [float(total.sum())], "f2": [float((total.astype(np.float64) ** 2).sum())]})
+    total = total.astype(np.float64)
+    level = np.ceil(np.log2(total + 1)).astype(np.uint8)
+    usual = total[total <= 2 * total.mean() + 2]  # prefixes take the rarest shingles, so cells of frequent ones don't count
+    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "levels": [level.tobytes()], "cells": [float(len(usual))], "f1": [float(usual.sum())], "f2": [float((usual ** 2).sum())]})
 
 
 def allowed(n: int, percent: int) -> int:
@@ -207,10 +209,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     seen = spool(docs.mapInArrow(_describe(width, bits), "doc_id long, n long, node long, shard int, counts binary"), "described")
     stats = seen.where("shard is null").select("doc_id", "n", "node")
     levels = np.zeros(1 << bits, np.uint8)
-    f1 = f2 = 0.0
-    for r in seen.where("shard is not null").groupBy("shard").applyInPandas(_merge, "shard int, levels binary, f1 double, f2 double").toLocalIterator():
+    cells = f1 = f2 = 0.0
+    for r in seen.where("shard is not null").groupBy("shard").applyInPandas(_merge, "shard int, levels binary, cells double, f1 double, f2 double").toLocalIterator():
         levels[r["shard"] << SHARD_BITS:(r["shard"] + 1) << SHARD_BITS] = np.frombuffer(r["levels"], np.uint8)
-        f1, f2 = f1 + r["f1"], f2 + r["f2"]
+        cells, f1, f2 = cells + r["cells"], f1 + r["f1"], f2 + r["f2"]
 
     reps = stats.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count("*").alias("copies"))
     reps = spool(reps, "nodes")
@@ -218,12 +220,12 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     alone = docs.where("doc_id is not null").join(F.broadcast(more) if more.count() <= MAX_BROADCAST_IDS else more, "doc_id", "left_anti")
 
     histogram = {r["n"]: r["c"] for r in reps.groupBy(F.least("n", F.lit(400)).alias("n")).agg(F.count("*").alias("c")).collect()}
-    expected = max(0.0, f2 / f1 - 1 - f1 / (1 << bits)) if f1 else 0.0
+    expected = max(0.0, f2 / f1 - 1 - f1 / cells) if f1 else 0.0
     boundary = choose_boundary(histogram, expected, percent)
     posted = alone.select("text").mapInArrow(_postings(width, percent, bits, boundary, spark.sparkContext.broadcast(levels)), "sig long, node long, size int")
-    posted = spool(posted, "postings")
+    # postings are made twice rather than written: hashing is cheaper than their disk
     lists = posted.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader != last").select("sig", "leader")
-    lists = spool(posted.join(lists, "sig"), "lists")
+    lists = spool(posted.join(spool(lists, "leaders"), "sig"), "lists")
 
     votes = lists.where("node != leader").groupBy("node", "leader", "size").agg(F.count("*").alias("votes"))
     best = votes.groupBy("node", "size").agg(F.max(F.struct("votes", "leader")).alias("best"))
