@@ -232,8 +232,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sk
         raise ValueError("gram must lie between 1 and width")
 
     seq = docs.mapInArrow(_sequence_hash, "doc_id long, n_words long, seq binary")
-    first = seq.where(F.col("n_words") >= width).groupBy("seq").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    copies = spool(seq.join(first, "seq").where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "copies")
+    first = seq.where(F.col("n_words") >= width).groupBy("seq").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("seq", "first_id")
+    copies = spool(seq.join(spool(first, "sequences"), "seq").where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "copies")
     small = copies.count() <= MAX_BROADCAST_IDS
     alone = docs.join(F.broadcast(copies) if small else copies, "doc_id", "left_anti")
 
