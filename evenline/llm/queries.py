@@ -11,6 +11,8 @@ from evenline.llm.likelihood import score_texts
 from evenline.llm.mixing import mix_sources
 from evenline.llm.repeats import remove_repeats
 from evenline.llm.setjoin import jaccard_components
+from evenline.llm.recount import count_with_edits
+from evenline.llm.templates import find_contamination
 from evenline.llm.toxicity import fit_toxicity, score_toxicity
 from evenline.llm.wavelet import read_tokens, write_tokens
 from evenline.session import scratch_path
@@ -41,6 +43,28 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def _edits(text: str = "text"):
+    """Three edits of every text: a cut at a quarter, its head put in at the middle, its tail in capitals."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    n = F.length(t).cast("long")
+    quarter, middle = F.floor(n / 4), F.floor(n / 2)
+
+    def edit(start, end, new):
+        return F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), new.alias("new"))
+    cut = F.least(F.lit(40), F.floor(n / 8))
+    return F.array(edit(quarter, quarter + cut, F.lit("")), edit(middle, middle, F.substring(t, 1, 30)),
+                   edit(n - cut + F.least(F.lit(30), n) - F.least(F.lit(20), n), n, F.upper(F.substring(t, -20, 20))))
+
+
+def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return count_with_edits(_documents(spark, sf_dir), _edits(), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     out = scratch_path(spark, "tokens")
@@ -77,6 +101,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_toxicity": op1_toxicity,
            "op3_mixing": op3_mixing,
+           "op2_decontamination": op2_decontamination,
+           "op4_edit_aware_counts": op4_edit_aware_counts,
            "op5_token_output": op5_token_output,
            "op6_fingerprints": op6_fingerprints,
            "op7_lattice_likelihood": op7_lattice_likelihood,
