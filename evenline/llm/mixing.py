@@ -15,7 +15,7 @@ source. Selection inside a length is cut over ``BUCKETS`` hash ranges: only the
 one range where the count falls is ranked, so a length that a third of all
 documents share is no single task.
 
-Null and blank texts have size 0 and are never taken; null sources are one
+Null and blank texts have size 0 and add no word; null sources are one
 source; repeated rows count as documents of their own (equal rows are
 interchangeable). An empty table gives an empty result.
 """
@@ -129,31 +129,54 @@ def _plan(pdf):
     return pdf[["source", "size", "n", "source_size", "target", "full", "extra"]]
 
 
+def _same(a: str, b: str, *cols: str) -> Column:
+    on = F.lit(True)
+    for c in cols:
+        on = on & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return on
+
+
+def _keyed(docs: DataFrame, seed: int) -> DataFrame:
+    """``docs`` with the columns that selection needs, as ``_source, _size, _h, _bucket``."""
+    return (docs.withColumn("_source", F.col("source").cast("string")).withColumn("_size", n_words(F.col("text")))
+            .withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), "_size")).withColumn("_bucket", F.pmod("_h", F.lit(BUCKETS)).cast("int")))
+
+
+def _plan_cells(keyed: DataFrame, weights: Sequence[int]) -> DataFrame:
+    """Per (source, size, bucket): whole copies ``full`` of every document, and how many of its ``n`` documents ``k`` are taken once more."""
+    cells = spool(keyed.groupBy("_source", "_size", "_bucket").agg(F.count("*").alias("n")), "lengths")
+    lengths = cells.groupBy("_source", "_size").agg(F.sum("n").alias("n")).withColumnsRenamed({"_source": "source", "_size": "size"})
+    targets = spool(source_targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights), "targets")
+    given = lengths.alias("l").join(targets.alias("t"), _same("l", "t", "source")).select("l.source", "l.size", "l.n", "t.source_size", "t.target")
+    plan = spool(given.groupBy("source").applyInPandas(_plan, "source string, size long, n long, source_size long, target double, full int, extra long"), "plan")
+    part = cells.alias("c").join(plan.withColumnsRenamed({"source": "_source", "size": "_size"}).alias("p"), _same("c", "p", "_source", "_size"))
+    part = part.select("c._source", "c._size", "c._bucket", "c.n", "p.extra", "p.full", "p.source_size", "p.target")
+    upto = W.partitionBy("_source", "_size").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    return part.withColumn("k", F.greatest(F.lit(0), F.least("n", F.col("extra") - F.coalesce(F.sum("n").over(upto), F.lit(0)))))
+
+
+def _select(keyed: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` with ``_copies``, their copies in the mix; only ranges that the count cuts are ranked."""
+    rows = keyed.alias("d").join(cells.alias("p"), _same("d", "p", "_source", "_size", "_bucket")).select(
+        "d.*", *[F.col(f"p.{c}").alias(f"_{c}") for c in ("source_size", "target", "full", "k", "n")])
+    whole = rows.where("_k = 0 or _k = _n").withColumn("_copies", F.col("_full") + (F.col("_k") > 0).cast("int"))
+    rank = F.row_number().over(W.partitionBy("_source", "_size", "_bucket").orderBy("_h", "doc_id"))
+    cut = rows.where("_k > 0 and _k < _n").withColumn("_copies", F.col("_full") + (rank <= F.col("_k")).cast("int"))
+    return whole.unionByName(cut)
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` per row of ``docs`` (``doc_id, text, source``);
     ``taken`` is ``size`` times the document's copies in the mix."""
     ship_package(docs.sparkSession)
-    h = F.xxhash64(F.lit(seed), "doc_id", "size")
-    sized = spool(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size"))
-                  .withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int")), "sizes")
-    cells = spool(sized.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")), "lengths")
-    lengths = cells.groupBy("source", "size").agg(F.sum("n").alias("n"))
-    targets = spool(source_targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights), "targets")
+    keyed = spool(_keyed(docs.select(F.col("doc_id").cast("long"), "source", "text"), seed).drop("text", "source"), "sizes")
+    return _select(keyed, _plan_cells(keyed, weights)).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+                                                              F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
-    def same(a: str, b: str, *cols: str) -> Column:
-        on = F.lit(True)
-        for c in cols:
-            on = on & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-        return on
-    given = lengths.alias("l").join(targets.alias("t"), same("l", "t", "source")).select("l.source", "l.size", "l.n", "t.source_size", "t.target")
-    plan = spool(given.groupBy("source").applyInPandas(_plan, "source string, size long, n long, source_size long, target double, full int, extra long"), "plan")
 
-    upto = W.partitionBy("source", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    part = cells.alias("c").join(plan.alias("p"), same("c", "p", "source", "size")).select("c.source", "c.size", "c.bucket", "c.n", "p.extra", "p.full", "p.source_size", "p.target")
-    part = part.withColumn("k", F.greatest(F.lit(0), F.least("n", F.col("extra") - F.coalesce(F.sum("n").over(upto), F.lit(0)))))
-    rows = sized.alias("d").join(part.alias("p"), same("d", "p", "source", "size", "bucket")).select(
-        "d.doc_id", "d.size", "d.h", "d.bucket", "d.source", "p.source_size", "p.target", "p.full", "p.k", "p.n")
-    whole = rows.where("k = 0 or k = n").withColumn("more", (F.col("k") > 0).cast("int"))
-    rank = F.row_number().over(W.partitionBy("source", "size", "bucket").orderBy("h", "doc_id"))
-    cut = rows.where("k > 0 and k < n").withColumn("more", (rank <= F.col("k")).cast("int"))
-    return whole.unionByName(cut).select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("full") + F.col("more"))).alias("taken"))
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """The mix itself: rows of ``docs`` with all their columns, as often as they are taken."""
+    ship_package(docs.sparkSession)
+    keyed = spool(_keyed(docs, seed).select("_source", "_size", "_bucket"), "sizes")
+    out = _select(_keyed(docs, seed), _plan_cells(keyed, weights)).where("_copies > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -28,12 +28,17 @@ def _remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def training_rows():
+    """Rows that toxicity and language labels may be learned from."""
+    return F.coalesce(_remainder(3) != 1, F.lit(True))
+
+
 THRESHOLD = 0.7
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    train = F.coalesce(_remainder(3) != 1, F.lit(True))
+    train = training_rows()
     model = fit_toxicity(docs.where(train), table(spark, sf_dir, "labels").select("doc_id", "toxic").where(train))
     return score_toxicity(docs, model).select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score",
                                               (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_sentences", "worst")
@@ -85,7 +90,7 @@ def op7_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    train = F.coalesce(_remainder(3) != 1, F.lit(False))
+    train = training_rows()
     found = predict_language(docs, fit_profiles(docs.where(train)))
     return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from evenline.llm.graph import components
 from evenline.llm.spool import spool
@@ -257,3 +258,19 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     return (stats.withColumn("key", F.when(F.col("n") > 0, F.col("node")))
             .join(by_node.withColumnRenamed("node", "key"), "key", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+
+
+def keep_one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` with all their columns, one of every component: that of
+    the smallest ``doc_id``, and of rows that share it the one with the smallest
+    text hash. Empty texts and null ids link with nothing and stay."""
+    found = jaccard_components(docs, width, percent)
+    gone = spool(found.where("component_id != doc_id").select("doc_id").distinct(), "gone")
+    again = spool(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    out = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, "doc_id", "left_anti")
+    if again.isEmpty():
+        return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    once = out.join(again, "doc_id", "left_anti")
+    first = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    some = out.join(again, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return once.unionByName(some.drop("_nth")).select(*[F.col(f"`{c}`") for c in docs.columns])

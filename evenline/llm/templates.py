@@ -34,6 +34,7 @@ MIN_TOKENS = 4
 MIN_LITERALS = 4      # plain words that a template window must keep
 MIN_COVERAGE = 0.4
 BITMAP_BITS = 26
+MAX_BROADCAST_IDS = 1_000_000
 _ODD = 0xAEF17502108EF2D9
 
 # Unit words and number words.
@@ -186,3 +187,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
     both = both.where((F.size("slots") == items_n) & (F.size("slots") == docs_n))
     return both.select("doc_id", "item_id", "matched", "windows", "coverage", F.size("slots").alias("slots"), changed.alias("changed"),
                        F.when(changed > 0, "reparameterised").otherwise("copy").alias("kind"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with all their columns, without documents that hold a benchmark item."""
+    gone = spool(find_contamination(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    out = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, "doc_id", "left_anti")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -109,7 +109,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     if not any(r["toxic"] for r in picked):
         return ToxicityModel(np.zeros(1 << DIM_BITS, np.float32), -np.inf, len(picked))
     chosen = docs.sparkSession.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in picked], "doc_id long, toxic int")
-    # natural rate: positives are over-represented in the sample, so their weight is undone in the bias
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("toxic", "doc_id", "text")
 
     def fit(batches):
@@ -137,6 +136,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     return ToxicityModel(w, bias, len(picked))
 
 
+def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float) -> DataFrame:
+    """Rows of ``docs`` that score under ``threshold``, with all their columns; a map without a join."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    held = spark.sparkContext.broadcast((model.weights, model.bias))
+    names, text = docs.columns, docs.columns.index("text")
+
+    def run(batches):
+        w, bias = held.value
+        for batch in batches:
+            keep = []
+            for b, f, s, d in _bags(batch.column(text)):
+                soft = _softplus(bias + np.bincount(s, w[f].sum(1), len(d))) if np.isfinite(bias) and len(d) else np.zeros(len(d))
+                keep.append(-np.expm1(-np.bincount(d, soft, b.n_docs)) < threshold)
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, docs.schema)
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``doc_id, score, n_sentences, worst`` per row; ``worst`` is the offending sentence's
     ``(start, length, p)`` in bytes of the text, null without sentences."""
