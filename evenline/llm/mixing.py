@@ -75,7 +75,7 @@ def nearest_subset(sizes: Sequence[int], counts: Sequence[int], budget: int) ->
     live = [k for k in range(len(sizes)) if sizes[k] > 0 and counts[k] > 0]
     if not live or budget <= 0:
         return took
-    top = budget + min(sizes[k] for k in live)
+    top = budget + min(budget, max(sizes[k] for k in live))  # a sum further off loses to taking nothing
     g = 0
     for k in live:
         g = gcd(g, sizes[k])
