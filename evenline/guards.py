@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, Row
 # Defaults, overridable per call. A lexicon inlined as an IN-set or a weights
 # table broadcast to every executor must stay well inside executor memory.
 MAX_INLINE_TERMS = 50_000
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 << 20
+KEY_BYTES = 64  # a term with its row overhead
 MAX_CLASSES = 1_000
 
 

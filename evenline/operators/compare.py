@@ -31,7 +31,7 @@ def rescore(df: DataFrame, models: Sequence[NBModel], key: str, before: str = "t
     """Every model on the original and on the rewrite, in one pass
     (one explode, one join, one aggregate per key). Only rows the rewrite
     changed explode the rewrite; the others reuse the original's sums."""
-    return nb_scores(df, key, {"before": before, "after": after}, list(models), carry,
+    return nb_scores(df, key, {"before": before, "after": after}, models, carry,
                      reuse={"after": "before"})
 
 

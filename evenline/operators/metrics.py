@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenline.guards import MAX_CLASSES, bounded_collect
 from evenline.functions.overlap import gram_count, ngram_overlap
 from evenline.functions.text import tokens
 
@@ -52,43 +51,38 @@ def majority_baseline(train: DataFrame, test: DataFrame, label: str = "label",
     (ties to the smaller label)."""
     from pyspark.sql import Window
     counts = train.where(F.col(label).isNotNull()).groupBy(*by, label).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*by).orderBy(F.col("c").desc(), F.col(label).asc()) if by else \
-        Window.orderBy(F.col("c").desc(), F.col(label).asc())
-    top = counts.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
-        *by, F.col(label).alias("_major"))
-    # one label per group: a bounded table, inlined as a CASE over the groups
-    rows = bounded_collect(top, MAX_CLASSES)
-    if rows is None:
-        raise ValueError("too many groups for a majority baseline")
-    major = None
-    for r in rows:
-        cond = F.lit(True)
-        for b in by:
-            cond = cond & (F.col(b) == F.lit(r[b]))
-        major = F.when(cond, F.lit(r["_major"])) if major is None else major.when(cond, F.lit(r["_major"]))
     t = test.where(F.col(label).isNotNull())
-    hit = (F.col(label) == major).cast("double") if major is not None else F.lit(None).cast("double")
-    return t.groupBy(*by).agg(F.round(F.avg(hit), 4).alias("majority_accuracy"))
+    if by:  # one label per group, joined on: any number of groups
+        w = Window.partitionBy(*by).orderBy(F.col("c").desc(), F.col(label).asc())
+        top = counts.withColumn("_r", F.row_number().over(w)).where("_r = 1")
+        t = t.join(top.select(*by, F.col(label).alias("_major")), list(by), "left")
+        major = F.col("_major")
+    else:
+        first = counts.orderBy(F.col("c").desc(), F.col(label).asc()).first()
+        major = F.lit(first[label]) if first else F.lit(None).cast("string")
+    return t.groupBy(*by).agg(F.round(F.avg((F.col(label) == major).cast("double")), 4).alias("majority_accuracy"))
 
 
 def log_loss(df: DataFrame, label: str, probs: str, classes: Sequence[str], eps: float = EPS,
              by: Sequence[str] = ()) -> DataFrame:
-    """Mean ``-ln(max(p[label], eps))`` over rows with a label and scores."""
+    """Mean ``-ln(max(p[label], eps))`` over rows with a label and scores;
+    a label the model never saw has probability 0 and costs ``-ln(eps)``."""
     cls = F.array(*[F.lit(c) for c in classes])
     pos = F.array_position(cls, F.col(label)).cast("int")
-    p = F.element_at(F.col(probs), pos)
-    ok = df.where(F.col(label).isNotNull() & F.col(probs).isNotNull() & (pos > 0))
+    p = F.when(pos > 0, F.element_at(F.col(probs), F.greatest(pos, F.lit(1)))).otherwise(F.lit(0.0))
+    ok = df.where(F.col(label).isNotNull() & F.col(probs).isNotNull())
     return ok.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
                                F.round(F.avg(-F.log(F.greatest(p, F.lit(eps)))), 4).alias("log_loss"))
 
 
 def accuracy_and_loss(df: DataFrame, label: str, pred: str, probs: str, classes: Sequence[str],
                       eps: float = EPS, by: Sequence[str] = ()) -> DataFrame:
-    """A14 and A15 in one aggregate: ``(by..., n, correct, accuracy, log_loss)``."""
+    """A14 and A15 in one aggregate: ``(by..., n, correct, accuracy, log_loss)``;
+    an unseen label counts as wrong."""
     cls = F.array(*[F.lit(c) for c in classes])
     pos = F.array_position(cls, F.col(label)).cast("int")
-    ok = df.where(F.col(label).isNotNull() & F.col(pred).isNotNull() & (pos > 0))
-    p = F.element_at(F.col(probs), pos)
+    ok = df.where(F.col(label).isNotNull() & F.col(pred).isNotNull())
+    p = F.when(pos > 0, F.element_at(F.col(probs), F.greatest(pos, F.lit(1)))).otherwise(F.lit(0.0))
     return (ok.groupBy(*by)
               .agg(F.count(F.lit(1)).alias("n"),
                    F.count_if(F.col(label) == F.col(pred)).alias("correct"),
@@ -96,6 +90,27 @@ def accuracy_and_loss(df: DataFrame, label: str, pred: str, probs: str, classes:
               .withColumn("accuracy", F.round(F.col("correct") / F.col("n"), 4)))
 
 
+def evaluate_long(scored: DataFrame, specs: Sequence[tuple], eps: float = EPS) -> DataFrame:
+    """A14 and A15 of many models in one aggregate over one scored frame.
+
+    ``specs`` are ``(task, variant, label column, model name, classes)``; each
+    row becomes a small array of (task, variant, label, prediction, p of the
+    label), exploded and grouped once: ``(task, variant, n, correct, accuracy, log_loss)``."""
+    items = []
+    for task, variant, label, name, classes in specs:
+        lab = F.col(label).cast("string")
+        pos = F.array_position(F.array(*[F.lit(c) for c in classes]), lab).cast("int")
+        p = F.when(pos > 0, F.element_at(F.col(f"{name}_probs"), F.greatest(pos, F.lit(1)))).otherwise(F.lit(0.0))
+        items.append(F.when(lab.isNotNull() & F.col(f"{name}_label").isNotNull(), F.struct(
+            F.lit(task).alias("task"), F.lit(variant).cast("string").alias("variant"), lab.alias("label"),
+            F.col(f"{name}_label").alias("pred"), p.alias("p"))))
+    rows = scored.select(F.explode(F.array(*items)).alias("e")).where("e is not null").select("e.*")
+    return (rows.groupBy("task", "variant")
+                .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == F.col("pred")).alias("correct"),
+                     F.round(F.avg(-F.log(F.greatest("p", F.lit(eps)))), 4).alias("log_loss"))
+                .withColumn("accuracy", F.round(F.col("correct") / F.col("n"), 4)))
+
+
 def f1_from(overlap: Column, n_ref: Column, n_hyp: Column) -> Column:
     """F1 = 2 * overlap / (|ref| + |hyp|); null when both are empty."""
     return F.when(n_ref + n_hyp > 0, F.lit(2.0) * overlap / (n_ref + n_hyp))
@@ -115,8 +130,12 @@ def rouge_n(df: DataFrame, key: str, ref: str, hyp: str, n: int = 1) -> DataFram
 def with_rouge(df: DataFrame, ref_toks: str, hyp_toks: str, prefix: str, n: int = 1) -> DataFrame:
     """Adds ``{prefix}_overlap, _p, _r, _f1`` from two token arrays (null if either is null)."""
     ov = f"{prefix}_overlap"
-    df = df.withColumn(ov, ngram_overlap(ref_toks, hyp_toks, n))
     nr, nh = gram_count(ref_toks, n), gram_count(hyp_toks, n)
+    # equal token lists overlap in every gram: only the others go to Python
+    same = F.col(ref_toks).eqNullSafe(F.col(hyp_toks))
+    none = F.lit(None).cast("array<string>")
+    df = df.withColumn("_sr", F.when(~same, F.col(ref_toks)).otherwise(none)).withColumn("_sh", F.when(~same, F.col(hyp_toks)).otherwise(none))
+    df = df.withColumn(ov, F.when(same, nr).otherwise(ngram_overlap("_sr", "_sh", n))).drop("_sr", "_sh")
     o = F.col(ov)
     return (df.withColumn(f"{prefix}_p", F.round(F.when(nh > 0, o / nh), 4))
               .withColumn(f"{prefix}_r", F.round(F.when(nr > 0, o / nr), 4))
@@ -134,7 +153,11 @@ def rouge_l(df: DataFrame, key: str, ref: str, hyp: str) -> DataFrame:
     (exact bit-parallel LCS in an Arrow-batched pandas UDF; no token cap)."""
     from evenline.functions.lcs import lcs
     base = df.select(key, tokens(ref).alias("_r"), tokens(hyp).alias("_h"))
-    base = base.withColumn("lcs", lcs(F.col("_r"), F.col("_h")))
+    same = F.col("_r").eqNullSafe(F.col("_h"))
+    none = F.lit(None).cast("array<string>")
+    base = base.withColumn("lcs", F.when(same, F.size("_r").cast("long")).otherwise(
+        lcs(F.when(~same, F.col("_r")).otherwise(none), F.when(~same, F.col("_h")).otherwise(none))))
+    base = base.withColumn("lcs", F.when(F.col("_r").isNotNull(), F.col("lcs")))
     nr, nh, o = F.size("_r"), F.size("_h"), F.col("lcs")
     return base.select(key, "lcs",
                        F.round(F.when(nh > 0, o / nh), 4).alias("rougeL_p"),

@@ -27,14 +27,14 @@ the same partitioning) against weights replicated per salt.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenline.functions.text import distinct_tokens, is_blank
-from evenline.guards import MAX_BROADCAST_ROWS, MAX_CLASSES, bounded_collect
+from evenline.guards import KEY_BYTES, MAX_BROADCAST_BYTES, MAX_CLASSES, bounded_collect
 from evenline.session import ensure_checkpoint_dir
 
 MIN_DF = 5
@@ -154,30 +154,52 @@ def fit_nb_variants(train: DataFrame, variants: Sequence[tuple],
     return models
 
 
-_COMBINED: dict[tuple[int, ...], DataFrame] = {}
+class ModelSet(Sequence):
+    """Models that are scored together, with their combined weights table.
 
+    The table (one row per term, every model's class weights side by side as
+    ``_m{j}_w{c}``) is built once per set by full outer joins on the term and
+    checkpointed. It belongs to this object: it lives as long as the set and is
+    never shared with other models.
+    """
+
+    def __init__(self, models: Iterable[NBModel]):
+        self.models = list(models)
+        self._weights: DataFrame | None = None
+
+    def __len__(self) -> int:
+        return len(self.models)
+
+    def __getitem__(self, i):
+        return self.models[i]
 
-def _combined_weights(models: Sequence[NBModel]) -> DataFrame:
-    """One row per term with every model's class weights side by side
-    (``_m{j}_w{c}``). Built once per model set (full outer joins on the term)
-    and checkpointed, so repeated scoring only broadcasts a ready table."""
-    k = tuple(id(m.weights) for m in models)
-    if k in _COMBINED:
-        return _COMBINED[k]
-    w = None
-    for j, m in enumerate(models):
-        mw = m.weights.select("term", *[F.col(f"w{c}").alias(f"_m{j}_w{c}") for c in range(m.k)])
-        w = mw if w is None else w.join(mw, "term", "full_outer")
-    if len(models) > 1:
-        w = w.checkpoint(eager=True)
-    _COMBINED[k] = w
-    return w
+    @property
+    def weights(self) -> DataFrame:
+        if self._weights is None:
+            w = None
+            for j, m in enumerate(self.models):
+                mw = m.weights.select("term", *[F.col(f"w{c}").alias(f"_m{j}_w{c}") for c in range(m.k)])
+                w = mw if w is None else w.join(mw, "term", "full_outer")
+            if len(self.models) > 1:
+                ensure_checkpoint_dir(w.sparkSession)
+                w = w.checkpoint(eager=True)
+            self._weights = w
+        return self._weights
+
+    @property
+    def broadcast_bytes(self) -> int:
+        """Upper estimate of the table in memory: rows times columns and key."""
+        rows = sum(m.n_terms for m in self.models)
+        return rows * (8 * sum(m.k for m in self.models) + KEY_BYTES)
 
 
 def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequence[NBModel],
-              carry: Sequence[str] = (), max_broadcast: int = MAX_BROADCAST_ROWS,
+              carry: Sequence[str] = (), max_broadcast: int = MAX_BROADCAST_BYTES,
               salt_buckets: int = SALT_BUCKETS, reuse: Mapping[str, str] | None = None) -> DataFrame:
-    """Scores of every model on every text column, one row per ``key``.
+    """Scores of every model on every text column, one row per input row.
+
+    Rows are told apart by an id made before the explode, so rows that share a
+    key stay apart. Pass a :class:`ModelSet` to score often with the same models.
 
     ``texts`` maps an output tag to a text column (tag ``""`` for a single
     text); ``carry`` are small columns that depend on the key only (kept as
@@ -190,6 +212,7 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
     rewrite to its original): rows where the two texts are equal do not explode
     the second text again and take the first text's sums.
     """
+    models = models if isinstance(models, ModelSet) else ModelSet(models)
     tags = list(texts)
     reuse = dict(reuse or {})
 
@@ -211,13 +234,14 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
     blanks = [is_blank(texts[t]).alias(f"_blank{i}") for i, t in enumerate(tags)]
     sames = [(same(i) if same(i) is not None else F.lit(False)).alias(f"_same{i}") for i in range(len(tags))]
     flags = [f"_blank{i}" for i in range(len(tags))] + [f"_same{i}" for i in range(len(tags))]
-    ex = (df.select(key, *carry, *blanks, *sames, F.explode_outer(tagged).alias("_x"))
-            .select(key, *carry, *flags, "_x.src", "_x.term"))
-    w = _combined_weights(models)
-    if sum(m.n_terms for m in models) <= max_broadcast:
+    ex = (df.select(F.monotonically_increasing_id().alias("_rid"), key, *carry, *blanks, *sames, tagged.alias("_all"))
+            .select("_rid", key, *carry, *flags, F.explode_outer("_all").alias("_x"))
+            .select("_rid", key, *carry, *flags, "_x.src", "_x.term"))
+    w = models.weights
+    if models.broadcast_bytes <= max_broadcast:
         joined = ex.join(F.broadcast(w), "term", "left")
     else:
-        ex = ex.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt_buckets)).cast("int"))
+        ex = ex.withColumn("_salt", F.pmod(F.xxhash64("_rid"), F.lit(salt_buckets)).cast("int"))
         w = w.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
         joined = ex.join(w, ["term", "_salt"], "left")
     aggs = []
@@ -225,7 +249,7 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
         for j, m in enumerate(models):
             for c in range(m.k):
                 aggs.append(F.sum(F.when(F.col("src") == i, F.col(f"_m{j}_w{c}"))).alias(f"_s{i}_{j}_{c}"))
-    g = joined.groupBy(key, *carry, *flags).agg(*aggs)
+    g = joined.groupBy("_rid", key, *carry, *flags).agg(*aggs)
     out_cols: list[Column] = [F.col(key)] + [F.col(c) for c in carry]
     for i, t in enumerate(tags):
         for j, m in enumerate(models):

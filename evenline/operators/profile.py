@@ -29,8 +29,9 @@ def link_reads(events: DataFrame, n_docs: int, event_key: str = "event_id") -> D
 
 def user_bias_profile(reads: DataFrame, doc_values: DataFrame, user: str = "user_id",
                       values: Sequence[str] = AXES) -> DataFrame:
-    """``(user, n_reads, {value}_mean...)`` over all reads of each user."""
-    j = reads.join(doc_values, "doc_id", "inner")
+    """``(user, n_reads, {value}_mean...)`` over all reads of each user.
+    Reads of documents without values count as reads and enter no mean."""
+    j = reads.join(doc_values, "doc_id", "left")
     return j.groupBy(user).agg(F.count(F.lit(1)).alias("n_reads"),
                                *[F.round(F.avg(v), 4).alias(f"{v}_mean") for v in values])
 
@@ -39,31 +40,37 @@ def prior_means(reads: DataFrame, doc_values: DataFrame, user: str = "user_id",
                 order: Sequence[str] = ("ts", "event_id"), values: Sequence[str] = AXES,
                 chunk: Column | None = None) -> DataFrame:
     """A33 point in time: for each read, the count and mean of each value over
-    the same user's reads strictly before it in ``order``.
+    the same user's reads strictly before it in ``order``. Reads of documents
+    without values count as reads and enter no mean.
 
-    ``chunk`` (default: the hour of the first order column) must be monotone
-    in ``order``; it bounds the rows any one window task sees.
+    ``chunk`` (default: the minute of the first order column) must be monotone
+    in ``order``; it bounds the rows any one window task sees, so it should be
+    shorter than a user's densest burst.
     """
-    j = reads.join(doc_values, "doc_id", "inner")
-    ch = chunk if chunk is not None else F.date_trunc("hour", F.col(order[0]))
+    j = reads.join(doc_values, "doc_id", "left")
+    ch = chunk if chunk is not None else F.date_trunc("minute", F.col(order[0]))
     j = j.withColumn("_chunk", ch)
     totals = j.groupBy(user, "_chunk").agg(F.count(F.lit(1)).alias("_cn"),
-                                           *[F.sum(v).alias(f"_cs_{v}") for v in values])
+                                           *[F.sum(v).alias(f"_cs_{v}") for v in values],
+                                           *[F.count(v).alias(f"_ck_{v}") for v in values])
     before_chunk = Window.partitionBy(user).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(user, "_chunk",
                             F.coalesce(F.sum("_cn").over(before_chunk), F.lit(0)).alias("_on"),
-                            *[F.sum(f"_cs_{v}").over(before_chunk).alias(f"_os_{v}") for v in values])
+                            *[F.sum(f"_cs_{v}").over(before_chunk).alias(f"_os_{v}") for v in values],
+                            *[F.sum(f"_ck_{v}").over(before_chunk).alias(f"_ok_{v}") for v in values])
     within = (Window.partitionBy(user, "_chunk").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
     j = j.select("*", F.count(F.lit(1)).over(within).alias("_wn"),
-                 *[F.sum(v).over(within).alias(f"_ws_{v}") for v in values])
+                 *[F.sum(v).over(within).alias(f"_ws_{v}") for v in values],
+                 *[F.count(v).over(within).alias(f"_wk_{v}") for v in values])
     j = j.join(offsets, [user, "_chunk"], "inner")
     n = F.col("_on") + F.col("_wn")
     out = j.withColumn("prior_reads", n)
     for v in values:
         s = F.coalesce(F.col(f"_os_{v}"), F.lit(0.0)) + F.coalesce(F.col(f"_ws_{v}"), F.lit(0.0))
-        out = out.withColumn(f"prior_{v}_mean", F.round(F.when(n > 0, s / n), 4))
-    return out.drop("_chunk", "_on", "_wn", *[f"_os_{v}" for v in values], *[f"_ws_{v}" for v in values])
+        k = F.coalesce(F.col(f"_ok_{v}"), F.lit(0)) + F.col(f"_wk_{v}")
+        out = out.withColumn(f"prior_{v}_mean", F.round(F.when(k > 0, s / k), 4))
+    return out.drop("_chunk", "_on", "_wn", *[f"_{x}_{v}" for v in values for x in ("os", "ws", "ok", "wk")])
 
 
 def policy_tier(prior_col: str, threshold: float = 0.5) -> Column:

@@ -20,6 +20,7 @@ from evenline.functions.overlap import multiset_difference
 from evenline.guards import MAX_INLINE_TERMS, bounded_collect
 
 # Fixed value (ours; the reference's prompt structure is blank, gap G1).
+TERM_SALTS = 16
 PROMPT_TEMPLATE = "neutralize | truth: %s | sentiment: %s | bias: %s | headline: %s"
 
 
@@ -44,9 +45,12 @@ def neutral_rewrite(df: DataFrame, lexicon: DataFrame | Sequence[str], text_col:
     * lexicon of at most ``max_inline`` terms: collected (bounded) and inlined
       as a hash set inside the row expression. The documents are never
       shuffled: a map-only projection, whatever their volume.
-    * larger lexicon: the distinct tokens of each row are joined to the lexicon
-      (equi-join on term; AQE splits a hot term), the hits gathered per ``key``,
-      and joined back; ``key`` must then be unique per row.
+    * larger lexicon: the distinct tokens of each distinct text are joined to
+      the lexicon (equi-join on term, salted by the text's hash so that a hot
+      term is many tasks), the hits gathered per text hash and joined back.
+      Rows need no key; equal texts share their hits.
+
+    ``key`` is accepted for callers that pass one; neither path needs it.
     """
     if not isinstance(lexicon, DataFrame):
         if by is not None:
@@ -61,21 +65,21 @@ def neutral_rewrite(df: DataFrame, lexicon: DataFrame | Sequence[str], text_col:
         for r in rows:
             tiers.setdefault(r[by], []).append(r.term)
         return df.withColumn(out, rewrite_with_tiers(text_col, by, tiers))
-    if key is None:
-        raise ValueError(f"lexicon exceeds {max_inline} terms; pass `key` (a unique row id) for the join path")
-    return _rewrite_by_join(df, lexicon.select(*cols).distinct(), text_col, out, key, by)
-
-
-def _rewrite_by_join(df: DataFrame, lexicon: DataFrame, text_col: str, out: str, key: str,
-                     by: str | None) -> DataFrame:
-    keys = [key] + ([by] if by else [])
-    toks = df.select(*keys, F.explode(distinct_tokens(text_col)).alias("term"))
-    on = ["term"] + ([by] if by else [])
-    hits = (toks.join(lexicon, on, "inner")
-                .groupBy(key).agg(F.collect_set("term").alias("_hits")))
-    return (df.join(hits, key, "left")
-              .withColumn(out, rewrite_with_flags(text_col, "_hits"))
-              .drop("_hits"))
+    return _rewrite_by_join(df, lexicon.select(*cols).distinct(), text_col, out, by)
+
+
+def _rewrite_by_join(df: DataFrame, lexicon: DataFrame, text_col: str, out: str, by: str | None,
+                     salts: int = TERM_SALTS) -> DataFrame:
+    keyed = df.withColumn("_tk", F.md5(F.col(text_col)))
+    on = ["_tk"] + ([by] if by else [])
+    toks = (keyed.select(*on, F.explode(distinct_tokens(text_col)).alias("term"))
+                 .withColumn("_salt", F.pmod(F.hash("_tk"), F.lit(salts))))
+    salted = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hits = (toks.join(salted, ["term", "_salt"] + ([by] if by else []), "inner")
+                .groupBy(*on).agg(F.collect_set("term").alias("_hits")))
+    return (keyed.join(hits, on, "left")
+                 .withColumn(out, rewrite_with_flags(text_col, "_hits"))
+                 .select(*df.columns, out))
 
 
 def removed_terms(df: DataFrame, key: str, before: str = "text", after: str = "neutral") -> DataFrame:

@@ -13,10 +13,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenline.operators.filters import map_labels
 from evenline.operators.naive_bayes import NBModel, nb_scores
 
 # Fixed display text: label, space, confidence in percent with one decimal.
 CONFIDENCE_FORMAT = "%s (%.1f%%)"
+NEAR_NEUTRAL = "Near-neutral"
+TAU_NEAR = 0.55
 
 
 def score(df: DataFrame, model: NBModel, key: str, text_col: str = "text",
@@ -28,7 +31,7 @@ def score(df: DataFrame, model: NBModel, key: str, text_col: str = "text",
 def analyse(df: DataFrame, models: Sequence[NBModel], key: str, text_col: str = "text",
             carry: Sequence[str] = ()) -> DataFrame:
     """Every model's result on one row per ``key``."""
-    return nb_scores(df, key, {"": text_col}, list(models), carry)
+    return nb_scores(df, key, {"": text_col}, models, carry)
 
 
 def label_confidence(df: DataFrame, key: str, tasks: Sequence[str]) -> DataFrame:
@@ -47,19 +50,23 @@ def confidence_text(label: Column, conf: Column) -> Column:
 
 
 def format_confidence(df: DataFrame, tasks: Sequence[str],
-                      display: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
+                      display: Mapping[str, Mapping[str, str]] | None = None,
+                      near_neutral: Mapping[str, float] | None = None, strict: bool = True) -> DataFrame:
     """A21 (with A4): ``{task}_fmt`` for each task, labels mapped to display
-    names when ``display[task]`` is given (unmapped codes pass unchanged)."""
-    display = display or {}
+    names when ``display[task]`` is given. With ``strict`` an unmapped code
+    fails the job, as in :func:`evenline.operators.filters.map_labels`; without
+    it, it gives null. A task in ``near_neutral`` shows ``Near-neutral`` where
+    its confidence is below the given threshold."""
+    display, near = display or {}, near_neutral or {}
     for t in tasks:
-        lab = F.col(f"{t}_label")
-        m = display.get(t)
-        if m:
-            e = None
-            for k, v in m.items():
-                e = F.when(lab == F.lit(k), F.lit(v)) if e is None else e.when(lab == F.lit(k), F.lit(v))
-            lab = e.otherwise(lab)
-        df = df.withColumn(f"{t}_fmt", confidence_text(lab, F.col(f"{t}_conf")))
+        shown = f"_{t}_shown"
+        df = df.withColumn(shown, F.col(f"{t}_label"))
+        if display.get(t):
+            df = map_labels(df, shown, display[t], strict=strict)
+        lab, conf = F.col(shown), F.col(f"{t}_conf")
+        if t in near:
+            lab = F.when(lab.isNotNull() & (conf < F.lit(float(near[t]))), F.lit(NEAR_NEUTRAL)).otherwise(lab)
+        df = df.withColumn(f"{t}_fmt", confidence_text(lab, conf)).drop(shown)
     return df
 
 

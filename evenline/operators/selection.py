@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenline.operators import metrics
-from evenline.operators.naive_bayes import fit_nb, fit_nb_variants, nb_scores
+from evenline.operators.naive_bayes import fit_nb_variants, nb_scores
 from evenline.operators.splits import share_below
 
 RECORD_SCHEMA = ("task string, model string, n_train long, n_test long, accuracy double, "
@@ -54,22 +54,8 @@ def staged_fit(train: DataFrame, test: DataFrame, key: str, task: str,
     """Fit on nested shares of the train rows (the 1K/5K/10K ladder is
     shares 0.1/0.5/1.0) and report size, accuracy and log loss per stage.
 
-    All stages come from one conditional-count aggregation (a row is in stage
-    f when its hash share is below f) and are scored in one pass."""
-    variants = [(f"{task}_s{int(round(f * 1000))}", share_below(F.col("text"), f), min_df)
-                for f in sorted(fractions)]
-    ms = fit_nb_variants(train, variants)
-    s = nb_scores(test, key, {"": "text"}, list(ms.values()), carry=["label"])
-    parts = []
-    for f, (name, _, _) in zip(sorted(fractions), variants):
-        m = ms[name]
-        ev = metrics.accuracy_and_loss(s, "label", f"{name}_label", f"{name}_probs", m.classes)
-        parts.append(ev.select(F.lit(task).alias("task"), F.lit(float(f)).alias("stage"),
-                               F.lit(m.n_train).cast("bigint").alias("n_train"), "n", "accuracy", "log_loss"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    One task of :func:`staged_fit_tasks`: one aggregation, one scoring pass."""
+    return staged_fit_tasks(train, test, key, {task: "label"}, fractions, min_df)
 
 
 def staged_rewriter(train: DataFrame, test: DataFrame, key: str, label: str = "label",
@@ -122,18 +108,13 @@ def staged_fit_tasks(train: DataFrame, test: DataFrame, key: str, labels: dict[s
     lab_cols = sorted(set(labels.values()))
     s = nb_scores(test.select(key, "text", *[F.col(c).cast("string").alias(c) for c in lab_cols]),
                   key, {"": "text"}, list(ms.values()), carry=lab_cols)
-    parts = []
-    for t, lab in labels.items():
-        for f in fr:
-            name = f"{t}_s{int(round(f * 1000))}"
-            m = ms[name]
-            ev = metrics.accuracy_and_loss(s, lab, f"{name}_label", f"{name}_probs", m.classes)
-            parts.append(ev.select(F.lit(t).alias("task"), F.lit(float(f)).alias("stage"),
-                                   F.lit(m.n_train).cast("bigint").alias("n_train"), "n", "accuracy", "log_loss"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    specs = [(t, f"{t}_s{int(round(f * 1000))}", lab, f"{t}_s{int(round(f * 1000))}", ms[f"{t}_s{int(round(f * 1000))}"].classes)
+             for t, lab in labels.items() for f in fr]
+    ev = metrics.evaluate_long(s, specs)
+    known = F.create_map(*[x for t in labels for f in fr for x in (F.lit(f"{t}_s{int(round(f * 1000))}"), F.struct(
+        F.lit(float(f)).alias("stage"), F.lit(ms[f"{t}_s{int(round(f * 1000))}"].n_train).cast("bigint").alias("n_train")))])
+    return ev.withColumn("_v", F.element_at(known, F.col("variant"))).select(
+        "task", F.col("_v.stage").alias("stage"), F.col("_v.n_train").alias("n_train"), "n", "accuracy", "log_loss")
 
 
 def nb_candidates(train: DataFrame, test: DataFrame, key: str, labels: dict[str, str],
@@ -146,14 +127,6 @@ def nb_candidates(train: DataFrame, test: DataFrame, key: str, labels: dict[str,
     lab_cols = sorted(set(labels.values()))
     s = nb_scores(test.select(key, "text", *[F.col(c).cast("string").alias(c) for c in lab_cols]),
                   key, {"": "text"}, list(ms.values()), carry=lab_cols)
-    parts = []
-    for t, lab in labels.items():
-        for md in min_dfs:
-            name = f"{t}_nb_df{md}"
-            acc = metrics.accuracy(s, lab, f"{name}_label")
-            parts.append(acc.select(F.lit(t).alias("task"), F.lit(f"nb_df{md}").alias("model"), "accuracy",
-                                    F.lit(ms[name].n_params).cast("bigint").alias("n_params")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ev = metrics.evaluate_long(s, [(t, f"nb_df{md}", lab, f"{t}_nb_df{md}", ms[f"{t}_nb_df{md}"].classes) for t, lab in labels.items() for md in min_dfs])
+    params = F.create_map(*[x for t in labels for md in min_dfs for x in (F.lit(f"{t}_nb_df{md}"), F.lit(ms[f"{t}_nb_df{md}"].n_params).cast("bigint"))])
+    return ev.select("task", F.col("variant").alias("model"), "accuracy", F.element_at(params, F.concat_ws("_", "task", "variant")).alias("n_params"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from evenline.guards import MAX_INLINE_TERMS, bounded_collect
 from evenline.operators.lexicon import learn_loaded_terms
 from evenline.session import ensure_checkpoint_dir
-from evenline.operators.naive_bayes import NBModel, fit_nb_variants
+from evenline.operators.naive_bayes import ModelSet, NBModel, fit_nb_variants
 from evenline.operators.splits import holdout_split
 from evenline.sources.corpus import PROXY_LABELS, documents, labelled_documents, table
 
@@ -82,6 +82,11 @@ class Context:
         return fit_nb_variants(train, [("truth", None, 5, "quality"), ("sentiment", None, 5, "toxic"),
                                        ("bias", None, 5, "lang")], "text")
 
+    @cached_property
+    def model_set(self) -> ModelSet:
+        """The three task models with their combined weights, in task order."""
+        return ModelSet(self.models[t] for t in ("truth", "sentiment", "bias"))
+
 
 # Display names of the proxy labels (A4). Bias stays as its proxy code.
 DISPLAY = {"truth": {"0": "False", "1": "Truthful"}, "sentiment": {"0": "Neutral", "1": "Negative"}}

@@ -86,9 +86,7 @@ TASKS = ("truth", "sentiment", "bias")
 def analysed(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """All three task results per document, in one scoring pass."""
     c = ctx(spark, sf_dir)
-    m = c.models
-    d = c.docs if docs is None else docs
-    return sc.analyse(d, [m[t] for t in TASKS], "doc_id", "text")
+    return sc.analyse(c.docs if docs is None else docs, c.model_set, "doc_id", "text")
 
 
 def _round(t: str, x: str) -> str:
@@ -141,7 +139,7 @@ def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(task, label, pred)`` on the held-out split: proxy labels vs predictions."""
     c = ctx(spark, sf_dir)
     test = c.docs.where(F.col("split") == "test")
-    a = sc.analyse(test, [c.models[t] for t in TASKS], "doc_id", "text", carry=["lang"])
+    a = sc.analyse(test, c.model_set, "doc_id", "text", carry=["lang"])
     labels = c.table("labels").select("doc_id", "quality", "toxic")
     j = a.join(labels, "doc_id", "left")
     pairs = F.array(*[F.struct(F.lit(t).alias("task"), F.col(lab).cast("string").alias("label"),
@@ -181,10 +179,15 @@ def q_confusion(spark, sf_dir):
     return metrics.confusion(evaluation_rows(spark, sf_dir), "label", "pred", by=["task"])
 
 
+NEAR = {"bias": sc.TAU_NEAR}
+
+
 def _fmt_sql(t: str, display: dict[str, str] | None) -> str:
     lab = f"{t}_res.{t}_label"
     if display:
-        lab = "CASE " + " ".join(f"WHEN {lab} = '{k}' THEN '{v}'" for k, v in display.items()) + f" ELSE {lab} END"
+        lab = "CASE " + " ".join(f"WHEN {lab} = '{k}' THEN '{v}'" for k, v in display.items()) + " END"
+    if t in NEAR:
+        lab = f"CASE WHEN {t}_res.{t}_conf < {NEAR[t]} THEN '{sc.NEAR_NEUTRAL}' ELSE {lab} END"
     return (f"CASE WHEN {t}_res.{t}_label IS NULL OR {t}_res.{t}_conf IS NULL THEN NULL "
             f"ELSE printf('%s (%.1f%%)', {lab}, round({t}_res.{t}_conf * 100.0, 1)) END AS {t}_fmt")
 
@@ -194,7 +197,7 @@ SELECT sd.doc_id, {', '.join(_fmt_sql(t, DISPLAY.get(t)) for t in TASKS)}
 FROM sd {_ALL_RES}""")
 def q_format_confidence(spark, sf_dir):
     a = analysed(spark, sf_dir)
-    return sc.format_confidence(a, TASKS, DISPLAY).select("doc_id", *[f"{t}_fmt" for t in TASKS])
+    return sc.format_confidence(a, TASKS, DISPLAY, NEAR).select("doc_id", *[f"{t}_fmt" for t in TASKS])
 
 
 # --- M3: prompt, rescore, compare, chart rows, summary ---------------------------
@@ -203,7 +206,7 @@ def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rewrite every document, rescore both texts in one pass, compare."""
     c = ctx(spark, sf_dir)
     r = rewritten(spark, sf_dir).withColumn("changed", ~F.col("neutral").eqNullSafe(F.col("text")))
-    s = cmp.rescore(r, [c.models[t] for t in TASKS], "doc_id", "text", "neutral",
+    s = cmp.rescore(r, c.model_set, "doc_id", "text", "neutral",
                     carry=["lang", "split", "changed"])
     return cmp.compare_before_after(s, c.models, "doc_id", TASKS, carry=["lang", "split", "changed"])
 
@@ -214,7 +217,7 @@ SELECT doc_id, CASE WHEN truth_fmt IS NULL OR sentiment_fmt IS NULL OR bias_fmt
 FROM (SELECT sd.doc_id, sd.text, {', '.join(_fmt_sql(t, DISPLAY.get(t)) for t in TASKS)} FROM sd {_ALL_RES})""")
 def q_build_prompt(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    f = sc.format_confidence(analysed(spark, sf_dir), TASKS, DISPLAY).select(
+    f = sc.format_confidence(analysed(spark, sf_dir), TASKS, DISPLAY, NEAR).select(
         "doc_id", *[f"{t}_fmt" for t in TASKS])
     j = c.docs.select("doc_id", "text").join(f, "doc_id", "left")
     return rw.build_prompt(j, "text").select("doc_id", "prompt")
@@ -358,23 +361,21 @@ def _task_test(c: Context, t: str) -> DataFrame:
     return c.task(t).where(F.col("split") == "test")
 
 
-@query("log_loss", f"""WITH {S.nb_all()}, {S.test_rows()}
-SELECT e.task, count(*) AS n, round(avg(-ln(greatest(p.p, 1e-15))), 4) AS log_loss
-FROM ev_rows e JOIN (
+@query("log_loss", f"""WITH {S.nb_all()}, {S.test_rows()},
+py AS (
   SELECT 'truth' AS task, doc_id, y, p FROM truth_py
   UNION ALL SELECT 'sentiment', doc_id, y, p FROM sentiment_py
   UNION ALL SELECT 'bias', doc_id, y, p FROM bias_py
-) p ON p.task = e.task AND p.doc_id = e.doc_id AND p.y = e.label
-GROUP BY e.task""")
+)
+SELECT e.task, count(*) AS n, round(avg(-ln(greatest(coalesce(p.p, 0.0), 1e-15))), 4) AS log_loss
+FROM ev_rows e JOIN (SELECT DISTINCT task, doc_id FROM py) s ON s.task = e.task AND s.doc_id = e.doc_id
+LEFT JOIN py p ON p.task = e.task AND p.doc_id = e.doc_id AND p.y = e.label
+WHERE e.label IS NOT NULL GROUP BY e.task""")
 def q_log_loss(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    parts = []
-    for t in TASKS:
-        m = c.models[t]
-        s = sc.score(_task_test(c, t), m, "example_id", "text", carry=["label"])
-        parts.append(metrics.log_loss(s, "label", f"{t}_probs", m.classes).select(
-            F.lit(t).alias("task"), "n", "log_loss"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    _, test = _all_tasks(c)
+    s = sc.analyse(test, c.model_set, "doc_id", "text", carry=sorted(set(TASK_LABELS.values())))
+    return metrics.evaluate_long(s, [(t, None, lab, t, c.models[t].classes) for t, lab in TASK_LABELS.items()]).select("task", "n", "log_loss")
 
 
 @query("rouge_l", f"""WITH {S.REWRITTEN.strip()},
@@ -464,10 +465,10 @@ def _staged_fit_sql() -> str:
             recs.append(f"""SELECT '{t}' AS task, CAST({f} AS DOUBLE) AS stage,
   (SELECT count(*) FROM {p}_tr) AS n_train, count(*) AS n,
   round(count(*) FILTER (WHERE e.label = r.{p}_label) / count(*), 4) AS accuracy,
-  round(avg(-ln(greatest(py.p, 1e-15))), 4) AS log_loss
+  round(avg(-ln(greatest(coalesce(py.p, 0.0), 1e-15))), 4) AS log_loss
   FROM ev_rows e JOIN {p}_res r ON r.doc_id = e.doc_id
-  JOIN {p}_py py ON py.doc_id = e.doc_id AND py.y = e.label
-  WHERE e.task = '{t}'""")
+  LEFT JOIN {p}_py py ON py.doc_id = e.doc_id AND py.y = e.label
+  WHERE e.task = '{t}' AND e.label IS NOT NULL""")
     return "WITH " + ",\n".join(parts) + "\n" + "\nUNION ALL\n".join(recs)
 
 
@@ -527,23 +528,19 @@ def q_multilingual(spark, sf_dir):
 
 def stream_process(c: Context):
     """The batch plan run on each micro-batch: split, rewrite, rescore."""
-    from evenline.functions.text import rewrite_with_terms
-    from evenline.guards import MAX_INLINE_TERMS, bounded_collect
+    from evenline.operators.naive_bayes import ModelSet
     from evenline.plans.context import TWO_WAY
-    rows = bounded_collect(c.loaded_terms.select("term"), MAX_INLINE_TERMS)
-    if rows is None:
-        raise ValueError("lexicon too large to inline in the stream")
-    terms = [r.term for r in rows]
-    model = c.models["sentiment"]
+    lexicon = c.lexicon_terms if c.lexicon_terms is not None else c.loaded_terms
+    models = ModelSet([c.models["sentiment"]])
 
     def process(batch: DataFrame) -> DataFrame:
         b = holdout_split(batch.select("doc_id", "text", "lang"), "text", TWO_WAY)
-        r = (b.withColumn("neutral", rewrite_with_terms("text", terms))
-              .withColumn("changed", ~F.col("neutral").eqNullSafe(F.col("text"))))
-        s = cmp.rescore(r, [model], "doc_id", "text", "neutral")
-        s = s.select("doc_id", F.col("before_sentiment_label").alias("sentiment_before"),
-                     F.col("after_sentiment_label").alias("sentiment_after"))
-        return r.select("doc_id", "lang", "neutral", "changed").join(s, "doc_id", "left")
+        r = (rw.neutral_rewrite(b, lexicon, "text", "neutral")
+               .withColumn("changed", ~F.col("neutral").eqNullSafe(F.col("text"))))
+        # the rewrite rides along as a grouping column: no second rewrite and no join back to the text
+        s = cmp.rescore(r, models, "doc_id", "text", "neutral", carry=["lang", "neutral", "changed"])
+        return s.select("doc_id", "lang", "neutral", "changed", F.col("before_sentiment_label").alias("sentiment_before"),
+                        F.col("after_sentiment_label").alias("sentiment_after"))
     return process
 
 
@@ -570,7 +567,7 @@ def doc_values(c: Context) -> DataFrame:
     cached = getattr(c, "_doc_values", None)
     if cached is not None:
         return cached
-    a = sc.analyse(c.docs, [c.models[t] for t in TASKS], "doc_id", "text")
+    a = sc.analyse(c.docs, c.model_set, "doc_id", "text")
     dv = a.where(F.col("truth_label").isNotNull()).select(
         "doc_id",
         class_probability("truth", c.models["truth"].classes, "1").alias("truth_probability"),
@@ -594,7 +591,7 @@ reads AS (SELECT event_id, ts, user_id, event_id % (SELECT count(*) FROM documen
 @query("user_profile", f"""WITH {_DV_SQL}
 SELECT user_id, count(*) AS n_reads,
        {', '.join(f'round(avg({v}), 4) AS {v}_mean' for v in cmp.AXES)}
-FROM reads JOIN dv ON dv.doc_id = reads.doc_id GROUP BY user_id""")
+FROM reads LEFT JOIN dv ON dv.doc_id = reads.doc_id GROUP BY user_id""")
 def q_user_profile(spark, sf_dir):
     from evenline.operators.profile import user_bias_profile
     c = ctx(spark, sf_dir)
@@ -605,7 +602,7 @@ _HISTORY_SQL = f"""{_DV_SQL},
 hist AS (
   SELECT event_id, user_id, reads.doc_id, count(*) OVER w AS prior_reads,
          {', '.join(f'round(avg({v}) OVER w, 4) AS prior_{v}_mean' for v in cmp.AXES)}
-  FROM reads JOIN dv ON dv.doc_id = reads.doc_id
+  FROM reads LEFT JOIN dv ON dv.doc_id = reads.doc_id
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 )"""
 
@@ -655,7 +652,7 @@ def q_personalised(spark, sf_dir):
 @query("stream_windows", f"""WITH {_DV_SQL}
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
        round(avg(emotional_intensity), 4) AS emotional_intensity_mean
-FROM reads JOIN dv ON dv.doc_id = reads.doc_id GROUP BY 1""")
+FROM reads LEFT JOIN dv ON dv.doc_id = reads.doc_id GROUP BY 1""")
 def q_stream_windows(spark, sf_dir):
     from evenline.operators.profile import link_reads
     from evenline.streaming.live import run_complete, table_stream, windowed_scores

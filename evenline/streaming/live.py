@@ -36,11 +36,14 @@ def file_stream(spark: SparkSession, folder: str, file_glob: str, schema: Struct
 def table_stream(spark: SparkSession, folder: str, name: str, schema: StructType,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream a table stored as ``folder/name.parquet``: one file (a glob
-    filter over the folder) or a directory of part files."""
-    import os
+    filter over the folder) or a directory of part files. The path's own file
+    system says which, whatever its scheme; a missing table is an error."""
     path = f"{folder.rstrip('/')}/{name}.parquet"
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" not in local and os.path.isdir(local):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    if fs.getFileStatus(p).isDirectory():
         return file_stream(spark, path, "*.parquet", schema, max_files_per_trigger)
     return file_stream(spark, folder, f"{name}.parquet", schema, max_files_per_trigger)
 
@@ -87,7 +90,7 @@ def windowed_scores(reads: DataFrame, doc_values: DataFrame, ts: str = "ts", key
     r = (reads.withColumn(ts, F.col(ts).cast("timestamp"))
               .withWatermark(ts, watermark)
               .dropDuplicatesWithinWatermark([key]))
-    j = r.join(doc_values, doc_key, "inner")
+    j = r.join(doc_values, doc_key, "left")  # a read without values counts, and enters no mean
     return (j.groupBy(F.window(ts, window).alias("w"))
              .agg(F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(f"{v}_mean") for v in values])
              .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n",

@@ -4,6 +4,7 @@ on the smallest data so the suite stays quick; the driver runs sf0.01)."""
 import pytest
 
 import __spark_entry__ as E
+from evenline.plans import ORACLE, QUERIES
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -15,14 +16,14 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, name, E.queries()[name], E.oracle_sql().get(name), SF, con)
+    r = compare(spark, name, QUERIES[name], ORACLE.get(name), SF, con)
     assert r["status"] in ("match", "rows-only"), r
 
 
 def test_every_query_has_an_oracle_or_a_reason():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert missing <= {"model_compare"}, missing
 
 

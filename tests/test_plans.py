@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+
+from evenline.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
 MAP_ONLY = ["english_only", "holdout_split", "neutral_rewrite", "rouge1", "rouge2", "rouge_l",
@@ -16,11 +17,11 @@ SKIP = {"model_compare", "stream_neutralize", "stream_windows"}   # driver loops
 
 
 def _plan(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if n not in SKIP])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SKIP])
 def test_no_cartesian_or_nested_loop(spark, name):
     p = _plan(spark, name)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -40,7 +41,7 @@ def test_scoring_has_one_shuffle_and_broadcast_weights(spark, name):
 
 
 def test_filter_and_columns_reach_the_scan(spark):
-    df = E.queries()["english_only"](spark, SF)
+    df = QUERIES["english_only"](spark, SF)
     s = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "EqualTo(lang,en)" in s

@@ -33,3 +33,26 @@ def test_logistic_regression_candidate(spark):
     assert m.classes == ["de", "en", "es", "fr"] and row.n == test.count()
     assert row.accuracy > base                     # language is easy to tell from the text
     assert s.where(F.abs(F.aggregate("bias_lr_probs", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-9).count() == 0
+
+
+def test_refitted_models_never_score_with_other_weights(spark):
+    """Weights belong to their model set: alternating label sets, 200 refits."""
+    from evenline.operators.naive_bayes import ModelSet, NBModel, nb_scores
+    rows = spark.createDataFrame([(1, "good good"), (2, "bad")], "id long, text string").cache()
+    w = {flip: spark.createDataFrame([("good", -1.0, 1.0), ("bad", 1.0, -1.0)] if flip else [("good", 1.0, -1.0), ("bad", -1.0, 1.0)],
+                                     "term string, w0 double, w1 double") for flip in (False, True)}
+    for k in range(200):
+        flip = k % 3 == 0
+        m = NBModel("m", ["0", "1"], [-0.7, -0.7], w[flip].select("*"), 2, 2)
+        s = nb_scores(rows, "id", {"": "text"}, ModelSet([m]) if k % 2 else [m])
+        assert {r.id: r.m_label for r in s.collect()} == ({1: "1", 2: "0"} if flip else {1: "0", 2: "1"})
+
+
+def test_rows_that_share_a_key_stay_apart(spark):
+    from evenline.operators.naive_bayes import NBModel, nb_scores
+    rows = spark.createDataFrame([(1, "good good"), (1, "bad"), (1, "bad")], "id long, text string")
+    w = spark.createDataFrame([("good", -1.0, 1.0), ("bad", 1.0, -1.0)], "term string, w0 double, w1 double")
+    m = NBModel("m", ["0", "1"], [-0.7, -0.7], w, 2, 2)
+    for limit in (0, 1 << 30):
+        got = sorted(r.m_label for r in nb_scores(rows, "id", {"": "text"}, [m], max_broadcast=limit).collect())
+        assert got == ["0", "0", "1"]
