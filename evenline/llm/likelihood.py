@@ -171,7 +171,7 @@ def score_texts(docs: DataFrame, train: Column, model_file: str, class_col: str
         columns = ["n"] if step + 1 < em_steps else cs
         uses = counted.where("n > 0").mapInArrow(_expect(spark.sparkContext.broadcast((names, weights)), columns), "piece long, class long, uses double")
         total = np.zeros((len(names), len(columns)))
-        for r in uses.groupBy("piece", "class").agg(F.sum("uses").alias("uses")).toLocalIterator():  # a row a piece and class at most
+        for r in uses.groupBy("piece", "class").agg(F.sum("uses").alias("uses")).collect():  # a row a piece and class at most
             total[r["piece"], r["class"]] = r["uses"]
         shared = total.sum(1) + SMOOTH
         shared /= shared.sum()

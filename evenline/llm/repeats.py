@@ -243,7 +243,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sk
     if ROWS << (bits - 3) <= max_sketch_bytes:
         rows = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(ROWS)]
         step = 1 << (SHARD_BITS - 3)
-        for r in cells.toLocalIterator():
+        for r in cells.collect():  # within max_sketch_bytes
             rows[r["row"]][r["shard"] * step:(r["shard"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
         found = alone.mapInArrow(_flagged_windows(width, gram, bits, spark.sparkContext.broadcast(rows)), "h1 long, h2 long, doc_id long, start int")
     else:

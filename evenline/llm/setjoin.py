@@ -15,7 +15,7 @@ different sets count; no candidate is capped or sampled.
    for ``k = 1``, as do light sets that are large enough to link with a heavy
    one. The boundary minimises rows emitted plus expected list lengths over the
    histogram of sizes.
-4. Each node first meets the leader its lists name most often; verified links
+4. Each node first meets the most central leader of its lists, the one they name most often; verified links
    give components. Lists that still hold two components give the remaining
    pairs, which pass an exact prefix-count bound before they are verified on
    whole sets. Groups of near copies therefore cost one pair a member.
@@ -211,7 +211,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     stats = seen.where("shard is null").select("doc_id", "n", "node")
     levels = np.zeros(1 << bits, np.uint8)
     cells = f1 = f2 = 0.0
-    for r in seen.where("shard is not null").groupBy("shard").applyInPandas(_merge, "shard int, levels binary, cells double, f1 double, f2 double").toLocalIterator():
+    for r in seen.where("shard is not null").groupBy("shard").applyInPandas(_merge, "shard int, levels binary, cells double, f1 double, f2 double").collect():  # 2 ** MAX_CELL_BITS bytes at most
         levels[r["shard"] << SHARD_BITS:(r["shard"] + 1) << SHARD_BITS] = np.frombuffer(r["levels"], np.uint8)
         cells, f1, f2 = cells + r["cells"], f1 + r["f1"], f2 + r["f2"]
 
@@ -225,8 +225,14 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     boundary = choose_boundary(histogram, expected, percent)
     posted = alone.select("text").mapInArrow(_postings(width, percent, bits, boundary, spark.sparkContext.broadcast(levels)), "sig long, node long, size int")
     # postings are made twice rather than written: hashing is cheaper than their disk
-    lists = posted.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader != last").select("sig", "leader")
-    lists = spool(posted.join(spool(lists, "leaders"), "sig"), "lists")
+    shared = posted.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("sig")
+    lists = spool(posted.join(spool(shared, "shared"), "sig"), "lists")
+    # a list's leader is its most central node: the one with the largest share of its prefix in lists. Of an
+    # original and its edits that is the original, which links with edits that don't link with each other.
+    central = lists.groupBy("node", "size").agg((F.count("*") / F.col("size")).alias("central")).select("node", "central")
+    lists = spool(lists.join(central, "node"), "lists")
+    leaders = spool(lists.groupBy("sig").agg(F.max(F.struct("central", "node")).alias("top")).select("sig", F.col("top.node").alias("leader")), "leaders")
+    lists = lists.join(leaders, "sig")
 
     votes = lists.where("node != leader").groupBy("node", "leader", "size").agg(F.count("*").alias("votes"))
     best = votes.groupBy("node", "size").agg(F.max(F.struct("votes", "leader")).alias("best"))
@@ -237,7 +243,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     # lists that still hold two components: every pair across them that the prefix counts allow
     open_lists = spool(lists.select("sig", "node", "size").join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "open")
     mixed = open_lists.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("sig")
-    open_lists = spool(open_lists.join(mixed, "sig", "left_semi"), "open")
+    open_lists = open_lists.join(mixed, "sig", "left_semi")
     x, y = open_lists.alias("x"), open_lists.alias("y")
     pairs = (x.join(y, F.col("x.sig") == F.col("y.sig"))
              .where("x.root != y.root and x.node < y.node")
@@ -250,9 +256,13 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         return p - (n - need)
     light = F.greatest("s", "t") <= boundary  # 2-subsets and single shingles are both counted there
     pairs = pairs.where(light | (F.col("shared") >= F.least(least_shared(F.col("s")), least_shared(F.col("t"))))).select("a", "b")
-    final = components(known.unionByName(_links(pairs, docs, reps, width, percent)))
+    # new links join components found so far: the second graph holds their roots alone
+    more = _links(pairs, docs, reps, width, percent).join(root.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(
+        root.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a != b").distinct()
+    again = components(spool(more, "links")).withColumnsRenamed({"node": "first", "root": "last"})
 
-    named = reps.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "doc_id")
+    named = reps.join(root, "node", "left").withColumn("first", F.coalesce("root", "node")).drop("root").join(again, "first", "left")
+    named = named.select("node", F.coalesce("last", "first").alias("root"), "doc_id")
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_node = named.join(smallest, "root").select("node", "component_id")
     return (stats.withColumn("key", F.when(F.col("n") > 0, F.col("node")))

@@ -158,7 +158,7 @@ def _bitmap(bench: DataFrame) -> np.ndarray:
         return pd.DataFrame({"shard": [int(pdf["cell"].iloc[0]) >> 16], "bits": [np.packbits(bits).tobytes()]})
     cells = bench.select(cell.alias("cell")).distinct().withColumn("shard", F.shiftright("cell", 16))
     out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    for r in cells.groupBy("shard").applyInPandas(merge, "shard long, bits binary").toLocalIterator():
+    for r in cells.groupBy("shard").applyInPandas(merge, "shard long, bits binary").collect():
         out[r["shard"] << 13:(r["shard"] + 1) << 13] = np.frombuffer(r["bits"], np.uint8)
     return out
 
