@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 
 def write_results(df: DataFrame, path: str, partition_by: Sequence[str] = ("lang",),
                   mode: str = "overwrite") -> None:
-    """Write with dynamic partition overwrite: rewriting one language replaces
-    only that language's folder, and a retried job rewrites the same files."""
-    (df.write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic")
+    """Replace ``path`` with ``df``, one folder a group. Rows are rebalanced by
+    the group first: AQE cuts a large group into several files and a small one
+    stays one file, instead of a file per task and group. The whole folder is
+    replaced, so a group that is gone leaves no rows behind."""
+    (df.hint("rebalance", *partition_by).write.mode(mode)
+       .option("partitionOverwriteMode", "static")
        .partitionBy(*partition_by)
        .parquet(path))
