@@ -8,7 +8,7 @@ Public operators (DataFrame in, DataFrame out) by inventory id:
     A4  map_labels               A17 rouge_l             A28 meaning_preserved
     A5  holdout_split            A18 score               A29 radar_rows
     A6  split_profile            A19 analyse             A30 effect_summary
-    A7  staged_subsets           A20 label_confidence    A31 score_by_group
+    A7  staged_subsets           A20 label_confidence    A31 nb_scores_grouped
     A8  fit_nb, fit_lr           A21 format_confidence   A32 neutralize_stream
     A11 evaluate                 A22 build_prompt        A33 user_bias_profile, prior_means
     A12 select_model             A23 neutral_rewrite     A34 policy_tier
@@ -24,7 +24,7 @@ from evenline.operators.mllib import fit_lr, lr_scores
 from evenline.operators.naive_bayes import fit_nb, fit_nb_variants, nb_scores
 from evenline.operators.profile import policy_tier, prior_means, user_bias_profile
 from evenline.operators.rewrite import build_prompt, neutral_rewrite, removed_summary, removed_terms
-from evenline.operators.scoring import analyse, format_confidence, label_confidence, score, score_by_group
+from evenline.operators.scoring import analyse, format_confidence, label_confidence, score
 from evenline.operators.selection import evaluate, select_model, staged_fit, staged_rewriter
 from evenline.operators.splits import holdout_split, split_profile, staged_fractions, staged_subsets
 from evenline.sources.corpus import load_corpus
@@ -39,7 +39,7 @@ __all__ = [
     "format_confidence", "holdout_split", "label_confidence", "learn_loaded_terms", "load_corpus",
     "log_loss", "lr_scores", "map_labels", "meaning_preserved", "nb_scores", "neutral_rewrite",
     "neutralize_stream", "per_class", "policy_tier", "prior_means", "radar_rows", "removed_summary",
-    "removed_terms", "rescore", "rouge_l", "rouge_n", "score", "score_by_group", "select_model",
+    "removed_terms", "rescore", "rouge_l", "rouge_n", "score", "select_model",
     "split_profile", "staged_fit", "staged_fractions", "staged_rewriter", "staged_subsets",
     "user_bias_profile", "windowed_scores", "write_results",
 ]

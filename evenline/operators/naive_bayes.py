@@ -193,6 +193,65 @@ class ModelSet(Sequence):
         return rows * (8 * sum(m.k for m in self.models) + KEY_BYTES)
 
 
+@dataclass
+class GroupedNB:
+    """A model per group (language) over one class list, keyed by (group, term)."""
+    classes: list[str]
+    priors: DataFrame     # _g, lp0 .. ; null where the group has no row of the class
+    weights: DataFrame    # _g, term, w0 ..
+    n_weights: int
+
+    @property
+    def broadcast_bytes(self) -> int:
+        return self.n_weights * (8 * len(self.classes) + 2 * KEY_BYTES)
+
+
+def fit_nb_grouped(train: DataFrame, group: str, text_col: str = "text", label_col: str = "label",
+                   min_df: int = MIN_DF, alpha: float = ALPHA, max_classes: int = MAX_CLASSES) -> GroupedNB:
+    """Naive Bayes per value of ``group``, any number of groups, from one
+    aggregation over (group, term). Rows without text, label or group train nothing."""
+    docs = train.where(~is_blank(text_col) & F.col(label_col).isNotNull() & F.col(group).isNotNull()).select(
+        F.col(group).alias("_g"), F.col(label_col).cast("string").alias("_y"), distinct_tokens(text_col).alias("_t"))
+    rows = bounded_collect(docs.select("_y").distinct(), max_classes)
+    if rows is None:
+        raise ValueError(f"more than {max_classes} classes")
+    classes = sorted(r["_y"] for r in rows)
+
+    def per_class(prefix: str) -> list[Column]:
+        return [F.count_if(F.col("_y") == F.lit(c)).alias(f"{prefix}{i}") for i, c in enumerate(classes)]
+    k = range(len(classes))
+    priors = docs.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), *per_class("n")).select(
+        "_g", *[F.when(F.col(f"n{i}") > 0, F.log(F.col(f"n{i}") / F.col("n"))).alias(f"lp{i}") for i in k])
+    ensure_checkpoint_dir(train.sparkSession)
+    counts = (docs.select("_g", "_y", F.explode("_t").alias("term")).groupBy("_g", "term")
+                  .agg(F.count(F.lit(1)).alias("df"), *per_class("n")).where(F.col("df") >= min_df).checkpoint(eager=True))
+    total = counts.groupBy("_g").agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"n{i}").alias(f"t{i}") for i in k])
+    weights = counts.join(total, "_g").select("_g", "term", *[
+        F.log((F.col(f"n{i}") + F.lit(alpha)) / (F.col(f"t{i}") + F.lit(alpha) * F.col("v"))).alias(f"w{i}") for i in k])
+    return GroupedNB(classes, priors.checkpoint(eager=True), weights, counts.count())
+
+
+def nb_scores_grouped(df: DataFrame, key: str, group: str, model: GroupedNB, name: str, text_col: str = "text",
+                      max_broadcast: int = MAX_BROADCAST_BYTES, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Every row by its own group's model: one explode, one equi-join on
+    (group, term), one aggregate, whatever the number of groups. Blank texts and
+    rows of a group without a model get nulls."""
+    ex = (df.select(F.monotonically_increasing_id().alias("_rid"), key, group, is_blank(text_col).alias("_blank"), distinct_tokens(text_col).alias("_t"))
+            .select("_rid", key, group, "_blank", F.col(group).alias("_g"), F.explode_outer("_t").alias("term")))
+    w = model.weights
+    if model.broadcast_bytes <= max_broadcast:
+        joined = ex.join(F.broadcast(w), ["_g", "term"], "left")
+    else:
+        ex = ex.withColumn("_salt", F.pmod(F.xxhash64("_rid"), F.lit(salt_buckets)).cast("int"))
+        joined = ex.join(w.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))), ["_g", "term", "_salt"], "left")
+    k = range(len(model.classes))
+    g = joined.groupBy("_rid", key, group, "_blank").agg(*[F.sum(f"w{i}").alias(f"_s{i}") for i in k])
+    g = g.join(model.priors.withColumn("_has", F.lit(True)), F.col(group) == F.col("_g"), "left")
+    logp = F.array(*[F.when(F.col(f"lp{i}").isNotNull(), F.col(f"lp{i}") + F.coalesce(f"_s{i}", F.lit(0.0))).otherwise(F.lit(float("-inf"))) for i in k])
+    out = g.select(key, group, F.when(~F.col("_blank") & F.col("_has"), logp).alias(f"{name}_logp"))
+    return finish(out, name, model.classes)
+
+
 def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequence[NBModel],
               carry: Sequence[str] = (), max_broadcast: int = MAX_BROADCAST_BYTES,
               salt_buckets: int = SALT_BUCKETS, reuse: Mapping[str, str] | None = None) -> DataFrame:

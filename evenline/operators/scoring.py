@@ -68,26 +68,3 @@ def format_confidence(df: DataFrame, tasks: Sequence[str],
             lab = F.when(lab.isNotNull() & (conf < F.lit(float(near[t]))), F.lit(NEAR_NEUTRAL)).otherwise(lab)
         df = df.withColumn(f"{t}_fmt", confidence_text(lab, conf)).drop(shown)
     return df
-
-
-def score_by_group(df: DataFrame, key: str, group_col: str, models: dict[str, NBModel], name: str,
-                   text_col: str = "text") -> DataFrame:
-    """A18 per group (A31: one model per language). Every row is scored in one
-    pass against the side-by-side weights of all group models (one explode,
-    one join, one aggregate); the row then takes the result of its own group's
-    model. Rows of a group without a model get nulls. All models must share
-    one class list."""
-    groups = sorted(models)
-    classes = models[groups[0]].classes
-    if any(models[g].classes != classes for g in groups):
-        raise ValueError("group models must share their class list")
-    s = nb_scores(df, key, {"": text_col}, [models[g] for g in groups], carry=[group_col])
-
-    def pick(suffix: str) -> Column:
-        e = None
-        for g in groups:
-            c = F.col(f"{models[g].name}_{suffix}")
-            e = F.when(F.col(group_col) == F.lit(g), c) if e is None else e.when(F.col(group_col) == F.lit(g), c)
-        return e
-    return s.select(key, group_col, pick("probs").alias(f"{name}_probs"), pick("label").alias(f"{name}_label"),
-                    pick("conf").alias(f"{name}_conf"))

@@ -881,16 +881,10 @@ def _multilingual_scores_sql(langs=("de", "en", "es", "fr")) -> str:
 
 @query("multilingual_scores", _multilingual_scores_sql())
 def q_multilingual_scores(spark, sf_dir):
-    """A31 scoring: a sentiment model per language (all fitted in one
-    aggregation), each document scored by its own language's model."""
-    from evenline.guards import bounded_collect
-    from evenline.operators.naive_bayes import fit_nb_variants
+    """A31 scoring: a sentiment model per language, weights keyed by (language,
+    term); each document meets its own language's weights only."""
+    from evenline.operators.naive_bayes import fit_nb_grouped, nb_scores_grouped
     c = ctx(spark, sf_dir)
-    train = c.task("sentiment").where(F.col("split") == "train")
-    rows = bounded_collect(train.select("lang").distinct().where(F.col("lang").isNotNull()), 1000)
-    if rows is None:
-        raise ValueError("too many languages")
-    langs = sorted(r.lang for r in rows)
-    ms = fit_nb_variants(train, [(f"ml_{lg}", F.col("lang") == F.lit(lg), 5) for lg in langs])
-    out = sc.score_by_group(c.docs, "doc_id", "lang", {lg: ms[f"ml_{lg}"] for lg in langs}, "sentiment")
+    m = fit_nb_grouped(c.task("sentiment").where(F.col("split") == "train"), "lang")
+    out = nb_scores_grouped(c.docs, "doc_id", "lang", m, "sentiment")
     return out.select("doc_id", "lang", "sentiment_label", F.round("sentiment_conf", 4).alias("sentiment_conf"))

@@ -49,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
+    if not d and not sc._jsc.sc().getCheckpointDir().isEmpty():
+        d = sc._jsc.sc().getCheckpointDir().get()  # set by the application itself
     if not d:
         if not _is_local(spark):
             raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a shared folder")
@@ -130,4 +132,8 @@ def recommended_conf(shuffle_bytes: int, executors: int, cores_per_executor: int
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         ARROW_BATCH_CONF: str(TEXT_ARROW_BATCH),
+        # event ids of the dedup and open windows live on disk, not on the executor's heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
