@@ -34,7 +34,7 @@ MIN_DF = 4
 MIN_CHI2 = 12.0
 STEPS = 300
 RATE = 0.1
-L2 = 1e-4
+L2 = 3e-5
 _SPLIT = np.ones(256, bool)
 _SPLIT[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = False
 _END = np.zeros(256, bool)
@@ -91,7 +91,7 @@ def fit_bags(feats: np.ndarray, sent: np.ndarray, sent_doc: np.ndarray, y: np.nd
         z = theta[-1] + np.bincount(row, theta[col], n_sent)
         total = np.bincount(sent_doc, _softplus(z), n)
         slope = np.where(y > 0, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-12), 1.0) / n
-        gz = slope[sent_doc] / (1 + np.exp(-z))
+        gz = slope[sent_doc] / (1 + np.exp(np.minimum(-z, 50)))
         g = np.append(np.bincount(col, gz[row], len(names)) + L2 * theta[:-1], gz.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)

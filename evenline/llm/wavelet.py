@@ -33,8 +33,9 @@ from evenline.session import ship_package
 SHARD_IDS = 1 << 20
 PARTITION_BYTES = 16 << 20
 END_ID = 2
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 JOINED = 200
+MARK = "\x01"  # no letter, digit or space: a pre-token of its own
 _HEAD = struct.Struct("<4sBQ")
 _MAGIC = b"WVM1"
 _RANK_WORDS = 8  # 64-bit words between two entries of the rank directory
@@ -152,24 +153,44 @@ class WaveletMatrix:
         return x
 
 
+class _Index(dict):
+    """Word -> number, in order of first sight; words new to it are listed in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordEncoder:
     """Ids of a white-space separated word, encoded once a worker. Tokenizers
-    that drop white space encode word by word: their pieces never span a gap."""
+    that drop white space encode word by word: their pieces never span a gap.
+
+    ``flat[offset[e]:offset[e + 1]]`` are the ids of entry ``e``; entry 0 is the
+    end id. ``parts`` has the entries of what was really encoded (lower-case
+    cores, closing marks), ``entry`` that of every numbered word."""
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tok, self.end_id = Tokenizer.from_file(path), end_id
         self.bits = max(1, (max(self.tok.get_vocab_size(True), end_id + 1) - 1).bit_length())
+        mark = self.tok.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None  # parts words in a joined string
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.parts: dict[bytes, list[int]] = {}
+        self.index = _Index()
+        self.parts: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.flat[0] = self.end_id
         self.offset = np.zeros(1 << 16, np.int64)
         self.offset[1] = 1
-        self.n = 1  # entry 0 is the end id
+        self.n = 1
+        self.entry = np.zeros(1 << 16, np.int64)
 
     @staticmethod
     def _split(word: bytes) -> tuple[bytes, bytes]:
@@ -181,51 +202,69 @@ class WordEncoder:
         core = low.rstrip(b".,;:!?")
         return (core, low[len(core):]) if core != low and core[-1:].isalnum() else (low, b"")
 
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """New entries of the given sizes; returns the first."""
+        first, end = self.n, self.offset[self.n] + np.cumsum(sizes)
+        while self.n + len(sizes) + 1 > len(self.offset):
+            self.offset = np.concatenate((self.offset, np.zeros_like(self.offset)))
+        while len(end) and end[-1] > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        if len(end):
+            self.flat[self.offset[first]:end[-1]] = ids
+            self.offset[first + 1:first + 1 + len(sizes)] = end
+        self.n += len(sizes)
+        return first
+
     def _encode(self, words: list[bytes]) -> None:
-        """Ids of parts not seen so far, many in one string parted by spaces; offsets give each its own."""
-        for a in range(0, len(words), JOINED * 64):
-            groups, texts = [], []
-            for b in range(a, min(a + JOINED * 64, len(words)), JOINED):
-                g = [w.decode() for w in words[b:b + JOINED]]
-                groups.append((words[b:b + JOINED], np.cumsum([0] + [len(w) + 1 for w in g])))
-                texts.append(" ".join(g))
-            for (own, starts), e in zip(groups, self.tok.encode_batch(texts, add_special_tokens=False)):
-                ids = e.ids
-                cut = np.searchsorted(np.array([o[0] for o in e.offsets], np.int64), starts).tolist()
-                for w, lo, hi in zip(own, cut, cut[1:]):
-                    self.parts[w] = ids[lo:hi]
+        """Entries of parts not seen so far: many in one string with a mark
+        between them, or alone where they hold the mark themselves."""
+        alone = [w for w in words if self.mark is None or MARK.encode() in w]
+        joined = [w for w in words if self.mark is not None and MARK.encode() not in w]
+        for a in range(0, len(joined), JOINED * 64):
+            groups = [joined[b:b + JOINED] for b in range(a, min(a + JOINED * 64, len(joined)), JOINED)]
+            texts = [(b" " + MARK.encode() + b" ").join(g).decode() for g in groups]
+            for g, e in zip(groups, self.tok.encode_batch(texts, add_special_tokens=False)):
+                ids = np.array(e.ids, np.uint32)
+                cut = np.flatnonzero(ids == self.mark)
+                sizes = np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
+                first = self._append(np.delete(ids, cut), sizes)
+                self.parts.update(zip(g, range(first, first + len(g))))
+        for w in alone:
+            ids = np.array(self.tok.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
+            self.parts[w] = self._append(ids, np.array([len(ids)]))
 
     def _learn(self, words: list[bytes]) -> None:
         split = [self._split(w) for w in words]
-        self._encode(list(dict.fromkeys(p for s in split for p in s if p and p not in self.parts)))
-        lists = [self.parts[c] + self.parts[m] if m else self.parts[c] for c, m in split]
-        size = np.cumsum([0] + [len(x) for x in lists]) + self.offset[self.n]
-        while self.n + len(lists) + 1 > len(self.offset):
-            self.offset = np.concatenate((self.offset, np.zeros_like(self.offset)))
-        while size[-1] > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[size[0]:size[-1]] = [i for x in lists for i in x]
-        self.offset[self.n:self.n + len(lists) + 1] = size
-        self.index.update(zip(words, range(self.n, self.n + len(lists))))
-        self.n += len(lists)
+        parts = self.parts
+        self._encode(list({p: None for s in split for p in s if p and p not in parts}))
+        known = len(self.index) - len(words)
+        while len(self.index) > len(self.entry):
+            self.entry = np.concatenate((self.entry, np.zeros_like(self.entry)))
+        core = np.array([parts[c] for c, _ in split], np.int64)
+        marks = np.array([parts[m] if m else -1 for _, m in split], np.int64)
+        both = np.flatnonzero(marks >= 0)
+        if len(both):
+            pair = np.stack((core[both], marks[both]), 1).ravel()
+            lens = self.offset[pair + 1] - self.offset[pair]
+            first = self._append(self.flat[spread(self.offset[pair], lens)], lens.reshape(-1, 2).sum(1))
+            core[both] = np.arange(first, first + len(both))
+        self.entry[known:known + len(words)] = core
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and the number of ids of each."""
-        if len(self.index) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
+        if len(self.index) > CACHE_WORDS:
             self.reset()
         words, n = [], []
         for t in texts:
             w = t.split()
             words += w
             n.append(len(w))
-        get = self.index.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        new = np.flatnonzero(at < 0).tolist()
-        if new:
-            self._learn(list(dict.fromkeys(words[k] for k in new)))
-            at[new] = [self.index[words[k]] for k in new]
+        at = np.array(list(map(self.index.__getitem__, words)), np.int64)
+        if self.index.new:
+            self._learn(self.index.new)
+            self.index.new = []
         ends = np.cumsum(n)
-        at = np.insert(at, ends, 0)
+        at = np.insert(self.entry[at] if len(at) else at, ends, 0)
         lens = self.offset[at + 1] - self.offset[at]
         total = np.concatenate(([0], np.cumsum(lens)))
         bounds = ends + np.arange(1, len(n) + 1)
