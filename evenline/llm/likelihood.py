@@ -72,11 +72,24 @@ def _count_words(n_classes: int):
     return run
 
 
+def _gather(batches, rows: int = 60_000):
+    """Batches joined to about ``rows`` rows: words of one length are one matrix, so few rows waste it."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += len(b)
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _expect(held, columns: list[str]):
     def run(batches):
         names, weights = held.value
         lattice, total = Lattice(names, weights), np.zeros((len(names), len(columns)))
-        for batch in batches:
+        for batch in _gather(batches):
             total += lattice.expected_counts(batch.column("word").to_pylist(), np.stack([batch.column(c).to_numpy() for c in columns], 1))
         at, c = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(c), pa.array(total[at, c])], ["piece", "class", "uses"])
@@ -87,7 +100,7 @@ def _lattice_of(held, n_classes: int):
     def run(batches):
         names, weights = held.value
         lattice = Lattice(names, weights)
-        for batch in batches:
+        for batch in _gather(batches):
             p = lattice.log_probability(batch.column("word").to_pylist())
             p = np.broadcast_to(p, (len(p), n_classes))
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(np.ascontiguousarray(p[:, k])) for k in range(n_classes)]], [*batch.schema.names, *[f"l{k}" for k in range(n_classes)]])
