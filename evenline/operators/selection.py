@@ -64,36 +64,43 @@ def staged_rewriter(train: DataFrame, test: DataFrame, key: str, label: str = "l
     """A13 for the rewriter (the reference's stepwise 1K/5K/10K training): per
     nested train share, learn the lexicon (A24), rewrite every held-out row
     (A23) and report lexicon size, rows changed, positive rows changed and mean
-    ROUGE-1 F1 of rewrite against original (A16). One job set per stage; the
-    lexicon of each stage is bounded before it is inlined."""
-    from evenline.guards import MAX_INLINE_TERMS
-    from evenline.operators.lexicon import learn_loaded_terms
+    ROUGE-1 F1 of rewrite against original (A16).
+
+    The lexicons of all stages come from one conditional-count aggregate over
+    one explode; the held-out rows are read once, every row's rewrites become a
+    small array, exploded and grouped by stage."""
+    from evenline.functions.text import distinct_tokens, tokens
     from evenline.operators.metrics import with_rouge
     from evenline.operators.rewrite import neutral_rewrite
-    from evenline.functions.text import tokens
-    parts = []
-    for f in sorted(fractions):
-        sub = train.where(share_below(F.col("text"), f))
-        lex = learn_loaded_terms(sub, "text", label, positive, min_df, min_share)
-        n_terms = lex.count()
-        if n_terms > MAX_INLINE_TERMS:
-            rw = neutral_rewrite(test, lex, "text", "_n", key=key)
-        else:
-            rw = neutral_rewrite(test, lex, "text", "_n", max_inline=MAX_INLINE_TERMS)
-        t = rw.select(key, label, (~F.col("_n").eqNullSafe(F.col("text"))).alias("_ch"),
-                      tokens("text").alias("_a"), tokens("_n").alias("_b"))
-        t = with_rouge(t, "_a", "_b", "r1", 1)
-        parts.append(t.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("_ch")).alias("n_changed"),
-            F.count_if(F.col(label) == F.lit(positive)).alias("n_positive"),
-            F.count_if(F.col("_ch") & (F.col(label) == F.lit(positive))).alias("n_positive_changed"),
-            F.round(F.avg("r1_f1"), 4).alias("rouge1_f1_mean"))
-            .select(F.lit(float(f)).alias("stage"), F.lit(n_terms).cast("bigint").alias("n_terms"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from evenline.session import ensure_checkpoint_dir
+    fr = sorted(fractions)
+    k = range(len(fr))
+    docs = train.where(F.col("text").isNotNull() & F.col(label).isNotNull()).select(
+        (F.col(label).cast("string") == F.lit(positive)).alias("_pos"), *[share_below(F.col("text"), f).alias(f"_in{i}") for i, f in enumerate(fr)],
+        F.explode(distinct_tokens("text")).alias("term"))
+    counts = docs.groupBy("term").agg(*[F.count_if(F.col(f"_in{i}")).alias(f"df{i}") for i in k],
+                                      *[F.count_if(F.col(f"_in{i}") & F.col("_pos")).alias(f"pos{i}") for i in k])
+    bp = int(round(min_share * 10000))
+
+    def loaded(i: int):
+        return (F.col(f"df{i}") >= min_df) & (F.col(f"pos{i}") * 10000 >= F.lit(bp) * F.col(f"df{i}"))
+    some = loaded(0)
+    for i in k:
+        some = some | loaded(i)
+    ensure_checkpoint_dir(train.sparkSession)
+    lexicon = counts.where(some).select("term", *[loaded(i).alias(f"_l{i}") for i in k]).checkpoint(eager=True)
+    n_terms = lexicon.agg(*[F.count_if(F.col(f"_l{i}")).alias(f"n{i}") for i in k]).first()
+    rows = test
+    for i in k:
+        rows = neutral_rewrite(rows, lexicon.where(f"_l{i}").select("term"), "text", f"_n{i}", key=key)
+    stages = F.array(*[F.struct(F.lit(float(f)).alias("stage"), F.lit(int(n_terms[f"n{i}"])).cast("bigint").alias("n_terms"), F.col(f"_n{i}").alias("n"))
+                       for i, f in enumerate(fr)])
+    t = rows.select(label, "text", F.explode(stages).alias("s")).select(
+        label, "s.stage", "s.n_terms", (~F.col("s.n").eqNullSafe(F.col("text"))).alias("_ch"), tokens("text").alias("_a"), tokens("s.n").alias("_b"))
+    hit = F.col(label) == F.lit(positive)
+    return with_rouge(t, "_a", "_b", "r1", 1).groupBy("stage", "n_terms").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_ch")).alias("n_changed"), F.count_if(hit).alias("n_positive"),
+        F.count_if(F.col("_ch") & hit).alias("n_positive_changed"), F.round(F.avg("r1_f1"), 4).alias("rouge1_f1_mean"))
 
 
 def staged_fit_tasks(train: DataFrame, test: DataFrame, key: str, labels: dict[str, str],

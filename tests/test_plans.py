@@ -13,7 +13,7 @@ MAP_ONLY = ["english_only", "holdout_split", "neutral_rewrite", "rouge1", "rouge
             "meaning_preserved", "concat_fields", "multilingual"]
 ONE_SHUFFLE = ["score_truth", "score_sentiment", "score_bias", "analyse", "format_confidence",
                "before_after", "radar_rows"]
-SKIP = {"model_compare", "stream_neutralize", "stream_windows"}   # driver loops / streams
+SKIP = {"stream_neutralize", "stream_windows"}   # driver loops / streams
 
 
 def _plan(spark, name):
@@ -46,3 +46,11 @@ def test_filter_and_columns_reach_the_scan(spark):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "EqualTo(lang,en)" in s
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in s
+
+
+@pytest.mark.parametrize("name", ["staged_fit", "select_model", "log_loss"])
+def test_evaluation_explodes_tokens_once(spark, name):
+    """Many models on one text: one token explode, whatever their number (the
+    other explodes unfold a handful of result structs)."""
+    p = _plan(spark, name)
+    assert len(re.findall(r"Generate explode\(_all", p)) == 1, p

@@ -19,8 +19,8 @@ def test_quality_report(spark):
         te = c.task(t).where(F.col("split") == "test")
         base[t] = metrics.majority_baseline(tr, te).first().majority_accuracy
     report = {t: (acc[t], base[t], acc[t] >= base[t]) for t in TASKS}
-    print("accuracy vs majority:", report)
-    assert all(0.0 <= acc[t] <= 1.0 for t in TASKS)
+    # naive Bayes may trail the majority class on rare labels (see README), never by much
+    assert all(acc[t] >= base[t] - 0.1 for t in TASKS), report
     assert acc["bias"] > base["bias"]   # language is easy to tell from the text
 
 

@@ -44,10 +44,22 @@ def test_stream_equals_batch_one_and_four_batches(spark):
         assert out.exceptAll(batch).count() == 0 and batch.exceptAll(out).count() == 0
 
 
-def test_stream_restart_from_checkpoint(spark):
+def test_stream_restart_after_a_killed_batch(spark):
+    """The third micro-batch dies midway; a restart replays it and goes on."""
+    import pytest
     src, schema = _parts(spark, 4)
     tmp = tempfile.mkdtemp(prefix="evenline-run-")
-    first = _run(spark, src, schema, f"{tmp}/sink", f"{tmp}/ckpt", 1)
-    n1 = first.count()
-    again = _run(spark, src, schema, f"{tmp}/sink", f"{tmp}/ckpt", 1)   # nothing new: no reprocessing
-    assert again.count() == n1 == 200
+    c = Context.get(spark, SF)
+
+    def dying(df, batch_id):
+        out = stream_process(c)(df)
+        if batch_id == 2:
+            out.write.mode("overwrite").parquet(f"{tmp}/sink/batch_id=2")   # half done: written, never committed
+            raise RuntimeError("killed")
+        return out
+    s = file_stream(spark, src + "/*", "*.parquet", schema, max_files_per_trigger=1)
+    with pytest.raises(Exception):
+        run_foreach_batch(s, dying, f"{tmp}/sink", f"{tmp}/ckpt", ["lang"])
+    out = _run(spark, src, schema, f"{tmp}/sink", f"{tmp}/ckpt", 1)
+    batch = _batch(spark).select("doc_id", "lang", "neutral", "changed", "sentiment_before", "sentiment_after")
+    assert out.count() == 200 and out.exceptAll(batch).count() == 0 and batch.exceptAll(out).count() == 0
