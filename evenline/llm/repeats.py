@@ -24,7 +24,9 @@ anchors are semi-joined with the repeated cells instead, with the same result.
 
 Null and blank texts have no window; repeated rows of one ``doc_id`` with one
 text count as one document; rows that share a ``doc_id`` with different texts
-are ordered by their text's hash. Extra columns are ignored.
+are documents of their own, in the order of their texts' md5. Rows with a null
+id have no place in the order: they are compared with nothing and kept whole.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from evenline.llm.spool import spool
 from evenline.llm.words import Block, blocks, mix64, rolling, sliding_min, spread
@@ -116,12 +119,17 @@ def repeated_cells(docs: DataFrame, width: int, gram: int, bits: int) -> DataFra
     return partial.groupBy("row", "shard").applyInPandas(_merge_sketch, "row int, shard long, bits binary")
 
 
-def _windows(b: Block, ids: np.ndarray, h: np.ndarray, i: np.ndarray, width: int) -> pa.RecordBatch:
+def _keys(batch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and, above 32 bits, variants: what a position in a document starts from."""
+    return batch.column("doc_id").to_numpy(), batch.column("variant").to_numpy().astype(np.int64) << 32
+
+
+def _windows(b: Block, ids: np.ndarray, lead: np.ndarray, h: np.ndarray, i: np.ndarray, width: int) -> pa.RecordBatch:
     """Hash, document and position of the windows that start at words ``i``."""
     w1, w2 = rolling(h, width, _ODD1), rolling(h, width, _ODD2)
     d = b.doc[i]
     return pa.RecordBatch.from_arrays([pa.array(w1[i].view(np.int64)), pa.array(w2[i].view(np.int64)), pa.array(ids[b.first + d].astype(np.int64)),
-                                       pa.array((i - b.word_offsets[d]).astype(np.int32))], ["h1", "h2", "doc_id", "start"])
+                                       pa.array(i - b.word_offsets[d] + lead[b.first + d])], ["h1", "h2", "doc_id", "start"])
 
 
 def _flagged_windows(width: int, gram: int, bits: int, sketch):
@@ -129,7 +137,7 @@ def _flagged_windows(width: int, gram: int, bits: int, sketch):
     def run(batches):
         rows = sketch.value
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, lead = _keys(batch)
             for b in blocks(batch.column("text")):
                 h = b.hashes()
                 i, s, n, a = _anchors(b, h, width, gram)
@@ -139,7 +147,7 @@ def _flagged_windows(width: int, gram: int, bits: int, sketch):
                     ok &= (rows[r][(c >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (c & np.uint64(7))).astype(np.uint8)) & 1 == 1
                 j = i[spread(s[ok], n[ok])]
                 if len(j):
-                    yield _windows(b, ids, h, j, width)
+                    yield _windows(b, ids, lead, h, j, width)
     return run
 
 
@@ -147,12 +155,12 @@ def _anchor_rows(width: int, gram: int, bits: int):
     """``cell, doc_id, start, n``: runs of windows under their sketch cell."""
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, lead = _keys(batch)
             for b in blocks(batch.column("text")):
                 i, s, n, a = _anchors(b, b.hashes(), width, gram)
                 d = b.doc[i[s]]
                 yield pa.RecordBatch.from_arrays([pa.array(_cells(a, 0, bits).astype(np.int64)), pa.array(ids[b.first + d].astype(np.int64)),
-                                                  pa.array((i[s] - b.word_offsets[d]).astype(np.int32)), pa.array(n.astype(np.int32))], ["cell", "doc_id", "start", "n"])
+                                                  pa.array(i[s] - b.word_offsets[d] + lead[b.first + d]), pa.array(n.astype(np.int32))], ["cell", "doc_id", "start", "n"])
     return run
 
 
@@ -166,14 +174,14 @@ def _listed_windows(width: int):
     """Windows of the listed runs of each document."""
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, lead = _keys(batch)
             starts, ns = batch.column("starts").to_pylist(), batch.column("ns").to_pylist()
             for b in blocks(batch.column("text")):
                 h = b.hashes()
-                j = [np.unique(spread(np.array(starts[b.first + k], np.int64), np.array(ns[b.first + k], np.int64))) + b.word_offsets[k] for k in range(b.n_docs)]
+                j = [np.unique(spread(np.array(starts[b.first + k], np.int64) & 0xFFFFFFFF, np.array(ns[b.first + k], np.int64))) + b.word_offsets[k] for k in range(b.n_docs)]
                 j = np.concatenate(j) if j else np.zeros(0, np.int64)
                 if len(j):
-                    yield _windows(b, ids, h, j, width)
+                    yield _windows(b, ids, lead, h, j, width)
     return run
 
 
@@ -204,7 +212,7 @@ def _cut(width: int):
                         gone[:] = n >= width
                     elif starts[b.first + k]:
                         edge = np.zeros(n + 1, np.int64)
-                        s = np.unique(np.array(starts[b.first + k], np.int64))
+                        s = np.unique(np.array(starts[b.first + k], np.int64) & 0xFFFFFFFF)
                         edge[s] += 1
                         edge[s + width] -= 1
                         gone = np.cumsum(edge)[:n] > 0
@@ -231,11 +239,19 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sk
     if not 0 < gram <= width:
         raise ValueError("gram must lie between 1 and width")
 
-    seq = docs.mapInArrow(_sequence_hash, "doc_id long, n_words long, seq binary")
+    again = spool(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    docs = docs.withColumn("variant", F.lit(0))
+    if not again.isEmpty():  # several texts under one id: numbered in the order of their md5
+        texts = docs.join(again, "doc_id", "left_semi").select("doc_id", F.md5("text").alias("md5")).distinct()
+        texts = texts.withColumn("nth", F.row_number().over(W.partitionBy("doc_id").orderBy("md5")) - 1)
+        docs = docs.withColumn("md5", F.md5("text")).join(texts, ["doc_id", "md5"], "left").select("doc_id", "text", F.coalesce("nth", F.lit(0)).alias("variant"))
+
+    seq = docs.select("doc_id", "text").mapInArrow(_sequence_hash, "doc_id long, n_words long, seq binary")
     first = seq.where(F.col("n_words") >= width).groupBy("seq").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("seq", "first_id")
-    copies = spool(seq.join(spool(first, "sequences"), "seq").where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "copies")
+    copies = spool(seq.join(spool(first, "sequences"), "seq").where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct()
+                   .join(again, "doc_id", "left_anti"), "copies")
     small = copies.count() <= MAX_BROADCAST_IDS
-    alone = docs.join(F.broadcast(copies) if small else copies, "doc_id", "left_anti")
+    alone = docs.where("doc_id is not null").join(F.broadcast(copies) if small else copies, "doc_id", "left_anti")
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sketch_bits(size)
@@ -245,19 +261,20 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sk
         step = 1 << (SHARD_BITS - 3)
         for r in cells.collect():  # within max_sketch_bytes
             rows[r["row"]][r["shard"] * step:(r["shard"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
-        found = alone.mapInArrow(_flagged_windows(width, gram, bits, spark.sparkContext.broadcast(rows)), "h1 long, h2 long, doc_id long, start int")
+        found = alone.mapInArrow(_flagged_windows(width, gram, bits, spark.sparkContext.broadcast(rows)), "h1 long, h2 long, doc_id long, start long")
     else:
         repeated = cells.where("row = 0").mapInArrow(_cell_rows, "cell long")
-        hits = (alone.mapInArrow(_anchor_rows(width, gram, bits), "cell long, doc_id long, start int, n int")
-                .join(repeated, "cell", "left_semi").groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns")))
-        found = alone.join(hits, "doc_id").mapInArrow(_listed_windows(width), "h1 long, h2 long, doc_id long, start int")
+        hits = (alone.mapInArrow(_anchor_rows(width, gram, bits), "cell long, doc_id long, start long, n int")
+                .join(repeated, "cell", "left_semi").groupBy("doc_id", F.shiftright("start", 32).cast("int").alias("variant"))
+                .agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns")))
+        found = alone.join(hits, ["doc_id", "variant"]).mapInArrow(_listed_windows(width), "h1 long, h2 long, doc_id long, start long")
     # the windows are found twice rather than written: hashing is cheaper than their disk. The first positions are
     # written, so that both sides of the join are plain exchanges and a hot window's rows can be split.
     first = spool(found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
                   .where("n > 1").select("h1", "h2", "first"), "first")
     marks = (found.join(first, ["h1", "h2"]).where(F.struct("doc_id", "start") != F.col("first"))
-             .groupBy("doc_id").agg(F.collect_list("start").alias("starts")))
-    changes = marks.select("doc_id", "starts", F.lit(False).alias("is_copy")).unionByName(
-        copies.select("doc_id", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("is_copy")))
-    return (docs.join(changes, "doc_id", "left").select("doc_id", "text", "starts", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
+             .groupBy("doc_id", F.shiftright("start", 32).cast("int").alias("variant")).agg(F.collect_list("start").alias("starts")))
+    changes = marks.select("doc_id", "variant", "starts", F.lit(False).alias("is_copy")).unionByName(
+        copies.select("doc_id", F.lit(0).alias("variant"), F.lit(None).cast("array<long>").alias("starts"), F.lit(True).alias("is_copy")))
+    return (docs.join(changes, ["doc_id", "variant"], "left").select("doc_id", "text", "starts", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
             .mapInArrow(_cut(width), "doc_id long, n_words long, n_removed long, kept string"))

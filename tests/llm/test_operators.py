@@ -152,6 +152,32 @@ def test_op10_same_without_the_broadcast_sketch(spark, tables):
     assert got == brute.removed(tables[1])
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_op10_texts_that_share_an_id(spark, limit):
+    import random
+
+    from conftest import prose
+    from evenline.llm.repeats import remove_repeats
+    rnd = random.Random(8)
+    a, b, c = (prose(rnd, "en", 60) for _ in range(3))
+    rows = [(1, a), (1, b), (1, b + " " + a), (2, a + " x y z " + c), (2, a), (2, a), (3, c), (None, c), (4, None)]
+    got = sorted((r["doc_id"] or 99, r["n_words"], r["n_removed"], r["kept"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), max_sketch_bytes=limit).collect())
+    seen, want, done = set(), [], {}
+    order = sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], hashlib.md5((r[1] or "").encode()).hexdigest()))
+    for i, t in order:
+        w = brute.words(t)
+        gone = [False] * len(w)
+        for k in range(len(w) - 19):
+            key = tuple(w[k:k + 20])
+            if key in seen:
+                gone[k:k + 20] = [True] * 20
+            seen.add(key)
+        done[i, t] = (len(w), sum(gone), b" ".join(x for x, g in zip(w, gone) if not g).decode())
+    for i, t in rows:
+        want.append((i or 99, *(done[i, t] if i else (len(brute.words(t)), 0, " ".join(t.split())))))
+    assert got == sorted(want)
+
+
 def test_every_query_counts_its_rows(spark, odd_tables):
     """Null ids, repeated ids and rows: one result row each, none lost."""
     for name in ("op1_toxicity", "op3_mixing", "op4_edit_aware_counts", "op5_token_output", "op6_fingerprints", "op7_lattice_likelihood", "op8_ngram_jaccard_join", "op9_language_id", "op10_substring_dedup"):
