@@ -105,7 +105,8 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     total = int(sum(int(s) * int(c) for s, c in zip(sizes, counts)))
     if total <= 0 or budget <= 0:
         return np.zeros(len(sizes), np.int64)
-    take = np.array([int(c) * budget // total for c in counts], np.int64)
+    # a budget within the programme's reach is its alone; a larger one is first met in proportion
+    take = np.array([int(c) * budget // total if budget > BUDGET else 0 for c in counts], np.int64)
     left = counts - take
     rest = budget - int(sum(int(s) * int(c) for s, c in zip(sizes, take)))
     for k in np.argsort(-sizes, kind="stable"):

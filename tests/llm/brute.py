@@ -69,3 +69,16 @@ def targets(sizes):
         if not over:
             return {**fixed, **share}
         fixed.update({s: 3.0 * sizes[s] for s in over})
+
+
+def slack(lengths, target):
+    """How far the best choice of whole copies plus a subset must stay from a
+    target, plus the shortest document (a plan may fix proportional shares first)."""
+    total = sum(lengths)
+    full = min(3, int(target // total)) if total else 0
+    sums = {0}
+    if full < 3:
+        for x in lengths:
+            sums |= {s + x for s in sums}
+    best = min(abs(full * total + s - target) for s in sums)
+    return best + max(1, min((x for x in lengths if x), default=1))

@@ -32,7 +32,7 @@ def test_stages_keep_columns_and_decide_as_told(spark, tables):
     lens = defaultdict(list)
     for r in kept["decontamination"]:
         lens[r[3]].append(len(brute.words(r[1])))
-    assert all(abs(taken[s] - want[s]) <= max(1, min((x for x in lens[s] if x), default=1)) for s in sizes)
+    assert all(abs(taken[s] - want[s]) <= brute.slack(lens[s], want[s]) for s in sizes)
     assert max(Counter(r[0] for r in kept["mixing"]).values()) <= 3
     last = P.token_output(spark, docs, path).collect()
     assert len(last) == len(kept["mixing"])
