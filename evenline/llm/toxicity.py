@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from evenline.llm.words import blocks
 from evenline.session import ship_package
 
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
+CHUNK = 1 << 19   # tokens that screening looks at at once
 DIM_BITS = 20
 MIN_DF = 4
 MIN_CHI2 = 12.0
@@ -70,19 +71,23 @@ def fit_bags(feats: np.ndarray, sent: np.ndarray, sent_doc: np.ndarray, y: np.nd
     w = np.zeros(dim, np.float32)
     if not y.any() or not len(feats):
         return w, -np.inf
-    doc = np.repeat(sent_doc[sent], 3).astype(np.int64)
-    pair = np.unique(doc << DIM_BITS | feats.ravel())
-    d, f = pair >> DIM_BITS, pair & (dim - 1)
-    a = np.bincount(f, y[d], dim)
-    df = np.bincount(f, minlength=dim)
+    doc = sent_doc[sent]
+    a, df = np.zeros(dim), np.zeros(dim, np.int64)
+    lo = 0
+    while lo < len(doc):  # whole documents at a time
+        hi = int(np.searchsorted(doc, doc[min(lo + CHUNK, len(doc)) - 1], "right"))
+        pair = np.unique(np.repeat(doc[lo:hi].astype(np.int64), 3) << DIM_BITS | feats[lo:hi].ravel())
+        f = pair & (dim - 1)
+        a += np.bincount(f, y[pair >> DIM_BITS], dim)
+        df += np.bincount(f, minlength=dim)
+        lo = hi
     pos = y.sum()
     e = df * pos / n
     chi2 = np.where(df > 0, (a - e) ** 2 * n / np.maximum(e * (n - df) * (1 - pos / n) / 1.0, 1e-9), 0) if pos < n else np.zeros(dim)
     keep = (df >= MIN_DF) & (chi2 >= MIN_CHI2)
     at = np.flatnonzero(keep[feats].ravel())
-    fs = feats.ravel()[at]
-    names, col = np.unique(fs, return_inverse=True)
-    row = np.repeat(sent, 3)[at]
+    names, col = np.unique(feats.ravel()[at], return_inverse=True)
+    row = sent[at // 3]
     n_sent = len(sent_doc)
     theta = np.zeros(len(names) + 1)
     theta[-1] = -np.log(max(1.0, n_sent / max(1.0, pos))) - 1
@@ -117,8 +122,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
             ys.append(batch.column("toxic").to_numpy())
             for b, f, s, d in _bags(batch.column("text")):
                 feats.append(f)
-                sents.append(s + n_sent)
-                sent_docs.append(d + n_doc + b.first)
+                sents.append((s + n_sent).astype(np.int32))
+                sent_docs.append((d + n_doc + b.first).astype(np.int32))
                 n_sent += len(d)
             n_doc += len(batch)
         w, bias = fit_bags(np.concatenate(feats), np.concatenate(sents), np.concatenate(sent_docs), np.concatenate(ys).astype(np.float64)) if feats else (np.zeros(1 << DIM_BITS, np.float32), -np.inf)
