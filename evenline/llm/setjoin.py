@@ -16,9 +16,10 @@ different sets count; no candidate is capped or sampled.
    one. The boundary minimises rows emitted plus expected list lengths over the
    histogram of sizes.
 4. Each node first meets the most central leader of its lists, the one they name most often; verified links
-   give components. Lists that still hold two components give the remaining
-   pairs, which pass an exact prefix-count bound before they are verified on
-   whole sets. Groups of near copies therefore cost one pair a member.
+   give components. In lists that still hold two components a node meets the
+   clusters of the larger ones, then the members of clusters that it may link
+   with, each step behind an exact bound on missing shingles, before pairs are
+   verified on whole sets. Groups of near copies cost one pair a member.
 
 Null and blank texts have an empty set, link with nothing and are their own
 component; a text with fewer than ``width`` words is one shingle. Rows with a
@@ -47,6 +48,7 @@ PERCENT = 75
 SHINGLES_PER_CELL = 64
 MIN_CELL_BITS, MAX_CELL_BITS, SHARD_BITS = 16, 26, 16
 MAX_BROADCAST_IDS = 1_000_000
+BAND = 0.04  # width of a cluster's size band, in natural logarithm
 _ODD = 0xD1342543DE82EF95
 _SHORT = 0xA24BAED4963EE407
 
@@ -128,10 +130,32 @@ def choose_boundary(sizes: dict[int, int], expected_list: float, percent: int =
     return at
 
 
-def _ordered(s: np.ndarray, levels: np.ndarray, cell_bits: int, n: int) -> np.ndarray:
-    """The first ``n`` shingles of a set, rarest first."""
-    key = (levels[(s >> np.uint64(64 - cell_bits)).astype(np.int64)].astype(np.uint64) << np.uint64(57)) | (mix64(s) >> np.uint64(7))
-    return s[np.argsort(key, kind="stable")[:n]]
+def _ordered(s: np.ndarray, levels: np.ndarray, cell_bits: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` shingles of a set, rarest first, and their levels."""
+    level = levels[(s >> np.uint64(64 - cell_bits)).astype(np.int64)].astype(np.uint64)
+    at = np.argsort((level << np.uint64(57)) | (s >> np.uint64(7)), kind="stable")[:n]
+    # a shingle's place in the order, coarsely: its level and the first 12 bits of its hash
+    return s[at], (level[at] << np.uint64(12) | s[at] >> np.uint64(52)).astype(np.int64)
+
+
+#: A posting's ``info``: set size (28 bits), shingles of the prefix placed before its last one (12, saturated),
+#: the last one's place (18), the posting's own level (6).
+_SIZE_BITS, _BELOW_BITS, _PLACE_BITS = 28, 12, 18
+
+
+def _info(n: int, place: np.ndarray | None) -> np.ndarray | int:
+    if place is None:  # of a set that no bound applies to
+        return n
+    last = int(place[-1])
+    head = n | min(int((place < last).sum()), (1 << _BELOW_BITS) - 1) << _SIZE_BITS | last << (_SIZE_BITS + _BELOW_BITS)
+    return (np.uint64(head) | (place >> 12).astype(np.uint64) << np.uint64(58)).view(np.int64)
+
+
+def _unpacked(info: str = "info") -> dict:
+    def bits(shift: int, width: int):
+        return F.shiftrightunsigned(info, shift).bitwiseAND(F.lit((1 << width) - 1))
+    return {"size": bits(0, _SIZE_BITS), "below": bits(_SIZE_BITS, _BELOW_BITS), "last": bits(_SIZE_BITS + _BELOW_BITS, _PLACE_BITS),
+            "place": F.shiftrightunsigned(info, 58) * 4096 + F.shiftrightunsigned("sig", 52)}
 
 
 def _postings(width: int, percent: int, cell_bits: int, boundary: int, levels_b):
@@ -145,20 +169,20 @@ def _postings(width: int, percent: int, cell_bits: int, boundary: int, levels_b)
                     p = allowed(n, percent)
                     if not p:
                         continue  # links with equal sets alone
-                    pre = _ordered(s, levels, cell_bits, p + 2)
+                    pre, place = _ordered(s, levels, cell_bits, p + 2)
                     at = _node(s)
                     if n <= boundary:
                         i, j = np.triu_indices(len(pre), 1)
                         sig.append(mix64(pre[i] * np.uint64(_ODD) + pre[j] * np.uint64(3) + np.uint64(1)))
                         node.append(np.full(len(i), at))
-                        size.append(np.full(len(i), n, np.int32))
+                        size.append(np.full(len(i), _info(n, None)))
                     if n > boundary * percent / 100:
                         one = pre[:p + 1]
                         sig.append(one)
                         node.append(np.full(len(one), at))
-                        size.append(np.full(len(one), n, np.int32))
+                        size.append(_info(n, place[:p + 1]) if n > boundary else np.full(len(one), _info(n, None)))
             if sig:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(node)), pa.array(np.concatenate(size))], ["sig", "node", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(node)), pa.array(np.concatenate(size))], ["sig", "node", "info"])
     return run
 
 
@@ -198,6 +222,47 @@ def _links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, perce
     return left.join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long, linked boolean").where("linked").select("a", "b")
 
 
+def _through(links: DataFrame, root: DataFrame) -> DataFrame:
+    """Links between the components that their nodes belong to."""
+    out = links.join(root.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(root.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left")
+    return out.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a != b").distinct()
+
+
+def _open_clusters(lists: DataFrame, percent: int) -> DataFrame:
+    """``node, own, root, band, center``: nodes (of component ``own``) beside clusters they may link with.
+
+    A *cluster* is the nodes of one component whose sizes are near each other.
+    If all their prefixes end behind a node's, its prefix shingles that no list
+    shares with the cluster are missing from every set in it. Too many of them
+    rule the cluster out before any pair is made, so a borderline copy beside a
+    large group costs a row a list, not one a member. Of two components the
+    smaller one's nodes meet the larger one's clusters; of two of one weight,
+    that with the earlier prefix end."""
+    clusters = lists.groupBy("root", "band").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.min("last").alias("end"), F.max(F.struct("central", "node")).alias("top"))
+    met = lists.select("sig", "root", "band", "weight", "ends").distinct()
+    x, c = lists.alias("x"), met.alias("c")
+    beside = (x.join(c, F.col("x.sig") == F.col("c.sig"))
+              .where("c.root != x.root and struct(c.weight, c.ends, c.root) > struct(x.weight, x.ends, x.root)")
+              .groupBy(F.col("x.node").alias("node"), F.col("x.size").alias("size"), F.col("x.below").alias("below"), F.col("x.last").alias("last"), F.col("x.root").alias("from"),
+                       F.col("c.root").alias("root"), F.col("c.band").alias("band"))
+              .agg(F.count_if(F.col("x.place") < F.col("x.last")).alias("met")))
+    beside = beside.join(clusters, ["root", "band"])
+    smallest = F.greatest("lo", F.ceil(F.lit(percent) * F.col("size") / 100))  # of the cluster's sets, those near enough in size
+    need = F.ceil(F.lit(percent) * (F.col("size") + smallest) / (100 + percent))
+    missing = F.when(F.col("end") >= F.col("last"), F.col("below") - F.col("met")).otherwise(F.lit(0))
+    beside = beside.where((F.col("lo") * percent <= 100 * F.col("size")) & (F.col("hi") * 100 >= percent * F.col("size")) & (missing <= F.col("size") - need))
+    return beside.select("node", F.col("from").alias("own"), "root", "band", F.col("top.node").alias("center"))
+
+
+def _open_pairs(lists: DataFrame, beside: DataFrame, percent: int) -> DataFrame:
+    """``a, b, s, t, shared``: the nodes of ``beside`` with every member of their clusters."""
+    x = lists.select("sig", "node", "size").join(beside, "node").alias("x")
+    y = lists.alias("y")
+    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") == F.col("y.root")) & (F.col("x.band") == F.col("y.band")))
+             .where(100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")))
+    return pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.size").alias("s"), F.col("y.size").alias("t")).agg(F.count("*").alias("shared"))
+
+
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id, text``)."""
     if not 50 < percent <= 100:
@@ -223,10 +288,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     histogram = {r["n"]: r["c"] for r in reps.groupBy(F.least("n", F.lit(400)).alias("n")).agg(F.count("*").alias("c")).collect()}
     expected = max(0.0, f2 / f1 - 1 - f1 / cells) if f1 else 0.0
     boundary = choose_boundary(histogram, expected, percent)
-    posted = alone.select("text").mapInArrow(_postings(width, percent, bits, boundary, spark.sparkContext.broadcast(levels)), "sig long, node long, size int")
+    posted = alone.select("text").mapInArrow(_postings(width, percent, bits, boundary, spark.sparkContext.broadcast(levels)), "sig long, node long, info long").select("sig", "node", "info")
     # postings are made twice rather than written: hashing is cheaper than their disk
     shared = posted.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("sig")
-    lists = spool(posted.join(spool(shared, "shared"), "sig"), "lists")
+    lists = spool(posted.join(spool(shared, "shared"), "sig").withColumns(_unpacked()).drop("info"), "lists")
     # a list's leader is its most central node: the one with the largest share of its prefix in lists. Of an
     # original and its edits that is the original, which links with edits that don't link with each other.
     central = lists.groupBy("node", "size").agg((F.count("*") / F.col("size")).alias("central")).select("node", "central")
@@ -240,15 +305,19 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     known = spool(_links(star, docs, reps, width, percent), "links")
     root = components(known)
 
-    # lists that still hold two components: every pair across them that the prefix counts allow
-    open_lists = spool(lists.select("sig", "node", "size").join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "open")
+    # lists that still hold two components
+    open_lists = spool(lists.select("sig", "node", "size", "below", "last", "place", "central", F.floor(F.log("size") / BAND).alias("band")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "open")
     mixed = open_lists.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("sig")
-    open_lists = open_lists.join(mixed, "sig", "left_semi")
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    pairs = (x.join(y, F.col("x.sig") == F.col("y.sig"))
-             .where("x.root != y.root and x.node < y.node")
-             .where((100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")))
-             .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.size").alias("s"), F.col("y.size").alias("t")).agg(F.count("*").alias("shared")))
+    weight = open_lists.groupBy("root").agg(F.approx_count_distinct("node").alias("weight"), F.min("last").alias("ends"))
+    open_lists = spool(open_lists.join(mixed, "sig", "left_semi").join(weight, "root"), "mixed")
+    beside = spool(_open_clusters(open_lists, percent), "beside")
+    # one link into a component is enough: the centers first, every member only where they leave it open
+    second = _links(beside.select(F.col("node").alias("a"), F.col("center").alias("b")).distinct(), docs, reps, width, percent)
+    second = spool(_through(second, root), "links")
+    joined = components(second).withColumnsRenamed({"node": "from", "root": "to"})
+    left = beside.join(joined.withColumnsRenamed({"from": "own", "to": "own_to"}), "own", "left").join(joined.withColumnsRenamed({"from": "root", "to": "root_to"}), "root", "left")
+    left = spool(left.where(F.coalesce("own_to", "own") != F.coalesce("root_to", "root")).select("node", "root", "band"), "open")
+    pairs = _open_pairs(open_lists, left, percent)
     need = F.ceil(F.lit(percent) * (F.col("s") + F.col("t")) / (100 + percent))  # shingles a linked pair shares
 
     def least_shared(n):
@@ -256,13 +325,11 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         return p - (n - need)
     light = F.greatest("s", "t") <= boundary  # 2-subsets and single shingles are both counted there
     pairs = pairs.where(light | (F.col("shared") >= F.least(least_shared(F.col("s")), least_shared(F.col("t"))))).select("a", "b")
-    # new links join components found so far: the second graph holds their roots alone
-    more = _links(pairs, docs, reps, width, percent).join(root.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(
-        root.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a != b").distinct()
-    again = components(spool(more, "links")).withColumnsRenamed({"node": "first", "root": "last"})
+    more = _through(_links(pairs, docs, reps, width, percent), root)
+    again = components(spool(second.unionByName(more).distinct(), "links"))
 
-    named = reps.join(root, "node", "left").withColumn("first", F.coalesce("root", "node")).drop("root").join(again, "first", "left")
-    named = named.select("node", F.coalesce("last", "first").alias("root"), "doc_id")
+    named = reps.join(root, "node", "left").withColumn("first", F.coalesce("root", "node")).drop("root")
+    named = named.join(again.withColumnsRenamed({"node": "first", "root": "final"}), "first", "left").select("node", F.coalesce("final", "first").alias("root"), "doc_id")
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_node = named.join(smallest, "root").select("node", "component_id")
     return (stats.withColumn("key", F.when(F.col("n") > 0, F.col("node")))
