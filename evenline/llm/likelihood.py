@@ -45,11 +45,11 @@ from evenline.session import ship_package
 A = 0.9
 UNSEEN = (1e-4, 0.5)  # bounds of g
 EM_STEPS = 2
-MAX_ARCS = 100_000
+MAX_ARCS = 60_000
 MIN_ARC = 5           # occurrences from which a word may be a piece; pieces learn from the rarer ones
 PRIOR_USES = 200.0    # weight of the shared distribution in a class's piece weights
 MAX_CLASSES = 8
-MAX_FREQUENT = 300_000
+MAX_FREQUENT = 160_000
 SMOOTH = 0.01   # pseudo-uses of a piece
 
 
@@ -218,6 +218,7 @@ def score_texts(docs: DataFrame, train: Column, model_file: str, class_col: str
     end_logs = [math.log10(max(p + (g if not n_all else 0.0), 1e-300)) for p in end_share]
     end_base = math.log10((n_train + 1) / (n_all + v_all + 1))
     held = spark.sparkContext.broadcast((keys, logs, frequent["base"].to_numpy(float), end_logs, end_base, n_train > 0))
+    del frequent, keys, logs
     first = spool(docs.select("doc_id", "text", (~F.col("train")).alias("held_out")).mapInArrow(
         _frequent_pass(held, k_all), "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, logs array<double>, word binary"), "scored")
     rare = first.where("word is not null").select("rid", "word").join(words.where(F.col("n") < least), "word")
