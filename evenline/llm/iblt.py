@@ -55,11 +55,10 @@ def digests(text: str) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def _mix(x: np.ndarray, seed: int) -> np.ndarray:
-    x = (x ^ np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+_ALL = (1 << 64) - 1
+_CHECK = 0xD6E8FEB86659FD93
+# odd multipliers, one for every cell of a digest and, by position, for every retry
+_PLACE = [[(0x9E3779B97F4A7C15 * (2 * (HASHES * r + j) + 1) ^ 0xBF58476D1CE4E5B9 * (r + 1)) % (1 << 64) | 1 for j in range(HASHES)] for r in range(MAX_RETRIES + 1)]
 
 
 class Sketch:
@@ -71,18 +70,12 @@ class Sketch:
         n = self.part * HASHES
         self.count, self.keys, self.checks = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
 
-    def places(self, keys: np.ndarray) -> np.ndarray:
-        h = _mix(keys, self.seed * 7 + 1)
-        parts = [((h >> np.uint64(21 * j)) & np.uint64((1 << 21) - 1)) % np.uint64(self.part) + np.uint64(j * self.part) for j in range(HASHES)]
-        return np.concatenate(parts).astype(np.int64)
-
-    def add(self, keys: np.ndarray, sign: np.ndarray | int = 1) -> "Sketch":
-        at = self.places(keys)
-        every = np.tile(keys, HASHES)
-        signs = np.tile(np.broadcast_to(np.asarray(sign, np.int64), len(keys)), HASHES)
-        np.add.at(self.count, at, signs)
-        np.bitwise_xor.at(self.keys, at, every)
-        np.bitwise_xor.at(self.checks, at, _mix(every, 5))
+    def add(self, keys: np.ndarray) -> "Sketch":
+        at = np.stack([((keys * np.uint64(m)) >> np.uint64(33)) % np.uint64(self.part) for m in _PLACE[self.seed]]).astype(np.int64)
+        at += np.arange(HASHES)[:, None] * self.part
+        self.count += np.bincount(at.ravel(), minlength=len(self.count))
+        np.bitwise_xor.at(self.keys, at, keys)
+        np.bitwise_xor.at(self.checks, at, (keys * np.uint64(_CHECK)) >> np.uint64(32))
         return self
 
     def minus(self, other: "Sketch") -> "Sketch":
@@ -93,37 +86,43 @@ class Sketch:
         return out
 
     def peel(self) -> tuple[np.ndarray, np.ndarray] | None:
-        """Digests with a positive and with a negative count, or None if some cells cannot be undone. Empties the sketch."""
-        plus, minus = [], []
-        while True:
-            pure = np.flatnonzero((np.abs(self.count) == 1) & (self.checks == _mix(self.keys, 5)))
-            if not len(pure):
-                break
-            keys, first = np.unique(self.keys[pure], return_index=True)
-            sign = self.count[pure[first]]
-            plus.append(keys[sign > 0])
-            minus.append(keys[sign < 0])
-            self.add(keys, -sign)
-        if self.count.any() or self.keys.any():
+        """Digests with a positive and with a negative count, or None if some cells cannot be undone."""
+        count, keys, checks = self.count.tolist(), self.keys.tolist(), self.checks.tolist()
+        plus, minus, part, places = [], [], self.part, _PLACE[self.seed]
+        todo = [c for c, n in enumerate(count) if n == 1 or n == -1]
+        while todo:
+            c = todo.pop()
+            n, key = count[c], keys[c]
+            check = (key * _CHECK & _ALL) >> 32
+            if n not in (1, -1) or checks[c] != check:
+                continue
+            (plus if n > 0 else minus).append(key)
+            for j, m in enumerate(places):
+                at = ((key * m & _ALL) >> 33) % part + j * part
+                count[at] -= n
+                keys[at] ^= key
+                checks[at] ^= check
+                if count[at] == 1 or count[at] == -1:
+                    todo.append(at)
+        if any(count) or any(keys):
             return None
-        none = np.zeros(0, np.uint64)
-        return np.concatenate(plus or [none]), np.concatenate(minus or [none])
+        return np.array(plus, np.uint64), np.array(minus, np.uint64)
 
     def __str__(self) -> str:
         body = self.count.astype("<i4").tobytes() + self.keys.astype("<u8").tobytes() + self.checks.astype("<u4").tobytes()
-        return base64.b85encode(body).decode()
+        return base64.b64encode(body).decode()
 
 
 def difference(a: np.ndarray, b: np.ndarray, base: tuple[Sketch, Sketch] | None = None) -> tuple[np.ndarray, np.ndarray, int]:
-    """Digests only in ``a``, only in ``b``, and the retries it took. A retry
-    doubles the cells at least, and the second has room for every digest; after
+    """Digests only in ``a``, only in ``b``, and the retries it took. The first
+    retry has room for every digest, each further one doubles the cells; after
     ``MAX_RETRIES`` (never seen) the digest lists themselves are compared."""
     pair, cells = base or (Sketch(CELLS).add(a), Sketch(CELLS).add(b)), CELLS
     for retry in range(MAX_RETRIES):
         found = pair[0].minus(pair[1]).peel()
         if found is not None:
             return found[0], found[1], retry
-        cells = max(2 * cells, len(a) + len(b) if retry == 0 else 2 * (len(a) + len(b)))
+        cells = max(2 * cells, 3 * (len(a) + len(b)) // 2)
         pair = Sketch(cells, retry + 1).add(a), Sketch(cells, retry + 1).add(b)
     return np.setdiff1d(a, b), np.setdiff1d(b, a), MAX_RETRIES
 
