@@ -167,7 +167,7 @@ def _postings(width: int, percent: int, cell_bits: int, boundary: int, levels_b)
                 for s in _sets(b, width):
                     n = len(s)
                     p = allowed(n, percent)
-                    if not p:
+                    if not p and 100 * n // percent == n:
                         continue  # links with equal sets alone
                     pre, place = _ordered(s, levels, cell_bits, p + 2)
                     at = _node(s)

@@ -130,6 +130,16 @@ def test_op8_components(spark, tables):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute.components(tables[1])
 
 
+@pytest.mark.parametrize("percent, n", [(75, 7), (90, 13)])
+def test_op8_short_text_inside_a_longer_one(spark, percent, n):
+    """The shorter set may miss no shingle, but the longer one holds one more."""
+    from evenline.llm.setjoin import jaccard_components
+    w = [f"w{k}" for k in range(n + 1)]
+    rows = [(1, " ".join(w[:n])), (2, " ".join(w)), (3, " ".join(w[:n - 1])), (4, "a b c d e f g"), (5, "x y z")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
 def test_op9_held_out_accuracy(spark, tables):
     got = collect(spark, tables, "op9_language_id")
     rows = {r[0]: r for r in tables[1]}
