@@ -282,7 +282,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
     reps = stats.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count("*").alias("copies"))
     reps = spool(reps, "nodes")
-    more = spool(stats.join(reps.where("copies > 1").select("node", F.col("doc_id").alias("first_id")), "node").where("doc_id > first_id").select("doc_id").distinct(), "copies")
+    # an id goes unposted if every text it holds is a smaller id's
+    first = reps.where("copies > 1").select("node", F.col("doc_id").alias("first_id"))
+    more = stats.where("n > 0 and doc_id is not null").join(first, "node", "left").groupBy("doc_id").agg(F.bool_and(F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))).alias("copy"))
+    more = spool(more.where("copy").select("doc_id"), "copies")
     alone = docs.where("doc_id is not null").join(F.broadcast(more) if more.count() <= MAX_BROADCAST_IDS else more, "doc_id", "left_anti")
 
     histogram = {r["n"]: r["c"] for r in reps.groupBy(F.least("n", F.lit(400)).alias("n")).agg(F.count("*").alias("c")).collect()}

@@ -140,6 +140,14 @@ def test_op8_short_text_inside_a_longer_one(spark, percent, n):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
 
 
+def test_op8_other_text_of_an_id_that_holds_a_copy(spark):
+    from evenline.llm.setjoin import jaccard_components
+    a, b = ([f"{x}{k}" for k in range(30)] for x in "ab")
+    rows = [(1, " ".join(a)), (5, " ".join(a)), (5, " ".join(b)), (7, " ".join([*b, "more"])), (8, " ".join(a)), (9, "c d e f g h")]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == [(1, 26, 1), (5, 26, 1), (5, 26, 5), (7, 27, 5), (8, 26, 1), (9, 2, 9)]
+
+
 def test_op9_held_out_accuracy(spark, tables):
     got = collect(spark, tables, "op9_language_id")
     rows = {r[0]: r for r in tables[1]}
