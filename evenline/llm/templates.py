@@ -7,7 +7,11 @@ window of a text is hashed twice: with placeholders, and as plain words.
 Document windows join benchmark windows on the hash, and a document holds an
 item when the matched windows cover ``min_coverage`` of the item's and the slots
 agree: each item value stands for one document value and the other way round.
-Equal slots are a copy, renamed ones a re-parameterised copy.
+Slots are judged an occurrence: windows at one distance between document and
+item are one, and it is joined by others whose slots agree with its own. So
+several copies with different values don't hide each other, nor does an item
+whose windows match each other. Equal slots are a copy, renamed ones a
+re-parameterised copy.
 
 A bitmap of the benchmark's window hashes (fixed ``2 ** BITMAP_BITS`` bits)
 stops document windows that cannot join in the map, so what is shuffled follows
@@ -122,12 +126,12 @@ def _windows(b, widths: list[int], main: int, only_short: bool):
 
 
 def _rows(key: str, widths: list[int], main: int, only_short: bool, bitmap=None):
-    names = ["h", key, "pos", "slots"]
+    names = ["h", key, "row", "pos", "slots"]
 
     def run(batches):
         bits = bitmap.value if bitmap is not None else None
         for batch in batches:
-            ids = batch.column(key)
+            ids, rows = batch.column(key), batch.column("row")
             for b in blocks(batch.column("text")):
                 for width, at, h, plain, kind, doc, lead, slotted in _windows(b, widths, main, only_short):
                     if bits is not None:
@@ -136,7 +140,8 @@ def _rows(key: str, widths: list[int], main: int, only_short: bool, bitmap=None)
                     if not len(at):
                         continue
                     slots = [plain[i:i + width][kind[i:i + width] > 0].view(np.int64).tolist() if slotted[i] else [] for i in at.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), ids.take(pa.array(b.first + doc[at])), pa.array(at - lead[doc[at]]), pa.array(slots, pa.list_(pa.int64()))], names)
+                    own = pa.array(b.first + doc[at])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), ids.take(own), rows.take(own), pa.array(at - lead[doc[at]]), pa.array(slots, pa.list_(pa.int64()))], names)
     return run
 
 
@@ -163,30 +168,59 @@ def _bitmap(bench: DataFrame) -> np.ndarray:
     return out
 
 
+def _agreeing(min_coverage: float):
+    """The first set of occurrences that agree and cover ``min_coverage`` of the item, from the largest on."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                units: dict = {}
+                for u in r["units"]:
+                    units.setdefault(frozenset((x["item"], x["doc"]) for x in u["slots"]), set()).update(u["at"])
+                order = sorted(units.items(), key=lambda u: (-len(u[1]), sum(i != d for i, d in u[0]), sorted(u[0])))
+                for seed in order:
+                    there, back, got = {}, {}, set()
+                    for slots, at in [seed, *order]:
+                        if at <= got or any(there.get(i, d) != d or back.get(d, i) != i for i, d in slots):
+                            continue
+                        there.update(slots)
+                        back.update((d, i) for i, d in slots)
+                        got |= at
+                    if len(got) / r["windows"] >= min_coverage:
+                        out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "matched": len(got), "windows": r["windows"], "coverage": len(got) / r["windows"],
+                                    "slots": len(there), "changed": sum(i != d for i, d in there.items())})
+                        break
+            yield pa.RecordBatch.from_pylist(out, _FOUND)
+    return run
+
+
+_FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("matched", pa.int64()), ("windows", pa.int64()), ("coverage", pa.float64()), ("slots", pa.int32()), ("changed", pa.int32())])
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_tokens: int = MIN_TOKENS, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, item_id, matched, windows, coverage, slots, changed, kind`` for every
     document (``doc_id, text``) that holds an item (``item_id, text``) of the benchmark."""
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("row")).where("doc_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long"), "text", F.lit(0).cast("long").alias("row")).where("item_id is not null and text is not null")
     short = [r["n"] for r in items.mapInArrow(_lengths, "item_id long, n long").where((F.col("n") < width) & (F.col("n") >= min_tokens)).select("n").distinct().collect()]
     widths = [width, *sorted(short)]
-    schema = "h long, {} long, pos long, slots array<long>"
+    schema = "h long, {} long, row long, pos long, slots array<long>"
     bench = spool(items.mapInArrow(_rows("item_id", widths, width, True), schema.format("item_id")), "benchmark")
     size = bench.groupBy("item_id").agg(F.countDistinct("pos").alias("windows"))
     held = spark.sparkContext.broadcast(_bitmap(bench))
     hits = docs.mapInArrow(_rows("doc_id", widths, width, False, held), schema.format("doc_id"))
     pairs = hits.alias("d").join(bench.alias("b"), (F.col("d.h") == F.col("b.h")) & (F.size("d.slots") == F.size("b.slots")))
-    pairs = pairs.select("d.doc_id", "b.item_id", "b.pos", F.arrays_zip(F.col("b.slots").alias("item"), F.col("d.slots").alias("doc")).alias("slots")).distinct()
-    both = pairs.groupBy("doc_id", "item_id").agg(F.countDistinct("pos").alias("matched"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
-    both = both.join(size, "item_id").withColumn("coverage", F.col("matched") / F.col("windows")).where(F.col("coverage") >= min_coverage)
+    pairs = pairs.select("d.doc_id", "b.item_id", "d.row", (F.col("d.pos") - F.col("b.pos")).alias("shift"), "b.pos", F.arrays_zip(F.col("b.slots").alias("item"), F.col("d.slots").alias("doc")).alias("slots"))
+    units = pairs.groupBy("doc_id", "item_id", "row", "shift").agg(F.collect_set("pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
     items_n = F.size(F.array_distinct(F.transform("slots", lambda x: x["item"])))
     docs_n = F.size(F.array_distinct(F.transform("slots", lambda x: x["doc"])))
-    changed = F.size(F.filter("slots", lambda x: x["item"] != x["doc"]))
-    both = both.where((F.size("slots") == items_n) & (F.size("slots") == docs_n))
-    return both.select("doc_id", "item_id", "matched", "windows", "coverage", F.size("slots").alias("slots"), changed.alias("changed"),
-                       F.when(changed > 0, "reparameterised").otherwise("copy").alias("kind"))
+    units = units.where((F.size("slots") == items_n) & (F.size("slots") == docs_n))
+    both = units.groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("at", "slots")).alias("units")).join(size, "item_id")
+    both = both.where(F.size(F.array_distinct(F.flatten("units.at"))) / F.col("windows") >= min_coverage)
+    found = both.select("doc_id", "item_id", "windows", "units").mapInArrow(_agreeing(min_coverage), "doc_id long, item_id long, matched long, windows long, coverage double, slots int, changed int")
+    return found.withColumn("kind", F.when(F.col("changed") > 0, "reparameterised").otherwise("copy"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

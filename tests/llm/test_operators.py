@@ -45,6 +45,18 @@ def test_op2_copies_and_reparameterised_items(spark, tables):
     assert {got[d, 0]["kind"] for d in copies} == {"copy"} and got[413, 0]["kind"] == "reparameterised" and got[413, 0]["changed"] == 2, "Marta opens the item, so it is a plain word there"
 
 
+def test_op2_occurrences_are_judged_alone(spark):
+    from evenline.llm.templates import find_contamination
+    one = "while the old baker counts 12 loaves of dark bread her sister carries 30 jars over the narrow wooden bridge"
+    two = "in the morning she sold 48 clips to her friends in spring and then she sold 24 clips to her friends in autumn"
+    other, third = one.replace("12", "47"), one.replace("12", "52").replace("30", "61")
+    docs = [(1, f"{one} so {other}"), (2, f"{other} so {third}"), (3, f"they say {two} again"), (4, two.replace("48", "90").replace("24", "91")), (5, one.replace("12", "30")),
+            (6, one), (6, other), (7, " ".join(one.split()[:10]) + " and then for a long while nothing but rain fell here " + " ".join(one.split()[9:]))]
+    got = find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["changed"], r["kind"]) for r in got) == [
+        (1, 1, 0, "copy"), (2, 1, 1, "reparameterised"), (3, 2, 0, "copy"), (4, 2, 2, "reparameterised"), (6, 1, 0, "copy"), (7, 1, 0, "copy")]
+
+
 def test_op3_budgets(spark, tables):
     got = collect(spark, tables, "op3_mixing")
     sizes, rows = defaultdict(int), {r[0]: r for r in tables[1]}
