@@ -3,8 +3,10 @@
 A word is a space byte and its bytes. Arcs are the vocabulary's pieces (its
 word-start mark is the space) and every single byte. Words of one length are
 one matrix; each (start, end) pair looks its substring's hash up for all of
-them at once. Words above ``LONG`` bytes are cut into stretches of ``LONG``
-bytes whose lattices are joined end to end, so any text is scored whole.
+them at once. Words above ``LONG`` bytes go through the same recursions in
+stretches of ``STRETCH`` bytes: each starts from the columns that the longest
+piece can reach back to, so no segmentation is lost and memory is bounded by
+the stretch. The backward pass makes the forward columns of a stretch again.
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ import numpy as np
 from evenline.llm.words import mix64
 
 LONG = 64
+STRETCH = 256
+MANY = 512   # long words at once
 MARK = "▁"
 _M = 0x9E3779B97F4A7C15
 _INV = pow(_M, -1, 1 << 64)
 _SLOT_BITS = 22
-INNER = 16  # bytes of the longest piece that may start inside a word
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -32,6 +35,10 @@ def _powers(base: int, n: int) -> np.ndarray:
 _P, _Q = _powers(_M, LONG + 2), _powers(_INV, LONG + 2)
 
 
+def _length_salt(n: int) -> np.uint64:
+    return np.uint64((n & 255) << 56)
+
+
 class HashTable:
     """64-bit key -> position, or -1: open slots by the key's high bits, keys that share a slot in a sorted rest."""
 
@@ -71,7 +78,7 @@ def load_pieces(model_file: str) -> tuple[list[bytes], np.ndarray]:
         if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i) or sp.get_score(i) <= -1e8:
             continue
         raw = sp.id_to_piece(i).replace(MARK, " ").encode()
-        if len(raw) <= (LONG if raw[:1] == b" " else INNER) and b" " not in raw[1:]:
+        if raw and b" " not in raw[1:]:
             names.append(raw)
             scores.append(sp.get_score(i))
     have = set(names)
@@ -88,7 +95,10 @@ class Lattice:
 
     def __init__(self, names: list[bytes], weights: np.ndarray):
         self.names, self.weights = names, weights.reshape(len(names), -1)
-        self.first = max(len(x) for x in names)
+        self.longest = max(len(x) for x in names)
+        self.inner = {len(x) for x in names if x[:1] != b" "}  # lengths of pieces that may start inside a word
+        self.lengths = sorted(self.inner | {len(x) for x in names})
+        self.p, self.q = _powers(_M, STRETCH + self.longest + 2), _powers(_INV, STRETCH + self.longest + 2)
         self.table = HashTable(piece_hashes(names))
         self.single = np.zeros(256, np.int64)
         for k, x in enumerate(names):
@@ -100,12 +110,13 @@ class Lattice:
         n, length = x.shape
         c = np.zeros((length + 1, n), np.uint64)
         np.cumsum((x.T.astype(np.uint64) + np.uint64(1)) * _P[:length, None], axis=0, out=c[1:])
+        every = set(self.lengths)
         for j in range(1, length + 1):
             for i in range(j):
                 if j - i == 1:
                     yield i, j, self.single[x[:, i]]
-                elif j - i <= (INNER if i else self.first):
-                    yield i, j, self.table.find(mix64((c[j] - c[i]) * _Q[i] ^ np.uint64((j - i) << 56)))
+                elif j - i in (self.inner if i else every):
+                    yield i, j, self.table.find(mix64((c[j] - c[i]) * _Q[i] ^ _length_salt(j - i)))
 
     def _forward(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
         n, length = x.shape
@@ -122,22 +133,77 @@ class Lattice:
 
     @staticmethod
     def _groups(words: list[bytes], chunk: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``owner, matrix``: stretches of equal length, at most ``chunk`` at once."""
+        """``owner, matrix``: words of equal length up to ``LONG`` with their space, at most ``chunk`` at once."""
         by: dict[int, list[tuple[int, bytes]]] = {}
         for k, w in enumerate(words):
-            w = b" " + w
-            for s in range(0, len(w), LONG):
-                by.setdefault(min(LONG, len(w) - s), []).append((k, w[s:s + LONG]))
+            if len(w) < LONG:
+                by.setdefault(len(w) + 1, []).append((k, b" " + w))
         for length, items in by.items():
             for s in range(0, len(items), chunk):
                 part = items[s:s + chunk]
                 yield np.array([k for k, _ in part]), np.frombuffer(b"".join(w for _, w in part), np.uint8).reshape(len(part), length)
 
+    @staticmethod
+    def _long_groups(words: list[bytes], size: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``owner, padded matrix, lengths``: the other words, longest first, about ``size`` bytes at once."""
+        order = sorted((k for k, w in enumerate(words) if len(w) >= LONG), key=lambda k: -len(words[k]))
+        while order:
+            length = len(words[order[0]]) + 1
+            part, order = order[:max(1, min(MANY, size // length))], order[max(1, min(MANY, size // length)):]
+            x = np.frombuffer(b"".join((b" " + words[k]).ljust(length, b"\0") for k in part), np.uint8).reshape(len(part), length)
+            yield np.array(part), x, np.array([len(words[k]) + 1 for k in part])
+
+    def _long_arcs(self, x: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``start, end, rows, pieces`` with ends in ``lo + 1 .. hi``, by end."""
+        base = max(0, lo + 1 - self.longest)
+        c = np.zeros((hi - base + 1, len(x)), np.uint64)
+        np.cumsum((x[:, base:hi].T.astype(np.uint64) + np.uint64(1)) * self.p[:hi - base, None], axis=0, out=c[1:])
+        by_end: list[list] = [[] for _ in range(hi - lo)]
+        for n in self.lengths:
+            first, last = max(0, lo + 1 - n), hi - n if n in self.inner else min(0, hi - n)
+            if first > last:
+                continue
+            if n == 1:
+                p = self.single[x[:, first:last + 1].T]
+            else:
+                s = np.arange(first, last + 1) - base
+                p = self.table.find(mix64(((c[s + n] - c[s]) * self.q[s, None]).ravel() ^ _length_salt(n))).reshape(len(s), len(x))
+            at, on = np.nonzero(p >= 0)
+            p = p[at, on]
+            cut = np.flatnonzero(np.diff(at, prepend=-1))
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(at)]):
+                i = first + int(at[a])
+                by_end[i + n - lo - 1].append((i, i + n, on[a:b], p[a:b]))
+        return [arc for arcs in by_end for arc in arcs]
+
+    def _long_forward(self, x: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> Iterator[tuple]:
+        """Per stretch: ``lo, hi, base``, the forward columns from place ``base`` as it starts (those up to ``lo``) and as it ends, and its arcs."""
+        base, tail = 0, np.zeros((1, len(x), weights.shape[1]))
+        for lo in range(0, x.shape[1], STRETCH):
+            hi = min(x.shape[1], lo + STRETCH)
+            tail = tail[:, :int((lengths > lo).sum())]
+            a, arcs = self._stretch(x, lo, hi, base, tail, weights)
+            yield lo, hi, base, tail, a, arcs
+            new = max(0, hi - self.longest)
+            base, tail = new, a[new - base:].copy()
+
+    def _stretch(self, x: np.ndarray, lo: int, hi: int, base: int, tail: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, list]:
+        a = np.full((hi - base + 1, *tail.shape[1:]), -np.inf)
+        a[:len(tail)] = tail
+        arcs = self._long_arcs(x[:tail.shape[1]], lo, hi)
+        for i, j, on, p in arcs:
+            a[j - base, on] = np.logaddexp(a[j - base, on], a[i - base, on] + weights[p])
+        return a, arcs
+
     def log_probability(self, words: list[bytes]) -> np.ndarray:
         """Natural log of the sum over all segmentations, per word and class."""
         out = np.zeros((len(words), self.weights.shape[1]))
         for own, x in self._groups(words):
-            np.add.at(out, own, self._forward(x)[-1])
+            out[own] = self._forward(x)[-1]
+        for own, x, lengths in self._long_groups(words):
+            for lo, hi, base, _, a, _ in self._long_forward(x, lengths, self.weights):
+                ends = np.flatnonzero((lengths > lo) & (lengths <= hi))
+                out[own[ends]] = a[lengths[ends] - base, ends]
         return out
 
     def expected_counts(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
@@ -157,12 +223,38 @@ class Lattice:
                 share = np.exp(a[i, on] + w[p] + b[j, on] - a[-1, on])
                 for c in range(counts.shape[1]):
                     out[:, c] += np.bincount(p, share * counts[own[on], c], len(out))
+        w = self.weights[:, :1]
+        for own, x, lengths in self._long_groups(words):
+            starts, total = [], np.zeros(len(x))
+            for lo, hi, base, tail, a, _ in self._long_forward(x, lengths, w):
+                starts.append((lo, hi, base, tail))
+                ends = np.flatnonzero((lengths > lo) & (lengths <= hi))
+                total[ends] = a[lengths[ends] - base, ends, 0]
+            later, carry = 0, np.zeros((0, 0))
+            for lo, hi, base, tail in reversed(starts):
+                a, arcs = self._stretch(x, lo, hi, base, tail, w)
+                b = np.full(a.shape[:2], -np.inf)
+                b[later - base:later - base + len(carry), :carry.shape[1]] = carry
+                ends = np.flatnonzero((lengths > lo) & (lengths <= hi))
+                b[lengths[ends] - base, ends] = 0.0
+                used, rows, shares = [], [], []
+                for i, j, on, p in reversed(arcs):
+                    rest = b[j - base, on] + w[p, 0]
+                    b[i - base, on] = np.logaddexp(b[i - base, on], rest)
+                    used.append(p)
+                    rows.append(own[on])
+                    shares.append(np.exp(a[i - base, on, 0] + rest - total[on]))
+                used, rows, shares = np.concatenate(used), np.concatenate(rows), np.concatenate(shares)
+                for c in range(counts.shape[1]):
+                    out[:, c] += np.bincount(used, shares * counts[rows, c], len(out))
+                later, carry = base, b[:lo - base + 1]
         return out
 
 
 def piece_hashes(names: list[bytes]) -> np.ndarray:
     out = np.empty(len(names), np.uint64)
+    powers = _powers(_M, max(map(len, names), default=0) + 1)
     for k, x in enumerate(names):
         v = np.frombuffer(x, np.uint8).astype(np.uint64) + np.uint64(1)
-        out[k] = (v * _P[:len(x)]).sum(dtype=np.uint64) ^ np.uint64(len(x) << 56)
+        out[k] = (v * powers[:len(x)]).sum(dtype=np.uint64) ^ _length_salt(len(x))
     return mix64(out)

@@ -165,6 +165,31 @@ def test_lattice_forward_and_expected_counts():
     assert np.isfinite(lattice.log_probability([long])).all()
 
 
+def test_lattice_long_words_keep_every_segmentation():
+    names, w = PIECES
+    assert any(len(x) > 16 and x[:1] != b" " for x in names), "longer pieces inside a word"
+    w = w - np.logaddexp.reduce(w)
+    lattice, table, m = pieces.Lattice(names, w), dict(zip(names, w)), max(map(len, names))
+    at = {x: k for k, x in enumerate(names)}
+    inner = [x for x in names if len(x) > 16 and x[:1] != b" "]
+    ws = ["日本語のテキスト中文".encode() * 9, b"https://example.org/the/erwhou" * 20, b"x" * 62 + "éau".encode(), b"a" * 63, b"a" * 64, b"ab" + inner[0] + b"c", b"the" * 400, "я".encode() * 32]
+    counts = np.array([[3.0, 1], [1, 0], [1, 2], [1, 1], [1, 5], [2, 1], [0, 4], [1, 1]])
+    got, uses, want = lattice.log_probability(ws)[:, 0], lattice.expected_counts(ws, counts), np.zeros((len(names), 2))
+    for x, g, n in zip(ws, got, counts):
+        x = b" " + x
+        arcs = [(i, j, x[i:j]) for j in range(1, len(x) + 1) for i in range(max(0, j - m), j) if x[i:j] in table]
+        a, b = np.full(len(x) + 1, -np.inf), np.full(len(x) + 1, -np.inf)
+        a[0] = b[-1] = 0
+        for i, j, q in arcs:
+            a[j] = np.logaddexp(a[j], a[i] + table[q])
+        for i, j, q in reversed(arcs):
+            b[i] = np.logaddexp(b[i], table[q] + b[j])
+        assert abs(a[-1] - g) < 1e-8 and abs(b[0] - g) < 1e-8
+        for i, j, q in arcs:
+            want[at[q]] += n * np.exp(a[i] + table[q] + b[j] - a[-1])
+    assert np.abs(uses - want).max() < 1e-7
+
+
 def test_hash_table_finds_shared_slots():
     keys = np.arange(1, 4000, dtype=np.uint64)  # all in one slot
     t = pieces.HashTable(keys)
