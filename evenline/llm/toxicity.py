@@ -7,7 +7,9 @@ likelihood. The same weights then point at the offending sentences.
 
 Fitting uses at most ``sample_rows`` labelled documents (a documented bound: the
 smallest seeded hashes of their ids, half of the places kept for positives),
-gathered in one task. Features enter the model if ``min_df`` sampled documents
+gathered in one task. The likelihood weighs each class by its share of all
+training labels over its share of the sample, so a score means the same at every
+size. Features enter the model if ``min_df`` sampled documents
 hold them and their chi-square against the label reaches ``min_chi2``. Scoring
 is a map over whole texts with the weights broadcast (``4 * 2 ** DIM_BITS`` bytes).
 
@@ -65,8 +67,8 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
 
 
-def fit_bags(feats: np.ndarray, sent: np.ndarray, sent_doc: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Noisy-or maximum likelihood. ``feats`` (tokens x 3) belong to sentence ``sent``; sentence ``s`` to document ``sent_doc[s]``."""
+def fit_bags(feats: np.ndarray, sent: np.ndarray, sent_doc: np.ndarray, y: np.ndarray, weights: tuple[float, float] = (1.0, 1.0)) -> tuple[np.ndarray, float]:
+    """Noisy-or maximum likelihood, documents weighed by ``weights`` of their class (negative, positive). ``feats`` (tokens x 3) belong to sentence ``sent``; sentence ``s`` to document ``sent_doc[s]``."""
     dim, n = 1 << DIM_BITS, len(y)
     w = np.zeros(dim, np.float32)
     if not y.any() or not len(feats):
@@ -90,12 +92,13 @@ def fit_bags(feats: np.ndarray, sent: np.ndarray, sent_doc: np.ndarray, y: np.nd
     row = sent[at // 3]
     n_sent = len(sent_doc)
     theta = np.zeros(len(names) + 1)
-    theta[-1] = -np.log(max(1.0, n_sent / max(1.0, pos))) - 1
+    share = np.where(y > 0, weights[1], weights[0])
+    theta[-1] = -np.log(max(1.0, share[sent_doc].sum() / max(1.0, pos * weights[1]))) - 1
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, STEPS + 1):
         z = theta[-1] + np.bincount(row, theta[col], n_sent)
         total = np.bincount(sent_doc, _softplus(z), n)
-        slope = np.where(y > 0, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-12), 1.0) / n
+        slope = np.where(y > 0, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-12), 1.0) * share / n
         gz = slope[sent_doc] / (1 + np.exp(np.minimum(-z, 50)))
         g = np.append(np.bincount(col, gz[row], len(names)) + L2 * theta[:-1], gz.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -109,10 +112,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     ship_package(docs.sparkSession)
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("_h", F.xxhash64(F.lit(seed), "doc_id"))
+    every = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     half = sample_rows // 2
     picked = [r for y in (0, 1) for r in known.where(F.col("toxic") == y).orderBy("_h", "doc_id").limit(half).select("doc_id", "toxic").collect()]
     if not any(r["toxic"] for r in picked):
         return ToxicityModel(np.zeros(1 << DIM_BITS, np.float32), -np.inf, len(picked))
+    took = {y: sum(r["toxic"] == y for r in picked) for y in every}
+    weights = tuple(every[y] / sum(every.values()) * len(picked) / took[y] if took.get(y) else 1.0 for y in (0, 1))
     chosen = docs.sparkSession.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in picked], "doc_id long, toxic int")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("toxic", "doc_id", "text")
 
@@ -126,7 +132,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
                 sent_docs.append((d + n_doc + b.first).astype(np.int32))
                 n_sent += len(d)
             n_doc += len(batch)
-        w, bias = fit_bags(np.concatenate(feats), np.concatenate(sents), np.concatenate(sent_docs), np.concatenate(ys).astype(np.float64)) if feats else (np.zeros(1 << DIM_BITS, np.float32), -np.inf)
+        w, bias = fit_bags(np.concatenate(feats), np.concatenate(sents), np.concatenate(sent_docs), np.concatenate(ys).astype(np.float64), weights) if feats else (np.zeros(1 << DIM_BITS, np.float32), -np.inf)
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(w[at].astype(float), bias))], ["feature", "weight"])
 

@@ -37,6 +37,16 @@ def test_op1_finds_the_offending_sentence(spark, tables):
             assert any(x in sentence for x in ("idiot", "scum", "moron", "trash", "loser"))
 
 
+def test_op1_bounded_sample_keeps_the_share_of_positives(spark):
+    """A mark that half of its holders are toxic with scores about a half, also from a sample with more positives than there are."""
+    from evenline.llm.toxicity import fit_toxicity, score_toxicity
+    rows = [(i, "bad" if i % 10 < 2 else "good", int(i % 10 == 0)) for i in range(2000)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    for most in (200, 8000):
+        got = {r["doc_id"]: r["score"] for r in score_toxicity(docs.where("doc_id < 3"), fit_toxicity(docs, labels, most)).collect()}
+        assert 0.4 < got[0] < 0.62 and got[2] < 0.05, (most, got)
+
+
 def test_op2_copies_and_reparameterised_items(spark, tables):
     got = {(r["doc_id"], r["item_id"]): r for r in Q.op2_decontamination(spark, tables[0]).collect()}
     copies = {r[0] for r in tables[1] if "seven lamps over the long wet bridge so" in (r[1] or "") and r[0] < 150}
