@@ -14,6 +14,7 @@ from evenline.llm.setjoin import jaccard_components
 from evenline.llm.recount import count_with_edits
 from evenline.llm.templates import find_contamination
 from evenline.llm.toxicity import fit_toxicity, score_toxicity
+from evenline.llm.variants import spelling_forms
 from evenline.llm.wavelet import read_tokens, write_tokens
 from evenline.session import scratch_path
 from evenline.sources.corpus import table
@@ -104,6 +105,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(_documents(spark, sf_dir))
+
+
 QUERIES = {"op1_toxicity": op1_toxicity,
            "op3_mixing": op3_mixing,
            "op2_decontamination": op2_decontamination,
@@ -113,5 +118,6 @@ QUERIES = {"op1_toxicity": op1_toxicity,
            "op7_lattice_likelihood": op7_lattice_likelihood,
            "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
            "op9_language_id": op9_language_id,
-           "op10_substring_dedup": op10_substring_dedup}
+           "op10_substring_dedup": op10_substring_dedup,
+           "op13_spelling_variants": op13_spelling_variants}
 ORACLE: dict[str, str] = {}
