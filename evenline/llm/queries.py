@@ -14,6 +14,7 @@ from evenline.llm.setjoin import jaccard_components
 from evenline.llm.recount import count_with_edits
 from evenline.llm.templates import find_contamination
 from evenline.llm.toxicity import fit_toxicity, score_toxicity
+from evenline.llm.turns import join_on, repair_conversations, repair_digests
 from evenline.llm.variants import spelling_forms
 from evenline.llm.wavelet import read_tokens, write_tokens
 from evenline.session import scratch_path
@@ -105,6 +106,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows of ``conversations`` after the faults that ``crc32("conv_id:turn") % 20`` puts in (nulls: one space)."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = conversations.select("conv_id", "turn", *[F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")], (F.crc32(key.cast("binary")) % 20).alias("h"))
+    h = F.col("h")
+    text = F.when(h == 1, "").when(h == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(h == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")
+    return rows.where(h != 0).select("conv_id", "turn", F.when(h == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    counts, repaired = repair_conversations(damaged(conversations))
+    names = [c for c in counts.columns if c != "conv_id"]
+    out = join_on(join_on(conversations.select("conv_id").distinct(), counts, "conv_id", how="left"), repair_digests(repaired), "conv_id", how="left")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names], F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_forms(_documents(spark, sf_dir))
 
@@ -119,5 +139,6 @@ QUERIES = {"op1_toxicity": op1_toxicity,
            "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
            "op9_language_id": op9_language_id,
            "op10_substring_dedup": op10_substring_dedup,
+           "op12_conversation_repair": op12_conversation_repair,
            "op13_spelling_variants": op13_spelling_variants}
 ORACLE: dict[str, str] = {}
