@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenline.llm.iblt import fingerprints
+from evenline.llm.identifiers import KINDS, count_kind, find_personal_data, spell
 from evenline.llm.language import fit_profiles, predict_language
 from evenline.llm.likelihood import score_texts
 from evenline.llm.mixing import mix_sources
@@ -106,6 +107,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_documents(spark, sf_dir))
+    return found.select("doc_id", *[count_kind("base", k).alias(f"n_{k}") for k in KINDS], F.sha2(spell(F.col("base")), 256).alias("base_sha256"),
+                        spell(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows of ``conversations`` after the faults that ``crc32("conv_id:turn") % 20`` puts in (nulls: one space)."""
     key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
@@ -139,6 +146,7 @@ QUERIES = {"op1_toxicity": op1_toxicity,
            "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
            "op9_language_id": op9_language_id,
            "op10_substring_dedup": op10_substring_dedup,
+           "op11_personal_data": op11_personal_data,
            "op12_conversation_repair": op12_conversation_repair,
            "op13_spelling_variants": op13_spelling_variants}
 ORACLE: dict[str, str] = {}
