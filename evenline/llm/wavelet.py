@@ -13,13 +13,18 @@ shards. Range partitions are balanced by a sample of the ids; a text longer
 than a shard is a shard of its own.
 
 Null and blank texts hold the end id alone; repeated rows are encoded each; a
-null id sorts first. An empty table writes no shard.
+null id sorts first. An empty table writes no shard. Extra columns are not read.
+Words are told apart by 64-bit hashes in a worker's cache of at most
+``CACHE_BYTES`` and the words of one block of text.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +32,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from evenline.llm.words import blocks, spread
+from evenline.llm.words import Block, blocks, lowered, spread
 from evenline.session import ship_package
 
 SHARD_IDS = 1 << 20
 PARTITION_BYTES = 16 << 20
 END_ID = 2
-CACHE_WORDS = 900_000
-JOINED = 200
+CACHE_BYTES = 64 << 20
+JOINED, JOINED_PLAIN = 200, 20
 MARK = "\x01"  # no letter, digit or space: a pre-token of its own
+PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch  # letters that normalization and lower-casing leave alone
+PLAIN_SAMPLE = "straße éàüöñçøÿ"
+CLOSING, ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+CLOSING[list(b".,;:!?")] = True
+ALNUM[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
 _HEAD = struct.Struct("<4sBQ")
 _MAGIC = b"WVM1"
 _RANK_WORDS = 8  # 64-bit words between two entries of the rank directory
@@ -153,54 +163,36 @@ class WaveletMatrix:
         return x
 
 
-class _Index(dict):
-    """Word -> number, in order of first sight; words new to it are listed in ``new``."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        self.new.append(word)
-        return n
-
-
 class WordEncoder:
-    """Ids of a white-space separated word, encoded once a worker. Tokenizers
-    that drop white space encode word by word: their pieces never span a gap.
+    """Ids of white-space separated words, encoded once a worker. Tokenizers that
+    drop white space encode word by word: their pieces never span a gap.
 
-    ``flat[offset[e]:offset[e + 1]]`` are the ids of entry ``e``; entry 0 is the
-    end id. ``parts`` has the entries of what was really encoded (lower-case
-    cores, closing marks), ``entry`` that of every numbered word."""
+    A word is a lower-case core and closing marks, both pre-token bounds, known by
+    64-bit hashes made for a block of text at once. ``flat[offset[e]:offset[e + 1]]``
+    are the ids of entry ``e``, entry 0 is the end id; ``keys`` has the hashes seen so
+    far, sorted, and ``entry`` their entries. All of it is dropped beyond ``CACHE_BYTES``."""
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tok, self.end_id = Tokenizer.from_file(path), end_id
         self.bits = max(1, (max(self.tok.get_vocab_size(True), end_id + 1) - 1).bit_length())
         mark = self.tok.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None  # parts words in a joined string
+        # for words that the normalizer leaves as they are and the pattern takes whole, the model alone
+        self.plain = Tokenizer(self.tok.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.has_plain = self.mark is not None and all(
+            self.plain.encode(w, add_special_tokens=False).ids == self.tok.encode(w, add_special_tokens=False).ids for w in (f"ab {MARK} {PLAIN_SAMPLE}", MARK))
         self.reset()
 
     def reset(self) -> None:
-        self.index = _Index()
-        self.parts: dict[bytes, int] = {}
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.flat[0] = self.end_id
         self.offset = np.zeros(1 << 16, np.int64)
         self.offset[1] = 1
         self.n = 1
-        self.entry = np.zeros(1 << 16, np.int64)
-
-    @staticmethod
-    def _split(word: bytes) -> tuple[bytes, bytes]:
-        """A word as a lower-case core and closing marks. Both ends are pre-token
-        bounds; words that may hold a special token stay as they are."""
-        if b"<|" in word:
-            return word, b""
-        low = word.lower()
-        core = low.rstrip(b".,;:!?")
-        return (core, low[len(core):]) if core != low and core[-1:].isalnum() else (low, b"")
 
     def _append(self, ids: np.ndarray, sizes: np.ndarray) -> int:
         """New entries of the given sizes; returns the first."""
@@ -215,59 +207,66 @@ class WordEncoder:
         self.n += len(sizes)
         return first
 
-    def _encode(self, words: list[bytes]) -> None:
-        """Entries of parts not seen so far: many in one string with a mark
-        between them, or alone where they hold the mark themselves."""
-        alone = [w for w in words if self.mark is None or MARK.encode() in w]
-        joined = [w for w in words if self.mark is not None and MARK.encode() not in w]
-        for a in range(0, len(joined), JOINED * 64):
-            groups = [joined[b:b + JOINED] for b in range(a, min(a + JOINED * 64, len(joined)), JOINED)]
-            texts = [(b" " + MARK.encode() + b" ").join(g).decode() for g in groups]
-            for g, e in zip(groups, self.tok.encode_batch(texts, add_special_tokens=False)):
-                ids = np.array(e.ids, np.uint32)
-                cut = np.flatnonzero(ids == self.mark)
-                sizes = np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
-                first = self._append(np.delete(ids, cut), sizes)
-                self.parts.update(zip(g, range(first, first + len(g))))
-        for w in alone:
-            ids = np.array(self.tok.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
-            self.parts[w] = self._append(ids, np.array([len(ids)]))
-
-    def _learn(self, words: list[bytes]) -> None:
-        split = [self._split(w) for w in words]
-        parts = self.parts
-        self._encode(list({p: None for s in split for p in s if p and p not in parts}))
-        known = len(self.index) - len(words)
-        while len(self.index) > len(self.entry):
-            self.entry = np.concatenate((self.entry, np.zeros_like(self.entry)))
-        core = np.array([parts[c] for c, _ in split], np.int64)
-        marks = np.array([parts[m] if m else -1 for _, m in split], np.int64)
-        both = np.flatnonzero(marks >= 0)
-        if len(both):
-            pair = np.stack((core[both], marks[both]), 1).ravel()
-            lens = self.offset[pair + 1] - self.offset[pair]
-            first = self._append(self.flat[spread(self.offset[pair], lens)], lens.reshape(-1, 2).sum(1))
-            core[both] = np.arange(first, first + len(both))
-        self.entry[known:known + len(words)] = core
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by the end id, and the number of ids of each."""
-        if len(self.index) > CACHE_WORDS:
+    def _joined(self, tok, words: list[str], size: int) -> int:
+        """Entries of words that hold no mark, many in one string with a mark between them."""
+        start = self.n
+        for a in range(0, len(words), size * 256):
+            texts = [f" {MARK} ".join(words[b:b + size]) for b in range(a, min(a + size * 256, len(words)), size)]
+            ids = [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast([t + f" {MARK}" for t in texts], add_special_tokens=False)]
+            ids = np.concatenate(ids)
+            cut = np.flatnonzero(ids == self.mark)
+            self._append(np.delete(ids, cut), np.diff(cut, prepend=-1) - 1)
+        return start
+
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """Entries of distinct words not seen so far."""
+        words = [w.decode() for w in words]
+        kind = np.array([2 if self.mark is None or MARK in w else 0 if self.has_plain and PLAIN(w) else 1 for w in words], np.int8)
+        out = np.empty(len(words), np.int64)
+        for k, tok, size in ((0, self.plain, JOINED_PLAIN), (1, self.tok, JOINED)):
+            at = np.flatnonzero(kind == k)
+            if len(at):
+                out[at] = self._joined(tok, [words[j] for j in at.tolist()], size) + np.arange(len(at))
+        for j in np.flatnonzero(kind == 2).tolist():
+            ids = np.array(self.tok.encode(words[j], add_special_tokens=False).ids, np.uint32)
+            out[j] = self._append(ids, np.array([len(ids)]))
+        return out
+
+    def _entries(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The entry of every word ``data[start:end]`` under its hash."""
+        seen, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, seen)
+        new = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != seen if len(self.keys) else np.ones(len(seen), bool))
+        if len(new):
+            raw = data.tobytes()
+            got = self._learn([raw[s:e] for s, e in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+            self.keys, self.entry = np.insert(self.keys, at[new], seen[new]), np.insert(self.entry, at[new], got)
+            at = np.searchsorted(self.keys, seen)
+        return self.entry[at][back]
+
+    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all documents of a block, each followed by the end id, and the number of ids of each."""
+        if self.keys.nbytes + self.entry.nbytes + self.flat.nbytes + self.offset.nbytes > CACHE_BYTES:
             self.reset()
-        words, n = [], []
-        for t in texts:
-            w = t.split()
-            words += w
-            n.append(len(w))
-        at = np.array(list(map(self.index.__getitem__, words)), np.int64)
-        if self.index.new:
-            self._learn(self.index.new)
-            self.index.new = []
-        ends = np.cumsum(n)
-        at = np.insert(self.entry[at] if len(at) else at, ends, 0)
+        start, end, core = block.start, block.end, block.end
+        if b"<|" in block.data.tobytes():  # words that may hold a special token stay as they are
+            keys = block.hashes(seed=1)
+        else:
+            block = replace(block, data=lowered(block.data))
+            core = end.copy()
+            while len(at := np.flatnonzero((core > start) & CLOSING[block.data[core - 1]])):
+                core[at] -= 1
+            core = np.where((core > start) & ALNUM[block.data[core - 1]], core, end)
+            keys = block.hashes(ends=core)
+        data, marked = block.data, np.flatnonzero(core < end)
+        if len(marked):  # closing marks, behind their core
+            marks = replace(block, start=core[marked], end=end[marked]).hashes()
+            keys, start, core = (np.insert(x, marked + 1, y) for x, y in ((keys, marks), (start, core[marked]), (core, end[marked])))
+        words = block.word_offsets + np.searchsorted(marked, block.word_offsets)  # words and marks before each document
+        at = np.insert(self._entries(keys, data, start, core), words[1:], 0)
         lens = self.offset[at + 1] - self.offset[at]
         total = np.concatenate(([0], np.cumsum(lens)))
-        bounds = ends + np.arange(1, len(n) + 1)
+        bounds = words[1:] + np.arange(1, len(words))
         return self.flat[spread(self.offset[at], lens)], np.diff(np.concatenate(([0], total[bounds])))
 
 
@@ -297,8 +296,7 @@ def _shards(path: str, end_id: int, shard_ids: int):
             null = np.asarray(keys.is_null())
             keys = keys.fill_null(0).to_numpy()
             for b in blocks(batch.column("text"), block_bytes=1 << 20):
-                raw, o = b.data.tobytes(), b.offsets.tolist()
-                ids, n = enc.encode([raw[x:y] for x, y in zip(o, o[1:])])
+                ids, n = enc.encode(b)
                 own = slice(b.first, b.first + b.n_docs)
                 held.append((ids, keys[own], null[own].astype(np.int64), n))
                 size += len(ids)

@@ -84,6 +84,11 @@ class Block:
         return [raw[s:e] for s, e in zip(self.start.tolist(), self.end.tolist())]
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z as a-z."""
+    return _LOWER[data]
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and int64 offsets of a string column; a null is an empty text."""
     if isinstance(col, pa.ChunkedArray):
