@@ -42,6 +42,7 @@ CACHE_BYTES = 64 << 20
 JOINED, JOINED_PLAIN = 200, 20
 MARK = "\x01"  # no letter, digit or space: a pre-token of its own
 PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch  # letters that normalization and lower-casing leave alone
+RAW_SEED = 0x9FB21C651E98DF25  # parts the hashes of words as they are from those of lower-case cores
 PLAIN_SAMPLE = "straße éàüöñçøÿ"
 CLOSING, ALNUM = np.zeros(256, bool), np.zeros(256, bool)
 CLOSING[list(b".,;:!?")] = True
@@ -250,7 +251,7 @@ class WordEncoder:
             self.reset()
         start, end, core = block.start, block.end, block.end
         if b"<|" in block.data.tobytes():  # words that may hold a special token stay as they are
-            keys = block.hashes(seed=1)
+            keys = block.hashes(seed=RAW_SEED)
         else:
             block = replace(block, data=lowered(block.data))
             core = end.copy()

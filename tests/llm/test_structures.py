@@ -250,3 +250,21 @@ def test_noisy_or_learns_from_documents_alone():
         y.append(float(bad))
     w, b = toxicity.fit_bags(np.concatenate(feats).astype(np.int32), np.array(sent), np.array(sent_doc), np.array(y))
     assert w[7] > 1 and b + 3 * w[7] > 0 > b
+
+
+@pytest.mark.parametrize("cache", [1 << 26, 100_000])
+def test_word_encoder_equals_the_tokenizer(monkeypatch, cache):
+    """Special tokens, marks, composed letters and a cache that is dropped: ids are those of the whole text."""
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(wavelet, "CACHE_BYTES", cache)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc, rnd = Tokenizer.from_file(path), wavelet.WordEncoder(path, 2), random.Random(1)
+    letters = "aZé É.,!?'sß İΣς\u0301\x01<|>endoftext\n\t0１"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(60))) for _ in range(2000)]
+    texts += ["".join(rnd.choice(["th", "sh", "er", "on", " ", " ", ". "]) for _ in range(400)) + rnd.choice(["", " <|endoftext|>.", " <|ENDOFTEXT|>"]) for _ in range(300)]
+    texts += ["it's <|endoftext|>. A<|endoftext|>b", "é.", "Straße! ÄÖ.", "a..b..", "...", "x" * 5000 + ".", None, ""]
+    for block in words.blocks(pa.array(texts, pa.string()), block_bytes=1 << 14):
+        ids, n = enc.encode(block)
+        assert len(n) == block.n_docs
+        for t, end, k in zip(texts[block.first:], np.cumsum(n).tolist(), n.tolist()):
+            assert ids[end - k:end].tolist() == tok.encode(t or "", add_special_tokens=False).ids + [2]
