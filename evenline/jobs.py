@@ -30,6 +30,7 @@ from evenline.operators import metrics
 from evenline.operators import rewrite as rw
 from evenline.operators import scoring as sc
 from evenline.operators.lexicon import learn_loaded_terms
+from evenline.operators.inline import score_rows
 from evenline.operators.naive_bayes import ModelSet, class_probability, fit_nb_variants
 from evenline.operators.splits import holdout_split
 from evenline.session import ensure_checkpoint_dir
@@ -64,8 +65,8 @@ def neutralize(spark: SparkSession, docs: DataFrame, labels: DataFrame, out: str
         return class_probability(f"{phase}_{t}", fitted[t].classes, pos) if pos is not None else F.col(f"{phase}_{t}_conf")
     r = (rw.neutral_rewrite(d.select(key, text, group, "split"), lexicon, text, "neutral", key=key)
            .withColumn("changed", ~F.col("neutral").eqNullSafe(F.col(text))))
-    # both texts ride along as grouping columns, so nothing is rewritten or joined again
-    s = cmp.rescore(r, models, key, text, "neutral", carry=[group, "split", "changed", text, "neutral"])
+    # scored in the row, or by narrow rows joined back: no text is a key of an explode, an aggregate or a join
+    s = score_rows(r, {"before": text, "after": "neutral"}, models, reuse={"after": "before"})
     cols = [key, group, "split", "changed", text, "neutral"]
     for t in tasks:
         for phase in cmp.PHASES:

@@ -283,7 +283,7 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
 
     def toks(i: int) -> Column:
         e = same(i)
-        d = distinct_tokens(texts[tags[i]])
+        d = F.coalesce(distinct_tokens(texts[tags[i]]), F.array().cast("array<string>"))  # a null text takes none of the others' tokens
         return d if e is None else F.when(e, F.array().cast("array<string>")).otherwise(d)
 
     def tag(i: int):

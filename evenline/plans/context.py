@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenline.guards import MAX_INLINE_TERMS, bounded_collect
+from evenline.operators.hashed import HashedScorer, fit_hashed
 from evenline.operators.lexicon import learn_loaded_terms
 from evenline.session import ensure_checkpoint_dir
 from evenline.operators.naive_bayes import ModelSet, NBModel, fit_nb_variants
@@ -87,6 +88,13 @@ class Context:
         """The three task models with their combined weights, in task order."""
         return ModelSet(self.models[t] for t in ("truth", "sentiment", "bias"))
 
+    @cached_property
+    def hashed_scorer(self) -> HashedScorer:
+        """The three tasks over one set of slots, fitted on the train split."""
+        labels = self.table("labels").select("doc_id", "quality", "toxic")
+        train = self.docs.where(F.col("split") == "train").join(labels, "doc_id", "left")
+        return fit_hashed(train, {"truth": "quality", "sentiment": "toxic", "bias": "lang"})
+
 
 # Display names of the proxy labels (A4). Bias stays as its proxy code.
 DISPLAY = {"truth": {"0": "False", "1": "Truthful"}, "sentiment": {"0": "Neutral", "1": "Negative"}}

@@ -216,11 +216,10 @@ SELECT doc_id, CASE WHEN truth_fmt IS NULL OR sentiment_fmt IS NULL OR bias_fmt
        ELSE printf('{rw.PROMPT_TEMPLATE}', truth_fmt, sentiment_fmt, bias_fmt, text) END AS prompt
 FROM (SELECT sd.doc_id, sd.text, {', '.join(_fmt_sql(t, DISPLAY.get(t)) for t in TASKS)} FROM sd {_ALL_RES})""")
 def q_build_prompt(spark, sf_dir):
+    from evenline.operators.inline import score_rows
     c = ctx(spark, sf_dir)
-    f = sc.format_confidence(analysed(spark, sf_dir), TASKS, DISPLAY, NEAR).select(
-        "doc_id", *[f"{t}_fmt" for t in TASKS])
-    j = c.docs.select("doc_id", "text").join(f, "doc_id", "left")
-    return rw.build_prompt(j, "text").select("doc_id", "prompt")
+    scored = score_rows(c.docs.select("doc_id", "text"), {"": "text"}, c.model_set)
+    return rw.build_prompt(sc.format_confidence(scored, TASKS, DISPLAY, NEAR), "text").select("doc_id", "prompt")
 
 
 _AXIS_SQL = {"truth_probability": "truth_res.truth_p1", "emotional_intensity": "sentiment_res.sentiment_p1",
@@ -664,6 +663,52 @@ def q_page_bias(spark, sf_dir):
     return sc.score(d, m, "page_id", "text").select("page_id", "bias_label", F.round("bias_conf", 4).alias("bias_conf"))
 
 
+# --- scoring in the row: a map from the scan to the sink ------------------------------
+
+_H_RES = " ".join(f"LEFT JOIN h_{t}_res ON h_{t}_res.doc_id = sd.doc_id" for t in TASKS)
+
+
+def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their hashed scores; every column of the documents stays in its row."""
+    from evenline.operators.hashed import score_hashed
+    c = ctx(spark, sf_dir)
+    return score_hashed(c.docs, c.hashed_scorer)
+
+
+@query("hashed_scores", f"""WITH {S.hashed_all()}
+SELECT sd.doc_id, {', '.join(f"{t}_label, round({t}_conf, 4) AS {t}_conf" for t in TASKS)} FROM sd {_H_RES}""")
+def q_hashed_scores(spark, sf_dir):
+    return hashed(spark, sf_dir).select("doc_id", *[x for t in TASKS for x in (F.col(f"{t}_label"), F.round(f"{t}_conf", 4).alias(f"{t}_conf"))])
+
+
+@query("hashed_accuracy", f"""WITH {S.hashed_all()},
+ev AS (SELECT 'truth' AS task, CAST(l.quality AS VARCHAR) AS label, truth_label AS pred FROM sd JOIN labels l ON l.doc_id = sd.doc_id JOIN h_truth_res r ON r.doc_id = sd.doc_id WHERE sd.split = 'test'
+       UNION ALL SELECT 'sentiment', CAST(l.toxic AS VARCHAR), sentiment_label FROM sd JOIN labels l ON l.doc_id = sd.doc_id JOIN h_sentiment_res r ON r.doc_id = sd.doc_id WHERE sd.split = 'test'
+       UNION ALL SELECT 'bias', sd.lang, bias_label FROM sd JOIN h_bias_res r ON r.doc_id = sd.doc_id WHERE sd.split = 'test')
+SELECT task, count(*) AS n, count(*) FILTER (WHERE label = pred) AS correct, round(count(*) FILTER (WHERE label = pred) / count(*), 4) AS accuracy
+FROM ev WHERE label IS NOT NULL GROUP BY task""")
+def q_hashed_accuracy(spark, sf_dir):
+    c = ctx(spark, sf_dir)
+    labels = c.table("labels").select("doc_id", "quality", "toxic")
+    rows = hashed(spark, sf_dir).where(F.col("split") == "test").select("doc_id", "lang", *[f"{t}_label" for t in TASKS]).join(labels, "doc_id", "left")
+    pairs = F.array(*[F.struct(F.lit(t).alias("task"), F.col(lab).cast("string").alias("label"), F.col(f"{t}_label").alias("pred")) for t, lab in TASK_LABELS.items()])
+    return metrics.accuracy(rows.select(F.explode(pairs).alias("e")).select("e.*"), "label", "pred", by=["task"])
+
+
+def _hashed_fmt_sql(t: str) -> str:
+    return _fmt_sql(t, DISPLAY.get(t)).replace(f"{t}_res.", f"h_{t}_res.")
+
+
+@query("hashed_prompt", f"""WITH {S.hashed_all()}
+SELECT doc_id, CASE WHEN truth_fmt IS NULL OR sentiment_fmt IS NULL OR bias_fmt IS NULL OR text IS NULL THEN NULL
+       ELSE printf('{rw.PROMPT_TEMPLATE}', truth_fmt, sentiment_fmt, bias_fmt, text) END AS prompt
+FROM (SELECT sd.doc_id, sd.text, {', '.join(_hashed_fmt_sql(t) for t in TASKS)} FROM sd {_H_RES})""")
+def q_hashed_prompt(spark, sf_dir):
+    """A22 without moving the headline: scores, display text and prompt in one map."""
+    f = sc.format_confidence(hashed(spark, sf_dir), TASKS, DISPLAY, NEAR)
+    return rw.build_prompt(f, "text").select("doc_id", "prompt")
+
+
 # --- M5: per language, stream, user profiles ----------------------------------
 
 @query("multilingual", f"""WITH {S.LABELLED.strip()},
@@ -684,6 +729,7 @@ def q_multilingual(spark, sf_dir):
 
 def stream_process(c: Context):
     """The batch plan run on each micro-batch: split, rewrite, rescore."""
+    from evenline.operators.inline import score_rows
     from evenline.operators.naive_bayes import ModelSet
     from evenline.plans.context import TWO_WAY
     lexicon = c.lexicon_terms if c.lexicon_terms is not None else c.loaded_terms
@@ -693,8 +739,8 @@ def stream_process(c: Context):
         b = holdout_split(batch.select("doc_id", "text", "lang"), "text", TWO_WAY)
         r = (rw.neutral_rewrite(b, lexicon, "text", "neutral")
                .withColumn("changed", ~F.col("neutral").eqNullSafe(F.col("text"))))
-        # the rewrite rides along as a grouping column: no second rewrite and no join back to the text
-        s = cmp.rescore(r, models, "doc_id", "text", "neutral", carry=["lang", "neutral", "changed"])
+        # scored in the row: neither text is a key of anything
+        s = score_rows(r, {"before": "text", "after": "neutral"}, models, reuse={"after": "before"})
         return s.select("doc_id", "lang", "neutral", "changed", F.col("before_sentiment_label").alias("sentiment_before"),
                         F.col("after_sentiment_label").alias("sentiment_after"))
     return process

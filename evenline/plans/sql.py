@@ -180,3 +180,32 @@ def test_rows() -> str:
   UNION ALL SELECT 'sentiment', doc_id, CAST(toxic AS VARCHAR) FROM lab WHERE split = 'test'
   UNION ALL SELECT 'bias', doc_id, lang FROM sd WHERE split = 'test'
 )"""
+
+
+def hashed_all(bits: int = 17, min_df: int = 5) -> str:
+    """The hashed scorer over the documents ``sd``: slots, weights in millionths, and per task
+    ``h_{task}_res(doc_id, {task}_label, {task}_conf)``; a term is its md5's first 36 bits."""
+    parts = [docs_cte("sd").strip(), f"""
+h_tok AS (SELECT doc_id, unnest(list_distinct(list_transform({toks('text')}, lambda w: ('0x'||substr(md5(w),1,9))::BIGINT))) AS key
+          FROM sd WHERE NOT blank),
+h_train AS (SELECT sd.doc_id, CAST(l.quality AS VARCHAR) AS truth_y, CAST(l.toxic AS VARCHAR) AS sentiment_y, sd.lang AS bias_y
+            FROM sd LEFT JOIN labels l ON l.doc_id = sd.doc_id WHERE sd.split = 'train' AND NOT sd.blank),
+h_kt AS (SELECT t.*, k.key FROM h_train t JOIN h_tok k ON k.doc_id = t.doc_id),
+h_df AS (SELECT key, count(*) AS df FROM h_kt GROUP BY key HAVING count(*) >= {min_df}),
+h_slot AS (SELECT key FROM (SELECT key, row_number() OVER (PARTITION BY key >> {36 - bits} ORDER BY df DESC, key ASC) AS r FROM h_df) WHERE r = 1)""".strip()]
+    for t, _, _ in TASK_SOURCES:
+        h = f"h_{t}"
+        parts.append(f"""
+{h}_n AS (SELECT k.key, k.{t}_y AS y, count(*) AS n FROM h_kt k JOIN h_slot s ON s.key = k.key WHERE k.{t}_y IS NOT NULL GROUP BY k.key, k.{t}_y),
+{h}_kept AS (SELECT key FROM {h}_n GROUP BY key HAVING sum(n) >= {min_df}),
+{h}_cl AS (SELECT {t}_y AS y, count(*) AS c FROM h_train WHERE {t}_y IS NOT NULL GROUP BY {t}_y),
+{h}_cnt AS (SELECT k.key, c.y, coalesce(n.n, 0) AS n FROM {h}_kept k CROSS JOIN {h}_cl c LEFT JOIN {h}_n n ON n.key = k.key AND n.y = c.y),
+{h}_tot AS (SELECT y, sum(n) + (SELECT count(*) FROM {h}_kept) AS tc FROM {h}_cnt GROUP BY y),
+{h}_lw AS (SELECT c.key, c.y, ln(CAST(c.n + 1 AS DOUBLE) / CAST(s.tc AS DOUBLE)) AS lw FROM {h}_cnt c JOIN {h}_tot s ON s.y = c.y),
+{h}_w AS (SELECT a.key, a.y, CAST(round(1e6 * (a.lw - b.lw)) AS BIGINT) AS w FROM {h}_lw a JOIN {h}_lw b ON b.key = a.key AND b.y = (SELECT min(y) FROM {h}_cl)),
+{h}_prior AS (SELECT y, CAST(round(1e6 * ln(c / (SELECT c FROM {h}_cl ORDER BY y LIMIT 1))) AS BIGINT) AS w FROM {h}_cl),
+{h}_sum AS (SELECT k.doc_id, w.y, sum(w.w) AS s FROM h_tok k JOIN {h}_w w ON w.key = k.key GROUP BY k.doc_id, w.y),
+{h}_lp AS (SELECT sd.doc_id, p.y, p.w + coalesce(s.s, 0) AS lp FROM sd CROSS JOIN {h}_prior p LEFT JOIN {h}_sum s ON s.doc_id = sd.doc_id AND s.y = p.y WHERE NOT sd.blank),
+{h}_rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, y ASC) AS rk, max(lp) OVER (PARTITION BY doc_id) AS mx FROM {h}_lp),
+{h}_res AS (SELECT doc_id, max(y) FILTER (WHERE rk = 1) AS {t}_label, 1.0 / sum(exp(CAST(lp - mx AS DOUBLE) / 1e6)) AS {t}_conf FROM {h}_rk GROUP BY doc_id)""".strip())
+    return ",\n".join(parts)

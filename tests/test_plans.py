@@ -10,7 +10,7 @@ from evenline.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
 MAP_ONLY = ["english_only", "holdout_split", "neutral_rewrite", "rouge1", "rouge2", "rouge_l",
-            "meaning_preserved", "concat_fields", "multilingual"]
+            "meaning_preserved", "concat_fields", "multilingual", "build_prompt", "hashed_scores", "hashed_prompt"]
 ONE_SHUFFLE = ["score_truth", "score_sentiment", "score_bias", "analyse", "format_confidence",
                "before_after", "radar_rows"]
 SKIP = {"stream_neutralize", "stream_windows"}   # driver loops / streams
@@ -40,6 +40,15 @@ def test_scoring_has_one_shuffle_and_broadcast_weights(spark, name):
     assert "BroadcastHashJoin" in p
 
 
+def test_stream_scores_in_the_row(spark):
+    """No exchange, explode or aggregate at all: neither text is a key of anything."""
+    from evenline.plans.context import Context
+    from evenline.plans.queries import stream_process
+    c = Context.get(spark, SF)
+    p = stream_process(c)(c.table("documents"))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Exchange|Generate|Aggregate|Join", p)
+
+
 def test_filter_and_columns_reach_the_scan(spark):
     df = QUERIES["english_only"](spark, SF)
     s = df._jdf.queryExecution().explainString(
