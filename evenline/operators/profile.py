@@ -63,7 +63,9 @@ def prior_means(reads: DataFrame, doc_values: DataFrame, user: str = "user_id",
     j = j.select("*", F.count(F.lit(1)).over(within).alias("_wn"),
                  *[F.sum(v).over(within).alias(f"_ws_{v}") for v in values],
                  *[F.count(v).over(within).alias(f"_wk_{v}") for v in values])
-    j = j.join(offsets, [user, "_chunk"], "inner")
+    # null-safe: reads without a user are one user's, reads without a time one chunk (before all others)
+    offsets = offsets.withColumnsRenamed({user: "_user", "_chunk": "_at"})
+    j = j.join(offsets, F.col(user).eqNullSafe(F.col("_user")) & F.col("_chunk").eqNullSafe(F.col("_at")), "inner").drop("_user", "_at")
     n = F.col("_on") + F.col("_wn")
     out = j.withColumn("prior_reads", n)
     for v in values:

@@ -818,6 +818,44 @@ def q_read_history(spark, sf_dir):
     return h.select("event_id", "user_id", "doc_id", "prior_reads", *[f"prior_{v}_mean" for v in cmp.AXES])
 
 
+@query("profile_stream", f"""WITH {_HISTORY_SQL}
+SELECT event_id, user_id, doc_id, prior_reads, {', '.join(f'prior_{v}_mean' for v in cmp.AXES)} FROM hist""")
+def q_profile_stream(spark, sf_dir):
+    """A33 live: the reads as a stream, running sums per user in the state store."""
+    from evenline.operators.profile import link_reads
+    from evenline.streaming.live import table_stream
+    from evenline.streaming.profiles import profile_stream, run_stream
+    c = ctx(spark, sf_dir)
+    ev = table_stream(spark, c.sf_dir, "events", c.table("events").schema)
+    rows, _ = run_stream(profile_stream(link_reads(ev.select("event_id", "ts", "user_id"), c.n_docs), doc_values(c)), spark)
+    return rows.select("event_id", "user_id", "doc_id", "prior_reads", *[F.round(f"prior_{v}_mean", 4).alias(f"prior_{v}_mean") for v in cmp.AXES])
+
+
+# A headline counts as published so many minutes after the start of the events (the test data has no such time).
+PUBLISHED_START, PUBLISHED_STEP, READ_WITHIN = "2024-01-01", 10, "7 days"
+
+
+@query("live_reads", f"""WITH {S.hashed_all()},
+h AS (SELECT sd.doc_id, TIMESTAMP '{PUBLISHED_START}' + to_minutes(sd.doc_id * {PUBLISHED_STEP}) AS published, sentiment_label
+      FROM sd LEFT JOIN h_sentiment_res r ON r.doc_id = sd.doc_id)
+SELECT e.event_id, e.user_id, h.doc_id, CAST(floor(epoch(e.ts - h.published) / 60) AS BIGINT) AS minutes, h.sentiment_label
+FROM events e JOIN h ON h.doc_id = e.event_id % (SELECT count(*) FROM documents) AND e.ts >= h.published AND e.ts <= h.published + INTERVAL {READ_WITHIN}""")
+def q_live_reads(spark, sf_dir):
+    """A32 and D4 on two streams: headlines are scored in the row as they arrive, and meet the reads of the next days."""
+    from evenline.operators.hashed import score_hashed
+    from evenline.operators.profile import link_reads
+    from evenline.streaming.live import table_stream
+    from evenline.streaming.profiles import live_reads, run_stream
+    c = ctx(spark, sf_dir)
+    docs = table_stream(spark, c.sf_dir, "documents", c.table("documents").schema).select("doc_id", "text")
+    published = F.timestamp_add("MINUTE", F.col("doc_id") * PUBLISHED_STEP, F.lit(PUBLISHED_START).cast("timestamp"))
+    heads = score_hashed(docs, c.hashed_scorer).select("doc_id", published.alias("published"), "sentiment_label")
+    ev = table_stream(spark, c.sf_dir, "events", c.table("events").schema)
+    rows, _ = run_stream(live_reads(heads, link_reads(ev.select("event_id", "ts", "user_id"), c.n_docs), within=READ_WITHIN), spark)
+    minutes = F.floor((F.unix_micros("ts") - F.unix_micros("published")) / 60_000_000).cast("long")
+    return rows.select("event_id", "user_id", "doc_id", minutes.alias("minutes"), "sentiment_label")
+
+
 MILD_MIN_DF = 16  # the mild tier keeps only terms with twice the evidence
 POLICY_THRESHOLD = 0.5
 

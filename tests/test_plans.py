@@ -13,7 +13,7 @@ MAP_ONLY = ["english_only", "holdout_split", "neutral_rewrite", "rouge1", "rouge
             "meaning_preserved", "concat_fields", "multilingual", "build_prompt", "hashed_scores", "hashed_prompt"]
 ONE_SHUFFLE = ["score_truth", "score_sentiment", "score_bias", "analyse", "format_confidence",
                "before_after", "radar_rows"]
-SKIP = {"stream_neutralize", "stream_windows"}   # driver loops / streams
+SKIP = {"stream_neutralize", "stream_windows", "profile_stream", "live_reads"}   # driver loops / streams
 
 
 def _plan(spark, name):
