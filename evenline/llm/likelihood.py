@@ -107,15 +107,25 @@ def _lattice_of(held, n_classes: int):
     return run
 
 
-def _threshold(words: DataFrame, most: int) -> int:
-    """The least count whose words, with all more frequent ones, are ``most`` at most."""
-    steps = {r["b"]: r["c"] for r in words.where("n > 0").groupBy(F.least("n", F.lit(1_000_000)).alias("b")).agg(F.count("*").alias("c")).collect()}
-    least, have = 1_000_001, 0
-    for n in sorted(steps, reverse=True):
-        if have + steps[n] > most:
-            break
-        least, have = n, have + steps[n]
-    return least
+def _threshold(words: DataFrame, most: int, steps: int = 4096) -> int:
+    """The least count whose words, with all more frequent ones, are ``most`` at most: the range of counts is cut into
+    ``steps`` parts, and the part in which the words become too many is cut again."""
+    low, high = 1, (words.agg(F.max("n")).first()[0] or 0) + 1
+    have = 0  # words with a count of `high` and more
+    while low < high:
+        step = -(-(high - low) // steps)
+        part = F.floor((F.col("n") - low) / step).cast("long")
+        sizes = {r["b"]: r["c"] for r in words.where((F.col("n") >= low) & (F.col("n") < high)).groupBy(part.alias("b")).agg(F.count("*").alias("c")).collect()}
+        for b in sorted(sizes, reverse=True):
+            if have + sizes[b] > most:
+                break
+            have += sizes[b]
+        else:
+            return low
+        low, high = low + b * step, min(high, low + (b + 1) * step)
+        if step == 1:
+            return high
+    return low
 
 
 def _frequent_pass(held, n_classes: int):

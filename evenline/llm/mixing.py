@@ -138,9 +138,12 @@ def _same(a: str, b: str, *cols: str) -> Column:
 
 
 def _keyed(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` with the columns that selection needs, as ``_source, _size, _h, _bucket``."""
-    return (docs.withColumn("_source", F.col("source").cast("string")).withColumn("_size", n_words(F.col("text")))
-            .withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), "_size")).withColumn("_bucket", F.pmod("_h", F.lit(BUCKETS)).cast("int")))
+    """``_row`` (all columns of ``docs`` as one) and what selection needs of them: ``_source, _size, _h, _bucket``, and
+    ``_doc, _tie`` to tell rows of one id and size apart. Columns of ``docs`` can have any names."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), F.col("source").cast("string").alias("_source"),
+                       n_words(F.col("text")).alias("_size"), F.xxhash64("text", *plain).alias("_tie"))
+    return rows.withColumn("_h", F.xxhash64(F.lit(seed), "_doc", "_size")).withColumn("_bucket", F.pmod("_h", F.lit(BUCKETS)).cast("int"))
 
 
 def _plan_cells(keyed: DataFrame, weights: Sequence[int]) -> DataFrame:
@@ -161,7 +164,7 @@ def _select(keyed: DataFrame, cells: DataFrame) -> DataFrame:
     rows = keyed.alias("d").join(cells.alias("p"), _same("d", "p", "_source", "_size", "_bucket")).select(
         "d.*", *[F.col(f"p.{c}").alias(f"_{c}") for c in ("source_size", "target", "full", "k", "n")])
     whole = rows.where("_k = 0 or _k = _n").withColumn("_copies", F.col("_full") + (F.col("_k") > 0).cast("int"))
-    rank = F.row_number().over(W.partitionBy("_source", "_size", "_bucket").orderBy("_h", "doc_id"))
+    rank = F.row_number().over(W.partitionBy("_source", "_size", "_bucket").orderBy("_h", "_doc", "_tie"))
     cut = rows.where("_k > 0 and _k < _n").withColumn("_copies", F.col("_full") + (rank <= F.col("_k")).cast("int"))
     return whole.unionByName(cut)
 
@@ -170,8 +173,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = S
     """``doc_id, size, source_size, target, taken`` per row of ``docs`` (``doc_id, text, source``);
     ``taken`` is ``size`` times the document's copies in the mix."""
     ship_package(docs.sparkSession)
-    keyed = spool(_keyed(docs.select(F.col("doc_id").cast("long"), "source", "text"), seed).drop("text", "source"), "sizes")
-    return _select(keyed, _plan_cells(keyed, weights)).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+    keyed = spool(_keyed(docs.select("doc_id", "source", "text"), seed).drop("_row"), "sizes")
+    return _select(keyed, _plan_cells(keyed, weights)).select(F.col("_doc").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                                                               F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
@@ -180,4 +183,4 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int
     ship_package(docs.sparkSession)
     keyed = spool(_keyed(docs, seed).select("_source", "_size", "_bucket"), "sizes")
     out = _select(_keyed(docs, seed), _plan_cells(keyed, weights)).where("_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -351,6 +351,8 @@ def keep_one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     if again.isEmpty():
         return out.select(*[F.col(f"`{c}`") for c in docs.columns])
     once = out.join(again, "doc_id", "left_anti")
-    first = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    some = out.join(again, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    return once.unionByName(some.drop("_nth")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # one row of an id: that of the smallest text hash, its columns under one name so that theirs do not matter
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = W.partitionBy("id").orderBy("tie")
+    some = out.join(again, "doc_id", "left_semi").select(row.alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie")).withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(some.select(*[F.col("row")[c].alias(c) for c in docs.columns]))

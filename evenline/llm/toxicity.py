@@ -162,7 +162,8 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float) -> DataF
                 soft = _softplus(bias + np.bincount(s, w[f].sum(1), len(d))) if np.isfinite(bias) and len(d) else np.zeros(len(d))
                 keep.append(-np.expm1(-np.bincount(d, soft, b.n_docs)) < threshold)
             yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, docs.schema)
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(names))])  # any name can then come through, dots included
+    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -230,3 +230,41 @@ def test_every_query_counts_its_rows(spark, odd_tables):
 @pytest.mark.parametrize("name", list(Q.QUERIES))
 def test_empty_tables(spark, empty_tables, name):
     assert Q.QUERIES[name](spark, empty_tables).collect() == []
+
+
+def test_op7_frequent_words_are_bounded_at_any_count(spark):
+    """Words more frequent than a million: never more than ``most`` pass, and as many as that allows."""
+    from pyspark.sql import functions as F
+
+    from evenline.llm.likelihood import _threshold
+    for counts in ([2_000_000] * 50, [1, 1, 2, 3, 3, 7], [5_000_000 + k * 977 for k in range(60)] + [1] * 30, [10**12, 10**12 + 1, 3], []):
+        words = spark.createDataFrame([(n,) for n in counts], "n long")
+        for most in (0, 1, 3, 10, 55, 100):
+            t = _threshold(words, most, 16)
+            fit = [c for c in sorted(set(counts)) if sum(n >= c for n in counts) <= most]
+            assert words.where(F.col("n") >= t).count() == (sum(n >= fit[0] for n in counts) if fit else 0) <= most
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, tables):
+    """Columns named as the operators' own come through with their values."""
+    import corpus_pipeline as P
+    from pyspark.sql import functions as F
+    path = tables[0]
+    docs = spark.read.parquet(path + "/documents.parquet")
+    odd = ["_size", "_n", "_nth", "_row", "_h", "_source", "_copies", "_copy", "_bucket", "_k", "_full", "_target", "_tie", "_doc", "row", "id", "tie", "nth", "gone", "a.b", "key"]
+    docs = docs.select("*", *[(F.lit(k * 100_000) + F.coalesce("doc_id", F.lit(0))).alias(c) for k, c in enumerate(odd)])
+    docs = docs.unionByName(docs.where("doc_id in (3, 7)").withColumn("text", F.concat("text", F.lit(" other end"))))  # ids of two texts
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns
+        for r in out.select("doc_id", *[F.col(f"`{c}`") for c in odd]).collect():
+            assert [r[c] for c in odd] == [k * 100_000 + (r["doc_id"] or 0) for k in range(len(odd))]
+
+
+def test_op3_ties_do_not_depend_on_the_order_of_rows(spark):
+    """Rows that share id and size, and differ in text: any shuffle of the table gives one mix."""
+    from evenline.llm.mixing import mixed_documents
+    rows = [(1, f"word{k} and two more", "a", k) for k in range(40)] + [(2, "x " * k, "b", k) for k in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    got = [sorted(map(repr, mixed_documents(docs.repartition(n, "extra")).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) < 48
