@@ -30,3 +30,18 @@ def test_every_query_has_an_oracle_or_a_reason():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 200 and df.columns == ["doc_id", "neutral", "changed"]
+
+
+def test_entry_survives_missing_packages(tmp_path):
+    """Without the packages that other queries need, the library's own are still registered."""
+    import os
+    import subprocess
+    import sys
+    for name in ("xxhash", "public_tokenizers"):
+        (tmp_path / f"{name}.py").write_text("raise ImportError('not here')\n")
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    code = "import __spark_entry__ as e; q = e.queries(); print(len(q), 'neutral_rewrite' in q)"
+    env = os.environ | {"PYTHONPATH": f"{tmp_path}:{root}:{os.environ.get('PYTHONPATH', '')}"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, timeout=120)
+    n, has = out.stdout.split()
+    assert out.returncode == 0 and has == "True" and int(n) >= len(QUERIES)
