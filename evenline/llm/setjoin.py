@@ -34,13 +34,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from evenline.llm.graph import components
 from evenline.llm.spool import spool
-from evenline.llm.words import Block, blocks, mix64, rolling
+from evenline.llm.words import Block, blocks, mix64, rolling, spread
 from evenline.session import ship_package
 
 WIDTH = 5
@@ -48,6 +48,8 @@ PERCENT = 75
 SHINGLES_PER_CELL = 64
 MIN_CELL_BITS, MAX_CELL_BITS, SHARD_BITS = 16, 26, 16
 MAX_BROADCAST_IDS = 1_000_000
+CROWD = 256              # members of a cluster whose lists are joined; larger ones are met in blocks
+BLOCK_ENTRIES = 1 << 18  # list entries of one side of a block
 BAND = 0.04  # width of a cluster's size band, in natural logarithm
 _ODD = 0xD1342543DE82EF95
 _SHORT = 0xA24BAED4963EE407
@@ -254,13 +256,69 @@ def _open_clusters(lists: DataFrame, percent: int) -> DataFrame:
     return beside.select("node", F.col("from").alias("own"), "root", "band", F.col("top.node").alias("center"))
 
 
-def _open_pairs(lists: DataFrame, beside: DataFrame, percent: int) -> DataFrame:
-    """``a, b, s, t, shared``: the nodes of ``beside`` with every member of their clusters."""
-    x = lists.select("sig", "node", "size").join(beside, "node").alias("x")
-    y = lists.alias("y")
-    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") == F.col("y.root")) & (F.col("x.band") == F.col("y.band")))
-             .where(100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")))
-    return pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.size").alias("s"), F.col("y.size").alias("t")).agg(F.count("*").alias("shared"))
+def _least_shared(n: Column, s: Column, t: Column, percent: int) -> Column:
+    """Prefix shingles that linked sets of ``s`` and ``t`` share at least, if the prefix of that of ``n`` ends first."""
+    need = F.ceil(F.lit(percent) * (s + t) / (100 + percent))
+    return 1 - F.ceil(F.lit(percent) * n / 100) + need
+
+
+def _count_block(percent: int, boundary: int):
+    """Pairs of a block's open nodes (``open``) and members that share enough prefix shingles: each open
+    node's inverted lists, within the block, are scanned and the members on them counted."""
+    def run(pdf):
+        import pandas as pd
+        ask, have = pdf[pdf["open"]], pdf[~pdf["open"]]
+        size, node = have["size"].to_numpy(), have["node"].to_numpy()
+        sig = np.concatenate([np.asarray(x) for x in have["sigs"]]) if len(have) else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(have)), [len(x) for x in have["sigs"]])
+        order = np.argsort(sig, kind="stable")
+        sig, owner = sig[order], owner[order]
+        left, right = [], []
+        for n, s, sigs in zip(ask["node"], ask["size"], ask["sigs"]):
+            lo, hi = np.searchsorted(sig, sigs, "left"), np.searchsorted(sig, sigs, "right")
+            shared = np.bincount(owner[spread(lo, hi - lo)], minlength=len(have))
+            need = -(-percent * (s + size) // (100 + percent))
+            least = 1 + need + np.minimum(percent * -s // 100, percent * -size // 100) if s > boundary else 1
+            hit = np.flatnonzero((shared >= np.maximum(least, 1)) & (100 * np.minimum(s, size) >= percent * np.maximum(s, size)))
+            left.append(np.full(len(hit), n, np.int64))
+            right.append(node[hit])
+        both = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
+        return pd.DataFrame({"a": both[0], "b": both[1]})
+    return run
+
+
+def _open_pairs(lists: DataFrame, beside: DataFrame, percent: int, boundary: int) -> DataFrame:
+    """``a, b``: the nodes of ``beside`` with the members of their clusters that they may link with.
+
+    A linked member shares at least ``least`` of a heavy node's prefix shingles, so it stands in one of the lists
+    that remain without the ``least - 1`` longest, and a node with fewer lists than ``least`` in the cluster is done.
+    In clusters of at most ``CROWD`` members the remaining lists are joined. In larger ones open nodes meet members
+    in blocks of bounded size, which count shared shingles and give only pairs that share enough."""
+    inside = lists.groupBy("sig", "root", "band").agg(F.count("*").alias("members"))
+    clusters = lists.groupBy("root", "band").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.count_distinct("node").alias("crowd"), F.count("*").alias("entries"))
+    mine = lists.select("sig", "node", "size").join(beside, "node").join(inside, ["sig", "root", "band"]).join(clusters, ["root", "band"])
+    lo, hi = F.greatest("lo", F.ceil(F.lit(percent) * F.col("size") / 100)), F.least("hi", F.floor(100 * F.col("size") / percent))
+    # over the sizes of the cluster, the node's own bound is least for the smallest set, a member's for the largest
+    least = F.least(_least_shared(F.col("size"), F.col("size"), lo, percent), _least_shared(hi, F.col("size"), hi, percent))
+    least = F.when(F.col("size") > boundary, F.greatest(least, F.lit(1))).otherwise(1)
+    group = W.partitionBy("node", "root", "band")
+    mine = mine.select("*", least.alias("least"), F.count("*").over(group).alias("k"), F.row_number().over(group.orderBy("members", "sig")).alias("nth")).where("k >= least")
+    mine = spool(mine.select("sig", "node", "size", "root", "band", "crowd", "entries", "least", "k", "nth"), "asked")
+    x, y = mine.where(f"crowd <= {CROWD} and nth <= k - least + 1").alias("x"), lists.alias("y")
+    pairs = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") == F.col("y.root")) & (F.col("x.band") == F.col("y.band")))
+    pairs = pairs.where(100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+    asked = mine.where(f"crowd > {CROWD}")
+    # blocks of a cluster: `across` of members by `down` of open nodes, each of about BLOCK_ENTRIES list entries
+    grid = asked.groupBy("root", "band").agg(F.ceil(F.max("entries") / BLOCK_ENTRIES).cast("int").alias("across"), F.ceil(F.count("*") / BLOCK_ENTRIES).cast("int").alias("down"))
+    part = ["root", "band", "across_at", "down_at"]
+
+    def dealt(rows: DataFrame, fixed: str, free: str, is_open: bool) -> DataFrame:
+        sets = rows.groupBy("node", "size", "root", "band").agg(F.collect_list("sig").alias("sigs")).join(grid, ["root", "band"])
+        return sets.select("node", "size", "sigs", F.lit(is_open).alias("open"), "root", "band", F.pmod(F.xxhash64("node"), F.col(fixed)).cast("int").alias(f"{fixed}_at"),
+                           F.explode(F.sequence(F.lit(0), F.col(free) - 1)).alias(f"{free}_at"))
+    blocks_ = dealt(asked, "down", "across", True).unionByName(dealt(lists.join(grid.select("root", "band"), ["root", "band"], "left_semi"), "across", "down", False))
+    return pairs.unionByName(blocks_.groupBy(*part).applyInPandas(_count_block(percent, boundary), "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -320,14 +378,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     joined = components(second).withColumnsRenamed({"node": "from", "root": "to"})
     left = beside.join(joined.withColumnsRenamed({"from": "own", "to": "own_to"}), "own", "left").join(joined.withColumnsRenamed({"from": "root", "to": "root_to"}), "root", "left")
     left = spool(left.where(F.coalesce("own_to", "own") != F.coalesce("root_to", "root")).select("node", "root", "band"), "open")
-    pairs = _open_pairs(open_lists, left, percent)
-    need = F.ceil(F.lit(percent) * (F.col("s") + F.col("t")) / (100 + percent))  # shingles a linked pair shares
-
-    def least_shared(n):
-        p = n - F.ceil(F.lit(percent) * n / 100) + 1
-        return p - (n - need)
-    light = F.greatest("s", "t") <= boundary  # 2-subsets and single shingles are both counted there
-    pairs = pairs.where(light | (F.col("shared") >= F.least(least_shared(F.col("s")), least_shared(F.col("t"))))).select("a", "b")
+    pairs = _open_pairs(open_lists, left, percent, boundary)
     more = _through(_links(pairs, docs, reps, width, percent), root)
     again = components(spool(second.unionByName(more).distinct(), "links"))
 

@@ -162,6 +162,29 @@ def test_op8_short_text_inside_a_longer_one(spark, percent, n):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
 
 
+@pytest.mark.parametrize("crowd, entries", [(256, 1 << 18), (0, 1 << 18), (3, 40)])
+def test_op8_borderline_copies_beside_a_group(spark, monkeypatch, crowd, entries):
+    """Copies of one text with edits around the limit: some link with a few members alone, some with none. Members
+    are met by joined lists, in blocks, and in blocks of a few entries."""
+    import random
+
+    from evenline.llm import setjoin
+    monkeypatch.setattr(setjoin, "CROWD", crowd)
+    monkeypatch.setattr(setjoin, "BLOCK_ENTRIES", entries)
+    rnd, rows = random.Random(8), []
+    for g, n in enumerate((150, 40)):
+        base = [f"g{g}w{k}" for k in range(n)]
+        for i in range(70):
+            w = list(base)
+            for e in range(rnd.choice([1, 2, 2, 3, 3, 4, 4, 5]) if n > 50 else rnd.choice([0, 1, 1, 2])):
+                w[rnd.randrange(n)] = f"x{g}-{i}-{e}"
+            rows.append((1000 * g + i, " ".join(w)))
+    rnd.shuffle(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in setjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute.components(rows)
+    assert got == want and 3 < len({c for _, c in want.values()}) < 130
+
+
 def test_op8_other_text_of_an_id_that_holds_a_copy(spark):
     from evenline.llm.setjoin import jaccard_components
     a, b = ([f"{x}{k}" for k in range(30)] for x in "ab")
