@@ -14,7 +14,9 @@ from evenline.operators.hashed import HashedScorer, fit_hashed
 from evenline.operators.lexicon import learn_loaded_terms
 from evenline.session import ensure_checkpoint_dir
 from evenline.operators.naive_bayes import ModelSet, NBModel, fit_nb_variants
+from evenline.functions.text import hash_bucket
 from evenline.operators.splits import holdout_split
+from evenline.operators.validation import FOLDS, cross_validated, fold_predictions, mcnemar, paired_choice
 from evenline.sources.corpus import PROXY_LABELS, documents, labelled_documents, table
 
 TWO_WAY = (("train", 80), ("test", 20))
@@ -95,6 +97,30 @@ class Context:
         train = self.docs.where(F.col("split") == "train").join(labels, "doc_id", "left")
         return fit_hashed(train, {"truth": "quality", "sentiment": "toxic", "bias": "lang"})
 
+    @cached_property
+    def fold_predictions(self) -> tuple[DataFrame, dict]:
+        """Every candidate's cross-validated predictions on the train rows (written once), and their parameters."""
+        labels = self.table("labels").select("doc_id", "quality", "toxic")
+        train = self.docs.where(F.col("split") == "train").join(labels, "doc_id", "left")
+        rows, params = fold_predictions(train, {"truth": "quality", "sentiment": "toxic", "bias": "lang"}, F.pmod(hash_bucket("text"), F.lit(FOLDS)))
+        return rows.checkpoint(eager=True), params
+
+    @cached_property
+    def chosen(self) -> dict[str, str]:
+        """The candidate chosen per task by cross-validation and McNemar's test."""
+        rows, params = self.fold_predictions
+        return {r["task"]: r["model"] for r in paired_choice(cross_validated(rows, params), mcnemar(rows)).collect()}  # a row a task
+
+    @cached_property
+    def chosen_models(self) -> ModelSet:
+        """The chosen naive Bayes models, fitted on all train rows; a task whose choice is the majority keeps min_df 5."""
+        labels = self.table("labels").select("doc_id", "quality", "toxic")
+        train = self.docs.where(F.col("split") == "train").join(labels, "doc_id", "left")
+        cols = {"truth": "quality", "sentiment": "toxic", "bias": "lang"}
+        min_df = {t: int(m.removeprefix("nb_df")) if m.startswith("nb_df") else 5 for t, m in self.chosen.items()}
+        fitted = fit_nb_variants(train, [(t, None, min_df[t], c) for t, c in cols.items()], "text")
+        return ModelSet(fitted[t] for t in cols)
+
 
 # Display names of the proxy labels (A4). Bias stays as its proxy code.
 DISPLAY = {"truth": {"0": "False", "1": "Truthful"}, "sentiment": {"0": "Neutral", "1": "Negative"}}

@@ -663,6 +663,78 @@ def q_page_bias(spark, sf_dir):
     return sc.score(d, m, "page_id", "text").select("page_id", "bias_label", F.round("bias_conf", 4).alias("bias_conf"))
 
 
+# --- cross-validation, paired choice, thresholds ---------------------------------------
+
+@query("cross_validated", f"WITH {S.folds()} SELECT task, model, n, correct, accuracy, n_params FROM cv_rec")
+def q_cross_validated(spark, sf_dir):
+    from evenline.operators.validation import cross_validated
+    return cross_validated(*ctx(spark, sf_dir).fold_predictions)
+
+
+@query("mcnemar", f"WITH {S.folds()} SELECT task, model_a, model_b, a_only, b_only, round(stat, 4) AS statistic, stat > 3.841459 AS significant FROM cv_test")
+def q_mcnemar(spark, sf_dir):
+    from evenline.operators.validation import mcnemar
+    return mcnemar(ctx(spark, sf_dir).fold_predictions[0])
+
+
+@query("paired_choice", f"WITH {S.folds()} SELECT task, model, accuracy, n_params FROM cv_choice")
+def q_paired_choice(spark, sf_dir):
+    from evenline.operators.validation import cross_validated, mcnemar, paired_choice
+    rows, params = ctx(spark, sf_dir).fold_predictions
+    return paired_choice(cross_validated(rows, params), mcnemar(rows))
+
+
+_CHOSEN_MODELS = ",\n".join(f"{S.nb_train(f'ch_{t}_{m}', src, label, m).strip()},\n{S.nb_apply(f'ch_{t}_{m}', 'sd', f'ch_{t}_{m}').strip()}" for t, src, label in S.TASK_SOURCES for m in (5, 3))
+
+
+@query("chosen_scores", f"""WITH {S.folds()},
+{_CHOSEN_MODELS}
+SELECT sd.doc_id, {', '.join(f"CASE WHEN (SELECT model FROM cv_choice WHERE task = '{t}') = 'nb_df3' THEN ch_{t}_3_res.ch_{t}_3_label ELSE ch_{t}_5_res.ch_{t}_5_label END AS {t}_label" for t in TASKS)}
+FROM sd {' '.join(f"LEFT JOIN ch_{t}_{m}_res ON ch_{t}_{m}_res.doc_id = sd.doc_id" for t in TASKS for m in (5, 3))}""")
+def q_chosen_scores(spark, sf_dir):
+    """A12 put to use: every document by the models that cross-validation chose, scored in the row."""
+    from evenline.operators.inline import score_rows
+    c = ctx(spark, sf_dir)
+    return score_rows(c.docs.select("doc_id", "text"), {"": "text"}, c.chosen_models).select("doc_id", *[f"{t}_label" for t in TASKS])
+
+
+_HIST_SQL = f"""{S.nb_all()},
+hist AS (SELECT task, split, CAST(greatest(-400, least(400, floor(round(s, 9) / 0.25))) AS INTEGER) AS bin, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg
+  FROM (SELECT 'truth' AS task, {S.split3('lab.text')} AS split, quality = 1 AS y, truth_s AS s FROM lab JOIN truth_res r ON r.doc_id = lab.doc_id WHERE quality IS NOT NULL
+        UNION ALL SELECT 'sentiment', {S.split3('lab.text')}, toxic = 1, sentiment_s FROM lab JOIN sentiment_res r ON r.doc_id = lab.doc_id WHERE toxic IS NOT NULL)
+  WHERE split IN ('validation', 'test') GROUP BY 1, 2, 3),
+roc AS (SELECT *, sum(pos) OVER d AS tp, sum(neg) OVER d AS fp, sum(pos) OVER (PARTITION BY task, split) AS n_pos, sum(neg) OVER (PARTITION BY task, split) AS n_neg
+        FROM hist WINDOW d AS (PARTITION BY task, split ORDER BY bin DESC ROWS UNBOUNDED PRECEDING))"""
+
+
+def _histogram(c: Context) -> DataFrame:
+    from evenline.operators.inline import score_rows
+    from evenline.operators.validation import score_histogram
+    labels = c.table("labels").select("doc_id", "quality", "toxic")
+    held = holdout_split(documents(c.spark, c.sf_dir), "text", THREE_WAY).where("split in ('validation', 'test')")
+    scored = score_rows(held, {"": "text"}, c.model_set).select("doc_id", "split", "truth_s", "sentiment_s").join(labels, "doc_id")
+    return score_histogram(scored, [("truth", "quality", "1", "truth_s"), ("sentiment", "toxic", "1", "sentiment_s")])
+
+
+@query("threshold_curve", f"WITH {_HIST_SQL} SELECT task, split, bin, tp::BIGINT AS tp, fp::BIGINT AS fp, n_pos::BIGINT AS n_pos, n_neg::BIGINT AS n_neg FROM roc")
+def q_threshold_curve(spark, sf_dir):
+    from evenline.operators.validation import roc_curve
+    return roc_curve(_histogram(ctx(spark, sf_dir))).drop("pos", "neg")
+
+
+@query("threshold_report", f"""WITH {_HIST_SQL},
+cuts AS (SELECT task, bin, tp + n_neg - fp AS good FROM roc WHERE split = 'validation' UNION ALL SELECT task, max(bin) + 1, max(n_neg) FROM roc WHERE split = 'validation' GROUP BY task),
+cut AS (SELECT task, bin AS cut FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY good DESC, bin DESC) AS r FROM cuts) WHERE r = 1),
+major AS (SELECT task, sum(pos) > sum(neg) AS major FROM hist WHERE split = 'validation' GROUP BY task)
+SELECT h.task, cut * 0.25::DOUBLE AS threshold, round(sum(neg * (tp - pos / 2)) / (max(n_pos) * max(n_neg)), 4) AS auc, sum(pos + neg)::BIGINT AS n,
+       round(sum(CASE WHEN bin >= cut THEN pos ELSE neg END) / sum(pos + neg), 4) AS accuracy, round(sum(CASE WHEN major THEN pos ELSE neg END) / sum(pos + neg), 4) AS majority_accuracy,
+       sum(CASE WHEN bin >= cut THEN pos ELSE neg END) >= sum(CASE WHEN major THEN pos ELSE neg END) AS reaches_majority
+FROM roc h JOIN cut ON cut.task = h.task JOIN major ON major.task = h.task WHERE h.split = 'test' GROUP BY h.task, cut""")
+def q_threshold_report(spark, sf_dir):
+    from evenline.operators.validation import threshold_report
+    return threshold_report(_histogram(ctx(spark, sf_dir)))
+
+
 # --- scoring in the row: a map from the scan to the sink ------------------------------
 
 _H_RES = " ".join(f"LEFT JOIN h_{t}_res ON h_{t}_res.doc_id = sd.doc_id" for t in TASKS)

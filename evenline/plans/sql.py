@@ -209,3 +209,54 @@ h_slot AS (SELECT key FROM (SELECT key, row_number() OVER (PARTITION BY key >> {
 {h}_rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, y ASC) AS rk, max(lp) OVER (PARTITION BY doc_id) AS mx FROM {h}_lp),
 {h}_res AS (SELECT doc_id, max(y) FILTER (WHERE rk = 1) AS {t}_label, 1.0 / sum(exp(CAST(lp - mx AS DOUBLE) / 1e6)) AS {t}_conf FROM {h}_rk GROUP BY doc_id)""".strip())
     return ",\n".join(parts)
+
+
+def folds(min_dfs=(5, 3), k: int = 5) -> str:
+    """Cross-validation on the train rows: ``cv(task, model, doc_id, label, pred)`` and the candidates'
+    parameters ``cv_params(task, model, n_params)``. A fold's counts are those of all rows less its own."""
+    parts = [docs_cte("sd").strip(), LABELLED.strip()]
+    preds, params = [], []
+    for t, src, label in TASK_SOURCES:
+        h = f"cv_{t}"
+        parts.append(f"""
+{h}_tr AS (SELECT doc_id, CAST({label} AS VARCHAR) AS y, text, {bucket('text')} % {k} AS f FROM {src}
+           WHERE split = 'train' AND text IS NOT NULL AND trim(text) <> '' AND {label} IS NOT NULL),
+{h}_tok AS (SELECT doc_id, y, f, unnest({dtoks('text')}) AS term FROM {h}_tr),
+{h}_cl AS (SELECT DISTINCT y FROM {h}_tr),
+{h}_f AS (SELECT unnest(range({k + 1})) AS f),
+{h}_all AS (SELECT term, y, count(*) AS n FROM {h}_tok GROUP BY term, y),
+{h}_own AS (SELECT term, y, f, count(*) AS n FROM {h}_tok GROUP BY term, y, f),
+{h}_n AS (SELECT x.f, v.term, c.y, coalesce(a.n, 0) - coalesce(o.n, 0) AS n
+          FROM (SELECT DISTINCT term FROM {h}_all) v CROSS JOIN {h}_cl c CROSS JOIN {h}_f x
+          LEFT JOIN {h}_all a ON a.term = v.term AND a.y = c.y LEFT JOIN {h}_own o ON o.term = v.term AND o.y = c.y AND o.f = x.f),
+{h}_prior AS (SELECT x.f, c.y, count(r.doc_id) AS n FROM {h}_f x CROSS JOIN {h}_cl c LEFT JOIN {h}_tr r ON r.y = c.y AND r.f <> x.f GROUP BY x.f, c.y),
+{h}_p AS (SELECT f, y, n, sum(n) OVER (PARTITION BY f) AS total, row_number() OVER (PARTITION BY f ORDER BY n DESC, y) AS rk FROM {h}_prior)""".strip())
+        preds.append(f"SELECT '{t}' AS task, 'majority' AS model, r.doc_id, r.y AS label, p.y AS pred FROM {h}_tr r JOIN {h}_p p ON p.f = r.f AND p.rk = 1")
+        params.append(f"SELECT '{t}' AS task, 'majority' AS model, 1 AS n_params")
+        for m in min_dfs:
+            g = f"{h}_{m}"
+            parts.append(f"""
+{g}_kept AS (SELECT f, term FROM {h}_n GROUP BY f, term HAVING sum(n) >= {m}),
+{g}_v AS (SELECT f, count(*) AS v FROM {g}_kept GROUP BY f),
+{g}_t AS (SELECT n.f, n.y, sum(n.n) AS t FROM {h}_n n JOIN {g}_kept k ON k.f = n.f AND k.term = n.term GROUP BY n.f, n.y),
+{g}_w AS (SELECT n.f, n.term, n.y, ln((n.n + 1)::DOUBLE / (t.t + v.v)::DOUBLE) AS w
+          FROM {h}_n n JOIN {g}_kept k ON k.f = n.f AND k.term = n.term JOIN {g}_t t ON t.f = n.f AND t.y = n.y JOIN {g}_v v ON v.f = n.f),
+{g}_s AS (SELECT o.doc_id, w.y, sum(w.w) AS s FROM {h}_tok o JOIN {g}_w w ON w.f = o.f AND w.term = o.term GROUP BY o.doc_id, w.y),
+{g}_rk AS (SELECT r.doc_id, r.y AS label, p.y AS pred, row_number() OVER (PARTITION BY r.doc_id ORDER BY CASE WHEN p.n > 0 THEN ln(p.n / p.total) ELSE -1e300 END + coalesce(s.s, 0) DESC, p.y) AS rk
+           FROM {h}_tr r JOIN {h}_p p ON p.f = r.f LEFT JOIN {g}_s s ON s.doc_id = r.doc_id AND s.y = p.y)""".strip())
+            preds.append(f"SELECT '{t}', 'nb_df{m}', doc_id, label, pred FROM {g}_rk WHERE rk = 1")
+            params.append(f"SELECT '{t}', 'nb_df{m}', (coalesce((SELECT v FROM {g}_v WHERE f = {k}), 0) + 1) * (SELECT count(*) FROM {h}_cl)")
+    parts.append("cv AS (" + " UNION ALL ".join(preds) + ")")
+    parts.append("cv_params AS (" + " UNION ALL ".join(params) + ")")
+    parts.append("""cv_rec AS (SELECT c.task, c.model, count(*) AS n, count(*) FILTER (WHERE label = pred) AS correct,
+       round(count(*) FILTER (WHERE label = pred) / count(*), 4) AS accuracy, any_value(p.n_params)::BIGINT AS n_params
+FROM cv c JOIN cv_params p ON p.task = c.task AND p.model = c.model GROUP BY c.task, c.model),
+cv_pair AS (SELECT a.task, a.model AS model_a, b.model AS model_b, count(*) FILTER (WHERE a.label = a.pred AND b.label <> b.pred) AS a_only,
+       count(*) FILTER (WHERE b.label = b.pred AND a.label <> a.pred) AS b_only
+FROM cv a JOIN cv b ON b.task = a.task AND b.doc_id = a.doc_id AND b.model > a.model GROUP BY a.task, a.model, b.model),
+cv_test AS (SELECT *, CASE WHEN a_only + b_only > 0 THEN power(greatest(abs(a_only - b_only) - 1, 0), 2)::DOUBLE / (a_only + b_only) ELSE 0.0 END AS stat FROM cv_pair),
+cv_best AS (SELECT task, model FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY correct DESC, n_params, model) AS r FROM cv_rec) WHERE r = 1),
+cv_choice AS (SELECT task, model, accuracy, n_params FROM (SELECT r.*, row_number() OVER (PARTITION BY r.task ORDER BY n_params, r.model) AS k
+  FROM cv_rec r JOIN cv_best b ON b.task = r.task WHERE NOT EXISTS (SELECT 1 FROM cv_test x WHERE x.task = r.task AND x.stat > 3.841459
+    AND ((x.model_a = r.model AND x.model_b = b.model) OR (x.model_b = r.model AND x.model_a = b.model)))) WHERE k = 1)""")
+    return ",\n".join(parts)
