@@ -163,3 +163,25 @@ def rouge_l(df: DataFrame, key: str, ref: str, hyp: str) -> DataFrame:
                        F.round(F.when(nh > 0, o / nh), 4).alias("rougeL_p"),
                        F.round(F.when(nr > 0, o / nr), 4).alias("rougeL_r"),
                        F.round(f1_from(o, nr, nh), 4).alias("rougeL_f1"))
+
+
+# P(Poisson(1) <= k) for k = 0, 1, ...; a replicate's weight of a row is the number of them at or below
+# a uniform value from md5("<id>:<replicate>").
+POISSON = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119)
+
+
+def metric_intervals(values: DataFrame, key: str, value: str, by: Sequence[str] = (), replicates: int = 100, level: float = 0.95) -> DataFrame:
+    """Bootstrap intervals of a mean in one pass: ``by..., n, estimate, low, high`` for rows with a ``value``.
+
+    In each of ``replicates`` samples a row counts Poisson(1) times, by a hash of its key and the replicate: no sample
+    is drawn or shuffled, any row's weights can be made anywhere, and reruns agree. Every replicate is a weighted
+    sum and a sum of weights, added up map-side. ``low`` and ``high`` are the replicates' means at the ends of the
+    ``level`` interval (the k-th smallest and largest, ``k = ceil(replicates * (1 - level) / 2)``)."""
+    rows = values.where(F.col(value).isNotNull()).select(*by, F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"), F.col(value).cast("double").alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_b"))
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", "_k", F.col("_b").cast("string"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    w = sum(((u >= F.lit(p)).cast("int") for p in POISSON[1:]), (u >= F.lit(POISSON[0])).cast("int"))
+    sums = rows.select(*by, "_v", "_b", w.alias("_w")).groupBy(*by, "_b").agg(F.sum(F.col("_w") * F.col("_v")).alias("s"), F.sum("_w").alias("w"), F.count(F.lit(1)).alias("n"), F.avg("_v").alias("m"))
+    means = F.array_sort(F.collect_list(F.when(F.col("w") > 0, F.col("s") / F.col("w"))))  # one per replicate
+    out = sums.groupBy(*by).agg(F.max("n").alias("n"), F.max("m").alias("m"), means.alias("a"))
+    k = F.greatest(F.lit(1), F.ceil(F.size("a") * F.lit((1 - level) / 2) - 1e-9).cast("int"))
+    return out.select(*by, "n", F.round("m", 4).alias("estimate"), F.round(F.get("a", k - 1), 4).alias("low"), F.round(F.get("a", F.size("a") - k), 4).alias("high"))

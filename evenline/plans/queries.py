@@ -735,6 +735,47 @@ def q_threshold_report(spark, sf_dir):
     return threshold_report(_histogram(ctx(spark, sf_dir)))
 
 
+# --- exact splits, quantiles, intervals ---------------------------------------------------
+
+EXACT_SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
+
+
+@query("exact_split", """WITH n AS (SELECT lang, count(*) AS n, (SELECT count(*) FROM documents) AS total FROM documents GROUP BY lang),
+sizes AS (SELECT floor(0.8 * total + 0.5)::BIGINT AS a, floor(0.8 * total + 0.5)::BIGINT + floor(0.1 * total + 0.5)::BIGINT AS b FROM n LIMIT 1),
+cut AS (SELECT n.lang, n.n, n.total, c.k, c.size, n.n * c.size // n.total AS base, n.n * c.size % n.total AS rest FROM n, (SELECT 0 AS k, a AS size FROM sizes UNION ALL SELECT 1, b FROM sizes) c),
+given AS (SELECT *, base + (row_number() OVER (PARTITION BY k ORDER BY rest DESC, lang) <= size - sum(base) OVER (PARTITION BY k))::INT AS upto FROM cut),
+placed AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(text), md5(doc_id::VARCHAR)) AS r FROM documents)
+SELECT p.doc_id, CASE WHEN p.r <= a.upto THEN 'train' WHEN p.r <= b.upto THEN 'validation' ELSE 'test' END AS split
+FROM placed p JOIN given a ON a.lang = p.lang AND a.k = 0 JOIN given b ON b.lang = p.lang AND b.k = 1""")
+def q_exact_split(spark, sf_dir):
+    from evenline.operators.splits import exact_split
+    return exact_split(documents(spark, sf_dir), EXACT_SHARES, "text", "doc_id", "lang").select("doc_id", "split")
+
+
+@query("effect_quantiles", f"""{_COMPARED_SQL},
+deltas AS ({' UNION ALL '.join(f"SELECT split, lang, '{ax}' AS axis, after_{ax} - before_{ax} AS d FROM cmp" for ax in cmp.AXES)}),
+grouped AS (SELECT split, lang, axis, list_sort(list(d) FILTER (WHERE d IS NOT NULL)) AS d FROM deltas GROUP BY axis, ROLLUP (split, lang))
+SELECT split, lang, axis, coalesce(len(d), 0) AS n, {', '.join(f"round(d[greatest(1, ceil({q} * len(d) - 1e-9)::INT)], 4) + 0.0 AS p{round(100 * q)}" for q in (0.1, 0.5, 0.9))} FROM grouped""")
+def q_effect_quantiles(spark, sf_dir):
+    return cmp.effect_quantiles(compared(spark, sf_dir), ["split", "lang"])
+
+
+@query("metric_intervals", f"""{_EVAL_SQL.replace("SELECT 'truth' AS task,", "SELECT sd.doc_id, 'truth' AS task,").replace("SELECT 'sentiment',", "SELECT sd.doc_id, 'sentiment',").replace("SELECT 'bias',", "SELECT sd.doc_id, 'bias',")},
+w AS (SELECT task, doc_id, (label = pred)::INT AS v, b, ('0x'||substr(md5(doc_id::VARCHAR||':'||b::VARCHAR),1,8))::BIGINT / 4294967296.0::DOUBLE AS u
+      FROM ev, (SELECT unnest(range(100)) AS b) WHERE label IS NOT NULL AND pred IS NOT NULL),
+s AS (SELECT task, b, {' + '.join(f'(u >= {p})::INT' for p in metrics.POISSON)} AS w, v FROM w),
+m AS (SELECT task, b, sum(w * v) / nullif(sum(w), 0) AS m, count(*) AS n, avg(v) AS e FROM s GROUP BY task, b),
+a AS (SELECT task, max(n) AS n, max(e) AS e, list_sort(list(m) FILTER (WHERE m IS NOT NULL)) AS a FROM m GROUP BY task)
+SELECT task, n, round(e, 4) AS estimate, round(a[greatest(1, ceil(len(a) * 0.025 - 1e-9)::INT)], 4) AS low, round(a[len(a) - greatest(1, ceil(len(a) * 0.025 - 1e-9)::INT) + 1], 4) AS high FROM a""")
+def q_metric_intervals(spark, sf_dir):
+    from evenline.operators.inline import score_rows
+    c = ctx(spark, sf_dir)
+    labels = c.table("labels").select("doc_id", "quality", "toxic")
+    test = score_rows(c.docs.where(F.col("split") == "test"), {"": "text"}, c.model_set).select("doc_id", "lang", *[f"{t}_label" for t in TASKS]).join(labels, "doc_id", "left")
+    pairs = F.array(*[F.struct(F.lit(t).alias("task"), (F.col(lab).cast("string") == F.col(f"{t}_label")).cast("int").alias("v")) for t, lab in TASK_LABELS.items()])
+    return metrics.metric_intervals(test.select("doc_id", F.explode(pairs).alias("e")).select("doc_id", "e.*"), "doc_id", "v", ["task"])
+
+
 # --- scoring in the row: a map from the scan to the sink ------------------------------
 
 _H_RES = " ".join(f"LEFT JOIN h_{t}_res ON h_{t}_res.doc_id = sd.doc_id" for t in TASKS)
