@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenline.operators.metrics import EPS
@@ -61,3 +61,60 @@ def reliability(rows: DataFrame, chosen: DataFrame, held: str = "test", bins: in
     b = F.least(F.floor(F.round("conf", 9) * bins), F.lit(bins - 1)).cast("int")
     return on.groupBy("task", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("hit").cast("double")), 4).alias("accuracy"),
                                                   F.round(F.avg("conf"), 4).alias("confidence"))
+
+
+# --- isotonic calibration over mergeable bins ------------------------------------
+
+PSEUDO = 0.5  # rows of either outcome added to every pooled block, so that no probability is 0 or 1
+
+
+def pool_adjacent(bins: Sequence[tuple[int, int, int]]) -> list[tuple[int, float]]:
+    """``(first bin, probability)`` steps of the non-decreasing fit to ``(bin, positives, negatives)`` in order of bins:
+    neighbours whose shares fall are pooled. A block's probability counts ``PSEUDO`` more rows of either outcome; a
+    later block is never below an earlier one."""
+    blocks: list[list] = []
+    for b, pos, neg in sorted(bins):
+        if pos + neg == 0:
+            continue
+        blocks.append([b, pos, pos + neg])
+        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
+            _, p, n = blocks.pop()
+            blocks[-1][1] += p
+            blocks[-1][2] += n
+    out, top = [], 0.0
+    for b, p, n in blocks:
+        top = max(top, (p + PSEUDO) / (n + 2 * PSEUDO))
+        out.append((b, top))
+    return out
+
+
+def fit_isotonic(histogram: DataFrame, split: str = "validation", edge: int = 400) -> dict[str, list[float]]:
+    """Per task a probability for every bin from ``-edge`` to ``edge`` of :func:`evenline.operators.validation.score_histogram`,
+    fitted on one split. Bins below the first one with rows take its value, others that of the step they lie on. At most
+    ``2 * edge + 1`` rows a task reach the driver."""
+    rows: dict[str, list] = {}
+    for r in histogram.where(F.col("split") == split).collect():
+        rows.setdefault(r["task"], []).append((r["bin"], r["pos"], r["neg"]))
+    out = {}
+    for task, bins in rows.items():
+        steps = pool_adjacent(bins)
+        values, k = [], 0
+        for b in range(-edge, edge + 1):
+            while k + 1 < len(steps) and steps[k + 1][0] <= b:
+                k += 1
+            values.append(steps[k][1])
+        out[task] = values
+    return out
+
+
+def calibrated(score: Column, values: Sequence[float], width: float, edge: int = 400) -> Column:
+    """The fitted probability of a score, looked up in the row."""
+    at = F.greatest(F.lit(-edge), F.least(F.lit(edge), F.floor(F.round(score, 9) / F.lit(width)))).cast("int")
+    table = F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+    return F.when(score.isNotNull(), F.get(table, at + edge))
+
+
+def margin(logp: str) -> Column:
+    """How far the best class lies above the second."""
+    s = F.sort_array(F.col(logp), asc=False)
+    return F.when(F.size(s) > 1, F.get(s, F.lit(0)) - F.get(s, F.lit(1)))

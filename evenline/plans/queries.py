@@ -735,6 +735,95 @@ def q_threshold_report(spark, sf_dir):
     return threshold_report(_histogram(ctx(spark, sf_dir)))
 
 
+# --- isotonic calibration, used by the chart rows ------------------------------------------
+
+_CAL_SCORES = {"truth": ("truth_res.truth_s", "quality = 1"), "sentiment": ("sentiment_res.sentiment_s", "toxic = 1"), "bias": ("bias_m.m", "bias_res.bias_label = lang")}
+_BINS_SQL = f"""bias_m AS (SELECT doc_id, max(lp) FILTER (WHERE rk = 1) - max(lp) FILTER (WHERE rk = 2) AS m FROM bias_rk GROUP BY doc_id),
+cal_in AS (SELECT 'truth' AS task, {S.split3('lab.text')} AS split, lab.doc_id, quality = 1 AS y, truth_s AS s FROM lab JOIN truth_res r ON r.doc_id = lab.doc_id WHERE quality IS NOT NULL
+  UNION ALL SELECT 'sentiment', {S.split3('lab.text')}, lab.doc_id, toxic = 1, sentiment_s FROM lab JOIN sentiment_res r ON r.doc_id = lab.doc_id WHERE toxic IS NOT NULL
+  UNION ALL SELECT 'bias', {S.split3('sd.text')}, sd.doc_id, sd.lang = r.bias_label, m FROM sd JOIN bias_res r ON r.doc_id = sd.doc_id JOIN bias_m b ON b.doc_id = sd.doc_id WHERE sd.lang IS NOT NULL),
+cal_bin AS (SELECT *, CAST(greatest(-400, least(400, floor(round(s, 9) / 0.25))) AS INTEGER) AS bin FROM cal_in WHERE s IS NOT NULL),
+cal_h AS (SELECT task, bin, count(*) FILTER (WHERE y) AS pos, count(*) AS n FROM cal_bin WHERE split = 'validation' GROUP BY task, bin),
+cal_c AS (SELECT *, sum(pos) OVER w AS cp, sum(n) OVER w AS cn FROM cal_h WINDOW w AS (PARTITION BY task ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+cal_pair AS (SELECT i.task, i.bin, a.bin AS a, min((b.cp - a.cp + a.pos)::DOUBLE / (b.cn - a.cn + a.n)) AS m
+  FROM cal_c i JOIN cal_c a ON a.task = i.task AND a.bin <= i.bin JOIN cal_c b ON b.task = i.task AND b.bin >= i.bin GROUP BY i.task, i.bin, a.bin),
+cal_v AS (SELECT task, bin, round(max(m), 12) AS v FROM cal_pair GROUP BY task, bin),
+cal_blk AS (SELECT v.task, v.v, min(v.bin) AS lo, (sum(h.pos) + 0.5) / (sum(h.n) + 1.0) AS p FROM cal_v v JOIN cal_h h ON h.task = v.task AND h.bin = v.bin GROUP BY v.task, v.v),
+cal AS (SELECT task, lo, max(p) OVER (PARTITION BY task ORDER BY lo ROWS UNBOUNDED PRECEDING) AS p, lag(lo) OVER (PARTITION BY task ORDER BY lo) IS NULL AS first, lead(lo) OVER (PARTITION BY task ORDER BY lo) AS nxt FROM cal_blk)"""
+
+
+def _cal_specs() -> list[tuple[str, str, str, str]]:
+    return [("truth", "quality", "1", "truth_s"), ("sentiment", "toxic", "1", "sentiment_s"), ("bias", "bias_hit", "true", "bias_margin")]
+
+
+def _held_scores(c: Context) -> DataFrame:
+    """Validation and test rows with labels and the three scores that are calibrated: the logits of truth and sentiment,
+    and how far bias' best class leads (its outcome: the class is right)."""
+    from evenline.operators.calibration import margin
+    from evenline.operators.inline import score_rows
+    labels = c.table("labels").select("doc_id", "quality", "toxic")
+    held = holdout_split(documents(c.spark, c.sf_dir), "text", THREE_WAY).where("split in ('validation', 'test')")
+    scored = score_rows(held, {"": "text"}, c.model_set)
+    return scored.select("doc_id", "split", "truth_s", "sentiment_s", margin("bias_logp").alias("bias_margin"), (F.col("lang") == F.col("bias_label")).alias("bias_hit")).join(labels, "doc_id", "left")
+
+
+def isotonic(c: Context) -> dict[str, list[float]]:
+    from evenline.operators.calibration import fit_isotonic
+    from evenline.operators.validation import score_histogram
+    cached = getattr(c, "_isotonic", None)
+    if cached is None:
+        cached = c._isotonic = fit_isotonic(score_histogram(_held_scores(c), _cal_specs()))
+    return cached
+
+
+@query("isotonic_report", f"""WITH {S.nb_all()}, {_BINS_SQL},
+ev AS (SELECT x.task, x.y, x.s, c.p FROM cal_bin x JOIN cal c ON c.task = x.task AND (x.bin >= c.lo OR c.first) AND (c.nxt IS NULL OR x.bin < c.nxt) WHERE x.split = 'test')
+SELECT task, count(*) AS n, round(avg(-ln(greatest(1e-15, CASE WHEN y THEN 1 / (1 + exp(-s)) ELSE 1 / (1 + exp(s)) END))), 4) AS log_loss_raw,
+       round(avg(-ln(CASE WHEN y THEN p ELSE 1 - p END)), 4) AS log_loss_isotonic FROM ev GROUP BY task""")
+def q_isotonic_report(spark, sf_dir):
+    from evenline.operators.calibration import calibrated
+    from evenline.operators.validation import BIN
+    c = ctx(spark, sf_dir)
+    maps = isotonic(c)
+    test = _held_scores(c).where("split = 'test'")
+    items = [F.when(F.col(lab).isNotNull() & F.col(s).isNotNull(), F.struct(F.lit(t).alias("task"), (F.col(lab).cast("string") == F.lit(pos)).alias("y"), F.col(s).alias("s"),
+             calibrated(F.col(s), maps[t], BIN).alias("p"))) for t, lab, pos, s in _cal_specs() if t in maps]
+    rows = test.select(F.explode(F.array(*items)).alias("e")).where("e is not null").select("e.*")
+    raw = F.when(F.col("y"), 1 / (1 + F.exp(-F.col("s")))).otherwise(1 / (1 + F.exp(F.col("s"))))
+    return rows.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(-F.log(F.greatest(F.lit(1e-15), raw))), 4).alias("log_loss_raw"),
+                                    F.round(F.avg(-F.log(F.when(F.col("y"), F.col("p")).otherwise(1 - F.col("p")))), 4).alias("log_loss_isotonic"))
+
+
+_CAL_AXES = {"truth_probability": ("truth", "truth_res", "truth_s"), "emotional_intensity": ("sentiment", "sentiment_res", "sentiment_s"), "bias_degree": ("bias", "bias_mm", "bias_m")}
+
+
+def _calibrated_radar_sql() -> str:
+    parts = []
+    for p, pre in (("before", ""), ("after", "after_")):
+        for ax, (t, table, s) in _CAL_AXES.items():
+            parts.append(f"""SELECT rw.doc_id, '{p}' AS phase, '{ax}' AS axis, round(c.p, 4) AS value
+FROM rw LEFT JOIN {pre}{table} r ON r.doc_id = rw.doc_id LEFT JOIN cal c ON c.task = '{t}' AND r.{pre}{s} IS NOT NULL
+ AND (CAST(greatest(-400, least(400, floor(round(r.{pre}{s}, 9) / 0.25))) AS INTEGER) >= c.lo OR c.first)
+ AND (c.nxt IS NULL OR CAST(greatest(-400, least(400, floor(round(r.{pre}{s}, 9) / 0.25))) AS INTEGER) < c.nxt)""")
+    return f"""WITH {S.rescored()}, {_BINS_SQL},
+bias_mm AS (SELECT doc_id, m AS bias_m FROM bias_m),
+after_bias_mm AS (SELECT doc_id, max(lp) FILTER (WHERE rk = 1) - max(lp) FILTER (WHERE rk = 2) AS after_bias_m FROM after_bias_rk GROUP BY doc_id)
+{' UNION ALL '.join(parts)}"""
+
+
+@query("calibrated_radar", _calibrated_radar_sql())
+def q_calibrated_radar(spark, sf_dir):
+    """A29 on calibrated values: rewrite, both texts scored in the row, each axis read from its isotonic fit."""
+    from evenline.operators.calibration import calibrated, margin
+    from evenline.operators.inline import score_rows
+    from evenline.operators.validation import BIN
+    c = ctx(spark, sf_dir)
+    maps = isotonic(c)
+    r = score_rows(rewritten(spark, sf_dir).select("doc_id", "text", "neutral"), {"before": "text", "after": "neutral"}, c.model_set, reuse={"after": "before"})
+    values = [calibrated(margin(f"{p}_bias_logp") if t == "bias" else F.col(f"{p}_{t}_s"), maps[t], BIN).alias(f"{p}_{ax}") for p in cmp.PHASES for ax, (t, _, _) in _CAL_AXES.items()]
+    return cmp.radar_rows(r.select("doc_id", *values), "doc_id")
+
+
 # --- exact splits, quantiles, intervals ---------------------------------------------------
 
 EXACT_SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
