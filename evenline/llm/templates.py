@@ -1,12 +1,16 @@
 """Operator 2, benchmark decontamination by template canonicalisation.
 
-Words lose outer punctuation and case. Numbers, names (capitalised inside a
-sentence) and units (after a number, or glued to one) become typed
-placeholders; what they replaced is kept as slot values. Every ``width``-token
-window of a text is hashed twice: with placeholders, and as plain words.
-Document windows join benchmark windows on the hash, and a document holds an
-item when the matched windows cover ``min_coverage`` of the item's and the slots
-agree: each item value stands for one document value and the other way round.
+Words lose outer punctuation (any number of marks) and case. Numbers, names
+(capitalised inside a sentence) and units (after a number, or glued to one)
+become typed placeholders; what they replaced is kept as slot values. A
+capitalised word that opens a sentence may be either, so its windows are made
+both ways. Every ``width``-token window of a text is hashed as plain words and
+with placeholders; where it holds few plain words the latter grows, so that
+stretches of slots are met by longer windows (``MIN_WEIGHT``). Document windows
+join benchmark windows on the hash, and a document holds an item when the
+matched windows cover ``min_coverage`` of the item's, or of those places that a
+copy with other values can match at all, and the slots agree: each item value
+stands for one document value and the other way round.
 Slots are judged an occurrence: windows at one distance between document and
 item are one, and it is joined by others whose slots agree with its own. So
 several copies with different values don't hide each other, nor does an item
@@ -17,7 +21,8 @@ A bitmap of the benchmark's window hashes (fixed ``2 ** BITMAP_BITS`` bits)
 stops document windows that cannot join in the map, so what is shuffled follows
 the matches, whatever the benchmark's size; the join itself is Spark's.
 
-Null and blank texts and items match nothing. Items shorter than ``width``
+Null and blank texts and items match nothing; extra columns are not read; texts
+of any length are read whole. Items shorter than ``width``
 tokens are one window of their own length, if they have ``min_tokens``. Repeated
 items are items of their own; rows that share a ``doc_id`` are one document.
 """
@@ -35,7 +40,8 @@ from evenline.session import ship_package
 
 WIDTH = 8
 MIN_TOKENS = 4
-MIN_LITERALS = 4      # plain words that a template window must keep
+MIN_LITERALS = 4      # plain words that a template of a whole short item must keep
+MIN_WEIGHT = 20       # 4 a plain word, 1 a slot: what a template window must weigh
 MIN_COVERAGE = 0.4
 BITMAP_BITS = 26
 MAX_BROADCAST_IDS = 1_000_000
@@ -55,6 +61,9 @@ _UPPER[ord("A"):ord("Z") + 1] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?\n"]] = True
 NUM, NAME, UNIT = 1, 2, 3
+#: How a window can match: a template with words that open sentences as words or as names; plain words without slots; plain
+#: words with slots, which a re-parameterised copy changes.
+AS_WORDS, AS_NAMES, ONLY_WORDS, VERBATIM = range(4)
 
 
 def _hash_list(words: list[str]) -> np.ndarray:
@@ -63,27 +72,21 @@ def _hash_list(words: list[str]) -> np.ndarray:
 
 
 def tokens(b) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``plain, kind, doc, template`` of the block's tokens: hash of the folded
-    word, 0 or its placeholder, its document, and the hash used in templates."""
+    """``plain, kind, doc, maybe`` of the block's tokens: hash of the folded word, 0 or
+    its placeholder, its document, and whether it may be a name that opens a sentence."""
     raw = b.data
     high = np.concatenate(([False], raw[:-1] == 0xC3)) & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)  # capital letters of Latin-1 in UTF-8
     s, e = b.start.copy(), b.end.copy()
-    for _ in range(64):  # marks at either end
-        cut = (s < e) & _PUNCT[raw[np.minimum(s, len(raw) - 1)]]
-        if not cut.any():
-            break
-        s += cut
-    for _ in range(64):
-        cut = (s < e) & _PUNCT[raw[np.maximum(e - 1, 0)]]
-        if not cut.any():
-            break
-        e -= cut
+    signs = np.append(np.flatnonzero(~_PUNCT[raw]), len(raw))  # marks at either end go, however many
+    s = np.minimum(signs[np.searchsorted(signs, s)], e)
+    before = np.searchsorted(signs, e) - 1  # none before a ruler that opens the block
+    e = np.maximum(np.where(before >= 0, signs[np.maximum(before, 0)] + 1, 0), s)
     stops = np.concatenate(([0], np.cumsum(_STOP[raw])))
     keep = np.flatnonzero(s < e)
     s, e, doc = s[keep], e[keep], b.doc[keep]
     if not len(s):
         z = np.zeros(0, np.uint64)
-        return z, np.zeros(0, np.int8), doc, z
+        return z, np.zeros(0, np.int8), doc, np.zeros(0, bool)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[raw])))
     marks = np.concatenate(([0], np.cumsum(_PUNCT[raw])))
     n_digits, n_marks = digits[e] - digits[s], marks[e] - marks[s]
@@ -97,51 +100,89 @@ def tokens(b) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     after = np.concatenate(([False], number[:-1] & (doc[1:] == doc[:-1])))
     unit = after & np.isin(plain, _LISTS[1])
     kind = np.where(number, NUM, np.where(unit | glued, UNIT, np.where(capital & ~opens, NAME, 0))).astype(np.int8)
-    template = np.where(kind > 0, mix64(kind.astype(np.uint64) + np.uint64(0x5107)), plain)
-    return plain, kind, doc, template
+    return plain, kind, doc, capital & opens & (kind == 0)
 
 
 _LISTS = (_hash_list(NUMBERS), _hash_list(UNITS))
 
 
-def _windows(b, widths: list[int], main: int, only_short: bool):
-    """``hash, doc, first token of the document, slots`` of the block's windows.
-    ``only_short``: other widths only for texts of exactly that many tokens."""
-    plain, kind, doc, template = tokens(b)
-    counts = np.bincount(doc, minlength=b.n_docs) if len(doc) else np.zeros(b.n_docs, np.int64)
-    lead = np.cumsum(counts) - counts
-    free = np.concatenate(([0], np.cumsum(kind == 0)))
+def _span_hashes(x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Order-sensitive hash of ``x[start:end]`` for spans of any length."""
+    p, q = np.full(len(x) + 1, _ODD, np.uint64), np.full(len(x) + 1, pow(_ODD, -1, 1 << 64), np.uint64)
+    p[0] = q[0] = 1
+    p, q = np.cumprod(p), np.cumprod(q)  # wrap modulo 2**64
+    c = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * p[:-1])))
+    return mix64((c[end] - c[start]) * q[start] ^ (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _windows(toks: tuple, n_docs: int, widths: list[int], main: int, only_short: bool):
+    """Windows of the block: ``first, end`` token, hash, the kinds whose words are slots (None: a plain window), and how
+    the window can match (see ``AS_WORDS``).
+
+    A template window of the main width grows until it weighs ``MIN_WEIGHT``: a plain word counts 4, a slot 1, so eight
+    tokens with four plain words are enough, and a stretch of slots alone takes twenty. It is made with the capitalised
+    words that open sentences as words, and once more with them as names."""
+    plain, kind, doc, maybe = toks
+    counts = np.bincount(doc, minlength=n_docs) if len(doc) else np.zeros(n_docs, np.int64)
+    last = np.cumsum(counts)[doc] if len(doc) else doc
+    slots = np.concatenate(([0], np.cumsum(kind > 0)))
+    unsure = np.concatenate(([0], np.cumsum(maybe)))
     for width in widths:
-        n = len(doc) - width + 1
-        if n <= 0:
-            continue
-        ok = doc[:n] == doc[width - 1:]
+        first = np.arange(max(0, len(doc) - width + 1))
+        ok = first + width <= last[first]
         if width != main and only_short:
-            ok &= counts[doc[:n]] == width
+            ok &= counts[doc[first]] == width
+        first = first[ok]
+        if not len(first):
+            continue
         salt = np.uint64(width * 0x9E37)
-        has_slot = free[width:] - free[:-width] < width
-        literal = free[width:] - free[:-width] >= min(MIN_LITERALS, width)
-        yield width, np.flatnonzero(ok), rolling(plain, width, _ODD) ^ salt, plain, kind, doc, lead, np.zeros(n, bool)
-        yield width, np.flatnonzero(ok & has_slot & literal), mix64(rolling(template, width, _ODD) ^ salt), plain, kind, doc, lead, has_slot
+        plain_hash = (rolling(plain, width, _ODD) ^ salt)[first]
+        bare = slots[first + width] == slots[first]
+        yield first[bare], first[bare] + width, plain_hash[bare], None, ONLY_WORDS
+        yield first[~bare], first[~bare] + width, plain_hash[~bare], None, VERBATIM
+        for how in (AS_WORDS, AS_NAMES):
+            k = kind if how == AS_WORDS else np.where(maybe, NAME, kind)
+            weight = np.concatenate(([0], np.cumsum(np.where(k > 0, 1, 4))))
+            free = np.concatenate(([0], np.cumsum(k == 0)))
+            at = first
+            if width == main:
+                end = np.maximum(at + width, np.searchsorted(weight, weight[at] + MIN_WEIGHT))
+            else:
+                end = at + width
+            good = end <= last[at]
+            at, end = at[good], end[good]
+            has = free[end] - free[at] < end - at
+            if width != main:
+                has &= free[end] - free[at] >= min(MIN_LITERALS, width)
+            if how == AS_NAMES:
+                has &= unsure[end] > unsure[at]
+            at, end = at[has], end[has]
+            template = np.where(k > 0, mix64(k.astype(np.uint64) + np.uint64(0x5107)), plain)
+            yield at, end, _span_hashes(template, at, end), k, how
 
 
 def _rows(key: str, widths: list[int], main: int, only_short: bool, bitmap=None):
-    names = ["h", key, "row", "pos", "slots"]
+    names = ["h", key, "row", "pos", "how", "slots"]
 
     def run(batches):
         bits = bitmap.value if bitmap is not None else None
         for batch in batches:
             ids, rows = batch.column(key), batch.column("row")
             for b in blocks(batch.column("text")):
-                for width, at, h, plain, kind, doc, lead, slotted in _windows(b, widths, main, only_short):
+                toks = tokens(b)
+                plain, doc = toks[0], toks[2]
+                counts = np.bincount(doc, minlength=b.n_docs) if len(doc) else np.zeros(b.n_docs, np.int64)
+                lead = np.cumsum(counts) - counts
+                for at, end, h, kind, how in _windows(toks, b.n_docs, widths, main, only_short):
                     if bits is not None:
-                        cell = (h[at] >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                        at = at[(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1]
+                        cell = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                        hit = (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
+                        at, end, h = at[hit], end[hit], h[hit]
                     if not len(at):
                         continue
-                    slots = [plain[i:i + width][kind[i:i + width] > 0].view(np.int64).tolist() if slotted[i] else [] for i in at.tolist()]
+                    slots = [plain[i:j][kind[i:j] > 0].view(np.int64).tolist() if kind is not None else [] for i, j in zip(at.tolist(), end.tolist())]
                     own = pa.array(b.first + doc[at])
-                    yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), ids.take(own), rows.take(own), pa.array(at - lead[doc[at]]), pa.array(slots, pa.list_(pa.int64()))], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids.take(own), rows.take(own), pa.array(at - lead[doc[at]]), pa.array(np.full(len(at), how, np.int32)), pa.array(slots, pa.list_(pa.int64()))], names)
     return run
 
 
@@ -186,8 +227,10 @@ def _agreeing(min_coverage: float):
                         there.update(slots)
                         back.update((d, i) for i, d in slots)
                         got |= at
-                    if len(got) / r["windows"] >= min_coverage:
-                        out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "matched": len(got), "windows": r["windows"], "coverage": len(got) / r["windows"],
+                    can = r["can"]
+                    coverage = max(len(got) / r["windows"], len(got.intersection(can)) / len(can) if can else 0.0)
+                    if coverage >= min_coverage:
+                        out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "matched": len(got), "windows": r["windows"], "coverage": coverage,
                                     "slots": len(there), "changed": sum(i != d for i, d in there.items())})
                         break
             yield pa.RecordBatch.from_pylist(out, _FOUND)
@@ -206,20 +249,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
     items = benchmark.select(F.col("item_id").cast("long"), "text", F.lit(0).cast("long").alias("row")).where("item_id is not null and text is not null")
     short = [r["n"] for r in items.mapInArrow(_lengths, "item_id long, n long").where((F.col("n") < width) & (F.col("n") >= min_tokens)).select("n").distinct().collect()]
     widths = [width, *sorted(short)]
-    schema = "h long, {} long, row long, pos long, slots array<long>"
+    schema = "h long, {} long, row long, pos long, how int, slots array<long>"
     bench = spool(items.mapInArrow(_rows("item_id", widths, width, True), schema.format("item_id")), "benchmark")
-    size = bench.groupBy("item_id").agg(F.countDistinct("pos").alias("windows"))
+    # places where a re-parameterised copy can match are a measure of their own: others need the item's own values
+    size = bench.groupBy("item_id").agg(F.countDistinct("pos").alias("windows"), F.collect_set(F.when(F.col("how") != VERBATIM, F.col("pos"))).alias("can"))
     held = spark.sparkContext.broadcast(_bitmap(bench))
     hits = docs.mapInArrow(_rows("doc_id", widths, width, False, held), schema.format("doc_id"))
     pairs = hits.alias("d").join(bench.alias("b"), (F.col("d.h") == F.col("b.h")) & (F.size("d.slots") == F.size("b.slots")))
-    pairs = pairs.select("d.doc_id", "b.item_id", "d.row", (F.col("d.pos") - F.col("b.pos")).alias("shift"), "b.pos", F.arrays_zip(F.col("b.slots").alias("item"), F.col("d.slots").alias("doc")).alias("slots"))
-    units = pairs.groupBy("doc_id", "item_id", "row", "shift").agg(F.collect_set("pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
+    pairs = pairs.select("d.doc_id", "b.item_id", "d.row", (F.col("d.pos") - F.col("b.pos")).alias("shift"), "b.pos", (F.col("d.how") == AS_NAMES).alias("as_doc"), (F.col("b.how") == AS_NAMES).alias("as_item"), F.arrays_zip(F.col("b.slots").alias("item"), F.col("d.slots").alias("doc")).alias("slots"))
+    # plain windows stand or fall with the slots of their occurrence; names that open sentences are judged apart
+    units = pairs.groupBy("doc_id", "item_id", "row", "shift", "as_doc", "as_item").agg(F.collect_set("pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
     items_n = F.size(F.array_distinct(F.transform("slots", lambda x: x["item"])))
     docs_n = F.size(F.array_distinct(F.transform("slots", lambda x: x["doc"])))
     units = units.where((F.size("slots") == items_n) & (F.size("slots") == docs_n))
     both = units.groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("at", "slots")).alias("units")).join(size, "item_id")
-    both = both.where(F.size(F.array_distinct(F.flatten("units.at"))) / F.col("windows") >= min_coverage)
-    found = both.select("doc_id", "item_id", "windows", "units").mapInArrow(_agreeing(min_coverage), "doc_id long, item_id long, matched long, windows long, coverage double, slots int, changed int")
+    some = F.least(F.col("windows"), F.greatest(F.size("can"), F.lit(1)))
+    both = both.where(F.size(F.array_distinct(F.flatten("units.at"))) / some >= min_coverage)
+    found = both.select("doc_id", "item_id", "windows", "can", "units").mapInArrow(_agreeing(min_coverage), "doc_id long, item_id long, matched long, windows long, coverage double, slots int, changed int")
     return found.withColumn("kind", F.when(F.col("changed") > 0, "reparameterised").otherwise("copy"))
 
 
