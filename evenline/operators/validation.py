@@ -162,12 +162,12 @@ def roc_curve(histogram: DataFrame) -> DataFrame:
 
 
 def threshold_report(histogram: DataFrame, fit: str = "validation", held: str = "test", width: float = BIN) -> DataFrame:
-    """Per task: the area under the ROC curve on ``held`` (rows of one bin count half), the score at and above which a row
+    """Per task: the area under the ROC curve on ``held`` (rows of one bin count half; null without rows of both kinds), the score at and above which a row
     is called positive (best accuracy on ``fit``; the higher cut on a tie), the accuracy of that cut and of calling
     everything by the majority of ``fit``, both on ``held``, and whether the cut reaches it."""
     roc = roc_curve(histogram)
     area = roc.where(F.col("split") == held).groupBy("task").agg(
-        F.round(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)) / (F.max("n_pos") * F.max("n_neg")), 4).alias("auc"), F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"))
+        F.round(F.try_divide(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)), F.max("n_pos") * F.max("n_neg")), 4).alias("auc"), F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"))
     # calling nothing positive is a cut too: above every bin
     cuts = roc.where(F.col("split") == fit).select("task", "bin", (F.col("tp") + F.col("n_neg") - F.col("fp")).alias("right"))
     none = roc.where(F.col("split") == fit).groupBy("task").agg((F.max("bin") + 1).alias("bin"), F.max("n_neg").alias("right"))

@@ -92,6 +92,12 @@ def test_thresholds_against_every_cut(spark):
     assert merged.exceptAll(h).count() == 0 and h.exceptAll(merged).count() == 0, "histograms of parts add up"
 
 
+def test_thresholds_without_positives(spark):
+    df = spark.createDataFrame([("validation", "0", 1.0), ("test", "0", 2.0), ("test", "0", -1.0)], "split string, y string, s double")
+    r = V.threshold_report(V.score_histogram(df, [("t", "y", "1", "s")])).first()
+    assert r["auc"] is None and (r["n"], r["majority_accuracy"]) == (2, 1.0)
+
+
 def test_chosen_models_are_the_chosen(spark):
     from evenline.plans.context import Context
     c = Context.get(spark, SF)
