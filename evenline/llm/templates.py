@@ -44,6 +44,7 @@ MIN_LITERALS = 4      # plain words that a template of a whole short item must k
 MIN_WEIGHT = 20       # 4 a plain word, 1 a slot: what a template window must weigh
 MIN_COVERAGE = 0.4
 BITMAP_BITS = 26
+BLOCK_BYTES = 1 << 20  # text whose windows are made at once
 MAX_BROADCAST_IDS = 1_000_000
 _ODD = 0xAEF17502108EF2D9
 
@@ -168,7 +169,7 @@ def _rows(key: str, widths: list[int], main: int, only_short: bool, bitmap=None)
         bits = bitmap.value if bitmap is not None else None
         for batch in batches:
             ids, rows = batch.column(key), batch.column("row")
-            for b in blocks(batch.column("text")):
+            for b in blocks(batch.column("text"), block_bytes=BLOCK_BYTES):
                 toks = tokens(b)
                 plain, doc = toks[0], toks[2]
                 counts = np.bincount(doc, minlength=b.n_docs) if len(doc) else np.zeros(b.n_docs, np.int64)
