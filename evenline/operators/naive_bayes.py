@@ -18,16 +18,17 @@ computed once, survives executor loss, and has a known size before anyone
 decides to broadcast it.
 
 Scoring explodes each row's distinct tokens once for all texts and models,
-joins the weights, and sums per row key. Weights are broadcast only when the
-checked row count is under ``max_broadcast``; beyond that the join is a
-shuffle join salted by a hash of the row key (deterministic, so retries give
-the same partitioning) against weights replicated per salt.
+joins the weights, and sums per row key (:func:`summed`). Weights are broadcast
+when the checked row count is under ``max_broadcast``; beyond that the most
+frequent terms are, which most tokens are and which are summed where the row is,
+and only tokens of rare terms are shuffled to their weights. A rare term has few
+tokens, so no task is hot.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -35,11 +36,43 @@ from pyspark.sql import functions as F
 
 from evenline.functions.text import distinct_tokens, is_blank
 from evenline.guards import KEY_BYTES, MAX_BROADCAST_BYTES, MAX_CLASSES, bounded_collect
-from evenline.session import ensure_checkpoint_dir
+from evenline.session import ensure_checkpoint_dir, written
 
 MIN_DF = 5
 ALPHA = 1.0
-SALT_BUCKETS = 32
+SALT_BUCKETS = 1  # parts that the tokens of a rare term are dealt to, each with its own copy of the weights
+
+
+def frequent_part(weights: DataFrame, cols: Sequence[str], n_weights: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """``weights`` (logs of relative frequencies) in two parts: about ``most`` rows of the terms that are the most
+    frequent in some class, and the others. Written first: their expressions would be planned again in every filter."""
+    top = F.greatest(*cols) if len(cols) > 1 else F.col(cols[0])
+    weights = written(weights.withColumn("_top", top), "weights")
+    at = weights.agg(F.percentile_approx("_top", max(0.0, 1 - most / n_weights)).alias("at")).first()["at"]
+    at = math.inf if at is None else float(at)
+    return weights.where(F.col("_top") > F.lit(at)).drop("_top"), weights.where(F.col("_top") <= F.lit(at)).drop("_top")
+
+
+def summed(rows: DataFrame, key: str, carry: Sequence[str], spread: Callable[[DataFrame, Callable], DataFrame], on: Sequence[str], weights: DataFrame,
+           cols: Sequence[str], aggs: Mapping[str, Column], n_weights: int, row_bytes: int, max_broadcast: int = MAX_BROADCAST_BYTES,
+           salt_buckets: int = SALT_BUCKETS, fixed: bool = False) -> DataFrame:
+    """``key``, ``carry`` and the sums ``aggs`` (0 without terms) per row of ``rows``, over the ``weights`` of its terms.
+
+    ``spread`` makes a row per term, with the columns ``on``, by the given explode function; ``n_weights`` bounds the rows
+    of ``weights``, of ``row_bytes`` each. If they are more than ``max_broadcast``, half of that goes to the most frequent
+    terms; unless its keys are ``fixed``, ``rows`` is written first, so that both parts see the same ones."""
+    if n_weights * row_bytes <= max_broadcast:
+        return spread(rows, F.explode_outer).join(F.broadcast(weights), on, "left").groupBy(key, *carry).agg(*[F.coalesce(a, F.lit(0.0)).alias(n) for n, a in aggs.items()])
+    rows = rows if fixed else written(rows, "terms")
+    frequent, rare = frequent_part(weights, cols, n_weights, max_broadcast // 2 // row_bytes)
+    sums = spread(rows, F.explode_outer).join(F.broadcast(frequent), on, "left").groupBy(key, *carry).agg(*[F.coalesce(a, F.lit(0.0)).alias(n) for n, a in aggs.items()])
+    others = spread(rows, F.explode).join(F.broadcast(frequent.select(*on)), on, "left_anti").drop(*carry)
+    if salt_buckets > 1:
+        on = [*on, "_salt"]
+        others = others.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salt_buckets)).cast("int"))
+        rare = rare.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    more = others.join(rare.hint("shuffle_hash"), on).groupBy(key).agg(*[F.coalesce(a, F.lit(0.0)).alias(f"{n}_rare") for n, a in aggs.items()])
+    return sums.join(more, key, "left").select(key, *carry, *[(F.col(n) + F.coalesce(f"{n}_rare", F.lit(0.0))).alias(n) for n in aggs])
 
 
 @dataclass
@@ -64,10 +97,10 @@ class NBModel:
 
 def fit_nb(train: DataFrame, name: str, text_col: str = "text", label_col: str = "label",
            min_df: int = MIN_DF, alpha: float = ALPHA, temperature: float = 1.0,
-           max_classes: int = MAX_CLASSES) -> NBModel:
+           max_classes: int = MAX_CLASSES, tokenised: bool = False) -> NBModel:
     """Fit on ``train`` (already restricted to the training split)."""
     return fit_nb_variants(train, [(name, None, min_df)], text_col, label_col, alpha, temperature,
-                           max_classes)[name]
+                           max_classes, tokenised)[name]
 
 
 def _any(conds: Sequence[Column]) -> Column:
@@ -79,7 +112,7 @@ def _any(conds: Sequence[Column]) -> Column:
 
 def fit_nb_variants(train: DataFrame, variants: Sequence[tuple],
                     text_col: str = "text", label_col: str = "label", alpha: float = ALPHA,
-                    temperature: float = 1.0, max_classes: int = MAX_CLASSES) -> dict[str, NBModel]:
+                    temperature: float = 1.0, max_classes: int = MAX_CLASSES, tokenised: bool = False) -> dict[str, NBModel]:
     """Several models from one pass over ``train``: each variant is
     ``(name, row subset or None for all rows, min_df[, label column])``.
 
@@ -90,7 +123,8 @@ def fit_nb_variants(train: DataFrame, variants: Sequence[tuple],
     ``min_df`` candidates (A12) and the three task models (different label
     columns over the same documents) each cost one aggregation, not one per model.
     A variant's classes are its label's values over all train rows; a class
-    absent from its subset gets a -inf prior (probability 0).
+    absent from its subset gets a -inf prior (probability 0). With ``tokenised``
+    the text column holds the distinct tokens instead (null for a blank text).
     """
     specs = []
     for v in variants:
@@ -98,9 +132,10 @@ def fit_nb_variants(train: DataFrame, variants: Sequence[tuple],
         lab = v[3] if len(v) > 3 else label_col
         specs.append((name, F.lit(True) if sub is None else sub, md, lab))
     nv = len(specs)
-    ok = [(~is_blank(text_col) & F.col(lab).isNotNull()) for _, _, _, lab in specs]
+    blank = F.col(text_col).isNull() if tokenised else is_blank(text_col)
+    ok = [(~blank & F.col(lab).isNotNull()) for _, _, _, lab in specs]
     docs = (train.where(_any(ok))
-                 .select(distinct_tokens(text_col).alias("_t"),
+                 .select((F.col(text_col) if tokenised else distinct_tokens(text_col)).alias("_t"),
                          *[F.col(lab).cast("string").alias(f"_y{v}") for v, (_, _, _, lab) in enumerate(specs)],
                          *[o.alias(f"_ok{v}") for v, o in enumerate(ok)],
                          *[(o & sub).alias(f"_in{v}") for v, (o, (_, sub, _, _)) in enumerate(zip(ok, specs))]))
@@ -186,11 +221,14 @@ class ModelSet(Sequence):
             self._weights = w
         return self._weights
 
+    @property
+    def row_bytes(self) -> int:
+        return 8 * sum(m.k for m in self.models) + KEY_BYTES
+
     @property
     def broadcast_bytes(self) -> int:
         """Upper estimate of the table in memory: rows times columns and key."""
-        rows = sum(m.n_terms for m in self.models)
-        return rows * (8 * sum(m.k for m in self.models) + KEY_BYTES)
+        return sum(m.n_terms for m in self.models) * self.row_bytes
 
 
 @dataclass
@@ -236,25 +274,22 @@ def nb_scores_grouped(df: DataFrame, key: str, group: str, model: GroupedNB, nam
     """Every row by its own group's model: one explode, one equi-join on
     (group, term), one aggregate, whatever the number of groups. Blank texts and
     rows of a group without a model get nulls."""
-    ex = (df.select(F.monotonically_increasing_id().alias("_rid"), key, group, is_blank(text_col).alias("_blank"), distinct_tokens(text_col).alias("_t"))
-            .select("_rid", key, group, "_blank", F.col(group).alias("_g"), F.explode_outer("_t").alias("term")))
-    w = model.weights
-    if model.broadcast_bytes <= max_broadcast:
-        joined = ex.join(F.broadcast(w), ["_g", "term"], "left")
-    else:
-        ex = ex.withColumn("_salt", F.pmod(F.xxhash64("_rid"), F.lit(salt_buckets)).cast("int"))
-        joined = ex.join(w.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))), ["_g", "term", "_salt"], "left")
+    rows = df.select(F.monotonically_increasing_id().alias("_rid"), key, group, is_blank(text_col).alias("_blank"), distinct_tokens(text_col).alias("_t"))
+
+    def spread(rows: DataFrame, explode: Callable) -> DataFrame:
+        return rows.select("_rid", key, group, "_blank", F.col(group).alias("_g"), explode("_t").alias("term"))
     k = range(len(model.classes))
-    g = joined.groupBy("_rid", key, group, "_blank").agg(*[F.sum(f"w{i}").alias(f"_s{i}") for i in k])
+    g = summed(rows, "_rid", (key, group, "_blank"), spread, ["_g", "term"], model.weights, [f"w{i}" for i in k], {f"_s{i}": F.sum(f"w{i}") for i in k},
+               model.n_weights, 8 * len(model.classes) + 2 * KEY_BYTES, max_broadcast, salt_buckets)
     g = g.join(model.priors.withColumn("_has", F.lit(True)), F.col(group) == F.col("_g"), "left")
-    logp = F.array(*[F.when(F.col(f"lp{i}").isNotNull(), F.col(f"lp{i}") + F.coalesce(f"_s{i}", F.lit(0.0))).otherwise(F.lit(float("-inf"))) for i in k])
+    logp = F.array(*[F.when(F.col(f"lp{i}").isNotNull(), F.col(f"lp{i}") + F.col(f"_s{i}")).otherwise(F.lit(float("-inf"))) for i in k])
     out = g.select(key, group, F.when(~F.col("_blank") & F.col("_has"), logp).alias(f"{name}_logp"))
     return finish(out, name, model.classes)
 
 
 def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequence[NBModel],
               carry: Sequence[str] = (), max_broadcast: int = MAX_BROADCAST_BYTES,
-              salt_buckets: int = SALT_BUCKETS, reuse: Mapping[str, str] | None = None) -> DataFrame:
+              salt_buckets: int = SALT_BUCKETS, reuse: Mapping[str, str] | None = None, tokenised: bool = False) -> DataFrame:
     """Scores of every model on every text column, one row per input row.
 
     Rows are told apart by an id made before the explode, so rows that share a
@@ -270,6 +305,8 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
     ``reuse`` maps a tag to an earlier tag whose text is often identical (the
     rewrite to its original): rows where the two texts are equal do not explode
     the second text again and take the first text's sums.
+
+    With ``tokenised`` the columns of ``texts`` hold the distinct tokens instead (null for a blank text).
     """
     models = models if isinstance(models, ModelSet) else ModelSet(models)
     tags = list(texts)
@@ -283,32 +320,24 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
 
     def toks(i: int) -> Column:
         e = same(i)
-        d = F.coalesce(distinct_tokens(texts[tags[i]]), F.array().cast("array<string>"))  # a null text takes none of the others' tokens
+        d = F.coalesce(F.col(texts[tags[i]]) if tokenised else distinct_tokens(texts[tags[i]]), F.array().cast("array<string>"))  # a null text takes none of the others' tokens
         return d if e is None else F.when(e, F.array().cast("array<string>")).otherwise(d)
 
     def tag(i: int):
         # a one-argument lambda: PySpark passes (element, index) to two-argument ones
         return lambda w: F.struct(F.lit(i).alias("src"), w.alias("term"))
     tagged = F.concat(*[F.transform(toks(i), tag(i)) for i in range(len(tags))])
-    blanks = [is_blank(texts[t]).alias(f"_blank{i}") for i, t in enumerate(tags)]
+    blanks = [(F.col(texts[t]).isNull() if tokenised else is_blank(texts[t])).alias(f"_blank{i}") for i, t in enumerate(tags)]
     sames = [(same(i) if same(i) is not None else F.lit(False)).alias(f"_same{i}") for i in range(len(tags))]
     flags = [f"_blank{i}" for i in range(len(tags))] + [f"_same{i}" for i in range(len(tags))]
-    ex = (df.select(F.monotonically_increasing_id().alias("_rid"), key, *carry, *blanks, *sames, tagged.alias("_all"))
-            .select("_rid", key, *carry, *flags, F.explode_outer("_all").alias("_x"))
-            .select("_rid", key, *carry, *flags, "_x.src", "_x.term"))
-    w = models.weights
-    if models.broadcast_bytes <= max_broadcast:
-        joined = ex.join(F.broadcast(w), "term", "left")
-    else:
-        ex = ex.withColumn("_salt", F.pmod(F.xxhash64("_rid"), F.lit(salt_buckets)).cast("int"))
-        w = w.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        joined = ex.join(w, ["term", "_salt"], "left")
-    aggs = []
-    for i in range(len(tags)):
-        for j, m in enumerate(models):
-            for c in range(m.k):
-                aggs.append(F.sum(F.when(F.col("src") == i, F.col(f"_m{j}_w{c}"))).alias(f"_s{i}_{j}_{c}"))
-    g = joined.groupBy("_rid", key, *carry, *flags).agg(*aggs)
+    rows = df.select(F.monotonically_increasing_id().alias("_rid"), key, *carry, *blanks, *sames, tagged.alias("_all"))
+
+    def spread(rows: DataFrame, explode: Callable) -> DataFrame:
+        return (rows.select("_rid", key, *carry, *flags, explode("_all").alias("_x"))
+                    .select("_rid", key, *carry, *flags, "_x.src", "_x.term"))
+    aggs = {f"_s{i}_{j}_{c}": F.sum(F.when(F.col("src") == i, F.col(f"_m{j}_w{c}"))) for i in range(len(tags)) for j, m in enumerate(models) for c in range(m.k)}
+    g = summed(rows, "_rid", (key, *carry, *flags), spread, ["term"], models.weights, [f"_m{j}_w{c}" for j, m in enumerate(models) for c in range(m.k)], aggs,
+               sum(m.n_terms for m in models), models.row_bytes, max_broadcast, salt_buckets)
     out_cols: list[Column] = [F.col(key)] + [F.col(c) for c in carry]
     for i, t in enumerate(tags):
         for j, m in enumerate(models):
@@ -316,7 +345,7 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
             src = tags.index(reuse[t]) if t in reuse else i
 
             def sums(k: int, c: int, j: int = j) -> Column:
-                return F.coalesce(F.col(f"_s{k}_{j}_{c}"), F.lit(0.0))
+                return F.col(f"_s{k}_{j}_{c}")
             logp = F.array(*[F.lit(m.priors[c]) + (sums(i, c) if src == i else
                                                    F.when(F.col(f"_same{i}"), sums(src, c)).otherwise(sums(i, c)))
                              for c in range(m.k)])

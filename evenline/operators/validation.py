@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from evenline.functions.text import distinct_tokens, is_blank
 from evenline.guards import KEY_BYTES, MAX_BROADCAST_BYTES, MAX_CLASSES, bounded_collect
-from evenline.operators.naive_bayes import ALPHA, SALT_BUCKETS
-from evenline.session import ensure_checkpoint_dir
+from evenline.operators.naive_bayes import ALPHA, summed
+from evenline.session import ensure_checkpoint_dir, written
 
 FOLDS = 5
 MIN_DFS = (5, 3)
@@ -44,8 +44,10 @@ def fold_predictions(train: DataFrame, labels: Mapping[str, str], fold: Column,
 
     ``fold`` is a whole number in ``[0, folds)``, equal for equal texts; blank texts and null labels take no part."""
     tasks = list(labels)
+    # read for the counts and for the scores: tokens are found once, row numbers stay
     rows = train.where(~is_blank(text)).select(F.monotonically_increasing_id().alias("row"), fold.cast("int").alias("fold"), distinct_tokens(text).alias("t"),
                                                *[F.col(labels[t]).cast("string").alias(f"y{j}") for j, t in enumerate(tasks)])
+    rows = written(rows, "fold-rows")
     pairs = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"y{j}").alias("y")) for j in range(len(tasks))]))
     got = bounded_collect(rows.select("fold", pairs.alias("e")).where("e.y is not null").groupBy("fold", "e.j", "e.y").count(), MAX_CLASSES * folds * len(tasks))
     if got is None:
@@ -82,14 +84,12 @@ def fold_predictions(train: DataFrame, labels: Mapping[str, str], fold: Column,
         params[tasks[j], f"nb_df{m}"] = (totals[folds][f"v{j}_{m}"] + 1) * len(classes[j]) if folds in totals else len(classes[j])
     weights = left.where(F.col("fold") < folds).select("fold", "term", *cols)
     n_rows = sum(max(r[f"v{j}_{m}"] for j, m in kept) for f, r in totals.items() if f < folds)
-    ex = rows.select("row", "fold", *[f"y{j}" for j in range(len(tasks))], F.explode_outer("t").alias("term"))
-    if n_rows * (8 * len(cols) + 2 * KEY_BYTES) <= max_broadcast:
-        joined = ex.join(F.broadcast(weights), ["fold", "term"], "left")
-    else:
-        ex = ex.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT_BUCKETS)).cast("int"))
-        joined = ex.join(weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1)))), ["fold", "term", "salt"], "left")
     names = [f"w{j}_{m}_{c}" for j, m in kept for c in range(len(classes[j]))]
-    sums = joined.groupBy("row", "fold", *[f"y{j}" for j in range(len(tasks))]).agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names])
+    ys = [f"y{j}" for j in range(len(tasks))]
+    # ``fold`` is a key of the weights and not dropped with the carried columns, so a row of it comes back under its own name
+    rows = rows.withColumn("own", F.col("fold"))
+    sums = summed(rows, "row", ("own", *ys), lambda d, explode: d.select("row", "own", *ys, "fold", explode("t").alias("term")), ["fold", "term"], weights, names,
+                  {n: F.sum(n) for n in names}, n_rows, 8 * len(names) + 2 * KEY_BYTES, max_broadcast, fixed=True).withColumnRenamed("own", "fold")
 
     items = []
     for j, t in enumerate(tasks):
