@@ -23,9 +23,9 @@ TAU_NEAR = 0.55
 
 
 def score(df: DataFrame, model: NBModel, key: str, text_col: str = "text",
-          carry: Sequence[str] = ()) -> DataFrame:
+          carry: Sequence[str] = (), tokenised: bool = False) -> DataFrame:
     """Label + confidence (+ class probabilities) of one model per row."""
-    return nb_scores(df, key, {"": text_col}, [model], carry)
+    return nb_scores(df, key, {"": text_col}, [model], carry, tokenised=tokenised)
 
 
 def analyse(df: DataFrame, models: Sequence[NBModel], key: str, text_col: str = "text",

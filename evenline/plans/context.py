@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from evenline.guards import MAX_INLINE_TERMS, bounded_collect
 from evenline.operators.hashed import HashedScorer, fit_hashed
 from evenline.operators.lexicon import learn_loaded_terms
-from evenline.session import ensure_checkpoint_dir
+from evenline.session import ensure_checkpoint_dir, written
 from evenline.operators.naive_bayes import ModelSet, NBModel, fit_nb_variants
-from evenline.functions.text import hash_bucket
+from evenline.functions.text import distinct_tokens, hash_bucket, is_blank
 from evenline.operators.splits import holdout_split
 from evenline.operators.validation import FOLDS, cross_validated, fold_predictions, mcnemar, paired_choice
 from evenline.sources.corpus import PROXY_LABELS, documents, labelled_documents, table
@@ -57,6 +57,22 @@ class Context:
         return src.select(F.col("doc_id").alias("example_id"), "text",
                           F.col(col).cast("string").alias("label"), "lang", "split")
 
+    def tokenised(self, task: str) -> DataFrame:
+        """:meth:`task` with the distinct ``terms`` (null for a blank text) in place of the text, found once and written
+        for all tasks: fits and evaluations read them from there."""
+        table_name, col = PROXY_LABELS[task]
+        src = self._tokens if table_name == "documents" else self._labelled_tokens
+        return src.select(F.col("doc_id").alias("example_id"), "terms", F.col(col).cast("string").alias("label"), "split")
+
+    @cached_property
+    def _tokens(self) -> DataFrame:
+        terms = F.when(~is_blank("text"), distinct_tokens("text")).alias("terms")
+        return written(self.docs.select("doc_id", "lang", "split", terms), "doc-terms")
+
+    @cached_property
+    def _labelled_tokens(self) -> DataFrame:
+        return written(self._tokens.join(self.table("labels").select("doc_id", "quality", "toxic"), "doc_id"), "labelled-terms")
+
     @cached_property
     def loaded_terms(self) -> DataFrame:
         """Lexicon learned on the train split of the sentiment proxy."""

@@ -480,14 +480,17 @@ def q_staged_fit(spark, sf_dir):
 
 def compare_candidates(c: Context, task: str) -> list[tuple]:
     """A11 candidates of a task; every one fits inside its own call, so its
-    seconds are fit and evaluation."""
+    seconds are fit and evaluation. Rows with ``terms`` (``Context.tokenised``)
+    are not tokenised again; logistic regression reads ``text``."""
     from evenline.operators.mllib import fit_lr, lr_scores
     from evenline.operators.naive_bayes import fit_nb
 
     def run_nb(min_df):
         def run(tr, te):
-            m = fit_nb(tr, task, min_df=min_df)
-            return metrics.accuracy(sc.score(te, m, "example_id", "text", carry=["label"]), "label", f"{task}_label"), m.n_params
+            known = "terms" in tr.columns
+            col = "terms" if known else "text"
+            m = fit_nb(tr, task, col, min_df=min_df, tokenised=known)
+            return metrics.accuracy(sc.score(te, m, "example_id", col, carry=["label"], tokenised=known), "label", f"{task}_label"), m.n_params
         return run
 
     def run_lr(tr, te):
@@ -514,7 +517,7 @@ def q_model_compare(spark, sf_dir):
     c = ctx(spark, sf_dir)
     out = None
     for t in TASKS:
-        train, test = c.task(t).where(F.col("split") == "train"), _task_test(c, t)
+        train, test = (c.tokenised(t).where(F.col("split") == s) for s in ("train", "test"))
         recs = evaluate(spark, t, train, test, "example_id", [x for x in compare_candidates(c, t) if x[0] != "lr_l1"])
         out = recs if out is None else out.unionByName(recs)
     return out.drop("fit_seconds")
