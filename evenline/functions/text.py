@@ -33,7 +33,9 @@ def tokens(text: ColumnOrName) -> Column:
 
 
 def distinct_tokens(text: ColumnOrName) -> Column:
-    return F.array_distinct(tokens(text))
+    # words are lower-cased once each; the order of first occurrence is that of ``tokens``
+    words = F.array_distinct(F.regexp_extract_all(_c(text), F.lit(TOKEN_PATTERN), 0))
+    return F.array_distinct(F.transform(words, lambda w: F.lower(w)))
 
 
 def segments(text: ColumnOrName) -> Column:
