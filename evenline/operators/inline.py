@@ -4,7 +4,7 @@ model travel in the plan, so scoring is a map that keeps the text in its row.
 Terms are found by two-choice hashing: a term's key is the first 60 bits of its md5,
 and it sits in one of the two slots that its key names, so a look-up reads at most two
 array cells. :func:`score_rows` takes this way for models of at most ``MAX_NUMBERS``
-weights and otherwise scores narrow rows by :func:`evenline.operators.naive_bayes.nb_scores`
+weights and slots and otherwise scores narrow rows by :func:`evenline.operators.naive_bayes.nb_scores`
 and joins the results back by a row number, so that in neither way a text is a key of
 an explode, an aggregate or a join.
 """
@@ -17,14 +17,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenline.functions.text import is_blank, tokens
+from evenline.functions.text import distinct_tokens, is_blank
 from evenline.operators.naive_bayes import ModelSet, finish, nb_scores
 from evenline.session import ensure_checkpoint_dir
 
 # Fifteen hex digits of md5 a term; bits of a key that name its two slots.
 KEY_DIGITS = 15
 SECOND = 30
-MAX_NUMBERS = 1 << 21  # weights of all classes: 16 MB, and 8 bytes a slot beside them
+MAX_NUMBERS = 1 << 20  # weights of all classes and slots, for every text: they are boxed in the plan, some 30 bytes each on the driver and in every task
+SLOTS = 8              # numbers of the slots of a term: two arrays of at most five slots a term, most often fewer
 
 
 @dataclass
@@ -57,11 +58,11 @@ def place(keys: list[int]) -> list[int]:
         size *= 2
 
 
-def inline_models(models: ModelSet, most: int = MAX_NUMBERS) -> InlineModels | None:
-    """The weights of ``models`` for :func:`inline_scores`, or None if there are more than ``most`` of them
-    (counted before anything reaches the driver)."""
+def inline_models(models: ModelSet, most: int = MAX_NUMBERS, texts: int = 1) -> InlineModels | None:
+    """The weights of ``models`` for :func:`inline_scores`, or None if these and their slots, once per text, are more
+    than ``most`` numbers (counted before anything reaches the driver)."""
     classes = sum(m.k for m in models)
-    if sum(m.n_terms for m in models) * classes > most:
+    if sum(m.n_terms for m in models) * (classes + SLOTS) * texts > most:
         return None
     cached = getattr(models, "_inline", None)
     if cached is None:
@@ -112,7 +113,7 @@ def inline_scores(df: DataFrame, texts: Mapping[str, str], models: ModelSet, im:
     terms, find = {}, _find(im)
     out = df
     for t, text in texts.items():
-        keys = F.array_distinct(F.transform(tokens(text), lambda w: F.conv(F.substring(F.md5(w), 1, KEY_DIGITS), 16, 10).cast("bigint")))
+        keys = F.array_distinct(F.transform(distinct_tokens(text), lambda w: F.conv(F.substring(F.md5(w), 1, KEY_DIGITS), 16, 10).cast("bigint")))
         known = F.filter(F.transform(keys, find), lambda i: i.isNotNull())
         if t in reuse:
             known = F.when(F.col(text).eqNullSafe(F.col(texts[reuse[t]])), F.col(terms[reuse[t]])).otherwise(known)
@@ -134,7 +135,7 @@ def inline_scores(df: DataFrame, texts: Mapping[str, str], models: ModelSet, im:
 def score_rows(df: DataFrame, texts: Mapping[str, str], models: ModelSet, reuse: Mapping[str, str] | None = None, most: int = MAX_NUMBERS) -> DataFrame:
     """Every row of ``df`` with the scores of ``models`` on its texts, all columns kept: in the row if the weights are at
     most ``most``, else by narrow rows joined back on a row number that is written with the rows first."""
-    im = inline_models(models, most)
+    im = inline_models(models, most, len(texts))
     if im is not None:
         return inline_scores(df, texts, models, im, reuse)
     taken = set(df.columns)
