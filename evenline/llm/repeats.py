@@ -22,6 +22,10 @@ lies in a window whose word sequence also starts earlier in the corpus
 The bits are broadcast while they are under ``max_sketch_bytes``. Beyond it the
 anchors are semi-joined with the repeated cells instead, with the same result.
 
+Texts of documents that lose no word stay where they are: one bit per hash of a
+changed document's id is broadcast, and only texts whose bit is set are
+shuffled to the positions to cut.
+
 Null and blank texts have no window; repeated rows of one ``doc_id`` with one
 text count as one document; rows that share a ``doc_id`` with different texts
 are documents of their own, in the order of their texts' md5. Rows with a null
@@ -50,6 +54,8 @@ CELLS_PER_BYTE = 0.125     # sketch cells per row and byte of text: about five p
 SHARD_BITS = 20            # cells of one shard of a row
 MAX_SKETCH_BYTES = 96 << 20
 MAX_BROADCAST_IDS = 1_000_000
+CELLS_PER_CHANGE = 8       # bits that tell documents with a change from others: one for each, broadcast in words of 64
+MAX_LISTED_CELLS = 1 << 26 # a million words; more changes than these can part move more texts, with the same result
 _ODD1, _ODD2, _ODD3 = 0xD1342543DE82EF95, 0xDA942042E4DD58B5, 0xAEF17502108EF2D9
 
 
@@ -231,7 +237,17 @@ def _cut(width: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sketch_bytes: int = MAX_SKETCH_BYTES) -> DataFrame:
+def split_listed(docs: DataFrame, changes: DataFrame, most: int = MAX_LISTED_CELLS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose id is surely not in ``changes``, and the others: those with a change and a few whose id falls on the bit of one."""
+    cells = min(most, max(64, 1 << (changes.count() * CELLS_PER_CHANGE).bit_length()))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells))
+    word, bit = F.shiftright(cell, 6).alias("word"), cell.bitwiseAND(F.lit(63)).cast("int")
+    bits = changes.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    marked = docs.withColumn("word", word).join(F.broadcast(bits), "word", "left").withColumn("listed", F.bit_get(F.coalesce("bits", F.lit(0).cast("long")), bit) == 1)
+    return tuple(marked.where(x).select(*docs.columns) for x in (~F.col("listed"), F.col("listed")))
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sketch_bytes: int = MAX_SKETCH_BYTES, max_listed_cells: int = MAX_LISTED_CELLS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` (the kept words joined by one space) per document."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -274,7 +290,10 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, max_sk
                   .where("n > 1").select("h1", "h2", "first"), "first")
     marks = (found.join(first, ["h1", "h2"]).where(F.struct("doc_id", "start") != F.col("first"))
              .groupBy("doc_id", F.shiftright("start", 32).cast("int").alias("variant")).agg(F.collect_list("start").alias("starts")))
-    changes = marks.select("doc_id", "variant", "starts", F.lit(False).alias("is_copy")).unionByName(
-        copies.select("doc_id", F.lit(0).alias("variant"), F.lit(None).cast("array<long>").alias("starts"), F.lit(True).alias("is_copy")))
-    return (docs.join(changes, ["doc_id", "variant"], "left").select("doc_id", "text", "starts", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
-            .mapInArrow(_cut(width), "doc_id long, n_words long, n_removed long, kept string"))
+    changes = spool(marks.select("doc_id", "variant", "starts", F.lit(False).alias("is_copy")).unionByName(
+        copies.select("doc_id", F.lit(0).alias("variant"), F.lit(None).cast("array<long>").alias("starts"), F.lit(True).alias("is_copy"))), "changes")
+    columns = "doc_id", "text", "starts", F.coalesce("is_copy", F.lit(False)).alias("is_copy")
+    kept, moved = split_listed(docs, changes, max_listed_cells)
+    listed = moved.join(changes, ["doc_id", "variant"], "left").select(*columns).unionByName(
+        kept.select("doc_id", "text", F.lit(None).cast("array<long>").alias("starts"), F.lit(False).alias("is_copy")))
+    return listed.mapInArrow(_cut(width), "doc_id long, n_words long, n_removed long, kept string")
