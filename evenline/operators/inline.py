@@ -102,10 +102,11 @@ def _free(taken: set[str], name: str) -> str:
     return name
 
 
-def inline_scores(df: DataFrame, texts: Mapping[str, str], models: ModelSet, im: InlineModels, reuse: Mapping[str, str] | None = None) -> DataFrame:
+def inline_scores(df: DataFrame, texts: Mapping[str, str], models: ModelSet, im: InlineModels, reuse: Mapping[str, str] | None = None, tokenised: bool = False) -> DataFrame:
     """``df`` with the columns of ``nb_scores`` (``{tag_}{model}_logp, _probs, _label, _conf, _s``) for every text of
     ``texts`` (tag to column); a map that keeps all columns, whose added names must be free. ``reuse`` names tags whose
-    text often equals an earlier tag's."""
+    text often equals an earlier tag's. With ``tokenised`` the columns of ``texts`` hold the distinct tokens (null for a
+    blank text)."""
     taken, reuse = set(df.columns), dict(reuse or {})
     prefixes = {(t, m.name): f"{t}_{m.name}" if t else m.name for t in texts for m in models}
     if clash := taken & {f"{p}_{x}" for p in prefixes.values() for x in ("logp", "probs", "label", "conf", "s")}:
@@ -113,7 +114,7 @@ def inline_scores(df: DataFrame, texts: Mapping[str, str], models: ModelSet, im:
     terms, find = {}, _find(im)
     out = df
     for t, text in texts.items():
-        keys = F.array_distinct(F.transform(distinct_tokens(text), lambda w: F.conv(F.substring(F.md5(w), 1, KEY_DIGITS), 16, 10).cast("bigint")))
+        keys = F.array_distinct(F.transform(F.col(text) if tokenised else distinct_tokens(text), lambda w: F.conv(F.substring(F.md5(w), 1, KEY_DIGITS), 16, 10).cast("bigint")))
         known = F.filter(F.transform(keys, find), lambda i: i.isNotNull())
         if t in reuse:
             known = F.when(F.col(text).eqNullSafe(F.col(texts[reuse[t]])), F.col(terms[reuse[t]])).otherwise(known)
@@ -124,7 +125,7 @@ def inline_scores(df: DataFrame, texts: Mapping[str, str], models: ModelSet, im:
         for j, m in enumerate(models):
             sums = [F.aggregate(terms[t], F.lit(0.0), _add(_literal(im.weights[j][c], "double"))) for c in range(m.k)]
             logp = F.array(*[F.lit(float(p)) + s for p, s in zip(m.priors, sums)])
-            logps.append(F.when(~is_blank(text), logp).alias(f"{prefixes[t, m.name]}_logp"))
+            logps.append(F.when(F.col(text).isNotNull() if tokenised else ~is_blank(text), logp).alias(f"{prefixes[t, m.name]}_logp"))
     out = out.select("*", *logps).drop(*terms.values())
     for t in texts:
         for m in models:
@@ -132,12 +133,17 @@ def inline_scores(df: DataFrame, texts: Mapping[str, str], models: ModelSet, im:
     return out
 
 
-def score_rows(df: DataFrame, texts: Mapping[str, str], models: ModelSet, reuse: Mapping[str, str] | None = None, most: int = MAX_NUMBERS) -> DataFrame:
+def score_rows(df: DataFrame, texts: Mapping[str, str], models: ModelSet, reuse: Mapping[str, str] | None = None, most: int = MAX_NUMBERS, row: str | None = None) -> DataFrame:
     """Every row of ``df`` with the scores of ``models`` on its texts, all columns kept: in the row if the weights are at
-    most ``most``, else by narrow rows joined back on a row number that is written with the rows first."""
+    most ``most``, else by narrow rows joined back on a row number that is written with the rows first. With ``row``, a
+    column of a written table that tells its rows apart, ``texts`` hold the distinct tokens (null for a blank text), and
+    the rows are joined back on it without being written again."""
     im = inline_models(models, most, len(texts))
     if im is not None:
-        return inline_scores(df, texts, models, im, reuse)
+        return inline_scores(df, texts, models, im, reuse, tokenised=row is not None)
+    if row is not None:
+        scored = nb_scores(df.select(row, *dict.fromkeys(texts.values())), row, dict(texts), models, reuse=reuse, tokenised=True, fixed=True)
+        return df.join(scored, row, "left")
     taken = set(df.columns)
     rid = _free(taken, "_row")
     ensure_checkpoint_dir(df.sparkSession)

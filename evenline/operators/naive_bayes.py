@@ -289,7 +289,7 @@ def nb_scores_grouped(df: DataFrame, key: str, group: str, model: GroupedNB, nam
 
 def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequence[NBModel],
               carry: Sequence[str] = (), max_broadcast: int = MAX_BROADCAST_BYTES,
-              salt_buckets: int = SALT_BUCKETS, reuse: Mapping[str, str] | None = None, tokenised: bool = False) -> DataFrame:
+              salt_buckets: int = SALT_BUCKETS, reuse: Mapping[str, str] | None = None, tokenised: bool = False, fixed: bool = False) -> DataFrame:
     """Scores of every model on every text column, one row per input row.
 
     Rows are told apart by an id made before the explode, so rows that share a
@@ -306,7 +306,8 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
     rewrite to its original): rows where the two texts are equal do not explode
     the second text again and take the first text's sums.
 
-    With ``tokenised`` the columns of ``texts`` hold the distinct tokens instead (null for a blank text).
+    With ``tokenised`` the columns of ``texts`` hold the distinct tokens instead (null for a blank text). With ``fixed``
+    no two rows share a key and ``df`` is a written table: no id is made and its rows are not written again.
     """
     models = models if isinstance(models, ModelSet) else ModelSet(models)
     tags = list(texts)
@@ -330,14 +331,14 @@ def nb_scores(df: DataFrame, key: str, texts: Mapping[str, str], models: Sequenc
     blanks = [(F.col(texts[t]).isNull() if tokenised else is_blank(texts[t])).alias(f"_blank{i}") for i, t in enumerate(tags)]
     sames = [(same(i) if same(i) is not None else F.lit(False)).alias(f"_same{i}") for i in range(len(tags))]
     flags = [f"_blank{i}" for i in range(len(tags))] + [f"_same{i}" for i in range(len(tags))]
-    rows = df.select(F.monotonically_increasing_id().alias("_rid"), key, *carry, *blanks, *sames, tagged.alias("_all"))
+    rows = df.select((F.col(key) if fixed else F.monotonically_increasing_id()).alias("_rid"), key, *carry, *blanks, *sames, tagged.alias("_all"))
 
     def spread(rows: DataFrame, explode: Callable) -> DataFrame:
         return (rows.select("_rid", key, *carry, *flags, explode("_all").alias("_x"))
                     .select("_rid", key, *carry, *flags, "_x.src", "_x.term"))
     aggs = {f"_s{i}_{j}_{c}": F.sum(F.when(F.col("src") == i, F.col(f"_m{j}_w{c}"))) for i in range(len(tags)) for j, m in enumerate(models) for c in range(m.k)}
     g = summed(rows, "_rid", (key, *carry, *flags), spread, ["term"], models.weights, [f"_m{j}_w{c}" for j, m in enumerate(models) for c in range(m.k)], aggs,
-               sum(m.n_terms for m in models), models.row_bytes, max_broadcast, salt_buckets)
+               sum(m.n_terms for m in models), models.row_bytes, max_broadcast, salt_buckets, fixed)
     out_cols: list[Column] = [F.col(key)] + [F.col(c) for c in carry]
     for i, t in enumerate(tags):
         for j, m in enumerate(models):

@@ -38,16 +38,19 @@ def _weight(n: Column, total: float) -> Column:
 
 
 def fold_predictions(train: DataFrame, labels: Mapping[str, str], fold: Column, folds: int = FOLDS, min_dfs: Sequence[int] = MIN_DFS, text: str = "text",
-                     max_broadcast: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, dict[tuple[str, str], int]]:
+                     max_broadcast: int = MAX_BROADCAST_BYTES, row: str | None = None) -> tuple[DataFrame, dict[tuple[str, str], int]]:
     """``task, model, fold, label, pred`` per labelled row, task and candidate (``nb_df{min_df}`` and ``majority``), each
     predicted by a model that has not seen the row's fold; and the parameters of every candidate on all rows.
 
-    ``fold`` is a whole number in ``[0, folds)``, equal for equal texts; blank texts and null labels take no part."""
+    ``fold`` is a whole number in ``[0, folds)``, equal for equal texts; blank texts and null labels take no part. With
+    ``row``, a column of a written table that tells its rows apart, ``text`` holds the distinct tokens (null for a blank
+    text) and the rows are not written again."""
     tasks = list(labels)
-    # read for the counts and for the scores: tokens are found once, row numbers stay
-    rows = train.where(~is_blank(text)).select(F.monotonically_increasing_id().alias("row"), fold.cast("int").alias("fold"), distinct_tokens(text).alias("t"),
-                                               *[F.col(labels[t]).cast("string").alias(f"y{j}") for j, t in enumerate(tasks)])
-    rows = written(rows, "fold-rows")
+    ys = [F.col(labels[t]).cast("string").alias(f"y{j}") for j, t in enumerate(tasks)]
+    if row is None:  # read for the counts and for the scores: tokens are found once, row numbers stay
+        rows = written(train.where(~is_blank(text)).select(F.monotonically_increasing_id().alias("row"), fold.cast("int").alias("fold"), distinct_tokens(text).alias("t"), *ys), "fold-rows")
+    else:
+        rows = train.where(F.col(text).isNotNull()).select(F.col(row).alias("row"), fold.cast("int").alias("fold"), F.col(text).alias("t"), *ys)
     pairs = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"y{j}").alias("y")) for j in range(len(tasks))]))
     got = bounded_collect(rows.select("fold", pairs.alias("e")).where("e.y is not null").groupBy("fold", "e.j", "e.y").count(), MAX_CLASSES * folds * len(tasks))
     if got is None:

@@ -67,7 +67,20 @@ class Context:
     @cached_property
     def _tokens(self) -> DataFrame:
         terms = F.when(~is_blank("text"), distinct_tokens("text")).alias("terms")
-        return written(self.docs.select("doc_id", "lang", "split", terms), "doc-terms")
+        fold = F.pmod(hash_bucket("text"), F.lit(FOLDS)).alias("fold")
+        return written(self.docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "lang", "split", fold, terms), "doc-terms")
+
+    @property
+    def doc_terms(self) -> DataFrame:
+        """``row, doc_id, terms`` of every document: its distinct terms (null for a blank text) under its own row number."""
+        return self._tokens.select("row", "doc_id", "terms")
+
+    @cached_property
+    def _train_terms(self) -> DataFrame:
+        """The terms of the train rows with their fold and the labels of all tasks, written for the folds and for the fit."""
+        labels = self.table("labels").select("doc_id", "quality", "toxic")
+        train = self._tokens.where((F.col("split") == "train") & F.col("terms").isNotNull()).select("doc_id", "lang", "fold", "terms")
+        return written(train.join(labels, "doc_id", "left").select(F.monotonically_increasing_id().alias("row"), "lang", "fold", "terms", "quality", "toxic"), "train-terms")
 
     @cached_property
     def _labelled_tokens(self) -> DataFrame:
@@ -116,9 +129,7 @@ class Context:
     @cached_property
     def fold_predictions(self) -> tuple[DataFrame, dict]:
         """Every candidate's cross-validated predictions on the train rows (written once), and their parameters."""
-        labels = self.table("labels").select("doc_id", "quality", "toxic")
-        train = self.docs.where(F.col("split") == "train").join(labels, "doc_id", "left")
-        rows, params = fold_predictions(train, {"truth": "quality", "sentiment": "toxic", "bias": "lang"}, F.pmod(hash_bucket("text"), F.lit(FOLDS)))
+        rows, params = fold_predictions(self._train_terms, {"truth": "quality", "sentiment": "toxic", "bias": "lang"}, F.col("fold"), text="terms", row="row")
         return rows.checkpoint(eager=True), params
 
     @cached_property
@@ -130,11 +141,9 @@ class Context:
     @cached_property
     def chosen_models(self) -> ModelSet:
         """The chosen naive Bayes models, fitted on all train rows; a task whose choice is the majority keeps min_df 5."""
-        labels = self.table("labels").select("doc_id", "quality", "toxic")
-        train = self.docs.where(F.col("split") == "train").join(labels, "doc_id", "left")
         cols = {"truth": "quality", "sentiment": "toxic", "bias": "lang"}
         min_df = {t: int(m.removeprefix("nb_df")) if m.startswith("nb_df") else 5 for t, m in self.chosen.items()}
-        fitted = fit_nb_variants(train, [(t, None, min_df[t], c) for t, c in cols.items()], "text")
+        fitted = fit_nb_variants(self._train_terms, [(t, None, min_df[t], c) for t, c in cols.items()], "terms", tokenised=True)
         return ModelSet(fitted[t] for t in cols)
 
 

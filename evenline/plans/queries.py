@@ -698,7 +698,7 @@ def q_chosen_scores(spark, sf_dir):
     """A12 put to use: every document by the models that cross-validation chose, scored in the row."""
     from evenline.operators.inline import score_rows
     c = ctx(spark, sf_dir)
-    return score_rows(c.docs.select("doc_id", "text"), {"": "text"}, c.chosen_models).select("doc_id", *[f"{t}_label" for t in TASKS])
+    return score_rows(c.doc_terms, {"": "terms"}, c.chosen_models, row="row").select("doc_id", *[f"{t}_label" for t in TASKS])
 
 
 _HIST_SQL = f"""{S.nb_all()},

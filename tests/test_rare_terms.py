@@ -61,3 +61,38 @@ def test_models_of_many_terms_stay_off_the_driver():
     # 300,000 terms of two classes were taken into the plan; there is no table here that could be read
     assert I.inline_models(N.ModelSet([N.NBModel("m", ["0", "1"], [0.0, 0.0], None, 300_000, 1)])) is None
     assert I.inline_models(N.ModelSet([N.NBModel("m", ["0", "1"], [0.0, 0.0], None, 80_000, 1)]), texts=2) is None
+
+
+@pytest.fixture(scope="module")
+def terms(spark, texts):
+    from evenline.session import written
+    t = F.when(F.trim("text") != "", distinct_tokens("text")).alias("t")
+    return written(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "y", "fold", t), "test-terms")
+
+
+@pytest.mark.parametrize("most", [0, I.MAX_NUMBERS])
+def test_written_terms_score_like_texts_and_are_not_written_again(spark, texts, terms, most):
+    models = N.ModelSet([N.fit_nb(texts, "m", label_col="y", min_df=2)])
+    got = I.score_rows(terms, {"": "t"}, models, most=most, row="row")
+    want = I.score_rows(texts, {"": "text"}, models)
+    key = ["doc_id", "m_label", F.round("m_conf", 9)]
+    assert Counter(got.select(*key).collect()) == Counter(want.select(*key).collect())
+    read = {f.rsplit("/", 2)[1] for f in got.inputFiles()}
+    assert len(read) == 1 and read.pop().startswith("test-terms")
+
+
+def test_folds_of_written_terms(spark, texts, terms):
+    a, pa = V.fold_predictions(texts, {"one": "y"}, F.col("fold"), 3, (2, 4))
+    b, pb = V.fold_predictions(terms, {"one": "y"}, F.col("fold"), 3, (2, 4), text="t", row="row")
+    cols = ["task", "model", "fold", "label", "pred"]
+    assert pa == pb and Counter(a.select(*cols).collect()) == Counter(b.select(*cols).collect())
+
+
+def test_chosen_scores_read_the_texts_once(spark):
+    from conftest import SF_SMALL
+    from evenline.plans.context import Context
+    from evenline.plans.queries import QUERIES
+    c = Context.get(spark, SF_SMALL)
+    read = QUERIES["chosen_scores"](spark, SF_SMALL).inputFiles()
+    assert read and not [f for f in read if "documents.parquet" in f], "scored from the written terms"
+    assert c.doc_terms.columns == ["row", "doc_id", "terms"]
