@@ -14,8 +14,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
-HASH_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 20
+HASH_BYTES = 1 << 18  # hashed at once: the powers and sums of a window are 64 times its bytes
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
